@@ -1,0 +1,22 @@
+"""Dense vector math on array<float|double> columns with higher-order functions."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def dot(a: Column, b: Column) -> Column:
+    prods = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
+    return F.aggregate(prods, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
+
+
+def norm(a: Column) -> Column:
+    return F.sqrt(F.aggregate(a, F.lit(0.0).cast("double"), lambda acc, x: acc + x.cast("double") * x.cast("double")))
+
+
+def cosine(a: Column, b: Column, a_norm: Column | None = None, b_norm: Column | None = None) -> Column:
+    """Cosine similarity; 0.0 when either vector is all zeros."""
+    na = norm(a) if a_norm is None else a_norm
+    nb = norm(b) if b_norm is None else b_norm
+    return F.when((na == 0) | (nb == 0), F.lit(0.0)).otherwise(dot(a, b) / (na * nb))
