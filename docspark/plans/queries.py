@@ -216,3 +216,257 @@ QUERIES = {
     "corpus_overview": q_corpus_overview,
     "render_markdown": q_render_markdown,
 }
+
+
+# ------------------------------------------------------------------ chunks, embeddings, retrieval
+
+from ..operators import analytics as Q  # noqa: E402
+from ..operators import answer as QA  # noqa: E402
+from ..operators import embed as X  # noqa: E402
+from ..operators import search as S  # noqa: E402
+
+CHUNK_TOKENS, CHUNK_OVERLAP = 100, 20
+SEARCH_DIM = 1 << 18
+
+
+def _score(c="score"):
+    return F.round(F.col(c), 6).alias(c)
+
+
+def _records(spark, sf_dir):
+    pr = _processed(spark, sf_dir)
+    return X.build_embeddings(pr.doc_summaries, pr.page_summaries, pr.pages, CHUNK_TOKENS, CHUNK_OVERLAP)
+
+
+def _index(spark, sf_dir):
+    return S.sparse_index(_records(spark, sf_dir), SEARCH_DIM, persist=True)
+
+
+def _questions(spark, sf_dir):
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), "text")
+
+
+def _targets(spark, sf_dir, idx):
+    """Each question with its best document (Q4) as the document to answer from."""
+    q = _questions(spark, sf_dir)
+    best = S.discover(q, idx).select("qid", "document_id")
+    return q.join(best, "qid")
+
+
+def q_chunks(spark, sf_dir):
+    """100-token windows with 20 tokens of overlap over every page."""
+    pg = _processed(spark, sf_dir).pages
+    return X.chunk_text(pg, "content", CHUNK_TOKENS, CHUNK_OVERLAP).select(
+        "document_id", "page_number", "chunk_number", "text", "token_count", "start_token", "end_token"
+    )
+
+
+def q_chunk_metadata(spark, sf_dir):
+    """Chunk features and character offsets."""
+    pg = _processed(spark, sf_dir).pages
+    ch = X.chunk_metadata(X.chunk_text(pg, "content", CHUNK_TOKENS, CHUNK_OVERLAP))
+    return ch.select("document_id", "page_number", "chunk_number", "contains_numbers", "char_count", "start_offset", "end_offset")
+
+
+def q_page_metadata(spark, sf_dir):
+    """Table / formula flags of every page."""
+    return X.page_metadata(_processed(spark, sf_dir).pages).select("document_id", "page_number", "has_tables", "has_formulas")
+
+
+def q_embedding_levels(spark, sf_dir):
+    """X3 + A8: records per level and document."""
+    return X.embedding_stats(_records(spark, sf_dir))
+
+
+def q_token_cost_rollup(spark, sf_dir):
+    """Tokens and cost per level and document with subtotals."""
+    r = X.token_and_cost(_records(spark, sf_dir))
+    return r.select("level", "document_id", "tokens", F.col("cost_micro_usd").cast("string").alias("cost_micro_usd"), "records")
+
+
+def q_sparse_search(spark, sf_dir):
+    """Q2: the five best pages of the corpus for every benchmark question."""
+    hits = S.search(_questions(spark, sf_dir), _index(spark, sf_dir), X.LEVEL_PAGE, top=5)
+    return hits.select("qid", "rank", "id", "document_id", "page_number", _score())
+
+
+def q_dense_topk(spark, sf_dir):
+    """Q1: each stored document's centroid vector against every page vector."""
+    v = corpus.vector_records(table(spark, sf_dir, "embeddings"))
+    cq = S.centroids(v, "document_id", 64).select(F.col("document_id").alias("qid"), "embedding")
+    hits = S.search_dense(cq, v.select("id", "document_id", "page_number", "embedding"), top=5, dim_hint=64)
+    return hits.select("qid", "rank", "id", "document_id", _score())
+
+
+def q_multi_level_search(spark, sf_dir):
+    """Q3: documents -> pages -> paragraphs for every question."""
+    hits = S.search_multi_level(_questions(spark, sf_dir), _index(spark, sf_dir), k_doc=3, k_page=5, k_para=3)
+    return hits.select("qid", "rank", "id", "document_id", "page_number", "paragraph_number", _score(),
+                       _score("page_score"), _score("doc_score"))
+
+
+def q_discover(spark, sf_dir):
+    """Q4: best document per question."""
+    hits = S.discover(_questions(spark, sf_dir), _index(spark, sf_dir))
+    return hits.select("qid", "document_id", _score())
+
+
+def q_localize_topic(spark, sf_dir):
+    """Q5: ten best pages inside each question's best document."""
+    idx = _index(spark, sf_dir)
+    hits = S.localize_topic(_targets(spark, sf_dir, idx), idx, top=10)
+    return hits.select("qid", "rank", "document_id", "page_number", _score())
+
+
+def q_cite(spark, sf_dir):
+    """Q6: page then paragraph citations inside each question's best document."""
+    idx = _index(spark, sf_dir)
+    hits = S.cite(_targets(spark, sf_dir, idx), idx)
+    return hits.select("qid", "rank", "document_id", "page_number", "paragraph_number", "text", _score())
+
+
+def q_compare(spark, sf_dir):
+    """Q7: the question's first sentence vs. its whole text, side by side on the pages
+    found for the first sentence."""
+    from ..functions.text import lead_sentences
+
+    q = _questions(spark, sf_dir).select("qid", lead_sentences("text", 1).alias("text_a"), F.col("text").alias("text_b"))
+    out = S.compare(q, _index(spark, sf_dir), k_page=10, k=5)
+    return out.select("qid", "rank", "id_a", _score("score_a"), "id_b", _score("score_b"))
+
+
+def q_compare_documents(spark, sf_dir):
+    """Q8: two best pages per question inside each document labelled high quality."""
+    good = table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("document_id")
+    )
+    hits = S.compare_documents(_questions(spark, sf_dir), _index(spark, sf_dir), good, X.LEVEL_PAGE, top=2)
+    return hits.select("qid", "document_id", "rank", "id", _score())
+
+
+def q_rank_documents(spark, sf_dir):
+    """Q9: five best documents per question with a 200-character excerpt."""
+    hits = S.rank_documents(_questions(spark, sf_dir), _index(spark, sf_dir), top=5)
+    return hits.select("qid", "rank", "document_id", _score(), "excerpt")
+
+
+def q_metadata_search(spark, sf_dir):
+    """Q12: page search restricted to pages 2-5 of documents whose summary record
+    exists (page-range metadata filter)."""
+    hits = S.metadata_search(_questions(spark, sf_dir), _index(spark, sf_dir), F.col("page_number").between(2, 5))
+    return hits.select("qid", "rank", "id", _score())
+
+
+def q_choose_detail(spark, sf_dir):
+    """Q10: detail level and confidence per question (pages of its best document)."""
+    idx = _index(spark, sf_dir)
+    t = _targets(spark, sf_dir, idx)
+    pages = S.localize_topic(t, idx, top=5)
+    d = QA.choose_detail(_questions(spark, sf_dir), pages)
+    return d.select("qid", "detail_level", _score("confidence"), "fixed_answer")
+
+
+def q_answer_context(spark, sf_dir):
+    """Q11: context, sources and extractive answer per question."""
+    idx = _index(spark, sf_dir)
+    a = QA.answer_context(_targets(spark, sf_dir, idx), idx)
+    return a.select("qid", "detail_level", _score("confidence"), "answer", "context", "sources")
+
+
+# ------------------------------------------------------------------ analytics
+
+def _doc_text(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("document_id"), "text"
+    )
+
+
+def q_mentions(spark, sf_dir):
+    """Q13: every occurrence of every benchmark passage (whole text) in the corpus."""
+    ph = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("pid"), "text")
+    return Q.mentions(ph, _doc_text(spark, sf_dir), window=5)
+
+
+def q_amounts(spark, sf_dir):
+    """Q14: number mentions per document (count, exact sum, largest)."""
+    a = Q.amounts_by_document(_processed(spark, sf_dir).pages)
+    return a.select("document_id", "n_amounts", F.col("total").cast("string").alias("total"), F.col("largest").cast("string").alias("largest"))
+
+
+def q_similar_sections(spark, sf_dir):
+    """Q15: document pairs with term-set Jaccard >= 0.8."""
+    s = Q.similar_sections(_doc_text(spark, sf_dir), 0.8)
+    return s.select("id_a", "id_b", "shared", "union_size", _score("jaccard"))
+
+
+def q_cluster_topics(spark, sf_dir):
+    """Q16: k-means (k=10) over the stored page vectors."""
+    v = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    return Q.cluster_topics(v, k=10, seed=7)
+
+
+def q_version_diff(spark, sf_dir):
+    """Q17: page diff between every near-duplicate document pair (Q15 pairs as versions)."""
+    pairs = Q.similar_sections(_doc_text(spark, sf_dir), 0.8).select(F.col("id_a").alias("v1"), F.col("id_b").alias("v2"))
+    return Q.diff_versions(pairs, _processed(spark, sf_dir).pages)
+
+
+def q_topics(spark, sf_dir):
+    """Five TF-IDF topic terms per document."""
+    t = X.topics(_doc_text(spark, sf_dir), "document_id", "text", k=5)
+    return t.select("document_id", "rank", "term", _score())
+
+
+def q_section_of_page(spark, sf_dir):
+    """Sites as documents (URL host), pages in ``page_id`` order, the page's
+    ``<h1>`` as heading (only when it is a sentence: ends with '.'); each page's
+    section is the nearest heading at or before it."""
+    pg = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    h = F.regexp_extract("html", r"<h1[^>]*>([^<]*)</h1>", 1)
+    rows = pg.select(
+        F.regexp_extract("url", r"^[a-z]+://([^/?#]+)", 1).alias("document_id"),
+        F.col("page_id").alias("page_number"),
+        F.when(h.endswith("."), h).alias("heading"),
+    )
+    return X.section_of_page(rows).select("document_id", "page_number", "section")
+
+
+def q_audit_trail(spark, sf_dir):
+    """Q18: attempt history over three index runs (10-line run, 20-line re-run,
+    conversations run)."""
+    r1 = _processed(spark, sf_dir).index.withColumn("run", F.lit(1))
+    r2 = _processed(spark, sf_dir, lines_per_page=20, run_time=RUN_TIME_2).index.withColumn("run", F.lit(2))
+    r3 = process_corpus_pages(spark, sf_dir, RUN_TIME_2).index.withColumn("run", F.lit(3))
+    runs = r1.unionByName(r2).unionByName(r3)
+    return Q.audit_trail(runs).select("id", "run", "status", "attempt", "previous_status", "is_latest")
+
+
+QUERIES.update(
+    {
+        "chunks": q_chunks,
+        "chunk_metadata": q_chunk_metadata,
+        "page_metadata": q_page_metadata,
+        "embedding_levels": q_embedding_levels,
+        "token_cost_rollup": q_token_cost_rollup,
+        "sparse_search": q_sparse_search,
+        "dense_topk": q_dense_topk,
+        "multi_level_search": q_multi_level_search,
+        "discover": q_discover,
+        "localize_topic": q_localize_topic,
+        "cite": q_cite,
+        "compare": q_compare,
+        "compare_documents": q_compare_documents,
+        "rank_documents": q_rank_documents,
+        "metadata_search": q_metadata_search,
+        "choose_detail": q_choose_detail,
+        "answer_context": q_answer_context,
+        "mentions": q_mentions,
+        "amounts": q_amounts,
+        "similar_sections": q_similar_sections,
+        "cluster_topics": q_cluster_topics,
+        "version_diff": q_version_diff,
+        "topics": q_topics,
+        "section_of_page": q_section_of_page,
+        "audit_trail": q_audit_trail,
+    }
+)

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,11 +53,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder, so a
-    lost executor does not force recomputation of the whole upstream plan.
-    (Never ``localCheckpoint``: its blocks die with the executor.)"""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage by writing ``df`` once as a Parquet table under the shared
+    checkpoint folder (``spark.checkpoint.dir``) and reading it back.
+
+    The job runs once (an eager RDD checkpoint of an unpersisted plan would compute
+    it twice), survives lost executors, and later readers get column pruning and
+    filter pushdown. Never ``localCheckpoint``: its blocks die with the executor."""
+    root = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{root.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
