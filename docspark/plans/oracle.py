@@ -168,7 +168,7 @@ req AS (
 
 def regen_sql(lo: int | None, hi: int | None) -> str:
     cond = "TRUE" if lo is None else f"page_number BETWEEN {lo} AND {hi}"
-    err = "NULL" if lo is None else f"'No pages in range {lo}-{hi}'"
+    err = "CAST(NULL AS VARCHAR)" if lo is None else f"'No pages in range {lo}-{hi}'"
     return f"""WITH {pages_cte()},
 todo AS (SELECT * FROM pages_t WHERE {cond}),
 {summaries_cte('todo', 'rps')},
@@ -317,3 +317,310 @@ SELECT status, count(*) AS documents, CAST(sum(page_count) AS BIGINT) AS pages,
 FROM idx_t GROUP BY 1""",
     "render_markdown": RENDER,
 }
+
+
+# ---------------------------------------------------------------- chunks, records, retrieval
+
+DIM = 1 << 18
+
+
+def chunks_cte(src: str, name: str = "ch", max_tokens: int = 100, overlap: int = 20) -> str:
+    step = max_tokens - overlap
+    return rf"""
+{name}_t AS (
+  SELECT document_id, page_number,
+         list_filter(regexp_split_to_array(content, '[ \t\n\r]+'), lambda x: x <> '') AS toks
+  FROM {src}
+),
+{name}_s AS (
+  SELECT document_id, page_number, toks, len(toks) AS n,
+         unnest(generate_series(0, greatest(0, len(toks) - {overlap} - 1), {step})) AS start_token
+  FROM {name}_t WHERE len(toks) > 0
+),
+{name} AS (
+  SELECT document_id, page_number, CAST(start_token // {step} AS INTEGER) AS chunk_number,
+         array_to_string(list_slice(toks, start_token + 1, start_token + {max_tokens}), ' ') AS text,
+         CAST(least({max_tokens}, n - start_token) AS INTEGER) AS token_count,
+         CAST(start_token AS INTEGER) AS start_token,
+         CAST(least(start_token + {max_tokens}, n) AS INTEGER) AS end_token,
+         CAST(coalesce(list_sum(list_transform(list_slice(toks, 1, start_token), lambda x: length(x))), 0) + start_token AS INTEGER) AS start_offset
+  FROM {name}_s
+)"""
+
+
+RECORDS = f"""
+ok_pages AS (
+  SELECT document_id, page AS page_number, summary FROM ps_t
+  WHERE status = 'success' AND summary IS NOT NULL AND summary <> ''
+),
+chunk_src AS (
+  SELECT p.document_id, p.page_number, p.content FROM pages_t p
+  JOIN ok_pages o ON p.document_id = o.document_id AND p.page_number = o.page_number
+  WHERE p.content IS NOT NULL AND p.content <> ''
+),
+{chunks_cte('chunk_src', 'rch')},
+recs AS (
+  SELECT document_id || '_doc' AS id, 'document' AS level, document_id, CAST(NULL AS INTEGER) AS page_number,
+         CAST(NULL AS INTEGER) AS paragraph_number, summary AS text FROM ds_t WHERE status = 'success'
+  UNION ALL
+  SELECT document_id || '_page_' || page_number, 'page', document_id, page_number, NULL, summary FROM ok_pages
+  UNION ALL
+  SELECT document_id || '_page_' || page_number || '_para_' || chunk_number, 'paragraph', document_id, page_number,
+         chunk_number, text FROM rch
+)"""
+
+
+def tv_cte(src: str, key: str, name: str) -> str:
+    """Hashed term counts and squared norms of ``src(key, text)``."""
+    return f"""
+{name} AS (
+  SELECT {key}, bucket, count(*) AS tf FROM (
+    SELECT {key}, ('0x' || substr(md5(t), 1, 8))::BIGINT % {DIM} AS bucket
+    FROM (SELECT {key}, unnest(regexp_extract_all(lower(text), {TERM}, 0)) AS t FROM {src}))
+  GROUP BY 1, 2
+),
+{name}_n AS (SELECT {key}, sum(tf * tf) AS n2 FROM {name} GROUP BY 1)"""
+
+
+def scores_cte(q: str = "qv", d: str = "dv", name: str = "sc") -> str:
+    """Cosine of every (question, record) pair sharing a bucket, with record columns."""
+    return f"""
+{name} AS (
+  SELECT x.qid, x.id, x.dot / (sqrt(qn.n2) * sqrt(dn.n2)) AS score,
+         r.level, r.document_id, r.page_number, r.paragraph_number, r.text
+  FROM (SELECT q.qid, d.id, sum(q.tf * d.tf) AS dot FROM {q} q JOIN {d} d ON q.bucket = d.bucket GROUP BY 1, 2) x
+  JOIN {q}_n qn ON x.qid = qn.qid JOIN {d}_n dn ON x.id = dn.id JOIN recs r ON x.id = r.id
+)"""
+
+
+QUESTIONS = "qs AS (SELECT item_id AS qid, text FROM benchmark)"
+
+
+def search_base() -> str:
+    return f"""WITH {base()},
+{RECORDS},
+{tv_cte('recs', 'id', 'dv')},
+{QUESTIONS},
+{tv_cte('qs', 'qid', 'qv')},
+{scores_cte()}"""
+
+
+def ranked(src: str, where: str, k: int, per: str = "qid") -> str:
+    return f"""(SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY {per} ORDER BY score DESC, id) AS INTEGER) AS rank
+   FROM {src} WHERE {where}) WHERE rank <= {k})"""
+
+
+TARGETS = f"""
+best_doc AS {ranked('sc', "level = 'document'", 1)},
+tg AS (SELECT qid, document_id FROM best_doc)"""
+
+DENSE = """WITH v AS (
+  SELECT 'vec-' || label || '_page_' || vec_id AS id, 'vec-' || label AS document_id, embedding FROM embeddings
+),
+cm AS (
+  SELECT document_id, pos, avg(CAST(x AS DOUBLE)) AS m FROM (
+    SELECT document_id, unnest(generate_series(1, len(embedding))) AS pos, unnest(embedding) AS x FROM v) GROUP BY 1, 2
+),
+cq AS (SELECT document_id AS qid, list(m ORDER BY pos) AS q FROM cm GROUP BY 1),
+pv AS (
+  SELECT id, document_id, embedding,
+         sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS vn FROM v
+),
+qn AS (SELECT qid, q, sqrt(list_sum(list_transform(q, lambda x: x * x))) AS qn FROM cq),
+sc AS (
+  SELECT qn.qid, pv.id, pv.document_id,
+         CASE WHEN pv.vn = 0 OR qn.qn = 0 THEN 0.0
+              ELSE list_sum(list_transform(generate_series(1, len(q)), lambda i: CAST(pv.embedding[i] AS DOUBLE) * q[i])) / (pv.vn * qn.qn) END AS score
+  FROM pv, qn
+)
+SELECT qid, rank, id, document_id, round(score, 6) AS score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS INTEGER) AS rank FROM sc) WHERE rank <= 5"""
+
+MULTI_LEVEL = f"""{search_base()},
+d3 AS {ranked('sc', "level = 'document' AND score >= 0", 3)},
+p5 AS {ranked('sc', "level = 'page' AND score >= 0 AND (qid, document_id) IN (SELECT qid, document_id FROM d3)", 5)},
+a3 AS {ranked('sc', "level = 'paragraph' AND score >= 0 AND (qid, document_id, page_number) IN (SELECT qid, document_id, page_number FROM p5)", 3)}
+SELECT a.qid, a.rank, a.id, a.document_id, a.page_number, a.paragraph_number, round(a.score, 6) AS score,
+       round(p.score, 6) AS page_score, round(d.score, 6) AS doc_score
+FROM a3 a JOIN p5 p ON a.qid = p.qid AND a.document_id = p.document_id AND a.page_number = p.page_number
+JOIN d3 d ON a.qid = d.qid AND a.document_id = d.document_id"""
+
+ANSWER = f"""{search_base()},
+{TARGETS},
+p5 AS {ranked('sc', "level = 'page' AND (qid, document_id) IN (SELECT qid, document_id FROM tg)", 5)},
+dec AS (
+  SELECT q.qid, b.top_score,
+         CASE WHEN b.top_score IS NULL THEN NULL WHEN b.top_score > 0.85 THEN 'summary' ELSE 'detailed' END AS detail_level
+  FROM qs q LEFT JOIN (SELECT qid, max(score) AS top_score FROM p5 GROUP BY 1) b ON q.qid = b.qid
+),
+a8 AS {ranked('sc', "level = 'paragraph' AND (qid, document_id, page_number) IN (SELECT qid, document_id, page_number FROM p5)", 8)},
+items AS (
+  SELECT qid, rank, text, 'Page ' || page_number || ': ' || text AS item, 'Page ' || page_number AS source, 'summary' AS kind
+  FROM p5 WHERE rank <= 3
+  UNION ALL
+  SELECT qid, rank, text, '[Page ' || page_number || ', ¶' || paragraph_number || ']' || {NL} || text,
+         'Page ' || page_number || ', ¶' || paragraph_number, 'detailed' FROM a8
+),
+chosen AS (SELECT i.* FROM items i JOIN dec d ON i.qid = d.qid AND i.kind = d.detail_level),
+agg AS (
+  SELECT qid, string_agg(item, {NL} || {NL} ORDER BY rank) AS context, string_agg(source, '; ' ORDER BY rank) AS sources,
+         max(CASE WHEN rank = 1 THEN {lead('text', 2)} END) AS lead
+  FROM chosen GROUP BY 1
+)
+SELECT d.qid, d.detail_level, round(coalesce(d.top_score, 0.0), 6) AS confidence,
+       CASE WHEN d.top_score IS NULL THEN 'No relevant information found.' ELSE a.lead END AS answer,
+       coalesce(a.context, '') AS context, coalesce(a.sources, '') AS sources
+FROM dec d LEFT JOIN agg a ON d.qid = a.qid"""
+
+COMPARE = f"""WITH {base()},
+{RECORDS},
+{tv_cte('recs', 'id', 'dv')},
+qa AS (SELECT item_id AS qid, {lead('text', 1)} AS text FROM benchmark),
+qb AS (SELECT item_id AS qid, text FROM benchmark),
+{tv_cte('qa', 'qid', 'qav')},
+{tv_cte('qb', 'qid', 'qbv')},
+{scores_cte('qav', 'dv', 'sca')},
+{scores_cte('qbv', 'dv', 'scb')},
+pa AS {ranked('sca', "level = 'page'", 10)},
+ra AS {ranked('sca', "level = 'paragraph' AND (qid, document_id, page_number) IN (SELECT qid, document_id, page_number FROM pa)", 5)},
+rb AS {ranked('scb', "level = 'paragraph' AND (qid, document_id, page_number) IN (SELECT qid, document_id, page_number FROM pa)", 5)}
+SELECT coalesce(ra.qid, rb.qid) AS qid, coalesce(ra.rank, rb.rank) AS rank, ra.id AS id_a, round(ra.score, 6) AS score_a,
+       rb.id AS id_b, round(rb.score, 6) AS score_b
+FROM ra FULL OUTER JOIN rb ON ra.qid = rb.qid AND ra.rank = rb.rank"""
+
+DOC_TERMS = f"d AS (SELECT 'doc-' || doc_id AS document_id, text FROM documents)"
+
+SIMILAR = f"""
+{DOC_TERMS},
+sets AS (
+  SELECT document_id, list_distinct(regexp_extract_all(lower(text), {TERM}, 0)) AS s FROM d
+),
+flat AS (SELECT document_id, unnest(s) AS term FROM sets WHERE len(s) > 0),
+inter AS (
+  SELECT a.document_id AS id_a, b.document_id AS id_b, count(*) AS shared
+  FROM flat a JOIN flat b ON a.term = b.term AND a.document_id < b.document_id GROUP BY 1, 2
+),
+sim AS (
+  SELECT i.id_a, i.id_b, CAST(i.shared AS INTEGER) AS shared,
+         CAST(len(sa.s) + len(sb.s) - i.shared AS INTEGER) AS union_size,
+         i.shared / (len(sa.s) + len(sb.s) - i.shared) AS jaccard
+  FROM inter i JOIN sets sa ON i.id_a = sa.document_id JOIN sets sb ON i.id_b = sb.document_id
+  WHERE i.shared / (len(sa.s) + len(sb.s) - i.shared) >= 0.8
+)"""
+
+ORACLE.update(
+    {
+        "chunks": f"""WITH {pages_cte()}, {chunks_cte('pages_t', 'ch')}
+SELECT document_id, page_number, chunk_number, text, token_count, start_token, end_token FROM ch""",
+        "chunk_metadata": f"""WITH {pages_cte()}, {chunks_cte('pages_t', 'ch')}
+SELECT document_id, page_number, chunk_number, regexp_matches(text, '[0-9]') AS contains_numbers,
+       CAST(length(text) AS INTEGER) AS char_count, start_offset, CAST(start_offset + length(text) AS INTEGER) AS end_offset
+FROM ch""",
+        "page_metadata": rf"""WITH {pages_cte()}
+SELECT document_id, page_number,
+       coalesce(regexp_matches(content, '(?m)^[ \t]*\|.*\|[ \t]*$'), false) AS has_tables,
+       coalesce(regexp_matches(content, '[=≈≤≥±∑∫√]|\$[^$\n]+\$'), false) AS has_formulas
+FROM pages_t""",
+        "embedding_levels": f"""WITH {base()}, {RECORDS}
+SELECT document_id, count(*) AS embedding_count,
+       count(*) FILTER (WHERE level = 'document') AS document_level,
+       count(*) FILTER (WHERE level = 'page') AS page_level,
+       count(*) FILTER (WHERE level = 'paragraph') AS paragraph_level
+FROM recs GROUP BY 1""",
+        "token_cost_rollup": rf"""WITH {base()}, {RECORDS},
+tk AS (SELECT level, document_id, len(list_filter(regexp_split_to_array(text, '[ \t\n\r]+'), lambda x: x <> '')) AS tokens FROM recs)
+SELECT level, document_id, CAST(sum(tokens) AS BIGINT) AS tokens,
+       CAST(CAST(CAST(sum(tokens) AS DECIMAL(38,0)) * 130000 / 1000000 AS DECIMAL(38,6)) AS VARCHAR) AS cost_micro_usd,
+       count(*) AS records
+FROM tk GROUP BY ROLLUP (level, document_id)""",
+        "sparse_search": f"""{search_base()}
+SELECT qid, rank, id, document_id, page_number, round(score, 6) AS score FROM {ranked('sc', "level = 'page'", 5)}""",
+        "dense_topk": DENSE,
+        "multi_level_search": MULTI_LEVEL,
+        "discover": f"""{search_base()}
+SELECT qid, document_id, round(score, 6) AS score FROM {ranked('sc', "level = 'document'", 1)}""",
+        "localize_topic": f"""{search_base()}, {TARGETS}
+SELECT qid, rank, document_id, page_number, round(score, 6) AS score
+FROM {ranked('sc', "level = 'page' AND (qid, document_id) IN (SELECT qid, document_id FROM tg)", 10)}""",
+        "cite": f"""{search_base()}, {TARGETS},
+p5 AS {ranked('sc', "level = 'page' AND (qid, document_id) IN (SELECT qid, document_id FROM tg)", 5)}
+SELECT qid, rank, document_id, page_number, paragraph_number, text, round(score, 6) AS score
+FROM {ranked('sc', "level = 'paragraph' AND (qid, document_id, page_number) IN (SELECT qid, document_id, page_number FROM p5)", 3)}""",
+        "compare": COMPARE,
+        "compare_documents": f"""{search_base()},
+good AS (SELECT 'doc-' || doc_id AS document_id FROM labels WHERE quality = 1)
+SELECT qid, document_id, rank, id, round(score, 6) AS score
+FROM {ranked('sc', "level = 'page' AND document_id IN (SELECT document_id FROM good)", 2, 'qid, document_id')}""",
+        "rank_documents": f"""{search_base()}
+SELECT qid, rank, document_id, round(score, 6) AS score, substr(text, 1, 200) AS excerpt
+FROM {ranked('sc', "level = 'document'", 5)}""",
+        "metadata_search": f"""{search_base()}
+SELECT qid, rank, id, round(score, 6) AS score FROM {ranked('sc', "level = 'page' AND page_number BETWEEN 2 AND 5", 5)}""",
+        "choose_detail": f"""{search_base()}, {TARGETS},
+p5 AS {ranked('sc', "level = 'page' AND (qid, document_id) IN (SELECT qid, document_id FROM tg)", 5)}
+SELECT q.qid,
+       CASE WHEN b.top_score IS NULL THEN NULL WHEN b.top_score > 0.85 THEN 'summary' ELSE 'detailed' END AS detail_level,
+       round(coalesce(b.top_score, 0.0), 6) AS confidence,
+       CASE WHEN b.top_score IS NULL THEN 'No relevant information found.' END AS fixed_answer
+FROM qs q LEFT JOIN (SELECT qid, max(score) AS top_score FROM p5 GROUP BY 1) b ON q.qid = b.qid""",
+        "answer_context": ANSWER,
+        "mentions": f"""WITH ph AS (SELECT item_id AS pid, regexp_extract_all(lower(text), {TERM}, 0) AS pt FROM benchmark),
+dd AS (SELECT 'doc-' || doc_id AS document_id, regexp_extract_all(lower(text), {TERM}, 0) AS dt FROM documents),
+c AS (
+  SELECT pid, document_id, pt, dt, unnest(generate_series(0, len(dt) - len(pt))) AS pos
+  FROM ph JOIN dd ON len(pt) > 0 AND len(dt) >= len(pt)
+   AND contains(' ' || array_to_string(dt, ' ') || ' ', ' ' || array_to_string(pt, ' ') || ' ')
+)
+SELECT pid, document_id, CAST(pos AS INTEGER) AS term_position,
+       array_to_string(list_slice(dt, greatest(1, pos + 1 - 5), pos + len(pt) + 5), ' ') AS context
+FROM c WHERE list_slice(dt, pos + 1, pos + len(pt)) = pt""",
+        "amounts": f"""WITH {pages_cte()},
+m AS (SELECT document_id, CAST(unnest(regexp_extract_all(content, '[0-9]+(?:\\.[0-9]+)?', 0)) AS DECIMAL(38,4)) AS amount FROM pages_t)
+SELECT document_id, count(*) AS n_amounts, CAST(CAST(sum(amount) AS DECIMAL(38,4)) AS VARCHAR) AS total,
+       CAST(max(amount) AS VARCHAR) AS largest
+FROM m GROUP BY 1""",
+        "similar_sections": f"""WITH {SIMILAR.strip()}
+SELECT id_a, id_b, shared, union_size, round(jaccard, 6) AS jaccard FROM sim""",
+        "version_diff": f"""WITH {pages_cte()}, {SIMILAR.strip()},
+l AS (SELECT s.id_a AS v1, s.id_b AS v2, g.page_number, md5(g.content) AS h1 FROM sim s JOIN pages_t g ON g.document_id = s.id_a),
+r AS (SELECT s.id_a AS v1, s.id_b AS v2, g.page_number, md5(g.content) AS h2 FROM sim s JOIN pages_t g ON g.document_id = s.id_b)
+SELECT coalesce(l.v1, r.v1) AS v1, coalesce(l.v2, r.v2) AS v2, coalesce(l.page_number, r.page_number) AS page_number,
+       CASE WHEN l.h1 IS NULL THEN 'added' WHEN r.h2 IS NULL THEN 'removed' WHEN l.h1 = r.h2 THEN 'same' ELSE 'changed' END AS change
+FROM l FULL OUTER JOIN r ON l.v1 = r.v1 AND l.v2 = r.v2 AND l.page_number = r.page_number""",
+        "topics": f"""WITH {DOC_TERMS},
+t AS (SELECT document_id, unnest(regexp_extract_all(lower(text), {TERM}, 0)) AS term FROM d),
+tf AS (SELECT document_id, term, count(*) AS tf FROM t GROUP BY 1, 2),
+dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+n AS (SELECT count(DISTINCT document_id) AS n FROM d),
+s AS (SELECT tf.document_id, tf.term, tf.tf * ln(n.n / dfq.df) AS score FROM tf JOIN dfq ON tf.term = dfq.term CROSS JOIN n)
+SELECT document_id, rank, term, round(score, 6) AS score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY document_id ORDER BY score DESC, term) AS INTEGER) AS rank FROM s)
+WHERE rank <= 5""",
+        "section_of_page": """WITH r AS (
+  SELECT regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS document_id, page_id AS page_number,
+         regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1) AS h FROM pages
+)
+SELECT document_id, page_number,
+       last_value(CASE WHEN ends_with(h, '.') THEN h END IGNORE NULLS)
+         OVER (PARTITION BY document_id ORDER BY page_number ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section
+FROM r""",
+        "audit_trail": f"""WITH {base()},
+{pages_cte(20, 'p20')},
+{summaries_cte('p20', 'ps20')},
+{doc_summaries_cte('ps20', 'ds20')},
+{totals_cte(20, 'tot20')},
+{result_cte('ps20', 'ds20', 'tot20', 'res20')},
+{index_cte('res20', 'idx20', '2025-02-01T12:00:00')},
+{chat_ctes('2025-02-01T12:00:00')},
+runs AS (
+  SELECT id, status, updated_at, CAST(1 AS INTEGER) AS run FROM idx_t
+  UNION ALL SELECT id, status, updated_at, 2 FROM idx20
+  UNION ALL SELECT id, status, updated_at, 3 FROM cidx
+)
+SELECT id, run, status,
+       CAST(row_number() OVER (PARTITION BY id ORDER BY updated_at, run) AS INTEGER) AS attempt,
+       lag(status) OVER (PARTITION BY id ORDER BY updated_at, run) AS previous_status,
+       row_number() OVER (PARTITION BY id ORDER BY updated_at DESC, run DESC) = 1 AS is_latest
+FROM runs""",
+    }
+)
