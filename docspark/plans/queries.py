@@ -470,3 +470,78 @@ QUERIES.update(
         "audit_trail": q_audit_trail,
     }
 )
+
+
+# ------------------------------------------------------------------ streaming, custom summariser
+
+from ..streaming import intake as T  # noqa: E402
+
+
+def _doc_files(sf_dir):
+    """File streams watch a directory or a glob pattern, not a single file."""
+    return f"{sf_dir}/documents*.parquet"
+
+
+def q_stream_intake(spark, sf_dir):
+    """The documents file replayed as a file stream; page summaries per batch.
+    Equal to the batch ``page_summaries``."""
+    sink = T.scratch_root(spark, "intake")
+    T.run_to_completion(T.stream_intake(spark, _doc_files(sf_dir), sink))
+    return spark.read.parquet(f"{sink}/data").select("document_id", "page", "status", "summary")
+
+
+def q_stream_upsert(spark, sf_dir):
+    """L1 per micro-batch with idempotent index upserts; equal to ``doc_index``."""
+    sink = T.scratch_root(spark, "upsert")
+    T.run_to_completion(T.stream_upsert(spark, _doc_files(sf_dir), sink, run_time=RUN_TIME_1))
+    idx = T.read_index(spark, sink)
+    return idx.select(*[c for c in idx.columns if c not in ("created_at", "updated_at")], _ts("created_at"), _ts("updated_at"))
+
+
+def q_stream_progress(spark, sf_dir):
+    """Completed pages per document from the streaming aggregate."""
+    sink = T.scratch_root(spark, "progress")
+    T.run_to_completion(T.stream_progress(spark, _doc_files(sf_dir), sink))
+    return T.read_progress(spark, sink).select("document_id", "completed_pages")
+
+
+def q_stream_dedupe(spark, sf_dir):
+    """T4: the documents file submitted twice; each document id is kept once."""
+    sink = T.scratch_root(spark, "dedupe")
+    path = _doc_files(sf_dir)
+    T.run_to_completion(T.stream_dedupe(spark, [path, path], sink))
+    return spark.read.parquet(f"{sink}/data").select("document_id", F.length("text").cast("int").alias("n_chars"))
+
+
+# Fixed parameter: the stand-in model's input limit (characters).
+MODEL_INPUT_LIMIT = 3000
+
+
+def length_limited_model(text: str) -> str:
+    """A deterministic stand-in for a hosted model with an input limit: the first
+    sentence of the text, or an error when the text is longer than the limit."""
+    import re
+
+    if len(text) > MODEL_INPUT_LIMIT:
+        raise ValueError(f"input too long: {len(text)} characters")
+    m = re.search(r"[^ \t\n\r.!?][^.!?]*[.!?]*", text)
+    return "" if m is None else re.sub(r"[ \t\n\r]+", " ", m.group(0))
+
+
+def q_summarize_with_retry(spark, sf_dir):
+    """Pages summarised by a caller's function with five attempts; pages over
+    the model's input limit fail permanently and become ``failed`` records."""
+    pg = P.split_pages(_results(spark, sf_dir))
+    out = Z.classify_errors(Z.summarize_with(pg, length_limited_model, max_attempts=5, concurrency=8))
+    return out.select("document_id", "page", "status", "summary", "error", "error_category", "attempts")
+
+
+QUERIES.update(
+    {
+        "stream_intake": q_stream_intake,
+        "stream_upsert": q_stream_upsert,
+        "stream_progress": q_stream_progress,
+        "stream_dedupe": q_stream_dedupe,
+        "summarize_with_retry": q_summarize_with_retry,
+    }
+)
