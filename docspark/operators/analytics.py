@@ -85,14 +85,20 @@ def similar_sections(records: DataFrame, threshold: float = 0.8, id_col: str = "
     pref_len = size - F.ceil(F.lit(threshold) * size).cast("int") + 1
     w = Window.partitionBy("rid").orderBy("freq", "term")
     pref = (
-        ranked.join(sets.select("rid", pref_len.alias("plen")), "rid")
+        ranked.join(sets.select("rid", pref_len.alias("plen"), size.alias("n")), "rid")
         .withColumn("r", F.row_number().over(w))
         .filter(F.col("r") <= F.col("plen"))
-        .select("rid", "term")
+        .select("rid", "term", "n")
     )
     a, b = pref.alias("a"), pref.alias("b")
+    # length filter (exact): Jaccard >= t needs t * |larger| <= |smaller|
     cand = (
-        a.join(b, (F.col("a.term") == F.col("b.term")) & (F.col("a.rid") < F.col("b.rid")))
+        a.join(
+            b,
+            (F.col("a.term") == F.col("b.term"))
+            & (F.col("a.rid") < F.col("b.rid"))
+            & (F.least("a.n", "b.n") >= F.lit(threshold) * F.greatest("a.n", "b.n")),
+        )
         .select(F.col("a.rid").alias("id_a"), F.col("b.rid").alias("id_b"))
         .distinct()
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import lead_sentences
-from .common import ordered_concat
+from ..session import materialize
 from .embed import LEVEL_PAGE, LEVEL_PARAGRAPH
 from .search import SparseIndex, _within, score, top_k
 
@@ -37,49 +37,56 @@ def choose_detail(questions: DataFrame, page_hits: DataFrame, mode: str = "auto"
 
 
 def answer_context(targets: DataFrame, index: SparseIndex, mode: str = "auto", k_page: int = 5, k_summary: int = 3,
-                   k_para: int = 8) -> DataFrame:
+                   k_para: int = 8, persist: bool = True) -> DataFrame:
     """Q11 for ``targets(qid, text, document_id)``.
 
     summary: the top ``k_summary`` pages as ``Page n: text``; detailed: the top
     ``k_para`` paragraphs on the top ``k_page`` pages as ``[Page n, ¶k]`` + newline
     + text. Context items are separated by a blank line, sources by '; '. The answer
-    is the first two sentences of the best context item."""
+    is the first two sentences of the best context item.
+
+    The page hits feed the decision, the paragraph candidates and the summary items,
+    so with ``persist`` they are written once (a small table: questions x k_page)."""
     q = targets.select("qid", "text")
     pages = top_k(score(q, index, LEVEL_PAGE, candidates=_within(targets, index, LEVEL_PAGE, ["document_id"])), k_page)
+    if persist:
+        pages = materialize(pages)
     decision = choose_detail(q, pages, mode)
     paras = top_k(
         score(q, index, LEVEL_PARAGRAPH, candidates=_within(pages, index, LEVEL_PARAGRAPH, ["document_id", "page_number"])),
         k_para,
     )
+    page_no = F.col("page_number").cast("string")
     summ_items = pages.filter(F.col("rank") <= k_summary).select(
         "qid", "rank", "text",
-        F.concat(F.lit("Page "), F.col("page_number").cast("string"), F.lit(": "), F.col("text")).alias("item"),
-        F.concat(F.lit("Page "), F.col("page_number").cast("string")).alias("source"),
+        F.concat(F.lit("Page "), page_no, F.lit(": "), F.col("text")).alias("item"),
+        F.concat(F.lit("Page "), page_no).alias("source"),
         F.lit(SUMMARY).alias("kind"),
     )
+    para_no = F.col("paragraph_number").cast("string")
     det_items = paras.select(
         "qid", "rank", "text",
-        F.concat(
-            F.lit("[Page "), F.col("page_number").cast("string"), F.lit(", ¶"),
-            F.col("paragraph_number").cast("string"), F.lit("]\n"), F.col("text"),
-        ).alias("item"),
-        F.concat(F.lit("Page "), F.col("page_number").cast("string"), F.lit(", ¶"), F.col("paragraph_number").cast("string")).alias("source"),
+        F.concat(F.lit("[Page "), page_no, F.lit(", ¶"), para_no, F.lit("]\n"), F.col("text")).alias("item"),
+        F.concat(F.lit("Page "), page_no, F.lit(", ¶"), para_no).alias("source"),
         F.lit(DETAILED).alias("kind"),
     )
     items = summ_items.unionByName(det_items).join(
         decision.select("qid", F.col("detail_level").alias("kind")), ["qid", "kind"], "left_semi"
     )
-    ctx = ordered_concat(items, ["qid"], ["rank"], "item", "\n\n", "context")
-    src = ordered_concat(items, ["qid"], ["rank"], "source", "; ", "sources")
-    first = items.filter(F.col("rank") == 1).select("qid", lead_sentences("text", 2).alias("lead"))
-    return (
-        decision.join(ctx, "qid", "left").join(src, "qid", "left").join(first, "qid", "left")
-        .select(
-            "qid",
-            "detail_level",
-            "confidence",
-            F.coalesce(F.col("fixed_answer"), F.col("lead")).alias("answer"),
-            F.coalesce(F.col("context"), F.lit("")).alias("context"),
-            F.coalesce(F.col("sources"), F.lit("")).alias("sources"),
-        )
+    # one ordered aggregation gives context, sources and the lead item together
+    per_q = items.groupBy("qid").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "item", "source", "text"))).alias("_it")
+    ).select(
+        "qid",
+        F.array_join(F.transform("_it", lambda x: x["item"]), "\n\n").alias("context"),
+        F.array_join(F.transform("_it", lambda x: x["source"]), "; ").alias("sources"),
+        lead_sentences(F.element_at("_it", 1)["text"], 2).alias("lead"),
+    )
+    return decision.join(per_q, "qid", "left").select(
+        "qid",
+        "detail_level",
+        "confidence",
+        F.coalesce(F.col("fixed_answer"), F.col("lead")).alias("answer"),
+        F.coalesce(F.col("context"), F.lit("")).alias("context"),
+        F.coalesce(F.col("sources"), F.lit("")).alias("sources"),
     )

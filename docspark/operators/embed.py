@@ -82,7 +82,10 @@ def page_metadata(pages: DataFrame, text_col: str = "content") -> DataFrame:
 def term_vectors(df: DataFrame, id_col: str, text_col: str, dim: int = DEFAULT_DIM) -> DataFrame:
     """X2 sparse: ``(id, bucket, tf)``; partial aggregation collapses repeats map-side."""
     t = df.select(F.col(id_col), F.explode(terms(text_col)).alias("_term"))
-    return t.groupBy(id_col, bucket("_term", dim).alias("bucket")).agg(F.count(F.lit(1)).alias("tf"))
+    # count distinct (id, term) first, so the hash runs once per distinct term of a
+    # record rather than once per occurrence; colliding terms then merge per bucket
+    per_term = t.groupBy(id_col, "_term").agg(F.count(F.lit(1)).alias("_c"))
+    return per_term.groupBy(id_col, bucket("_term", dim).alias("bucket")).agg(F.sum("_c").alias("tf"))
 
 
 def vector_norms(vectors: DataFrame, id_col: str) -> DataFrame:

@@ -39,19 +39,19 @@ def page_text(content: Column, page: Column) -> Column:
 
 def split_pages(results: DataFrame) -> DataFrame:
     """One E4 row per page, ``page_number`` = 1-based position (M1).
-    A document without pages yields no rows (not a phantom null page)."""
-    exploded = results.select(
-        "document_id", "blob_path", "content", F.posexplode("pages").alias("pos", "page")
-    )
-    text = page_text(F.col("content"), F.col("page"))
-    # length is taken from the projected column: evaluating the same higher-order
-    # expression twice in one projection is both wasteful and unsafe.
+    A document without pages yields no rows (not a phantom null page).
+
+    Page texts are cut inside the document row first and only then exploded, so
+    the document's full text is never copied into each of its page rows."""
+    texts = F.transform(F.col("pages"), lambda p: page_text(F.col("content"), p))
+    exploded = results.select("document_id", "blob_path", F.posexplode(texts).alias("pos", "content"))
     return exploded.select(
         "document_id",
         (F.col("pos") + 1).cast("int").alias("page_number"),
         "blob_path",
-        text.alias("content"),
-    ).withColumn("length", F.length("content").cast("int"))
+        "content",
+        F.length("content").cast("int").alias("length"),
+    )
 
 
 def page_counts(results: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from ..operators import pages as P
 from ..operators import render as R
 from ..operators import report as A
 from ..operators import summarize as Z
-from ..session import table
+from ..session import materialize, table
 from ..sources import corpus, intake
 from .process import process_corpus
 from .regenerate import regenerate
@@ -31,7 +31,8 @@ def _results(spark: SparkSession, sf_dir: str, lines_per_page: int = LINES_PER_P
 
 
 def _processed(spark, sf_dir, lines_per_page=LINES_PER_PAGE, run_time=RUN_TIME_1):
-    return process_corpus(_results(spark, sf_dir, lines_per_page), run_time=run_time)
+    """L1 with page summaries written once (they feed summaries, reports, index)."""
+    return process_corpus(_results(spark, sf_dir, lines_per_page), run_time=run_time, persist=True)
 
 
 def _ts(c: str):
@@ -250,12 +251,12 @@ def _targets(spark, sf_dir, idx):
     """Each question with its best document (Q4) as the document to answer from."""
     q = _questions(spark, sf_dir)
     best = S.discover(q, idx).select("qid", "document_id")
-    return q.join(best, "qid")
+    return materialize(q.join(best, "qid"))  # read by several searches; written once
 
 
 def q_chunks(spark, sf_dir):
     """100-token windows with 20 tokens of overlap over every page."""
-    pg = _processed(spark, sf_dir).pages
+    pg = P.split_pages(_results(spark, sf_dir))
     return X.chunk_text(pg, "content", CHUNK_TOKENS, CHUNK_OVERLAP).select(
         "document_id", "page_number", "chunk_number", "text", "token_count", "start_token", "end_token"
     )
@@ -263,14 +264,14 @@ def q_chunks(spark, sf_dir):
 
 def q_chunk_metadata(spark, sf_dir):
     """Chunk features and character offsets."""
-    pg = _processed(spark, sf_dir).pages
+    pg = P.split_pages(_results(spark, sf_dir))
     ch = X.chunk_metadata(X.chunk_text(pg, "content", CHUNK_TOKENS, CHUNK_OVERLAP))
     return ch.select("document_id", "page_number", "chunk_number", "contains_numbers", "char_count", "start_offset", "end_offset")
 
 
 def q_page_metadata(spark, sf_dir):
     """Table / formula flags of every page."""
-    return X.page_metadata(_processed(spark, sf_dir).pages).select("document_id", "page_number", "has_tables", "has_formulas")
+    return X.page_metadata(P.split_pages(_results(spark, sf_dir))).select("document_id", "page_number", "has_tables", "has_formulas")
 
 
 def q_embedding_levels(spark, sf_dir):
@@ -389,7 +390,7 @@ def q_mentions(spark, sf_dir):
 
 def q_amounts(spark, sf_dir):
     """Q14: number mentions per document (count, exact sum, largest)."""
-    a = Q.amounts_by_document(_processed(spark, sf_dir).pages)
+    a = Q.amounts_by_document(P.split_pages(_results(spark, sf_dir)))
     return a.select("document_id", "n_amounts", F.col("total").cast("string").alias("total"), F.col("largest").cast("string").alias("largest"))
 
 
@@ -408,7 +409,7 @@ def q_cluster_topics(spark, sf_dir):
 def q_version_diff(spark, sf_dir):
     """Q17: page diff between every near-duplicate document pair (Q15 pairs as versions)."""
     pairs = Q.similar_sections(_doc_text(spark, sf_dir), 0.8).select(F.col("id_a").alias("v1"), F.col("id_b").alias("v2"))
-    return Q.diff_versions(pairs, _processed(spark, sf_dir).pages)
+    return Q.diff_versions(pairs, P.split_pages(_results(spark, sf_dir)))
 
 
 def q_topics(spark, sf_dir):
