@@ -146,8 +146,8 @@ def summarize_with(
 
 # Error categories by message pattern (first match wins).
 ERROR_RULES = [
-    ("transient", r"(?i)(timeout|timed out|rate limit|too many requests|429|503|temporar|unavailable|connection)"),
-    ("permanent", r"(?i)(invalid|not found|404|400|unauthori[sz]ed|forbidden|too long|context length)"),
+    ("transient", r"(?i)(timeout|timed out|rate limit|too many requests|\b429\b|\b503\b|temporar|unavailable|connection)"),
+    ("permanent", r"(?i)(invalid|not found|\b404\b|\b400\b|unauthori[sz]ed|forbidden|too long|context length)"),
 ]
 
 

@@ -634,13 +634,18 @@ ORACLE.update(
 SELECT document_id, count(*) AS completed_pages FROM pages_t GROUP BY 1""",
         "stream_dedupe": "SELECT DISTINCT 'doc-' || doc_id AS document_id, CAST(length(text) AS INTEGER) AS n_chars FROM documents",
         "summarize_with_retry": rf"""WITH {pages_cte()},
-c AS (SELECT document_id, page_number AS page, content, NOT regexp_matches(content, '[^ \t\n\r\f\v]') AS blank FROM pages_t)
+c AS (SELECT document_id, page_number AS page, content, NOT regexp_matches(content, '[^ \t\n\r\f\v]') AS blank,
+             'input too long: ' || length(content) || ' characters' AS e FROM pages_t)
 SELECT document_id, page,
        CASE WHEN blank THEN 'skipped' WHEN length(content) > 3000 THEN 'failed' ELSE 'success' END AS status,
        CASE WHEN blank THEN {BLANK_TEXT} WHEN length(content) > 3000 THEN NULL
             ELSE trim(regexp_replace(coalesce(regexp_extract(content, {SENT}, 0), ''), {SPACE_RUN}, ' ', 'g')) END AS summary,
        CASE WHEN NOT blank AND length(content) > 3000 THEN 'input too long: ' || length(content) || ' characters' END AS error,
-       CASE WHEN NOT blank AND length(content) > 3000 THEN 'permanent' ELSE 'unknown' END AS error_category,
+       CASE WHEN NOT blank AND length(content) > 3000 THEN
+         CASE WHEN regexp_matches(e, '(?i)(timeout|timed out|rate limit|too many requests|\b429\b|\b503\b|temporar|unavailable|connection)') THEN 'transient'
+              WHEN regexp_matches(e, '(?i)(invalid|not found|\b404\b|\b400\b|unauthori[sz]ed|forbidden|too long|context length)') THEN 'permanent'
+              ELSE 'unknown' END
+       ELSE 'unknown' END AS error_category,
        CAST(CASE WHEN blank THEN 0 WHEN length(content) > 3000 THEN 5 ELSE 1 END AS INTEGER) AS attempts
 FROM c""",
     }
