@@ -88,20 +88,29 @@ def similar_sections(records: DataFrame, threshold: float = 0.8, id_col: str = "
         ranked.join(sets.select("rid", pref_len.alias("plen"), size.alias("n")), "rid")
         .withColumn("r", F.row_number().over(w))
         .filter(F.col("r") <= F.col("plen"))
-        .select("rid", "term", "n")
+        .select("rid", "term", "n", "r")
     )
     a, b = pref.alias("a"), pref.alias("b")
     # length filter (exact): Jaccard >= t needs t * |larger| <= |smaller|
-    cand = (
-        a.join(
-            b,
-            (F.col("a.term") == F.col("b.term"))
-            & (F.col("a.rid") < F.col("b.rid"))
-            & (F.least("a.n", "b.n") >= F.lit(threshold) * F.greatest("a.n", "b.n")),
-        )
-        .select(F.col("a.rid").alias("id_a"), F.col("b.rid").alias("id_b"))
-        .distinct()
+    shared = a.join(
+        b,
+        (F.col("a.term") == F.col("b.term"))
+        & (F.col("a.rid") < F.col("b.rid"))
+        & (F.least("a.n", "b.n") >= F.lit(threshold) * F.greatest("a.n", "b.n")),
+    )
+    # positional filter (exact): both sets follow one global term order, so every
+    # shared term up to the last shared prefix term is itself a shared prefix term,
+    # and at most min(|A| - i, |B| - j) shared terms follow it.
+    per_pair = shared.groupBy(F.col("a.rid").alias("id_a"), F.col("b.rid").alias("id_b")).agg(
+        F.count(F.lit(1)).alias("c"),
+        F.max("a.r").alias("ra"),
+        F.max("b.r").alias("rb"),
+        F.first("a.n").alias("na"),
+        F.first("b.n").alias("nb"),
     )
+    need = F.ceil(F.lit(threshold / (1.0 + threshold)) * (F.col("na") + F.col("nb")) - F.lit(1e-9))
+    bound = F.col("c") + F.least(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb"))
+    cand = per_pair.filter(bound >= need).select("id_a", "id_b")
     sa = sets.select(F.col("rid").alias("id_a"), F.col("s").alias("sa"))
     sb = sets.select(F.col("rid").alias("id_b"), F.col("s").alias("sb"))
     j = cand.join(sa, "id_a").join(sb, "id_b")

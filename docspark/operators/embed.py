@@ -201,11 +201,9 @@ def topics(df: DataFrame, id_col: str, text_col: str, k: int = 5) -> DataFrame:
     t = df.select(F.col(id_col), F.explode(terms(text_col)).alias("term"))
     tf = t.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    # one-row total, attached by a constant-key broadcast join (size bound: one row)
-    n = df.select(id_col).distinct().agg(F.count(F.lit(1)).alias("n_docs")).withColumn("_one", F.lit(1))
-    scored = tf.join(dfreq, "term").withColumn("_one", F.lit(1)).join(F.broadcast(n), "_one").withColumn(
-        "score", F.col("tf") * F.log(F.col("n_docs") / F.col("df"))
-    )
+    # corpus size as a scalar subquery: computed once, used as a value (no join)
+    n_docs = df.select(id_col).distinct().agg(F.count(F.lit(1))).scalar()
+    scored = tf.join(dfreq, "term").withColumn("score", F.col("tf") * F.log(n_docs / F.col("df")))
     w = Window.partitionBy(id_col).orderBy(F.col("score").desc(), "term")
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select(
         id_col, "rank", "term", "score"
