@@ -29,26 +29,28 @@ RECORD_COLS = ["id", "level", "document_id", "page_number", "paragraph_number",
 @dataclass
 class SparseIndex:
     records: DataFrame  # RECORD_COLS
-    vectors: DataFrame  # (id, bucket, tf)
-    norms: DataFrame    # (id, n2)
+    vectors: DataFrame  # (id, level, bucket, tf)
+    norms: DataFrame    # (id, level, n2)
     dim: int
 
 
 def sparse_index(records: DataFrame, dim: int = DEFAULT_DIM, persist: bool = False) -> SparseIndex:
-    """Q2 index: hashed term vectors of every record, and their squared norms.
+    """Q2 index: hashed term vectors of every record, and their squared norms, both
+    carrying the record level.
 
-    ``persist`` writes the three tables once through a reliable checkpoint (the
-    shared checkpoint folder), as a stored index would be: every later search reads
-    them instead of re-deriving the records' whole lineage."""
+    ``persist`` writes the tables once (the shared checkpoint folder), vectors and
+    norms partitioned by level, as a stored index would be: a level filter then
+    prunes whole folders, and searches never re-derive the records' lineage."""
     recs = records.select(*RECORD_COLS)
     if persist:
         recs = materialize(recs)
-    vec = term_vectors(recs, "id", "text", dim)
+    levels = recs.select("id", "level")
+    vec = term_vectors(recs, "id", "text", dim).join(levels, "id")
     if persist:
-        vec = materialize(vec)
-    norms = vector_norms(vec, "id")
+        vec = materialize(vec, partition_by=["level"])
+    norms = vector_norms(vec, "id").join(levels, "id")
     if persist:
-        norms = materialize(norms)
+        norms = materialize(norms, partition_by=["level"])
     return SparseIndex(recs, vec, norms, dim)
 
 
@@ -61,28 +63,41 @@ def score(
     documents: DataFrame | None = None,
 ) -> DataFrame:
     """Cosine of every (question, record) pair that shares a term, as
-    ``(qid, score, *RECORD_COLS)``. ``level`` and ``where`` filter records (ANDed);
-    ``candidates(qid, id)`` restricts pairs before the term join (hierarchical use);
-    ``documents(document_id)`` restricts records to the listed documents."""
-    recs = index.records
-    if documents is not None:
-        recs = recs.join(documents.select("document_id").distinct(), "document_id", "left_semi")
-    if level is not None:
+    ``(qid, score, id, level, document_id, page_number, paragraph_number)``.
+
+    ``level`` and ``where`` filter records (ANDed); ``candidates(qid, id)`` restricts
+    pairs before the term join (hierarchical use); ``documents(document_id)``
+    restricts records to the listed documents. Record text is not carried: attach it
+    to the winners with :func:`with_text`."""
+    recs, dvec, dn = index.records, index.vectors, index.norms
+    if level is not None:  # prunes level folders of the stored vectors and norms
         recs = recs.filter(F.col("level") == level)
+        dvec = dvec.filter(F.col("level") == level)
+        dn = dn.filter(F.col("level") == level)
     if where is not None:
         recs = recs.filter(where)
+    if documents is not None:
+        recs = recs.join(documents.select("document_id").distinct(), "document_id", "left_semi")
+    slim = recs.drop("text")  # column pruning keeps text out of the scan
+    if where is not None or documents is not None:
+        dvec = dvec.join(slim.select("id"), "id", "left_semi")
     q = term_vectors(questions, "qid", "text", index.dim).withColumnRenamed("tf", "qtf")
     qn = vector_norms(q.withColumnRenamed("qtf", "tf"), "qid").withColumnRenamed("n2", "qn2")
-    dvec = index.vectors.join(recs.select("id"), "id", "left_semi")
+    dvec = dvec.select("id", "bucket", "tf")
     if candidates is None:
         pairs = q.join(dvec, "bucket")
     else:
         pairs = candidates.select("qid", "id").join(dvec, "id").join(q, ["qid", "bucket"])
     dots = pairs.groupBy("qid", "id").agg(F.sum(F.col("qtf") * F.col("tf")).alias("dot"))
-    s = dots.join(qn, "qid").join(index.norms, "id").select(
+    s = dots.join(qn, "qid").join(dn.select("id", "n2"), "id").select(
         "qid", "id", (F.col("dot") / (F.sqrt("qn2") * F.sqrt("n2"))).alias("score")
     )
-    return s.join(recs, "id")
+    return s.join(slim, "id")
+
+
+def with_text(hits: DataFrame, index: SparseIndex) -> DataFrame:
+    """Attach record text to (few) ranked hits."""
+    return hits.join(index.records.select("id", "text"), "id")
 
 
 def top_k(scored: DataFrame, k: int, per: tuple[str, ...] = ("qid",)) -> DataFrame:
@@ -154,7 +169,7 @@ def cite(targets: DataFrame, index: SparseIndex, k_page: int = 5, k_para: int =
     returns text, page, paragraph and score."""
     pages = localize_topic(targets, index, k_page)
     cand = _within(pages, index, LEVEL_PARAGRAPH, ["document_id", "page_number"])
-    return top_k(score(targets.select("qid", "text"), index, LEVEL_PARAGRAPH, candidates=cand), k_para)
+    return with_text(top_k(score(targets.select("qid", "text"), index, LEVEL_PARAGRAPH, candidates=cand), k_para), index)
 
 
 def compare(pairs: DataFrame, index: SparseIndex, k_page: int = 10, k: int = 5, topic: str | None = None,
@@ -183,7 +198,7 @@ def compare_documents(questions: DataFrame, index: SparseIndex, documents: DataF
 
 def rank_documents(questions: DataFrame, index: SparseIndex, top: int = 5, excerpt_chars: int = 200) -> DataFrame:
     """Q9: cross-document ranked list with an excerpt of each document summary."""
-    hits = top_k(score(questions, index, LEVEL_DOCUMENT), top)
+    hits = with_text(top_k(score(questions, index, LEVEL_DOCUMENT), top), index)
     return hits.withColumn("excerpt", F.substring("text", 1, excerpt_chars))
 
 

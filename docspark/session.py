@@ -52,7 +52,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     """Cut lineage by writing ``df`` once as a Parquet table under the shared
     checkpoint folder (``spark.checkpoint.dir``) and reading it back.
 
@@ -61,7 +61,10 @@ def materialize(df: DataFrame) -> DataFrame:
     filter pushdown. Never ``localCheckpoint``: its blocks die with the executor."""
     root = ensure_checkpoint_dir(df.sparkSession)
     path = f"{root.rstrip('/')}/tables/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)  # later filters prune whole folders
+    writer.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
