@@ -29,7 +29,8 @@ HEADLINE = [
     "page_range",           # Z10 regeneration of a page range
     "chunks",               # X1
     "token_cost_rollup",    # X3 + A9
-    "sparse_search",        # Q2
+    "embedding_levels",     # X3 + S13 + A8: builds and stores the retrieval index
+    "sparse_search",        # Q2 (reads the stored index from here on)
     "multi_level_search",   # Q3
     "answer_context",       # Q10 + Q11
     "dense_topk",           # Q1

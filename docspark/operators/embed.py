@@ -79,18 +79,19 @@ def page_metadata(pages: DataFrame, text_col: str = "content") -> DataFrame:
     )
 
 
-def term_vectors(df: DataFrame, id_col: str, text_col: str, dim: int = DEFAULT_DIM) -> DataFrame:
-    """X2 sparse: ``(id, bucket, tf)``; partial aggregation collapses repeats map-side."""
-    t = df.select(F.col(id_col), F.explode(terms(text_col)).alias("_term"))
+def term_vectors(df: DataFrame, id_col: str, text_col: str, dim: int = DEFAULT_DIM, keep: tuple[str, ...] = ()) -> DataFrame:
+    """X2 sparse: ``(id, *keep, bucket, tf)``; ``keep`` are columns fixed per id
+    (such as the level) carried along without a join."""
+    t = df.select(F.col(id_col), *keep, F.explode(terms(text_col)).alias("_term"))
     # count distinct (id, term) first, so the hash runs once per distinct term of a
     # record rather than once per occurrence; colliding terms then merge per bucket
-    per_term = t.groupBy(id_col, "_term").agg(F.count(F.lit(1)).alias("_c"))
-    return per_term.groupBy(id_col, bucket("_term", dim).alias("bucket")).agg(F.sum("_c").alias("tf"))
+    per_term = t.groupBy(id_col, *keep, "_term").agg(F.count(F.lit(1)).alias("_c"))
+    return per_term.groupBy(id_col, *keep, bucket("_term", dim).alias("bucket")).agg(F.sum("_c").alias("tf"))
 
 
-def vector_norms(vectors: DataFrame, id_col: str) -> DataFrame:
+def vector_norms(vectors: DataFrame, id_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Squared L2 norm per id (an integer for term counts, so exact)."""
-    return vectors.groupBy(id_col).agg(F.sum(F.col("tf") * F.col("tf")).alias("n2"))
+    return vectors.groupBy(id_col, *keep).agg(F.sum(F.col("tf") * F.col("tf")).alias("n2"))
 
 
 def dense_vectors(vectors: DataFrame, id_col: str, dim: int) -> DataFrame:

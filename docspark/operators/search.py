@@ -44,11 +44,10 @@ def sparse_index(records: DataFrame, dim: int = DEFAULT_DIM, persist: bool = Fal
     recs = records.select(*RECORD_COLS)
     if persist:
         recs = materialize(recs)
-    levels = recs.select("id", "level")
-    vec = term_vectors(recs, "id", "text", dim).join(levels, "id")
+    vec = term_vectors(recs, "id", "text", dim, keep=("level",))
     if persist:
         vec = materialize(vec, partition_by=["level"])
-    norms = vector_norms(vec, "id").join(levels, "id")
+    norms = vector_norms(vec, "id", keep=("level",))
     if persist:
         norms = materialize(norms, partition_by=["level"])
     return SparseIndex(recs, vec, norms, dim)

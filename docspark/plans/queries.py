@@ -240,7 +240,11 @@ def _records(spark, sf_dir):
 
 
 def _index(spark, sf_dir):
-    return S.sparse_index(_records(spark, sf_dir), SEARCH_DIM, persist=True)
+    """The stored sparse index of the corpus (built on first use, then read)."""
+    from .store import stored_index
+
+    params = f"lines={LINES_PER_PAGE};chunk={CHUNK_TOKENS}/{CHUNK_OVERLAP};run={RUN_TIME_1}"
+    return stored_index(spark, [f"{sf_dir}/documents.parquet"], params, lambda: _records(spark, sf_dir), SEARCH_DIM)
 
 
 def _questions(spark, sf_dir):
@@ -275,8 +279,9 @@ def q_page_metadata(spark, sf_dir):
 
 
 def q_embedding_levels(spark, sf_dir):
-    """X3 + A8: records per level and document."""
-    return X.embedding_stats(_records(spark, sf_dir))
+    """X3 + S13 + A8: build (or reuse) the stored three-level index; records per
+    level and document."""
+    return X.embedding_stats(_index(spark, sf_dir).records)
 
 
 def q_token_cost_rollup(spark, sf_dir):
