@@ -44,7 +44,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this is set by the deployment (a shared filesystem path) and we
     only read it. Only when it is unset -- local tests -- do we create a scratch
     folder for it."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="docspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
