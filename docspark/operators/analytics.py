@@ -67,17 +67,41 @@ def amounts_by_document(pages: DataFrame, text_col: str = "content") -> DataFram
     )
 
 
-def similar_sections(records: DataFrame, threshold: float = 0.8, id_col: str = "document_id", text_col: str = "text") -> DataFrame:
-    """Q15: all pairs of records whose term sets have Jaccard similarity >=
-    ``threshold`` -- exactly, by prefix filtering.
+def term_sets(records: DataFrame, id_col: str = "document_id", text_col: str = "text") -> DataFrame:
+    """Distinct terms of each record with a key of the set (md5 of the sorted terms)."""
+    s = records.select(F.col(id_col).alias("rid"), F.array_distinct(terms(text_col)).alias("s")).filter(F.size("s") > 0)
+    return s.withColumn("set_key", F.md5(F.array_join(F.array_sort("s"), " ")))
+
 
-    Terms are ordered by global frequency (rarest first). Two sets with Jaccard >= t
-    must share a term among the first ``|x| - ceil(t*|x|) + 1`` terms of each, so
-    candidates come from an equi-join on those prefix terms only (rare terms, small
-    groups); each candidate pair is then verified on the full sets."""
+def duplicate_groups(records: DataFrame, id_col: str = "document_id", text_col: str = "text") -> DataFrame:
+    """Exact copies (identical term sets) as groups: ``(representative, copies)``
+    with the smallest id as representative, for groups of two or more. A group of
+    copies is reported once, however large, instead of as all its pairs."""
+    sets = term_sets(records, id_col, text_col)
+    return (
+        sets.groupBy("set_key")
+        .agg(F.min("rid").alias("representative"), F.count(F.lit(1)).alias("copies"))
+        .filter(F.col("copies") > 1)
+        .select("representative", "copies")
+    )
+
+
+def similar_sections(records: DataFrame, threshold: float = 0.8, id_col: str = "document_id", text_col: str = "text") -> DataFrame:
+    """Q15: pairs of distinct term sets with Jaccard similarity >= ``threshold``,
+    exactly, by prefix filtering; ``copies_a``/``copies_b`` say how many records
+    share each set (see :func:`duplicate_groups`).
+
+    Exact copies are collapsed first (one representative per identical set), so a
+    huge group of copies costs one row, not all its pairs. Terms are then ordered by
+    global frequency (rarest first); two sets with Jaccard >= t must share a term
+    among the first ``|x| - ceil(t*|x|) + 1`` terms of each, so candidates come from
+    an equi-join on those prefix terms only; length and positional bounds prune
+    candidates exactly, and survivors are verified on the full sets."""
     if not (0.0 < threshold <= 1.0):
         raise ValueError("threshold must be in (0, 1]")
-    sets = records.select(F.col(id_col).alias("rid"), F.array_distinct(terms(text_col)).alias("s")).filter(F.size("s") > 0)
+    keyed = term_sets(records, id_col, text_col)
+    groups = keyed.groupBy("set_key").agg(F.min("rid").alias("rid"), F.count(F.lit(1)).alias("copies"))
+    sets = keyed.join(groups.select("rid", "copies"), "rid").select("rid", "s", "copies")
     flat = sets.select("rid", F.explode("s").alias("term"))
     freq = flat.groupBy("term").agg(F.count(F.lit(1)).alias("freq"))
     ranked = flat.join(freq, "term")
@@ -111,13 +135,13 @@ def similar_sections(records: DataFrame, threshold: float = 0.8, id_col: str = "
     need = F.ceil(F.lit(threshold / (1.0 + threshold)) * (F.col("na") + F.col("nb")) - F.lit(1e-9))
     bound = F.col("c") + F.least(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb"))
     cand = per_pair.filter(bound >= need).select("id_a", "id_b")
-    sa = sets.select(F.col("rid").alias("id_a"), F.col("s").alias("sa"))
-    sb = sets.select(F.col("rid").alias("id_b"), F.col("s").alias("sb"))
+    sa = sets.select(F.col("rid").alias("id_a"), F.col("s").alias("sa"), F.col("copies").alias("copies_a"))
+    sb = sets.select(F.col("rid").alias("id_b"), F.col("s").alias("sb"), F.col("copies").alias("copies_b"))
     j = cand.join(sa, "id_a").join(sb, "id_b")
     inter = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - inter
     return (
-        j.select("id_a", "id_b", inter.alias("shared"), union.alias("union_size"))
+        j.select("id_a", "id_b", inter.alias("shared"), union.alias("union_size"), "copies_a", "copies_b")
         .withColumn("jaccard", F.col("shared") / F.col("union_size"))
         .filter(F.col("jaccard") >= threshold)
     )

@@ -492,10 +492,14 @@ DOC_TERMS = f"d AS (SELECT 'doc-' || doc_id AS document_id, text FROM documents)
 
 SIMILAR = f"""
 {DOC_TERMS},
-sets AS (
-  SELECT document_id, list_distinct(regexp_extract_all(lower(text), {TERM}, 0)) AS s FROM d
+keyed AS (
+  SELECT document_id, s, md5(array_to_string(list_sort(s), ' ')) AS set_key
+  FROM (SELECT document_id, list_distinct(regexp_extract_all(lower(text), {TERM}, 0)) AS s FROM d)
+  WHERE len(s) > 0
 ),
-flat AS (SELECT document_id, unnest(s) AS term FROM sets WHERE len(s) > 0),
+grp AS (SELECT set_key, min(document_id) AS rep, count(*) AS copies FROM keyed GROUP BY 1),
+sets AS (SELECT k.document_id, k.s, g.copies FROM keyed k JOIN grp g ON k.document_id = g.rep),
+flat AS (SELECT document_id, unnest(s) AS term FROM sets),
 inter AS (
   SELECT a.document_id AS id_a, b.document_id AS id_b, count(*) AS shared
   FROM flat a JOIN flat b ON a.term = b.term AND a.document_id < b.document_id GROUP BY 1, 2
@@ -503,7 +507,8 @@ inter AS (
 sim AS (
   SELECT i.id_a, i.id_b, CAST(i.shared AS INTEGER) AS shared,
          CAST(len(sa.s) + len(sb.s) - i.shared AS INTEGER) AS union_size,
-         i.shared / (len(sa.s) + len(sb.s) - i.shared) AS jaccard
+         i.shared / (len(sa.s) + len(sb.s) - i.shared) AS jaccard,
+         sa.copies AS copies_a, sb.copies AS copies_b
   FROM inter i JOIN sets sa ON i.id_a = sa.document_id JOIN sets sb ON i.id_b = sb.document_id
   WHERE i.shared / (len(sa.s) + len(sb.s) - i.shared) >= 0.8
 )"""
@@ -580,7 +585,9 @@ SELECT document_id, count(*) AS n_amounts, CAST(CAST(sum(amount) AS DECIMAL(38,4
        CAST(max(amount) AS VARCHAR) AS largest
 FROM m GROUP BY 1""",
         "similar_sections": f"""WITH {SIMILAR.strip()}
-SELECT id_a, id_b, shared, union_size, round(jaccard, 6) AS jaccard FROM sim""",
+SELECT id_a, id_b, shared, union_size, round(jaccard, 6) AS jaccard, copies_a, copies_b FROM sim""",
+        "duplicate_groups": f"""WITH {SIMILAR.strip()}
+SELECT rep AS representative, copies FROM grp WHERE copies > 1""",
         "version_diff": f"""WITH {pages_cte()}, {SIMILAR.strip()},
 l AS (SELECT s.id_a AS v1, s.id_b AS v2, g.page_number, md5(g.content) AS h1 FROM sim s JOIN pages_t g ON g.document_id = s.id_a),
 r AS (SELECT s.id_a AS v1, s.id_b AS v2, g.page_number, md5(g.content) AS h2 FROM sim s JOIN pages_t g ON g.document_id = s.id_b)

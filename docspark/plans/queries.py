@@ -243,7 +243,8 @@ def _index(spark, sf_dir):
     """The stored sparse index of the corpus (built on first use, then read)."""
     from .store import stored_index
 
-    params = f"lines={LINES_PER_PAGE};chunk={CHUNK_TOKENS}/{CHUNK_OVERLAP};run={RUN_TIME_1}"
+    namespace = spark.conf.get("docspark.index.namespace", "")  # set per run by bench.py
+    params = f"lines={LINES_PER_PAGE};chunk={CHUNK_TOKENS}/{CHUNK_OVERLAP};run={RUN_TIME_1};ns={namespace}"
     return stored_index(spark, [f"{sf_dir}/documents.parquet"], params, lambda: _records(spark, sf_dir), SEARCH_DIM)
 
 
@@ -400,9 +401,15 @@ def q_amounts(spark, sf_dir):
 
 
 def q_similar_sections(spark, sf_dir):
-    """Q15: document pairs with term-set Jaccard >= 0.8."""
+    """Q15: pairs of distinct documents' term sets with Jaccard >= 0.8 (exact copies
+    collapsed to their representative, with copy counts)."""
     s = Q.similar_sections(_doc_text(spark, sf_dir), 0.8)
-    return s.select("id_a", "id_b", "shared", "union_size", _score("jaccard"))
+    return s.select("id_a", "id_b", "shared", "union_size", _score("jaccard"), "copies_a", "copies_b")
+
+
+def q_duplicate_groups(spark, sf_dir):
+    """Q15: groups of exact copies (identical term sets), one row per group."""
+    return Q.duplicate_groups(_doc_text(spark, sf_dir))
 
 
 def q_cluster_topics(spark, sf_dir):
@@ -469,6 +476,7 @@ QUERIES.update(
         "mentions": q_mentions,
         "amounts": q_amounts,
         "similar_sections": q_similar_sections,
+        "duplicate_groups": q_duplicate_groups,
         "cluster_topics": q_cluster_topics,
         "version_diff": q_version_diff,
         "topics": q_topics,

@@ -69,5 +69,19 @@ def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFra
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table; column pruning and filters push into the scan."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Read one driver table; column pruning and filters push into the scan.
+
+    A scan with fewer input splits than the cluster has task slots (a small file
+    written as one row group) would run all per-row work -- pagination, regular
+    expressions, chunking -- in a single task; such scans are spread round-robin
+    over the available slots. Large inputs already have many splits and are left
+    alone, so nothing extra is shuffled at scale."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df

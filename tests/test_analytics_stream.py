@@ -31,16 +31,29 @@ DOCS = [
 
 def test_similar_sections_equals_brute_force(spark):
     df = spark.createDataFrame(DOCS, "document_id string, text string")
+    # exact copies (identical term sets) collapse to the smallest id
+    groups = {}
+    for did, text in sorted(DOCS):
+        groups.setdefault(frozenset(_terms(text)), []).append(did)
+    reps = {min(ids): (s, len(ids)) for s, ids in groups.items()}
+    dup = {(r.representative, r.copies) for r in Q.duplicate_groups(df).collect()}
+    assert dup == {(rep, n) for rep, (_, n) in reps.items() if n > 1} == {("a", 2)}
     for t in (0.5, 0.8, 1.0):
-        got = {(r.id_a, r.id_b) for r in Q.similar_sections(df, t).collect()}
+        got = {(r.id_a, r.id_b, r.copies_a, r.copies_b) for r in Q.similar_sections(df, t).collect()}
         want = set()
-        for (ia, ta), (ib, tb) in itertools.combinations(sorted(DOCS), 2):
-            sa, sb = set(_terms(ta)), set(_terms(tb))
+        for (ia, (sa, na)), (ib, (sb, nb)) in itertools.combinations(sorted(reps.items()), 2):
             if len(sa & sb) / len(sa | sb) >= t:
-                want.add((ia, ib))
+                want.add((ia, ib, na, nb))
         assert got == want, t
 
 
+def test_hot_group_of_copies_is_one_row(spark):
+    copies = [(f"x{i:04d}", "one two three four five") for i in range(300)] + [("y", "one two three four six")]
+    df = spark.createDataFrame(copies, "document_id string, text string")
+    pairs = Q.similar_sections(df, 0.6).collect()
+    assert [(r.id_a, r.id_b, r.copies_a, r.copies_b) for r in pairs] == [("x0000", "y", 300, 1)]
+
+
 def test_mentions_equals_brute_force(spark):
     docs = spark.createDataFrame(DOCS, "document_id string, text string")
     phrases = [(1, "quick brown fox"), (2, "the lazy"), (3, "fox"), (4, "absent phrase")]
