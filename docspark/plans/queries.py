@@ -7,14 +7,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import analytics as Q
+from ..operators import answer as QA
+from ..operators import embed as X
 from ..operators import index as I
 from ..operators import pages as P
 from ..operators import render as R
 from ..operators import report as A
+from ..operators import search as S
 from ..operators import summarize as Z
 from ..session import materialize, table
 from ..sources import corpus, intake
 from .process import process_corpus
+from ..streaming import intake as T
 from .regenerate import regenerate
 
 # Fixed parameters of the registered queries.
@@ -221,10 +226,6 @@ QUERIES = {
 
 # ------------------------------------------------------------------ chunks, embeddings, retrieval
 
-from ..operators import analytics as Q  # noqa: E402
-from ..operators import answer as QA  # noqa: E402
-from ..operators import embed as X  # noqa: E402
-from ..operators import search as S  # noqa: E402
 
 CHUNK_TOKENS, CHUNK_OVERLAP = 100, 20
 SEARCH_DIM = 1 << 18
@@ -488,7 +489,6 @@ QUERIES.update(
 
 # ------------------------------------------------------------------ streaming, custom summariser
 
-from ..streaming import intake as T  # noqa: E402
 
 
 def _doc_files(sf_dir):

@@ -24,6 +24,7 @@ def paginate(
     id_prefix: str = "doc-",
     blob_path: Column | None = None,
     blank_first_page: Column | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """S14. Documents -> E2 ``(document_id, blob_path, content, pages)``.
 
@@ -63,10 +64,11 @@ def paginate(
         path.alias("blob_path"),
         F.col(text_col).alias("content"),
         pages.alias("pages"),
+        *keep,
     )
 
 
-def documents_corpus(documents: DataFrame, lines_per_page: int = 10) -> DataFrame:
+def documents_corpus(documents: DataFrame, lines_per_page: int = 10, keep: tuple[str, ...] = ()) -> DataFrame:
     """The driver's ``documents`` table as analysis results, with the documented
     derivation that the first page of every seventh document (``doc_id % 7 = 0``) is
     image-only, so skipped pages exist in the data (FIXTURES.md §3)."""
@@ -76,6 +78,7 @@ def documents_corpus(documents: DataFrame, lines_per_page: int = 10) -> DataFram
         lines_per_page=lines_per_page,
         blob_path=path,
         blank_first_page=(F.col("doc_id") % 7 == 0),
+        keep=keep,
     )
 
 

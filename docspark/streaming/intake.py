@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import index as I
 from ..operators import pages as P
 from ..operators import summarize as Z
 from ..plans.process import DEFAULT_RUN_TIME, process_corpus
@@ -97,18 +96,23 @@ def read_index(spark: SparkSession, sink: str) -> DataFrame:
     return allb.withColumn("_rk", F.row_number().over(w)).filter("_rk = 1").drop("_rk", "batch")
 
 
-def stream_progress(spark: SparkSession, path: str, sink: str, lines_per_page: int = 10) -> StreamingQuery:
-    """Completed pages per document as a running streaming aggregate (output
-    mode ``update``); each batch's changed rows go to ``{sink}/progress/batch=N``."""
-    docs = document_stream(spark, path)
-    results = corpus.documents_corpus(docs, lines_per_page)
-    totals = results.select("document_id", P.page_count(F.col("pages")).alias("total_pages"))
-    ps = Z.summarize_pages(P.split_pages(results), sentences=1)
-    done = ps.groupBy("document_id").agg(F.count(F.lit(1)).alias("completed_pages"))
-    del totals  # totals travel with the document; the stream reports completed pages
+def stream_progress(spark: SparkSession, path: str, sink: str, lines_per_page: int = 10, delay: str = "1 hour") -> StreamingQuery:
+    """Completed pages per document as a streaming aggregate (output mode
+    ``update``). A document's pages all complete inside its micro-batch, so the
+    count is its page count (P1). Grouping by arrival window under a watermark lets
+    Spark drop the state of closed windows instead of keeping one row for every
+    document ever seen. Each batch's changed rows go to ``{sink}/progress/batch=N``."""
+    docs = document_stream(spark, path).withWatermark("arrival_ts", delay)
+    results = corpus.documents_corpus(docs, lines_per_page, keep=("arrival_ts",))
+    per_doc = results.select("document_id", "arrival_ts", P.page_count(F.col("pages")).alias("n_pages"))
+    done = per_doc.groupBy(F.window("arrival_ts", delay), "document_id").agg(
+        F.sum("n_pages").cast("long").alias("completed_pages")
+    )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{sink}/progress/batch={batch_id}")
+        batch.select("document_id", "completed_pages", F.col("window.start").alias("window_start")).withColumn(
+            "batch", F.lit(batch_id)
+        ).write.mode("overwrite").parquet(f"{sink}/progress/batch={batch_id}")
 
     return (
         done.writeStream.outputMode("update")
@@ -120,9 +124,10 @@ def stream_progress(spark: SparkSession, path: str, sink: str, lines_per_page: i
 
 
 def read_progress(spark: SparkSession, sink: str) -> DataFrame:
+    """Latest reported count per document (latest window, then latest batch)."""
     allb = spark.read.parquet(f"{sink}/progress")
-    w = Window.partitionBy("document_id").orderBy(F.col("batch").desc())
-    return allb.withColumn("_rk", F.row_number().over(w)).filter("_rk = 1").drop("_rk", "batch")
+    w = Window.partitionBy("document_id").orderBy(F.col("window_start").desc(), F.col("batch").desc())
+    return allb.withColumn("_rk", F.row_number().over(w)).filter("_rk = 1").drop("_rk", "batch", "window_start")
 
 
 def stream_dedupe(spark: SparkSession, paths: list[str], sink: str, delay: str = "1 hour") -> StreamingQuery:
@@ -156,5 +161,5 @@ def run_to_completion(query: StreamingQuery) -> None:
 
 __all__ = [
     "DOCUMENT_SCHEMA", "document_stream", "stream_intake", "stream_upsert", "read_index",
-    "stream_progress", "read_progress", "stream_dedupe", "run_to_completion", "scratch_root", "I",
+    "stream_progress", "read_progress", "stream_dedupe", "run_to_completion", "scratch_root",
 ]
