@@ -80,8 +80,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(df)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Hash-spread a scan with too few splits over the task slots. Hashing the key
+    (default: the table's leading id column) is deterministic under retries
+    without the full-row sort a round-robin repartition needs."""
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
+        return df.repartition(slots, key or df.columns[0])
     return df
