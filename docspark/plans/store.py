@@ -36,10 +36,15 @@ def _touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+# Bumped whenever the layout or the derivation of the stored tables changes, so an
+# index written by an earlier build of the code is never read by a later one.
+INDEX_FORMAT = 3
+
+
 def stored_index(spark: SparkSession, inputs: list[str], params: str, build_records, dim: int) -> SparseIndex:
     """The sparse index for ``inputs`` + ``params``; ``build_records()`` returns the
     records DataFrame when the index has to be built."""
-    stamp = "|".join(f"{p}:{modification_time(spark, p)}" for p in inputs) + f"|{params}|{dim}"
+    stamp = "|".join(f"{p}:{modification_time(spark, p)}" for p in inputs) + f"|{params}|{dim}|v{INDEX_FORMAT}"
     key = hashlib.md5(stamp.encode()).hexdigest()
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/indexes/{key}"
     if not _exists(spark, f"{root}/_COMPLETE"):
