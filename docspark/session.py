@@ -44,14 +44,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this is set by the deployment (a shared filesystem path) and we
     only read it. Only when it is unset -- local tests -- do we create a scratch
     folder for it."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if not path and sc is not None:
+        path = sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="docspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
     return path
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session (which has none)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     """Cut lineage by writing ``df`` once as a Parquet table under the shared
     checkpoint folder (``spark.checkpoint.dir``) and reading it back.
@@ -84,7 +96,10 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Hash-spread a scan with too few splits over the task slots. Hashing the key
     (default: the table's leading id column) is deterministic under retries
     without the full-row sort a round-robin repartition needs."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
+    sc = _context(df.sparkSession)
+    if sc is None:  # Spark Connect: no partition count to inspect
+        return df
+    slots = sc.defaultParallelism
     if df.rdd.getNumPartitions() < slots:
         return df.repartition(slots, key or df.columns[0])
     return df
