@@ -29,8 +29,8 @@ HEADLINE = [
     "render_markdown",      # R6/R7 reports for every document
     "page_range",           # Z10 regeneration of a page range
     "chunks",               # X1
-    "token_cost_rollup",    # X3 + A9
     "embedding_levels",     # X3 + S13 + A8: builds and stores the retrieval index
+    "token_cost_rollup",    # A9 over the stored records
     "sparse_search",        # Q2 (reads the stored index from here on)
     "multi_level_search",   # Q3
     "answer_context",       # Q10 + Q11

@@ -288,7 +288,7 @@ def q_embedding_levels(spark, sf_dir):
 
 def q_token_cost_rollup(spark, sf_dir):
     """Tokens and cost per level and document with subtotals."""
-    r = X.token_and_cost(_records(spark, sf_dir))
+    r = X.token_and_cost(_index(spark, sf_dir).records)
     return r.select("level", "document_id", "tokens", F.col("cost_micro_usd").cast("string").alias("cost_micro_usd"), "records")
 
 
