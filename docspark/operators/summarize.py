@@ -187,10 +187,18 @@ def doc_input(page_summaries: DataFrame) -> DataFrame:
     line = F.when(F.col("page").isNull(), F.col("summary")).otherwise(
         F.concat(F.lit("Page "), F.col("page").cast("string"), F.lit(": "), F.col("summary"))
     )
-    lines = ok.select("document_id", F.coalesce(F.col("page"), F.lit(0)).alias("page"), line.alias("line"))
-    text = ordered_concat(lines, ["document_id"], ["page"], "line", "\n", "doc_input", bucket_col="page")
-    counts = ok.groupBy("document_id").agg(F.count(F.lit(1)).alias("n_parts"))
-    return counts.join(text, "document_id")
+    lines = ok.select(
+        "document_id", F.coalesce(F.col("page"), F.lit(0)).alias("page"), line.alias("line")
+    ).withColumn("_bucket", F.floor(F.col("page") / 4096))
+    # two levels: partial strings and counts per (document, page bucket), then one merge
+    part = lines.groupBy("document_id", "_bucket").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "line"))), lambda x: x["line"]), "\n").alias("_s"),
+    )
+    return part.groupBy("document_id").agg(
+        F.sum("n").alias("n_parts"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_bucket", "_s"))), lambda x: x["_s"]), "\n").alias("doc_input"),
+    )
 
 
 def sentence_scores(page_summaries: DataFrame) -> DataFrame:
