@@ -12,4 +12,11 @@ Sub-packages:
   streaming  -- file-stream intake, idempotent index upserts, progress
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions that run in tasks travel by value, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

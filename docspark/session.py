@@ -39,21 +39,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment (a shared filesystem path) and we
-    only read it. Only when it is unset -- local tests -- do we create a scratch
-    folder for it."""
+    On a cluster the deployment sets it (a path that all executors share) and we only
+    read it. Where it is unset, a local session -- tests -- gets a scratch folder of
+    its own; any other master is an error, since executors would not see the files."""
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if path:
+        return path
     sc = _context(spark)
-    if not path and sc is not None:
-        path = sc.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="docspark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if sc is not None:
-        sc.setCheckpointDir(path)
-    return path
+    path = sc.getCheckpointDir() if sc is not None else None
+    if path:
+        return path
+    if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="docspark-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def _context(spark: SparkSession):

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -23,8 +22,6 @@ def spark():
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):  # tests only: no cluster folder
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="docspark-test-ckpt-"))
     yield spark
     spark.stop()
 
