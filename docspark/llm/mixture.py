@@ -59,7 +59,7 @@ def apportion(votes: np.ndarray, seats: int) -> np.ndarray:
 
 def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text",
         weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, block_words: int = 16,
-        shard_words: int = 2_000_000, seed: int = 7, carry: bool = False, spans: bool = False) -> DataFrame:
+        shard_words: int = 250_000, seed: int = 7, carry: bool = False, spans: bool = False) -> DataFrame:
     """Take words of the sources in proportion to weights, as whole blocks of words.
 
     Each (source, shard) is a tape: its documents in seeded order. The mix has
@@ -73,7 +73,7 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", tex
     the driver.
 
     Returns per row: ``id_col``, size, source_size, target, taken (words, repeats
-    counted), with ``spans`` the taken ranges [from, to) of the row's words per pass,
+    counted), with ``spans`` the taken ranges (pass, from, to) of the row's words,
     and with ``carry`` the input row as struct ``doc``. A null text has no words and
     takes none; null is a source of its own, the last. Repeated rows are rows like
     others. Reruns agree: order comes from hashes of id and text."""
@@ -127,11 +127,28 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", tex
     ranges = []
     for k in range(passes):
         a, b = part(k, at, at + head), part(k, F.lit(0), size - head)
-        ranges.append(F.array(F.struct(F.lit(0).cast("long").alias("from"), a.cast("long").alias("to")),
-                              F.struct(head.cast("long").alias("from"), (head + b).cast("long").alias("to"))))
-    ranges = F.filter(F.flatten(F.array(*ranges)), lambda s: s["to"] > s["from"])
+        for lo, hi in ((F.lit(0), a), (head, head + b)):
+            ranges.append(F.struct(F.lit(k).alias("pass"), lo.cast("long").alias("from"), hi.cast("long").alias("to")))
+    ranges = F.filter(F.array(*ranges), lambda s: s["to"] > s["from"])
     out = placed.withColumn("spans", ranges)
     return out.select(
         F.col("id").alias(id_col), "size", "source_size", "target",
         F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"]).alias("taken"),
         *(["spans"] if spans else []), *(["doc"] if carry else []))
+
+
+def mixed_rows(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """The mix itself: the rows of ``docs`` with the text that each pass takes, so a row
+    occurs once per pass that takes words of it. A text taken whole stays as it is; one
+    that a block boundary cuts keeps the words of its ranges with the white space before
+    each. Rows of which nothing is taken go. All columns keep their names."""
+    names = docs.columns
+    mixed = mix(docs, text_col=text_col, carry=True, spans=True, **options)
+    rows = mixed.withColumn("pass", F.explode(F.array_distinct(F.transform("spans", lambda s: s["pass"]))))
+    mine = F.filter("spans", lambda s: s["pass"] == F.col("pass"))
+    n = F.aggregate(mine, F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"])
+    pieces = F.regexp_extract_all(F.col(f"doc.`{text_col}`"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    cut = F.array_join(F.flatten(F.transform(mine, lambda s: F.slice(
+        pieces, (s["from"] + 1).cast("int"), (s["to"] - s["from"]).cast("int")))), "")
+    text = F.when(n == F.col("size"), F.col(f"doc.`{text_col}`")).otherwise(cut)
+    return rows.select(*[text.alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in names])

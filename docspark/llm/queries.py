@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixture, radix, sharding
-from .common import read
+from . import chat, knn, lm, mixture, neardup, packing, quality, radix, sharding, unigram
+from .common import read, stored
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,11 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(docs)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classify(docs, read(spark, sf_dir, "labels"))
+
+
 def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     out = sharding.shard(docs)
@@ -22,18 +27,93 @@ def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return unigram.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op5_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"), size=4)
+
+
+def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(stored(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))))
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    out = chat.parse(chat.render(chat.fold(chat.as_events(rows.unionByName(extra)))))
+    said_all = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said_all.cast("binary"), 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"), F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.top_k(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op9_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return radix.exact_groups(docs)
 
 
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm.score(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 LLM_QUERIES = {
     "op1_mix": op1_mix,
+    "op2_quality": op2_quality,
     "op3_shards": op3_shards,
+    "op4_tokens": op4_tokens,
+    "op5_neardup": op5_neardup,
+    "op6_pack": op6_pack,
+    "op7_chat": op7_chat,
+    "op8_topk": op8_topk,
     "op9_exact": op9_exact,
+    "op10_lm": op10_lm,
 }
 
 LLM_ORACLE = {
+    "op7_chat": r"""
+        WITH c AS (
+          SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+          UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+          UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+        e AS (
+          SELECT *, replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS esc_text,
+                 replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS esc_role FROM c)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(length(esc_role) + length(esc_text) + 16)::BIGINT AS formatted_chars
+        FROM e GROUP BY conv_id""",
+    "op8_topk": """
+        WITH ok AS (
+          SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+          FROM embeddings
+          WHERE embedding IS NOT NULL AND len(embedding) > 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+          SELECT q.vec_id AS query_id, c.vec_id,
+                 list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+          FROM ok q JOIN ok c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
+        r AS (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10""",
     "op9_exact": r"""
         WITH n AS (
           SELECT doc_id, length(coalesce(text, '')) AS cp,
