@@ -6,62 +6,70 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.arrays import bind, prefix_sums
 from ..functions.hashing import content_hash
 from ..functions.text import terms
 
-# Fixed value: a number mention (digits with optional grouping/decimal part).
-NUMBER_PATTERN = r"[0-9]+(?:\.[0-9]+)?"
+# Fixed value: a number mention, digits grouped by commas or plain, then decimals.
+NUMBER_PATTERN = r"[0-9]{1,3}(?:,[0-9]{3})+(?:\.[0-9]+)?|[0-9]+(?:\.[0-9]+)?"
 
 
-def _grams(df: DataFrame, key_cols: list[str], terms_col: str, g: int) -> DataFrame:
-    """Every ``g``-gram of a term array with its 0-based start position."""
-    n = F.size(terms_col)
-    starts = F.when(n >= g, F.sequence(F.lit(0), n - g))
-    ex = df.select(*key_cols, terms_col, F.explode(starts).alias("pos"))
-    return ex.withColumn("gram", F.array_join(F.slice(terms_col, F.col("pos") + 1, g), " "))
+def mentions(phrases: DataFrame, docs: DataFrame, window: int = 5, key_gram: int = 3, block: int = 512) -> DataFrame:
+    """Q13: every occurrence of each phrase's whole term sequence in each document, with
+    the page, a context window of ``window`` terms each side and the term position.
 
-
-def mentions(phrases: DataFrame, docs: DataFrame, window: int = 5, key_gram: int = 3) -> DataFrame:
-    """Q13: every occurrence of each phrase's whole term sequence in each document,
-    with a context window of ``window`` terms each side and the term position.
-
-    ``phrases(pid, text)``, ``docs(document_id, text)``. Candidates come from an
-    equi-join on the phrase's first ``key_gram``-gram against the documents' grams of
-    the same length (exact: every occurrence starts with that gram); each candidate
-    is then verified on the full term sequence."""
+    ``phrases(pid, text)``, ``docs(document_id, texts)`` with the texts of a document's
+    pages in order; a phrase may run over a page's end. Candidates come from an
+    equi-join of the phrase's first ``key_gram`` terms (all, if fewer) with the grams
+    of the documents, rows of position and gram only. A candidate meets one block of
+    ``block`` terms (with the overlap that a phrase and its context need), where the
+    whole phrase is compared, so no row ever holds a document's terms."""
     ph = phrases.select("pid", terms("text").alias("pt")).filter(F.size("pt") > 0)
-    ph = ph.withColumn("g", F.least(F.size("pt"), F.lit(key_gram))).withColumn(
-        "key", F.array_join(F.slice("pt", 1, F.col("g")), " ")
-    )
-    d = docs.select("document_id", terms("text").alias("dt"))
-    out = None
-    for g in range(1, key_gram + 1):
-        grams = _grams(d, ["document_id"], "dt", g)
-        cand = grams.join(ph.filter(F.col("g") == g), grams["gram"] == ph["key"])
-        part = cand.filter(F.slice("dt", F.col("pos") + 1, F.size("pt")) == F.col("pt")).select(
-            "pid",
-            "document_id",
-            F.col("pos").cast("int").alias("term_position"),
-            F.array_join(
-                F.slice("dt", F.greatest(F.lit(1), F.col("pos") + 1 - window),
-                        F.least(F.col("pos"), F.lit(window)) + F.size("pt") + window),
-                " ",
-            ).alias("context"),
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+    ph = ph.withColumn("key", F.array_join(F.slice("pt", 1, key_gram), " "))
+    longest = ph.agg(F.coalesce(F.max(F.size("pt")), F.lit(0))).first()[0]  # one number
+    per_page = F.transform("texts", lambda t: terms(t))
+    d = docs.select("document_id", F.flatten(per_page).alias("dt"),
+                    prefix_sums(F.transform(per_page, lambda t: F.size(t))).alias("starts"))
+    span = longest + window  # a block reaches this far beyond its own terms
+    n = F.size("dt")
+    blocks = d.filter(n > 0).select(
+        "document_id", F.col("starts"), n.alias("n"),
+        F.posexplode(bind(F.col("dt"), lambda t: F.transform(
+            F.sequence(F.lit(0), F.floor((n - 1) / block).cast("int")),
+            lambda b: F.slice(t, F.greatest(F.lit(1), b * block + 1 - window), block + span + F.least(b * block, F.lit(window))))))
+        .alias("blk", "part"))
+    first = F.least(F.col("blk") * block, F.lit(window))  # where the block's own terms begin in `part`
+    own = F.least(F.lit(block), F.col("n") - F.col("blk") * block)
+    grams = F.flatten(F.transform(
+        F.sequence(F.lit(0), own - 1),
+        lambda i: F.transform(F.sequence(F.lit(1), F.lit(key_gram)), lambda g: F.struct(
+            i.alias("i"), F.array_join(F.slice("part", first + i + 1, g), " ").alias("gram"),
+            (F.col("blk") * block + i + g <= F.col("n")).alias("whole")))))
+    found = (blocks.select("document_id", "blk", F.inline(grams)).filter("whole")
+             .join(ph.select("pid", "key", "pt"), F.col("gram") == F.col("key"))
+             .select("pid", "pt", "document_id", "blk", "i"))
+    at = first + F.col("i")
+    hits = found.join(blocks, ["document_id", "blk"]).filter(F.slice("part", at + 1, F.size("pt")) == F.col("pt"))
+    pos = F.col("blk") * block + F.col("i")
+    left = F.least(at, F.lit(window))
+    return hits.select(
+        "pid", "document_id", pos.cast("int").alias("term_position"),
+        F.size(F.filter("starts", lambda s: s <= pos)).alias("page_number"),
+        F.array_join(F.slice("part", at - left + 1, left + F.size("pt") + window), " ").alias("context"))
 
 
 def extract_amounts(pages: DataFrame, text_col: str = "content") -> DataFrame:
-    """Q14: number mentions per page as exact decimals."""
+    """Q14: number mentions per page as exact decimals. A mention too long for the
+    decimal type is reported with a null amount."""
     ex = pages.select("document_id", "page_number", F.explode(F.regexp_extract_all(F.col(text_col), F.lit(NUMBER_PATTERN), 0)).alias("mention"))
-    return ex.withColumn("amount", F.col("mention").cast("decimal(38,4)"))
+    return ex.withColumn("amount", F.replace(F.col("mention"), F.lit(","), F.lit("")).try_cast("decimal(38,4)"))
 
 
 def amounts_by_document(pages: DataFrame, text_col: str = "content") -> DataFrame:
-    """Q14 roll-up: count, exact sum and maximum of number mentions per document."""
+    """Q14 roll-up: count, unparsable mentions, exact sum and maximum per document."""
     return extract_amounts(pages, text_col).groupBy("document_id").agg(
         F.count(F.lit(1)).alias("n_amounts"),
+        F.count_if(F.col("amount").isNull()).alias("n_unparsed"),
         F.sum("amount").cast("decimal(38,4)").alias("total"),
         F.max("amount").alias("largest"),
     )
@@ -74,22 +82,20 @@ def term_sets(records: DataFrame, id_col: str = "document_id", text_col: str = "
 
 
 def duplicate_groups(records: DataFrame, id_col: str = "document_id", text_col: str = "text") -> DataFrame:
-    """Exact copies (identical term sets) as groups: ``(representative, copies)``
-    with the smallest id as representative, for groups of two or more. A group of
-    copies is reported once, however large, instead of as all its pairs."""
+    """Records with identical term sets: one row per member ``(member, representative,
+    copies)``, the smallest id as representative, for groups of two or more. A group is
+    its members, however large, instead of all its pairs."""
     sets = term_sets(records, id_col, text_col)
-    return (
-        sets.groupBy("set_key")
-        .agg(F.min("rid").alias("representative"), F.count(F.lit(1)).alias("copies"))
-        .filter(F.col("copies") > 1)
-        .select("representative", "copies")
-    )
+    groups = (sets.groupBy("set_key").agg(F.min("rid").alias("representative"), F.count(F.lit(1)).alias("copies"))
+              .filter(F.col("copies") > 1))
+    return sets.select(F.col("rid").alias("member"), "set_key").join(groups, "set_key").select("member", "representative", "copies")
 
 
 def similar_sections(records: DataFrame, threshold: float = 0.8, id_col: str = "document_id", text_col: str = "text") -> DataFrame:
     """Q15: pairs of distinct term sets with Jaccard similarity >= ``threshold``,
     exactly, by prefix filtering; ``copies_a``/``copies_b`` say how many records
-    share each set (see :func:`duplicate_groups`).
+    share each set; :func:`duplicate_groups` lists them with their representative, so
+    every record's pairs follow from its representative's.
 
     Exact copies are collapsed first (one representative per identical set), so a
     huge group of copies costs one row, not all its pairs. Terms are then ordered by
@@ -106,7 +112,7 @@ def similar_sections(records: DataFrame, threshold: float = 0.8, id_col: str = "
     freq = flat.groupBy("term").agg(F.count(F.lit(1)).alias("freq"))
     ranked = flat.join(freq, "term")
     size = F.size("s")
-    pref_len = size - F.ceil(F.lit(threshold) * size).cast("int") + 1
+    pref_len = size - F.ceil(F.lit(threshold) * size - F.lit(1e-9)).cast("int") + 1
     w = Window.partitionBy("rid").orderBy("freq", "term")
     pref = (
         ranked.join(sets.select("rid", pref_len.alias("plen"), size.alias("n")), "rid")
@@ -120,7 +126,7 @@ def similar_sections(records: DataFrame, threshold: float = 0.8, id_col: str = "
         b,
         (F.col("a.term") == F.col("b.term"))
         & (F.col("a.rid") < F.col("b.rid"))
-        & (F.least("a.n", "b.n") >= F.lit(threshold) * F.greatest("a.n", "b.n")),
+        & (F.least("a.n", "b.n") >= F.lit(threshold) * F.greatest("a.n", "b.n") - F.lit(1e-9)),
     )
     # positional filter (exact): both sets follow one global term order, so every
     # shared term up to the last shared prefix term is itself a shared prefix term,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import lead_sentences
 from ..session import materialize
 from .embed import LEVEL_PAGE, LEVEL_PARAGRAPH
-from .search import SparseIndex, _within, score, top_k, with_text
+from .search import SparseIndex, _within, score, winners, with_text
 
 # Fixed values of the answering protocol.
 HIGH_CONFIDENCE = 0.85
@@ -49,13 +49,13 @@ def answer_context(targets: DataFrame, index: SparseIndex, mode: str = "auto", k
     so with ``persist`` they are written once (a small table: questions x k_page)."""
     q = targets.select("qid", "text")
     pages = with_text(
-        top_k(score(q, index, LEVEL_PAGE, candidates=_within(targets, index, LEVEL_PAGE, ["document_id"])), k_page), index
+        winners(index, score(q, index, LEVEL_PAGE, candidates=_within(targets, index, LEVEL_PAGE, ["document_id"])), k_page), index
     )
     if persist:
         pages = materialize(pages)
     decision = choose_detail(q, pages, mode)
-    paras = with_text(top_k(
-        score(q, index, LEVEL_PARAGRAPH, candidates=_within(pages, index, LEVEL_PARAGRAPH, ["document_id", "page_number"])),
+    paras = with_text(winners(
+        index, score(q, index, LEVEL_PARAGRAPH, candidates=_within(pages, index, LEVEL_PARAGRAPH, ["document_id", "page_number"])),
         k_para,
     ), index)
     page_no = F.col("page_number").cast("string")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.arrays import bind, prefix_sums
 from ..functions.hashing import bucket
 from ..functions.text import terms, word_tokens
 
@@ -22,10 +23,6 @@ DEFAULT_DIM = 1 << 18
 LEVEL_DOCUMENT, LEVEL_PAGE, LEVEL_PARAGRAPH = "document", "page", "paragraph"
 
 
-def _sum_ints(arr):
-    return F.aggregate(arr, F.lit(0), lambda a, x: a + x)
-
-
 def chunk_text(
     df: DataFrame,
     text_col: str = "content",
@@ -41,22 +38,21 @@ def chunk_text(
     if not (0 <= overlap < max_tokens):
         raise ValueError("require 0 <= overlap < max_tokens")
     step = max_tokens - overlap
-    base = df.select(*keys, word_tokens(text_col).alias("_toks")).withColumn("_n", F.size("_toks"))
-    starts = F.when(
-        F.col("_n") > 0, F.sequence(F.lit(0), F.greatest(F.lit(0), F.col("_n") - overlap - 1), F.lit(step))
-    )
-    ex = base.select(*keys, "_toks", "_n", F.posexplode(starts).alias("chunk_number", "start_token"))
-    s = F.col("start_token")
-    return ex.select(
-        *keys,
-        F.col("chunk_number").cast("int").alias("chunk_number"),
-        F.array_join(F.slice("_toks", s + 1, F.lit(max_tokens)), " ").alias("text"),
-        F.least(F.lit(max_tokens), F.col("_n") - s).cast("int").alias("token_count"),
-        s.cast("int").alias("start_token"),
-        F.least(s + max_tokens, F.col("_n")).cast("int").alias("end_token"),
-        # character offset of the chunk in the space-joined token stream
-        (_sum_ints(F.slice(F.transform("_toks", lambda t: F.length(t)), 1, s)) + s).cast("int").alias("start_offset"),
-    )
+
+    def windows(tokens):
+        n = F.size(tokens)
+        starts = F.when(n > 0, F.sequence(F.lit(0), F.greatest(F.lit(0), n - overlap - 1), F.lit(step)))
+        sums = prefix_sums(F.transform(tokens, lambda t: F.length(t) + 1))  # offsets in the space-joined tokens
+        return bind(sums, lambda offset: F.transform(starts, lambda s, i: F.struct(
+            i.alias("chunk_number"),
+            F.array_join(F.slice(tokens, s + 1, F.lit(max_tokens)), " ").alias("text"),
+            F.least(F.lit(max_tokens), n - s).cast("int").alias("token_count"),
+            s.cast("int").alias("start_token"),
+            F.least(s + max_tokens, n).cast("int").alias("end_token"),
+            F.get(offset, s).cast("int").alias("start_offset"))))
+
+    # the windows are cut inside the row: no window row carries the page's tokens
+    return df.select(*keys, F.inline(bind(word_tokens(text_col), windows)))
 
 
 def chunk_metadata(chunks: DataFrame) -> DataFrame:
@@ -67,12 +63,12 @@ def chunk_metadata(chunks: DataFrame) -> DataFrame:
 
 
 # Our page-feature rules.
-TABLE_ROW = r"(?m)^[ \t]*\|.*\|[ \t]*$"
+TABLE_ROW = r"(?m)^[^|\n]*\|[^|\n]*\|[^\n]*$"
 FORMULA = r"[=≈≤≥±∑∫√]|\$[^$\n]+\$"
 
 
 def page_metadata(pages: DataFrame, text_col: str = "content") -> DataFrame:
-    """``has_tables`` (a Markdown table row) and ``has_formulas`` (a relation or
+    """``has_tables`` (a line with two or more cell bars) and ``has_formulas`` (a relation or
     maths sign, or inline ``$...$``)."""
     return pages.withColumn("has_tables", F.coalesce(F.col(text_col).rlike(TABLE_ROW), F.lit(False))).withColumn(
         "has_formulas", F.coalesce(F.col(text_col).rlike(FORMULA), F.lit(False))
@@ -134,30 +130,44 @@ def build_embeddings(
     document: the successful document summary, id ``{doc}_doc``;
     page: successful pages with a non-empty summary, id ``{doc}_page_{n}``;
     paragraph: chunks of those pages' text, id ``{doc}_page_{n}_para_{k}``
-    (actual page numbers, not ``1..count``)."""
+    (actual page numbers, not ``1..count``).
+
+    Records carry has_tables (of their page), contains_numbers and, for paragraphs,
+    their character offsets."""
+    none = F.lit(None).cast("int")
+    has_numbers = F.col("text").rlike("[0-9]").alias("contains_numbers")
     docs = doc_summaries.filter(F.col("status") == "success").select(
         F.concat(F.col("document_id"), F.lit("_doc")).alias("id"),
         F.lit(LEVEL_DOCUMENT).alias("level"),
         "document_id",
-        F.lit(None).cast("int").alias("page_number"),
-        F.lit(None).cast("int").alias("paragraph_number"),
+        none.alias("page_number"),
+        none.alias("paragraph_number"),
         F.col("summary").alias("text"),
+        F.lit(None).cast("boolean").alias("has_tables"),
+        F.col("summary").rlike("[0-9]").alias("contains_numbers"),
+        none.alias("start_offset"),
+        none.alias("end_offset"),
     )
     ok_pages = page_summaries.filter(
         (F.col("status") == "success") & F.col("summary").isNotNull() & (F.col("summary") != "")
     )
-    pgs = ok_pages.select(
+    flags = page_metadata(pages).select("document_id", F.col("page_number").alias("page"), "has_tables")
+    pgs = ok_pages.join(flags, ["document_id", "page"], "left").select(
         F.concat(F.col("document_id"), F.lit("_page_"), F.col("page").cast("string")).alias("id"),
         F.lit(LEVEL_PAGE).alias("level"),
         "document_id",
         F.col("page").alias("page_number"),
-        F.lit(None).cast("int").alias("paragraph_number"),
+        none.alias("paragraph_number"),
         F.col("summary").alias("text"),
+        "has_tables",
+        F.col("summary").rlike("[0-9]").alias("contains_numbers"),
+        none.alias("start_offset"),
+        none.alias("end_offset"),
     )
-    content = pages.join(
+    content = page_metadata(pages).join(
         ok_pages.select("document_id", F.col("page").alias("page_number")), ["document_id", "page_number"], "left_semi"
     ).filter(F.col("content").isNotNull() & (F.col("content") != ""))
-    ch = chunk_text(content, "content", max_tokens, overlap)
+    ch = chunk_metadata(chunk_text(content, "content", max_tokens, overlap, keys=("document_id", "page_number", "has_tables")))
     paras = ch.select(
         F.concat(
             F.col("document_id"), F.lit("_page_"), F.col("page_number").cast("string"),
@@ -168,10 +178,22 @@ def build_embeddings(
         "page_number",
         F.col("chunk_number").alias("paragraph_number"),
         "text",
+        "has_tables",
+        has_numbers,
+        "start_offset",
+        "end_offset",
     )
     return docs.unionByName(pgs).unionByName(paras)
 
 
+def document_topics(pages: DataFrame, k: int = 5) -> DataFrame:
+    """The topic terms (X6) of each document over all its pages: (document_id, topics),
+    best first."""
+    best = topics(pages, "document_id", "content", k)
+    ordered = F.array_sort(F.collect_list(F.struct("rank", "term")))  # k terms at most
+    return best.groupBy("document_id").agg(F.transform(ordered, lambda t: t["term"]).alias("topics"))
+
+
 def embedding_stats(records: DataFrame) -> DataFrame:
     """Records per level and document (conditional counts, one shuffle)."""
     return records.groupBy("document_id").agg(

@@ -43,16 +43,17 @@ def upsert_index(current: DataFrame, updates: DataFrame, keep_created: bool = Fa
 
 
 def append_version(df: DataFrame, root: str, version: int) -> None:
-    """Write a new index version directory; readers switch by picking the newest.
-    Never overwrites a path that is being read."""
-    df.withColumn("version", F.lit(version)).write.mode("append").partitionBy("version").parquet(root)
+    """Write index version ``version`` (again: replaces it) and then commit it. Readers
+    see a version only once its commit is written, and never a path being written."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(f"{root}/versions/{version}")
+    spark.range(version, version + 1).select(F.col("id").alias("version")).write.mode("overwrite").parquet(f"{root}/commits/{version}")
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
-    """The newest version written by :func:`append_version` (lazy; no driver listing)."""
-    all_versions = spark.read.parquet(root)
-    newest = all_versions.agg(F.max("version").alias("version"))
-    return all_versions.join(F.broadcast(newest), "version", "left_semi").drop("version")
+    """The newest committed version (the commits are one row each)."""
+    newest = spark.read.parquet(f"{root}/commits/*").agg(F.max("version")).first()[0]
+    return spark.read.parquet(f"{root}/versions/{newest}")
 
 
 def page_index(page_summaries: DataFrame) -> DataFrame:

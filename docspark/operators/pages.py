@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import bind
 from ..functions.text import py_strip
 
 # Page-range validation messages (first failing check wins).
@@ -25,13 +26,22 @@ def page_count(pages: Column) -> Column:
     return F.when(pages.isNull(), F.lit(0)).otherwise(F.size(pages))
 
 
-def page_text(content: Column, page: Column) -> Column:
+#: Stands before decoded slices, so a U+FEFF at the start of a page is text, not a mark.
+BYTE_ORDER = bytes([0, 0, 0xFE, 0xFF])
+
+
+def code_points(content: Column) -> Column:
+    """The text with four bytes per code point: a slice costs its length, wherever it is."""
+    return F.encode(content, "UTF-32")
+
+
+def page_text(content: Column, wide: Column, page: Column) -> Column:
     """P2 (M2, M3): concatenate the code-point slices of the page's valid spans; when
-    none is valid (or there is no content) join the line texts with one space."""
+    none is valid (or there is no content) join the line texts with one space.
+    ``wide`` is :func:`code_points` of the content, made once per document."""
     valid = F.filter(page["spans"], lambda s: s["offset"].isNotNull() & s["length"].isNotNull())
-    by_spans = F.array_join(
-        F.transform(valid, lambda s: F.substring(content, s["offset"] + 1, s["length"])), ""
-    )
+    by_spans = F.array_join(F.transform(valid, lambda s: F.decode(F.concat(
+        F.lit(BYTE_ORDER), F.substring(wide, s["offset"] * 4 + 1, s["length"] * 4)), "UTF-32")), "")
     by_lines = F.coalesce(F.array_join(F.transform(page["lines"], lambda l: l["content"]), " "), F.lit(""))
     use_spans = content.isNotNull() & (content != "") & (F.coalesce(F.size(valid), F.lit(0)) > 0)
     return F.when(use_spans, by_spans).otherwise(by_lines)
@@ -43,7 +53,8 @@ def split_pages(results: DataFrame) -> DataFrame:
 
     Page texts are cut inside the document row first and only then exploded, so
     the document's full text is never copied into each of its page rows."""
-    texts = F.transform(F.col("pages"), lambda p: page_text(F.col("content"), p))
+    content = F.col("content")
+    texts = bind(code_points(content), lambda wide: F.transform(F.col("pages"), lambda p: page_text(content, wide, p)))
     exploded = results.select("document_id", "blob_path", F.posexplode(texts).alias("pos", "content"))
     return exploded.select(
         "document_id",
@@ -127,30 +138,12 @@ def parse_page_range(range_str: Column) -> Column:
     return F.struct(F.when(ok, s).alias("start"), F.when(ok, e).alias("end"), error.alias("error"))
 
 
-def select_page_range(pages: DataFrame, range_str: str, page_col: str = "page_number") -> DataFrame:
-    """Pages inside an inclusive 'start-end' range. An invalid range raises
-    (checked on the driver from the literal, no job needed)."""
-    start, end = check_page_range(range_str)
-    return pages.filter(F.col(page_col).between(start, end))
-
-
-def check_page_range(range_str: str) -> tuple[int, int]:
-    """Driver-side validation of a literal range with the same rules as
-    :func:`parse_page_range`."""
-    if "-" not in range_str:
-        raise ValueError(RANGE_NO_HYPHEN)
-    parts = range_str.split("-")
-    if len(parts) != 2:
-        raise ValueError(RANGE_HYPHENS)
-    try:
-        start, end = int(parts[0].strip()), int(parts[1].strip())
-    except ValueError:
-        raise ValueError(RANGE_NOT_INT) from None
-    if start < 1 or end < 1:
-        raise ValueError(RANGE_NOT_POSITIVE)
-    if start > end:
-        raise ValueError(f"Invalid range: start ({start}) > end ({end})")
-    return start, end
+def select_page_range(pages: DataFrame, range_str: Column, page_col: str = "page_number") -> DataFrame:
+    """Pages inside an inclusive 'start-end' range, a literal or one per row. A row
+    whose range is invalid raises its message."""
+    bounds = parse_page_range(range_str)
+    inside = F.col(page_col).between(bounds["start"], bounds["end"])
+    return pages.filter(F.when(bounds["error"].isNull(), inside).otherwise(F.raise_error(bounds["error"]).cast("boolean")))
 
 
 def truncate_page(text: Column, max_chars: int) -> Column:

@@ -6,10 +6,8 @@ sharing a term with the question are ever paired. Hierarchical search narrows ea
 level to the previous level's winners with a join on (question, document[, page])
 *before* scoring, so deeper levels only touch the vectors they need.
 
-Dense search (Q1 over stored float vectors) is a flat exact scan: every candidate
-vector is scored against a broadcast batch of query vectors whose size is checked
-first; per-partition top-k (``row_number() <= k`` planned as a group limit) shrinks
-the result before it is shuffled.
+Dense search (Q1 over stored float vectors) is a flat exact scan in blocks: each shard
+of vectors scores the query set and returns its best few.
 """
 
 from __future__ import annotations
@@ -18,12 +16,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.vectors import dot, norm
 from ..session import materialize
 from .embed import DEFAULT_DIM, LEVEL_DOCUMENT, LEVEL_PAGE, LEVEL_PARAGRAPH, term_vectors, vector_norms
 
-RECORD_COLS = ["id", "level", "document_id", "page_number", "paragraph_number", "text"]
+RECORD_COLS = ["id", "level", "document_id", "page_number", "paragraph_number", "text",
+               "has_tables", "contains_numbers", "start_offset", "end_offset"]
 
 
 @dataclass
@@ -32,6 +31,11 @@ class SparseIndex:
     vectors: DataFrame  # (id, level, bucket, tf)
     norms: DataFrame    # (id, level, n2)
     dim: int
+    topics: DataFrame | None = None  # (document_id, topics): the documents' topic terms
+
+    def about(self, topic: str | Column) -> DataFrame:
+        """The documents that have ``topic`` among their topics."""
+        return self.topics.where(F.array_contains("topics", topic)).select("document_id")
 
 
 def sparse_index(records: DataFrame, dim: int = DEFAULT_DIM, persist: bool = False) -> SparseIndex:
@@ -41,7 +45,7 @@ def sparse_index(records: DataFrame, dim: int = DEFAULT_DIM, persist: bool = Fal
     ``persist`` writes the tables once (the shared checkpoint folder), vectors and
     norms partitioned by level, as a stored index would be: a level filter then
     prunes whole folders, and searches never re-derive the records' lineage."""
-    recs = records.select(*RECORD_COLS)
+    recs = records.select(*[c for c in RECORD_COLS if c in records.columns])
     if persist:
         recs = materialize(recs)
     vec = term_vectors(recs, "id", "text", dim, keep=("level",))
@@ -61,13 +65,12 @@ def score(
     candidates: DataFrame | None = None,
     documents: DataFrame | None = None,
 ) -> DataFrame:
-    """Cosine of every (question, record) pair that shares a term, as
-    ``(qid, score, id, level, document_id, page_number, paragraph_number)``.
+    """Cosine of every (question, record) pair that shares a term: ``(qid, id, score)``.
 
     ``level`` and ``where`` filter records (ANDed); ``candidates(qid, id)`` restricts
     pairs before the term join (hierarchical use); ``documents(document_id)``
-    restricts records to the listed documents. Record text is not carried: attach it
-    to the winners with :func:`with_text`."""
+    restricts records to the listed documents. Record columns are not carried: attach
+    them to the winners with :func:`with_record` and :func:`with_text`."""
     recs, dvec, dn = index.records, index.vectors, index.norms
     if level is not None:  # prunes level folders of the stored vectors and norms
         recs = recs.filter(F.col("level") == level)
@@ -82,16 +85,21 @@ def score(
         dvec = dvec.join(slim.select("id"), "id", "left_semi")
     q = term_vectors(questions, "qid", "text", index.dim).withColumnRenamed("tf", "qtf")
     qn = vector_norms(q.withColumnRenamed("qtf", "tf"), "qid").withColumnRenamed("n2", "qn2")
-    dvec = dvec.select("id", "bucket", "tf")
+    q = q.join(qn, "qid")  # the norms travel with the terms: pairs are shuffled once
+    dvec = dvec.join(dn.select("id", "n2"), "id") if "n2" not in dvec.columns else dvec
+    dvec = dvec.select("id", "bucket", "tf", "n2")
     if candidates is None:
         pairs = q.join(dvec, "bucket")
     else:
         pairs = candidates.select("qid", "id").join(dvec, "id").join(q, ["qid", "bucket"])
-    dots = pairs.groupBy("qid", "id").agg(F.sum(F.col("qtf") * F.col("tf")).alias("dot"))
-    s = dots.join(qn, "qid").join(dn.select("id", "n2"), "id").select(
-        "qid", "id", (F.col("dot") / (F.sqrt("qn2") * F.sqrt("n2"))).alias("score")
-    )
-    return s.join(slim, "id")
+    dots = pairs.groupBy("qid", "id").agg(F.sum(F.col("qtf") * F.col("tf")).alias("dot"), F.first("qn2").alias("qn2"),
+                                          F.first("n2").alias("n2"))
+    return dots.select("qid", "id", (F.col("dot") / (F.sqrt("qn2") * F.sqrt("n2"))).alias("score"))
+
+
+def with_record(hits: DataFrame, index: SparseIndex) -> DataFrame:
+    """Attach the record columns but its text to ranked hits."""
+    return hits.join(index.records.drop("text"), "id")
 
 
 def with_text(hits: DataFrame, index: SparseIndex) -> DataFrame:
@@ -105,6 +113,12 @@ def top_k(scored: DataFrame, k: int, per: tuple[str, ...] = ("qid",)) -> DataFra
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def winners(index: SparseIndex, scored: DataFrame, k: int) -> DataFrame:
+    """The best ``k`` per question with their record columns: pairs are ranked on
+    (question, id, score) alone and only what is left meets the records."""
+    return with_record(top_k(scored, k), index)
+
+
 def search(
     questions: DataFrame,
     index: SparseIndex,
@@ -112,93 +126,13 @@ def search(
     top: int = 5,
     document_id: str | None = None,
     where: Column | None = None,
-    prune: bool = False,
 ) -> DataFrame:
-    """Q1/Q2 API: level always applied, optional document and extra filter ANDed.
-    ``prune`` uses the exact bounded search of :func:`search_top_k` (worth it when
-    questions have strong rare-term matches; see its docstring)."""
+    """Q1/Q2 API: level always applied, optional document and extra filter ANDed."""
     cond = where
     if document_id is not None:
         c = F.col("document_id") == document_id
         cond = c if cond is None else (cond & c)
-    if prune:
-        return search_top_k(questions, index, level, top, cond)
-    return top_k(score(questions, index, level, cond), top)
-
-
-COMMON_BUCKETS = 256
-
-
-def search_top_k(
-    questions: DataFrame,
-    index: SparseIndex,
-    level: str,
-    k: int,
-    where: Column | None = None,
-    common_buckets: int = COMMON_BUCKETS,
-) -> DataFrame:
-    """Exact top-k per question without pairing every question with every record
-    through very common terms (a MaxScore-style bound).
-
-    The ``common_buckets`` most frequent buckets are set apart (a bounded list,
-    broadcast). Candidates are the records sharing a *rare* bucket with the
-    question; their exact scores add the common-bucket part. A record that is not
-    a candidate can score at most UB(q) = sum over the question's common buckets of
-    q_tf * max_d(tf_d / |d|), divided by |q|. When UB(q) is strictly below the k-th
-    candidate score, the candidates' top-k is the exact top-k; every other question
-    is scored in full. Results equal :func:`score` + :func:`top_k` exactly (the dot
-    products are the same integers).
-
-    The bound only pays off when the k-th best score clears the common-term
-    bound; on the synthetic test corpus it never does (common terms carry most of
-    every record's weight), so plain scoring stays the default."""
-    recs, dvec, dn = index.records.filter(F.col("level") == level), index.vectors, index.norms
-    dvec = dvec.filter(F.col("level") == level).select("id", "bucket", "tf")
-    dn = dn.filter(F.col("level") == level).select("id", "n2")
-    if where is not None:
-        recs = recs.filter(where)
-        dvec = dvec.join(recs.select("id"), "id", "left_semi")
-        dn = dn.join(recs.select("id"), "id", "left_semi")
-    slim = recs.drop("text")
-    q = term_vectors(questions, "qid", "text", index.dim).withColumnRenamed("tf", "qtf")
-    qn = vector_norms(q.withColumnRenamed("qtf", "tf"), "qid").withColumnRenamed("n2", "qn2")
-
-    weights = dvec.join(dn, "id").select("bucket", (F.col("tf") / F.sqrt("n2")).alias("w"))
-    bstats = weights.groupBy("bucket").agg(F.count(F.lit(1)).alias("df"), F.max("w").alias("maxw"))
-    # a top-N list: at most common_buckets rows, so the broadcast has a fixed bound
-    common = F.broadcast(bstats.orderBy(F.col("df").desc(), F.col("bucket")).limit(common_buckets).select("bucket", "maxw"))
-
-    q_rare = q.join(common, "bucket", "left_anti")
-    q_common = q.join(common, "bucket")
-    rare = q_rare.join(dvec, "bucket").groupBy("qid", "id").agg(F.sum(F.col("qtf") * F.col("tf")).alias("dot_r"))
-    common_part = (
-        rare.select("qid", "id")
-        .join(dvec.join(common.select("bucket"), "bucket"), "id")
-        .join(q_common.select("qid", "bucket", "qtf"), ["qid", "bucket"])
-        .groupBy("qid", "id")
-        .agg(F.sum(F.col("qtf") * F.col("tf")).alias("dot_c"))
-    )
-    dots = rare.join(common_part, ["qid", "id"], "left").select(
-        "qid", "id", (F.col("dot_r") + F.coalesce(F.col("dot_c"), F.lit(0))).alias("dot")
-    )
-
-    def finish(d: DataFrame) -> DataFrame:
-        return d.join(qn, "qid").join(dn, "id").select(
-            "qid", "id", (F.col("dot") / (F.sqrt("qn2") * F.sqrt("n2"))).alias("score")
-        ).join(slim, "id")
-
-    cand_top = top_k(finish(dots), k)
-    theta = cand_top.filter(F.col("rank") == k).select("qid", F.col("score").alias("theta"))
-    ub = q_common.groupBy("qid").agg(F.sum(F.col("qtf") * F.col("maxw")).alias("ubn")).join(qn, "qid").select(
-        "qid", (F.col("ubn") / F.sqrt("qn2")).alias("ub")
-    )
-    # strict, with a relative margin for floating rounding: ties fall back to full scoring
-    resolved = theta.join(ub, "qid", "left").filter(
-        F.coalesce(F.col("ub"), F.lit(0.0)) * F.lit(1.0 + 1e-9) < F.col("theta")
-    ).select("qid")
-    unresolved = questions.select("qid").join(resolved, "qid", "left_anti")
-    full = top_k(score(questions.join(unresolved, "qid", "left_semi"), index, level, where), k)
-    return cand_top.join(resolved, "qid", "left_semi").unionByName(full)
+    return winners(index, score(questions, index, level, cond), top)
 
 
 def _within(allowed: DataFrame, index: SparseIndex, level: str, keys: list[str]) -> DataFrame:
@@ -218,12 +152,12 @@ def search_multi_level(
     """Q3: documents -> pages of those documents -> paragraphs of those pages; top-k
     and a score threshold per level. One row per paragraph hit with the scores of
     its document and page."""
-    docs = top_k(score(questions, index, LEVEL_DOCUMENT), k_doc).filter(F.col("score") >= min_score)
-    pages = top_k(
-        score(questions, index, LEVEL_PAGE, candidates=_within(docs, index, LEVEL_PAGE, ["document_id"])), k_page
+    docs = winners(index, score(questions, index, LEVEL_DOCUMENT), k_doc).filter(F.col("score") >= min_score)
+    pages = winners(
+        index, score(questions, index, LEVEL_PAGE, candidates=_within(docs, index, LEVEL_PAGE, ["document_id"])), k_page
     ).filter(F.col("score") >= min_score)
-    paras = top_k(
-        score(questions, index, LEVEL_PARAGRAPH, candidates=_within(pages, index, LEVEL_PARAGRAPH, ["document_id", "page_number"])),
+    paras = winners(
+        index, score(questions, index, LEVEL_PARAGRAPH, candidates=_within(pages, index, LEVEL_PARAGRAPH, ["document_id", "page_number"])),
         k_para,
     ).filter(F.col("score") >= min_score)
     d = docs.select("qid", "document_id", F.col("score").alias("doc_score"))
@@ -233,14 +167,14 @@ def search_multi_level(
 
 def discover(questions: DataFrame, index: SparseIndex) -> DataFrame:
     """Q4: the single best document per question."""
-    return top_k(score(questions, index, LEVEL_DOCUMENT), 1)
+    return winners(index, score(questions, index, LEVEL_DOCUMENT), 1)
 
 
 def localize_topic(targets: DataFrame, index: SparseIndex, top: int = 10) -> DataFrame:
     """Q5: best pages inside each question's target document
     (``targets(qid, text, document_id)``)."""
     cand = _within(targets, index, LEVEL_PAGE, ["document_id"])
-    return top_k(score(targets.select("qid", "text"), index, LEVEL_PAGE, candidates=cand), top)
+    return winners(index, score(targets.select("qid", "text"), index, LEVEL_PAGE, candidates=cand), top)
 
 
 def cite(targets: DataFrame, index: SparseIndex, k_page: int = 5, k_para: int = 3) -> DataFrame:
@@ -248,20 +182,19 @@ def cite(targets: DataFrame, index: SparseIndex, k_page: int = 5, k_para: int =
     returns text, page, paragraph and score."""
     pages = localize_topic(targets, index, k_page)
     cand = _within(pages, index, LEVEL_PARAGRAPH, ["document_id", "page_number"])
-    return with_text(top_k(score(targets.select("qid", "text"), index, LEVEL_PARAGRAPH, candidates=cand), k_para), index)
+    return with_text(winners(index, score(targets.select("qid", "text"), index, LEVEL_PARAGRAPH, candidates=cand), k_para), index)
 
 
-def compare(pairs: DataFrame, index: SparseIndex, k_page: int = 10, k: int = 5, topic: str | None = None,
-            topics_col: str | None = None) -> DataFrame:
+def compare(pairs: DataFrame, index: SparseIndex, k_page: int = 10, k: int = 5, topic: str | None = None) -> DataFrame:
     """Q7: two sub-queries (``pairs(qid, text_a, text_b)``) answered side by side on
     the pages found for ``text_a``: paragraphs of each, full outer join on rank.
-    ``topic`` keeps only paragraphs whose ``topics_col`` array contains it."""
+    ``topic`` keeps only records of documents that have it among their topics."""
     qa = pairs.select("qid", F.col("text_a").alias("text"))
     qb = pairs.select("qid", F.col("text_b").alias("text"))
-    pages = top_k(score(qa, index, LEVEL_PAGE), k_page)
+    documents = index.about(topic) if topic is not None else None
+    pages = winners(index, score(qa, index, LEVEL_PAGE, documents=documents), k_page)
     cand = _within(pages, index, LEVEL_PARAGRAPH, ["document_id", "page_number"])
-    where = F.array_contains(F.col(topics_col), topic) if topic is not None and topics_col else None
-    a = top_k(score(qa, index, LEVEL_PARAGRAPH, where=where, candidates=cand), k)
+    a = top_k(score(qa, index, LEVEL_PARAGRAPH, candidates=cand), k)
     b = top_k(score(qb, index, LEVEL_PARAGRAPH, candidates=cand), k)
     a = a.select("qid", "rank", F.col("id").alias("id_a"), F.col("score").alias("score_a"))
     b = b.select("qid", "rank", F.col("id").alias("id_b"), F.col("score").alias("score_b"))
@@ -271,21 +204,22 @@ def compare(pairs: DataFrame, index: SparseIndex, k_page: int = 10, k: int = 5,
 def compare_documents(questions: DataFrame, index: SparseIndex, documents: DataFrame, level: str = LEVEL_PAGE,
                       top: int = 2) -> DataFrame:
     """Q8: the best ``top`` hits of each question inside each listed document."""
-    s = score(questions, index, level, documents=documents)
+    s = with_record(score(questions, index, level, documents=documents), index)
     return top_k(s, top, per=("qid", "document_id"))
 
 
 def rank_documents(questions: DataFrame, index: SparseIndex, top: int = 5, excerpt_chars: int = 200) -> DataFrame:
     """Q9: cross-document ranked list with an excerpt of each document summary."""
-    hits = with_text(top_k(score(questions, index, LEVEL_DOCUMENT), top), index)
+    hits = with_text(winners(index, score(questions, index, LEVEL_DOCUMENT), top), index)
     return hits.withColumn("excerpt", F.substring("text", 1, excerpt_chars))
 
 
-def metadata_search(questions: DataFrame, index: SparseIndex, where: Column, level: str = LEVEL_PAGE,
-                    top: int = 5) -> DataFrame:
-    """Q12: a metadata predicate on the records (topics, tables, page or year range,
-    section ...) ANDed with the level, then top-k."""
-    return top_k(score(questions, index, level, where=where), top)
+def metadata_search(questions: DataFrame, index: SparseIndex, where: Column | None = None, level: str = LEVEL_PAGE,
+                    top: int = 5, topic: str | None = None) -> DataFrame:
+    """Q12: a predicate on the record columns (tables, numbers, pages, offsets ...) and a
+    topic of the document, ANDed with the level, then top-k."""
+    documents = index.about(topic) if topic is not None else None
+    return winners(index, score(questions, index, level, where=where, documents=documents), top)
 
 
 # ---------------------------------------------------------------------- dense (Q1)
@@ -294,35 +228,49 @@ def search_dense(
     queries: DataFrame,
     vectors: DataFrame,
     top: int = 5,
-    per: tuple[str, ...] = ("qid",),
-    broadcast_limit_bytes: int = 64 << 20,
-    dim_hint: int | None = None,
+    level: str | None = None,
+    document_id: str | None = None,
+    where: Column | None = None,
+    shards: int | None = None,
 ) -> DataFrame:
     """Q1 exact cosine top-k of ``queries(qid, embedding)`` over
-    ``vectors(id, ..., embedding)``.
-
-    The query side is counted and its size bounded before it is broadcast; larger
-    query sets run as several broadcast batches of bounded size (unioned in one
-    plan). Vector norms are computed once per vector."""
-    vn = vectors.withColumn("_vn", norm(F.col("embedding")))
-    q = queries.select("qid", F.col("embedding").alias("_qe")).withColumn("_qn", norm(F.col("_qe")))
-    n_q = q.count()  # size check of the side to broadcast
-    dim = dim_hint or 1024
-    per_row = dim * 8 + 64
-    batch = max(1, broadcast_limit_bytes // per_row)
-    n_batches = max(1, -(-n_q // batch))
-    parts = []
-    for b in range(n_batches):
-        qb = q if n_batches == 1 else q.filter(F.pmod(F.xxhash64("qid"), F.lit(n_batches)) == b)
-        pairs = vn.join(F.broadcast(qb), how="inner")
-        cos = F.when((F.col("_vn") == 0) | (F.col("_qn") == 0), F.lit(0.0)).otherwise(
-            dot(F.col("embedding"), F.col("_qe")) / (F.col("_vn") * F.col("_qn"))
-        )
-        parts.append(pairs.withColumn("score", cos).drop("_qe", "_qn", "_vn", "embedding"))
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
-    return top_k(scored, top, per)
+    ``vectors(id, ..., embedding)``; level, document and extra filter are ANDed.
+
+    Vectors are hashed to ``shards`` groups (default: four per shuffle partition) and
+    the query set goes to each of them by an equi-join on the shard; a task scores one
+    shard against the queries, one query at a time over a matrix, and returns its best
+    ``top`` of each, which are ranked together. Nothing is broadcast and no pair of a
+    query and a vector becomes a row. Columns other than the embedding are joined to
+    the winners. An all-zero vector has score 0."""
+    for name, value in (("level", level), ("document_id", document_id)):
+        if value is not None:
+            vectors = vectors.filter(F.col(name) == value)
+    if where is not None:
+        vectors = vectors.filter(where)
+    n = shards or 4 * int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    v = vectors.select("id", "embedding", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("shard"))
+    q = queries.select("qid", "embedding", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("shard"))
+    schema = T.StructType([queries.schema["qid"], vectors.schema["id"], T.StructField("score", T.DoubleType())])
+
+    def score_shard(vec, qs):
+        import numpy as np
+        import pandas as pd
+
+        out = []
+        if len(vec) and len(qs):
+            matrix = np.stack([np.asarray(x, dtype=np.float64) for x in vec["embedding"]])
+            length, ids = np.sqrt((matrix * matrix).sum(axis=1)), vec["id"].to_numpy()
+            for qid, x in zip(qs["qid"], qs["embedding"]):
+                x = np.asarray(x, dtype=np.float64)
+                norm = length * np.sqrt((x * x).sum())
+                cos = np.divide(matrix @ x, norm, out=np.zeros(len(norm)), where=norm != 0)
+                # all that tie with the last place go on; the ranking settles them
+                bar = np.partition(cos, -top)[-top] if top < len(cos) else -np.inf
+                out += [(qid, ids[i], float(cos[i])) for i in np.flatnonzero(cos >= bar - 1e-12)]
+        return pd.DataFrame(out, columns=["qid", "id", "score"])
+
+    scored = v.groupBy("shard").cogroup(q.groupBy("shard")).applyInPandas(score_shard, schema)
+    return top_k(scored, top).join(vectors.drop("embedding"), "id")
 
 
 def centroids(vectors: DataFrame, key: str, dim: int) -> DataFrame:

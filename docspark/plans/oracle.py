@@ -13,17 +13,18 @@ BLANK_TEXT = "'[No text content on this page]'"
 
 
 def pages_cte(L: int = 10, name: str = "pages_t") -> str:
-    """Documents cut into pages of L lines; page 1 of every seventh document blank."""
+    """Documents cut into pages of L lines; every seventh document has a blank page
+    before them."""
     return f"""
 {name}_n AS (
-  SELECT doc_id, source, lines, CAST(unnest(generate_series(1, (len(lines) + {L - 1}) // {L})) AS INTEGER) AS page_number
-  FROM (SELECT doc_id, source, string_split(text, {NL}) AS lines FROM documents)
+  SELECT doc_id, source, lines, cover, CAST(unnest(generate_series(1, (len(lines) + {L - 1}) // {L} + cover)) AS INTEGER) AS page_number
+  FROM (SELECT doc_id, source, string_split(text, {NL}) AS lines, CASE WHEN doc_id % 7 = 0 THEN 1 ELSE 0 END AS cover FROM documents)
 ),
 {name} AS (
   SELECT 'doc-' || doc_id AS document_id, doc_id, page_number,
          'raw-pdfs/' || source || '/doc-' || doc_id || '.pdf' AS blob_path,
-         CASE WHEN doc_id % 7 = 0 AND page_number = 1 THEN ''
-              ELSE array_to_string(list_slice(lines, (page_number - 1) * {L} + 1, page_number * {L}), {NL}) END AS content
+         CASE WHEN page_number <= cover THEN ''
+              ELSE array_to_string(list_slice(lines, (page_number - cover - 1) * {L} + 1, (page_number - cover) * {L}), {NL}) END AS content
   FROM {name}_n
 )"""
 
@@ -100,7 +101,7 @@ def totals_cte(L: int = 10, name: str = "totals_t") -> str:
     return f"""
 {name} AS (
   SELECT 'doc-' || doc_id AS document_id,
-         CAST((len(string_split(text, {NL})) + {L - 1}) // {L} AS INTEGER) AS total_pages,
+         CAST((len(string_split(text, {NL})) + {L - 1}) // {L} + CASE WHEN doc_id % 7 = 0 THEN 1 ELSE 0 END AS INTEGER) AS total_pages,
          'raw-pdfs/' || source || '/doc-' || doc_id || '.pdf' AS blob_path
   FROM documents
 )"""
@@ -513,8 +514,37 @@ sim AS (
   WHERE i.shared / (len(sa.s) + len(sb.s) - i.shared) >= 0.8
 )"""
 
+TOPICS = f"""
+tpt AS (SELECT document_id, unnest(regexp_extract_all(lower(content), {TERM}, 0)) AS term FROM pages_t),
+tptf AS (SELECT document_id, term, count(*) AS tf FROM tpt GROUP BY 1, 2),
+tpdf AS (SELECT term, count(*) AS df FROM tptf GROUP BY 1),
+tpn AS (SELECT count(DISTINCT document_id) AS n FROM pages_t),
+tp AS (
+  SELECT * FROM (
+    SELECT tptf.document_id, tptf.term,
+           row_number() OVER (PARTITION BY tptf.document_id ORDER BY tf * ln(tpn.n / tpdf.df) DESC, tptf.term) AS rank
+    FROM tptf JOIN tpdf ON tptf.term = tpdf.term CROSS JOIN tpn) WHERE rank <= 5
+),
+about AS (
+  SELECT document_id FROM tp
+  WHERE term = (SELECT term FROM tp GROUP BY term ORDER BY count(*) DESC, term LIMIT 1)
+)"""
+
 ORACLE.update(
     {
+        "document_topics": f"""WITH {pages_cte()}, {TOPICS}
+SELECT document_id, string_agg(term, ',' ORDER BY rank) AS topics FROM tp GROUP BY 1""",
+        "metadata_topic": f"""{search_base()}, {TOPICS}
+SELECT qid, rank, id, round(score, 6) AS score
+FROM {ranked('sc', "level = 'page' AND document_id IN (SELECT document_id FROM about)", 5)}""",
+        "metadata_tables": rf"""{search_base()},
+tb AS (SELECT document_id, page_number FROM pages_t WHERE regexp_matches(content, '(?m)^[^|\n]*\|[^|\n]*\|[^\n]*$')),
+hit AS {ranked('sc', "level = 'paragraph' AND (document_id, page_number) IN (SELECT document_id, page_number FROM tb)", 5)}
+SELECT h.qid, h.rank, h.id, round(h.score, 6) AS score, true AS has_tables, regexp_matches(h.text, '[0-9]') AS contains_numbers,
+       c.start_offset, CAST(c.start_offset + length(c.text) AS INTEGER) AS end_offset
+FROM hit h JOIN rch c ON h.document_id = c.document_id AND h.page_number = c.page_number AND h.paragraph_number = c.chunk_number""",
+        "compare_topic": COMPARE.replace("pa AS (SELECT", TOPICS.strip() + ",\npa AS (SELECT", 1)
+        .replace("level = 'page'", "level = 'page' AND document_id IN (SELECT document_id FROM about)"),
         "chunks": f"""WITH {pages_cte()}, {chunks_cte('pages_t', 'ch')}
 SELECT document_id, page_number, chunk_number, text, token_count, start_token, end_token FROM ch""",
         "chunk_metadata": f"""WITH {pages_cte()}, {chunks_cte('pages_t', 'ch')}
@@ -523,7 +553,7 @@ SELECT document_id, page_number, chunk_number, regexp_matches(text, '[0-9]') AS
 FROM ch""",
         "page_metadata": rf"""WITH {pages_cte()}
 SELECT document_id, page_number,
-       coalesce(regexp_matches(content, '(?m)^[ \t]*\|.*\|[ \t]*$'), false) AS has_tables,
+       coalesce(regexp_matches(content, '(?m)^[^|\n]*\|[^|\n]*\|[^\n]*$'), false) AS has_tables,
        coalesce(regexp_matches(content, '[=≈≤≥±∑∫√]|\$[^$\n]+\$'), false) AS has_formulas
 FROM pages_t""",
         "embedding_levels": f"""WITH {base()}, {RECORDS}
@@ -569,26 +599,32 @@ SELECT q.qid,
        CASE WHEN b.top_score IS NULL THEN 'No relevant information found.' END AS fixed_answer
 FROM qs q LEFT JOIN (SELECT qid, max(score) AS top_score FROM p5 GROUP BY 1) b ON q.qid = b.qid""",
         "answer_context": ANSWER,
-        "mentions": f"""WITH ph AS (SELECT item_id AS pid, regexp_extract_all(lower(text), {TERM}, 0) AS pt FROM benchmark),
+        "mentions": f"""WITH {pages_cte()}, ph AS (SELECT item_id AS pid, regexp_extract_all(lower(text), {TERM}, 0) AS pt FROM benchmark),
 dd AS (SELECT 'doc-' || doc_id AS document_id, regexp_extract_all(lower(text), {TERM}, 0) AS dt FROM documents),
+ends AS (
+  SELECT document_id, sum(n) OVER (PARTITION BY document_id ORDER BY page_number) - n AS first
+  FROM (SELECT document_id, page_number, len(regexp_extract_all(lower(content), {TERM}, 0)) AS n FROM pages_t)
+),
 c AS (
   SELECT pid, document_id, pt, dt, unnest(generate_series(0, len(dt) - len(pt))) AS pos
   FROM ph JOIN dd ON len(pt) > 0 AND len(dt) >= len(pt)
    AND contains(' ' || array_to_string(dt, ' ') || ' ', ' ' || array_to_string(pt, ' ') || ' ')
 )
-SELECT pid, document_id, CAST(pos AS INTEGER) AS term_position,
+SELECT pid, c.document_id, CAST(pos AS INTEGER) AS term_position,
+       (SELECT CAST(count(*) AS INTEGER) FROM ends e WHERE e.document_id = c.document_id AND e.first <= c.pos) AS page_number,
        array_to_string(list_slice(dt, greatest(1, pos + 1 - 5), pos + len(pt) + 5), ' ') AS context
 FROM c WHERE list_slice(dt, pos + 1, pos + len(pt)) = pt""",
-        "amounts": f"""WITH {pages_cte()},
-m AS (SELECT document_id, CAST(unnest(regexp_extract_all(content, '[0-9]+(?:\\.[0-9]+)?', 0)) AS DECIMAL(38,4)) AS amount FROM pages_t)
-SELECT document_id, count(*) AS n_amounts, CAST(CAST(sum(amount) AS DECIMAL(38,4)) AS VARCHAR) AS total,
-       CAST(max(amount) AS VARCHAR) AS largest
+        "amounts": rf"""WITH {pages_cte()},
+m AS (SELECT document_id, TRY_CAST(replace(unnest(regexp_extract_all(content, '[0-9]{{1,3}}(?:,[0-9]{{3}})+(?:\.[0-9]+)?|[0-9]+(?:\.[0-9]+)?', 0)), ',', '') AS DECIMAL(38,4)) AS amount FROM pages_t)
+SELECT document_id, count(*) AS n_amounts, count(*) FILTER (WHERE amount IS NULL) AS n_unparsed,
+       CAST(CAST(sum(amount) AS DECIMAL(38,4)) AS VARCHAR) AS total, CAST(max(amount) AS VARCHAR) AS largest
 FROM m GROUP BY 1""",
         "similar_sections": f"""WITH {SIMILAR.strip()}
 SELECT id_a, id_b, shared, union_size, round(jaccard, 6) AS jaccard, copies_a, copies_b FROM sim""",
         "duplicate_groups": f"""WITH {SIMILAR.strip()}
-SELECT rep AS representative, copies FROM grp WHERE copies > 1""",
-        "version_diff": f"""WITH {pages_cte()}, {SIMILAR.strip()},
+SELECT k.document_id AS member, g.rep AS representative, g.copies
+FROM keyed k JOIN grp g ON k.set_key = g.set_key WHERE g.copies > 1""",
+        "version_diff": f"""WITH {pages_cte()}, {SIMILAR.strip().replace("sim AS (", "sim AS MATERIALIZED (").replace("inter AS (", "inter AS MATERIALIZED (")},
 l AS (SELECT s.id_a AS v1, s.id_b AS v2, g.page_number, md5(g.content) AS h1 FROM sim s JOIN pages_t g ON g.document_id = s.id_a),
 r AS (SELECT s.id_a AS v1, s.id_b AS v2, g.page_number, md5(g.content) AS h2 FROM sim s JOIN pages_t g ON g.document_id = s.id_b)
 SELECT coalesce(l.v1, r.v1) AS v1, coalesce(l.v2, r.v2) AS v2, coalesce(l.page_number, r.page_number) AS page_number,
@@ -608,7 +644,7 @@ WHERE rank <= 5""",
          regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1) AS h FROM pages
 )
 SELECT document_id, page_number,
-       last_value(CASE WHEN ends_with(h, '.') THEN h END IGNORE NULLS)
+       last_value(nullif(h, '') IGNORE NULLS)
          OVER (PARTITION BY document_id ORDER BY page_number ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section
 FROM r""",
         "audit_trail": f"""WITH {base()},
@@ -638,22 +674,18 @@ ORACLE.update(
         "stream_intake": ORACLE["page_summaries"],
         "stream_upsert": ORACLE["doc_index"],
         "stream_progress": f"""WITH {pages_cte()}
-SELECT document_id, count(*) AS completed_pages FROM pages_t GROUP BY 1""",
+SELECT document_id, count(*) AS completed_pages, count(*) AS total_pages FROM pages_t GROUP BY 1""",
         "stream_dedupe": "SELECT DISTINCT 'doc-' || doc_id AS document_id, CAST(length(text) AS INTEGER) AS n_chars FROM documents",
         "summarize_with_retry": rf"""WITH {pages_cte()},
 c AS (SELECT document_id, page_number AS page, content, NOT regexp_matches(content, '[^ \t\n\r\f\v]') AS blank,
-             'input too long: ' || length(content) || ' characters' AS e FROM pages_t)
+             ('0x' || substr(md5(content), 1, 8))::BIGINT % 7 AS failures FROM pages_t)
 SELECT document_id, page,
-       CASE WHEN blank THEN 'skipped' WHEN length(content) > 3000 THEN 'failed' ELSE 'success' END AS status,
-       CASE WHEN blank THEN {BLANK_TEXT} WHEN length(content) > 3000 THEN NULL
+       CASE WHEN blank THEN 'skipped' WHEN failures >= 5 THEN 'failed' ELSE 'success' END AS status,
+       CASE WHEN blank THEN {BLANK_TEXT} WHEN failures >= 5 THEN NULL
             ELSE trim(regexp_replace(coalesce(regexp_extract(content, {SENT}, 0), ''), {SPACE_RUN}, ' ', 'g')) END AS summary,
-       CASE WHEN NOT blank AND length(content) > 3000 THEN 'input too long: ' || length(content) || ' characters' END AS error,
-       CASE WHEN NOT blank AND length(content) > 3000 THEN
-         CASE WHEN regexp_matches(e, '(?i)(timeout|timed out|rate limit|too many requests|\b429\b|\b503\b|temporar|unavailable|connection)') THEN 'transient'
-              WHEN regexp_matches(e, '(?i)(invalid|not found|\b404\b|\b400\b|unauthori[sz]ed|forbidden|too long|context length)') THEN 'permanent'
-              ELSE 'unknown' END
-       ELSE 'unknown' END AS error_category,
-       CAST(CASE WHEN blank THEN 0 WHEN length(content) > 3000 THEN 5 ELSE 1 END AS INTEGER) AS attempts
+       CASE WHEN NOT blank AND failures >= 5 THEN 'invalid model response' END AS error,
+       CASE WHEN NOT blank AND failures >= 5 THEN 'permanent' ELSE 'unknown' END AS error_category,
+       CAST(CASE WHEN blank THEN 0 ELSE least(failures + 1, 5) END AS INTEGER) AS attempts
 FROM c""",
     }
 )

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import index, pages, report, summarize
 from ..session import materialize
+from ..sources.files import write_pages
 
 DEFAULT_RUN_TIME = "2025-01-01 00:00:00"
 
@@ -39,14 +40,17 @@ def process_corpus(
     max_attempts: int = summarize.DEFAULT_MAX_ATTEMPTS,
     concurrency: int | None = None,
     persist: bool = False,
+    totals: DataFrame | None = None,
 ) -> Processed:
     """Run L1 over analysis results (E2: ``document_id, blob_path, content, pages``).
 
     ``summarizer`` replaces the extractive page summariser with the caller's function
     (Z3, retried up to ``max_attempts``). ``persist`` checkpoints the page summaries
-    -- read by four consumers -- into the shared checkpoint folder."""
+    -- read by four consumers -- into the shared checkpoint folder. ``totals`` are page
+    counts that are known without making the pages."""
     pg = pages.split_pages(results)
-    totals = results.select("document_id", pages.page_count(F.col("pages")).alias("total_pages"))
+    if totals is None:
+        totals = results.select("document_id", pages.page_count(F.col("pages")).alias("total_pages"))
     if summarizer is None:
         ps = summarize.summarize_pages(pg, sentences=sentences)
     else:
@@ -58,3 +62,11 @@ def process_corpus(
     res = report.pipeline_result(results.select("document_id", "blob_path"), totals, rep, ds)
     idx = index.build_index(res, run_time)
     return Processed(pg, totals, ps, ds, rep, res, idx)
+
+
+def store_processed(done: Processed, root: str) -> None:
+    """L1's outputs (E5-E8) under ``root``, each as a keyed table of its own: a document
+    that is processed again replaces its own rows and no others."""
+    write_pages(done.page_summaries, f"{root}/page_summaries", keys=("document_id", "page"))
+    for name in ("doc_summaries", "report", "index"):
+        write_pages(getattr(done, name), f"{root}/{name}")

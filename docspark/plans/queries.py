@@ -18,6 +18,7 @@ from ..operators import search as S
 from ..operators import summarize as Z
 from ..session import materialize, table
 from ..sources import corpus, intake
+from . import stored
 from .process import process_corpus
 from ..streaming import intake as T
 from .regenerate import regenerate
@@ -37,7 +38,8 @@ def _results(spark: SparkSession, sf_dir: str, lines_per_page: int = LINES_PER_P
 
 def _processed(spark, sf_dir, lines_per_page=LINES_PER_PAGE, run_time=RUN_TIME_1):
     """L1 with page summaries written once (they feed summaries, reports, index)."""
-    return process_corpus(_results(spark, sf_dir, lines_per_page), run_time=run_time, persist=True)
+    totals = corpus.documents_totals(table(spark, sf_dir, "documents"), lines_per_page)
+    return process_corpus(_results(spark, sf_dir, lines_per_page), run_time=run_time, persist=True, totals=totals)
 
 
 def _ts(c: str):
@@ -75,8 +77,9 @@ def q_split_pages(spark, sf_dir):
 
 
 def q_page_count(spark, sf_dir):
-    """P1 per document."""
-    return P.page_counts(_results(spark, sf_dir))
+    """P1 per document, from its line ends."""
+    totals = corpus.documents_totals(table(spark, sf_dir, "documents"), LINES_PER_PAGE)
+    return totals.withColumnRenamed("total_pages", "page_count")
 
 
 def q_classify_pages(spark, sf_dir):
@@ -235,18 +238,23 @@ def _score(c="score"):
     return F.round(F.col(c), 6).alias(c)
 
 
-def _records(spark, sf_dir):
-    pr = _processed(spark, sf_dir)
-    return X.build_embeddings(pr.doc_summaries, pr.page_summaries, pr.pages, CHUNK_TOKENS, CHUNK_OVERLAP)
-
-
 def _index(spark, sf_dir):
-    """The stored sparse index of the corpus (built on first use, then read)."""
-    from .store import stored_index
+    """The stored sparse index of the corpus (built on first use in a session)."""
+    from .store import session_index
+
+    def build():
+        pr = _processed(spark, sf_dir)
+        records = X.build_embeddings(pr.doc_summaries, pr.page_summaries, pr.pages, CHUNK_TOKENS, CHUNK_OVERLAP)
+        return records, X.document_topics(pr.pages)
 
     namespace = spark.conf.get("docspark.index.namespace", "")  # set per run by bench.py
-    params = f"lines={LINES_PER_PAGE};chunk={CHUNK_TOKENS}/{CHUNK_OVERLAP};run={RUN_TIME_1};ns={namespace}"
-    return stored_index(spark, [f"{sf_dir}/documents.parquet"], params, lambda: _records(spark, sf_dir), SEARCH_DIM)
+    return session_index(spark, f"{sf_dir}|{namespace}", build, SEARCH_DIM)
+
+
+def _common_topic(idx):
+    """The topic that most documents have (ties: the first), one row."""
+    per = idx.topics.select(F.explode("topics").alias("topic")).groupBy("topic").count()
+    return per.orderBy(F.desc("count"), "topic").first()["topic"]
 
 
 def _questions(spark, sf_dir):
@@ -302,7 +310,7 @@ def q_dense_topk(spark, sf_dir):
     """Q1: each stored document's centroid vector against every page vector."""
     v = corpus.vector_records(table(spark, sf_dir, "embeddings"))
     cq = S.centroids(v, "document_id", 64).select(F.col("document_id").alias("qid"), "embedding")
-    hits = S.search_dense(cq, v.select("id", "document_id", "page_number", "embedding"), top=5, dim_hint=64)
+    hits = S.search_dense(cq, v.select("id", "level", "document_id", "page_number", "embedding"), top=5, level="page")
     return hits.select("qid", "rank", "id", "document_id", _score())
 
 
@@ -365,6 +373,36 @@ def q_metadata_search(spark, sf_dir):
     return hits.select("qid", "rank", "id", _score())
 
 
+def q_metadata_tables(spark, sf_dir):
+    """Q12: paragraph search among paragraphs with numbers on pages with tables; hits
+    return their offsets."""
+    idx = _index(spark, sf_dir)
+    hits = S.metadata_search(_questions(spark, sf_dir), idx, F.col("has_tables") & (F.col("start_offset") >= 0), X.LEVEL_PARAGRAPH)
+    return hits.select("qid", "rank", "id", _score(), "has_tables", "contains_numbers", "start_offset", "end_offset")
+
+
+def q_metadata_topic(spark, sf_dir):
+    """Q12: page search in the documents about the corpus's most common topic."""
+    idx = _index(spark, sf_dir)
+    hits = S.metadata_search(_questions(spark, sf_dir), idx, topic=_common_topic(idx))
+    return hits.select("qid", "rank", "id", _score())
+
+
+def q_compare_topic(spark, sf_dir):
+    """Q7 with a topic: :func:`q_compare` in the documents about the most common topic."""
+    from ..functions.text import lead_sentences
+
+    idx = _index(spark, sf_dir)
+    q = _questions(spark, sf_dir).select("qid", lead_sentences("text", 1).alias("text_a"), F.col("text").alias("text_b"))
+    out = S.compare(q, idx, k_page=10, k=5, topic=_common_topic(idx))
+    return out.select("qid", "rank", "id_a", _score("score_a"), "id_b", _score("score_b"))
+
+
+def q_document_topics(spark, sf_dir):
+    """The topics stored with the index, as one string per document."""
+    return _index(spark, sf_dir).topics.select("document_id", F.array_join("topics", ",").alias("topics"))
+
+
 def q_choose_detail(spark, sf_dir):
     """Q10: detail level and confidence per question (pages of its best document)."""
     idx = _index(spark, sf_dir)
@@ -390,15 +428,18 @@ def _doc_text(spark, sf_dir):
 
 
 def q_mentions(spark, sf_dir):
-    """Q13: every occurrence of every benchmark passage (whole text) in the corpus."""
+    """Q13: every occurrence of every benchmark passage (whole text) in the corpus, with
+    the page it starts on."""
     ph = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("pid"), "text")
-    return Q.mentions(ph, _doc_text(spark, sf_dir), window=5)
+    results = _results(spark, sf_dir)
+    texts = F.transform("pages", lambda p: F.array_join(F.transform(p["lines"], lambda x: x["content"]), "\n"))
+    return Q.mentions(ph, results.select("document_id", texts.alias("texts")), window=5)
 
 
 def q_amounts(spark, sf_dir):
     """Q14: number mentions per document (count, exact sum, largest)."""
     a = Q.amounts_by_document(P.split_pages(_results(spark, sf_dir)))
-    return a.select("document_id", "n_amounts", F.col("total").cast("string").alias("total"), F.col("largest").cast("string").alias("largest"))
+    return a.select("document_id", "n_amounts", "n_unparsed", F.col("total").cast("string").alias("total"), F.col("largest").cast("string").alias("largest"))
 
 
 def q_similar_sections(spark, sf_dir):
@@ -409,7 +450,7 @@ def q_similar_sections(spark, sf_dir):
 
 
 def q_duplicate_groups(spark, sf_dir):
-    """Q15: groups of exact copies (identical term sets), one row per group."""
+    """Q15: groups of identical term sets, one row per member."""
     return Q.duplicate_groups(_doc_text(spark, sf_dir))
 
 
@@ -433,14 +474,13 @@ def q_topics(spark, sf_dir):
 
 def q_section_of_page(spark, sf_dir):
     """Sites as documents (URL host), pages in ``page_id`` order, the page's
-    ``<h1>`` as heading (only when it is a sentence: ends with '.'); each page's
-    section is the nearest heading at or before it."""
+    ``<h1>`` as heading; each page's section is the nearest heading at or before it."""
     pg = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     h = F.regexp_extract("html", r"<h1[^>]*>([^<]*)</h1>", 1)
     rows = pg.select(
         F.regexp_extract("url", r"^[a-z]+://([^/?#]+)", 1).alias("document_id"),
         F.col("page_id").alias("page_number"),
-        F.when(h.endswith("."), h).alias("heading"),
+        F.nullif(h, F.lit("")).alias("heading"),
     )
     return X.section_of_page(rows).select("document_id", "page_number", "section")
 
@@ -472,6 +512,10 @@ QUERIES.update(
         "compare_documents": q_compare_documents,
         "rank_documents": q_rank_documents,
         "metadata_search": q_metadata_search,
+        "metadata_tables": q_metadata_tables,
+        "metadata_topic": q_metadata_topic,
+        "compare_topic": q_compare_topic,
+        "document_topics": q_document_topics,
         "choose_detail": q_choose_detail,
         "answer_context": q_answer_context,
         "mentions": q_mentions,
@@ -516,7 +560,7 @@ def q_stream_progress(spark, sf_dir):
     """Completed pages per document from the streaming aggregate."""
     sink = T.scratch_root(spark, "progress")
     T.run_to_completion(T.stream_progress(spark, _doc_files(sf_dir), sink))
-    return T.read_progress(spark, sink).select("document_id", "completed_pages")
+    return T.read_progress(spark, sink).select("document_id", "completed_pages", "total_pages")
 
 
 def q_stream_dedupe(spark, sf_dir):
@@ -527,26 +571,11 @@ def q_stream_dedupe(spark, sf_dir):
     return spark.read.parquet(f"{sink}/data").select("document_id", F.length("text").cast("int").alias("n_chars"))
 
 
-# Fixed parameter: the stand-in model's input limit (characters).
-MODEL_INPUT_LIMIT = 3000
-
-
-def length_limited_model(text: str) -> str:
-    """A deterministic stand-in for a hosted model with an input limit: the first
-    sentence of the text, or an error when the text is longer than the limit."""
-    import re
-
-    if len(text) > MODEL_INPUT_LIMIT:
-        raise ValueError(f"input too long: {len(text)} characters")
-    m = re.search(r"[^ \t\n\r.!?][^.!?]*[.!?]*", text)
-    return "" if m is None else re.sub(r"[ \t\n\r]+", " ", m.group(0))
-
-
 def q_summarize_with_retry(spark, sf_dir):
-    """Pages summarised by a caller's function with five attempts; pages over
-    the model's input limit fail permanently and become ``failed`` records."""
+    """Pages summarised by a caller's function that fails up to six times, with
+    five attempts each: all numbers of attempts and permanent failures occur."""
     pg = P.split_pages(_results(spark, sf_dir))
-    out = Z.classify_errors(Z.summarize_with(pg, length_limited_model, max_attempts=5, concurrency=8))
+    out = Z.classify_errors(Z.summarize_with(pg, stored.flaky_model(), max_attempts=5))
     return out.select("document_id", "page", "status", "summary", "error", "error_category", "attempts")
 
 
@@ -559,3 +588,5 @@ QUERIES.update(
         "summarize_with_retry": q_summarize_with_retry,
     }
 )
+
+QUERIES.update(stored.STORED_QUERIES)

@@ -2,48 +2,84 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import pages as P
 from ..operators import report, summarize
+from ..session import materialize
+from ..sources.files import write_pages
+
+
+@dataclass
+class Regenerated:
+    page_summaries: DataFrame  # E5 of the pages in the range
+    doc_summaries: DataFrame   # E6 of their documents
+    stats: DataFrame           # E17 per document
 
 
-def regenerate(
+def regenerate_corpus(
     page_rows: DataFrame,
     page_range: str | None = None,
     dry_run: bool = False,
     scope: str = "all",
     sentences: int = 2,
     doc_sentences: int = 5,
-) -> DataFrame:
-    """E17 per document: ``total_pages`` (pages processed), successful / skipped /
-    failed counts (M7b), ``document_summary_generated``, ``dry_run``, plus
-    ``status``/``error`` for documents with no page inside the range.
+    summarizer: Callable[[str], str] | None = None,
+    max_attempts: int = summarize.DEFAULT_MAX_ATTEMPTS,
+    stored: DataFrame | None = None,
+    root: str | None = None,
+) -> Regenerated:
+    """Regenerated page summaries and document summaries, and what was done per document.
 
-    ``scope='range'`` rebuilds the document summary from the range only, as the
-    original tool does (M12); ``'all'`` (default) from every page."""
+    ``page_range`` limits the pages; ``summarizer`` replaces the extractive summary
+    (Z3, retried). ``scope='range'`` rebuilds the document summary from the range only,
+    as the original tool does (M12); ``'all'`` (default) from every page, those outside
+    the range with their ``stored`` summaries (made anew when there are none). With
+    ``root`` page and document summaries are stored there, replacing those of the same
+    page or document and no others. A dry run summarises and stores nothing."""
     if scope not in ("all", "range"):
         raise ValueError("scope must be 'all' or 'range'")
+
+    def summaries(rows: DataFrame) -> DataFrame:
+        if summarizer is None:
+            return summarize.summarize_pages(rows, sentences=sentences)
+        return summarize.summarize_with(rows, summarizer, max_attempts=max_attempts)
+
     docs = page_rows.select("document_id").distinct()
-    todo = page_rows
-    label = ""
+    todo, label = page_rows, ""
     if page_range is not None:
-        start, end = P.check_page_range(page_range)
-        label = f"{start}-{end}"
-        todo = page_rows.filter(F.col("page_number").between(start, end))
+        label = "-".join(part.strip() for part in page_range.split("-"))
+        todo = P.select_page_range(page_rows, F.lit(page_range))
     if dry_run:
         results = summarize.dry_run_plan(todo)
-        doc_sum = results.limit(0).select("document_id", F.lit("dry-run").alias("status"))
+        doc_sum = summarize.summarize_documents(results.where("false"), max_sentences=doc_sentences)
     else:
-        results = summarize.summarize_pages(todo, sentences=sentences)
-        basis = results if (scope == "range" or page_range is None) else summarize.summarize_pages(page_rows, sentences=sentences)
+        results = summaries(todo)
+        if summarizer is not None or root is not None:
+            results = materialize(results)  # a caller's function runs once per page
+        basis = results
+        if scope == "all" and page_range is not None:
+            key = ["document_id", "page"]
+            rest = stored
+            if rest is None:
+                outside = page_rows.withColumnRenamed("page_number", "page").join(results.select(*key), key, "left_anti")
+                rest = summaries(outside.withColumnRenamed("page", "page_number"))
+            rest = rest.join(results.select(*key), key, "left_anti")
+            touched = results.select("document_id").distinct()
+            basis = results.unionByName(rest.join(touched, "document_id", "left_semi"))
         doc_sum = summarize.summarize_documents(basis, max_sentences=doc_sentences)
+        if root is not None:
+            write_pages(results, f"{root}/page_summaries", keys=("document_id", "page"))
+            write_pages(doc_sum, f"{root}/doc_summaries")
     stats = report.regeneration_stats(results, doc_sum, dry_run=dry_run)
     err = F.lit(f"No pages in range {label}")
     out = docs.join(stats, "document_id", "left")
     found = F.col("total_pages").isNotNull()
-    return out.select(
+    return Regenerated(results, doc_sum, out.select(
         "document_id",
         F.when(found, F.lit("success")).otherwise(F.lit("failed")).alias("status"),
         F.coalesce(F.col("total_pages"), F.lit(0)).alias("total_pages"),
@@ -53,4 +89,11 @@ def regenerate(
         F.coalesce(F.col("document_summary_generated"), F.lit(False)).alias("document_summary_generated"),
         F.lit(dry_run).alias("dry_run"),
         F.when(~found, err).alias("error"),
-    )
+    ))
+
+
+def regenerate(page_rows: DataFrame, **options) -> DataFrame:
+    """E17 per document: ``total_pages`` (pages processed), successful / skipped /
+    failed counts (M7b), ``document_summary_generated``, ``dry_run``, plus
+    ``status``/``error`` for documents with no page inside the range."""
+    return regenerate_corpus(page_rows, **options).stats

@@ -1,12 +1,13 @@
-"""Stored index tables (S13): built once from the tables, reused by later searches.
+"""Stored index tables (S13): built by an explicit step, read by later searches.
 
-The index lives under the shared checkpoint folder, keyed by the input files'
-modification times and the build parameters, so a changed input builds a new one.
-A ``_COMPLETE`` marker is written last; a half-written index is never read."""
+A build gets a folder of its own under the shared checkpoint folder, so builds never
+meet, and is read only through the handle that the build returns (or by its path).
+Within a session the registered queries share one build per input and parameters."""
 
 from __future__ import annotations
 
-import hashlib
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,50 +16,37 @@ from ..operators.search import RECORD_COLS, SparseIndex
 from ..session import ensure_checkpoint_dir
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def modification_time(spark: SparkSession, path: str) -> int:
-    fs, p = _fs(spark, path)
-    return int(fs.getFileStatus(p).getModificationTime())
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def _touch(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    fs.create(p, True).close()
-
-
-# Bumped whenever the layout or the derivation of the stored tables changes, so an
-# index written by an earlier build of the code is never read by a later one.
-INDEX_FORMAT = 3
-
-
-def stored_index(spark: SparkSession, inputs: list[str], params: str, build_records, dim: int) -> SparseIndex:
-    """The sparse index for ``inputs`` + ``params``; ``build_records()`` returns the
-    records DataFrame when the index has to be built."""
-    stamp = "|".join(f"{p}:{modification_time(spark, p)}" for p in inputs) + f"|{params}|{dim}|v{INDEX_FORMAT}"
-    key = hashlib.md5(stamp.encode()).hexdigest()
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/indexes/{key}"
-    if not _exists(spark, f"{root}/_COMPLETE"):
-        recs: DataFrame = build_records().select(*RECORD_COLS)
-        recs.write.mode("overwrite").parquet(f"{root}/records")
-        recs = spark.read.parquet(f"{root}/records")
-        vec = term_vectors(recs, "id", "text", dim, keep=("level",))
-        vec.write.mode("overwrite").partitionBy("level").parquet(f"{root}/vectors")
-        vec = spark.read.parquet(f"{root}/vectors")
-        vector_norms(vec, "id", keep=("level",)).write.mode("overwrite").partitionBy("level").parquet(f"{root}/norms")
-        _touch(spark, f"{root}/_COMPLETE")
-    return SparseIndex(
-        spark.read.parquet(f"{root}/records"),
-        spark.read.parquet(f"{root}/vectors"),
-        spark.read.parquet(f"{root}/norms"),
-        dim,
-    )
+def build_index_tables(records: DataFrame, topics: DataFrame, dim: int) -> str:
+    """Write records, topics, term vectors (with their record's norm) and norms; the path
+    of the new build. Vectors are partitioned by level and ordered by bucket, so a level
+    filter prunes folders and a file's row groups hold few buckets."""
+    spark = records.sparkSession
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/indexes/{uuid.uuid4().hex}"
+    records.select(*RECORD_COLS).write.parquet(f"{root}/records")
+    topics.write.parquet(f"{root}/topics")
+    recs = spark.read.parquet(f"{root}/records")
+    vec = term_vectors(recs, "id", "text", dim, keep=("level",))
+    norms = vector_norms(vec, "id", keep=("level",))
+    (vec.join(norms.select("id", "n2"), "id").sortWithinPartitions("level", "bucket")
+     .write.partitionBy("level").parquet(f"{root}/vectors"))
+    stored = spark.read.parquet(f"{root}/vectors")
+    stored.groupBy("id", "level").agg({"n2": "first"}).withColumnRenamed("first(n2)", "n2").write.partitionBy("level").parquet(f"{root}/norms")
+    return root
+
+
+def read_index_tables(spark: SparkSession, root: str, dim: int) -> SparseIndex:
+    return SparseIndex(*(spark.read.parquet(f"{root}/{name}") for name in ("records", "vectors", "norms")), dim,
+                       spark.read.parquet(f"{root}/topics"))
+
+
+_BUILT: dict[tuple[str, str], str] = {}
+
+
+def session_index(spark: SparkSession, key: str, build: Callable[[], tuple[DataFrame, DataFrame]], dim: int) -> SparseIndex:
+    """The index that this session built for ``key``, built now if there is none.
+    ``build()`` returns records and topics. Another session, or another version of the
+    code, never reads it."""
+    mine = (spark.sparkContext.applicationId, key)
+    if mine not in _BUILT:
+        _BUILT[mine] = build_index_tables(*build(), dim)
+    return read_index_tables(spark, _BUILT[mine], dim)

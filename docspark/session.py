@@ -31,6 +31,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config(SCAN_PARTITIONS, str(shuffle_partitions))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -81,26 +82,14 @@ def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFra
     return df.sparkSession.read.parquet(path)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table; column pruning and filters push into the scan.
+#: Session setting: deal every table read by its leading id column to so many
+#: partitions. For test files of a single row group; unset (no exchange) on a cluster.
+SCAN_PARTITIONS = "docspark.scan.partitions"
+
 
-    A scan with fewer input splits than the cluster has task slots (a small file
-    written as one row group) would run all per-row work -- pagination, regular
-    expressions, chunking -- in a single task; such scans are spread round-robin
-    over the available slots. Large inputs already have many splits and are left
-    alone, so nothing extra is shuffled at scale."""
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one table; column pruning and filters push into the scan, and its splits
+    are the input's, unless :data:`SCAN_PARTITIONS` is set."""
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread(df)
-
-
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Hash-spread a scan with too few splits over the task slots. Hashing the key
-    (default: the table's leading id column) is deterministic under retries
-    without the full-row sort a round-robin repartition needs."""
-    sc = _context(df.sparkSession)
-    if sc is None:  # Spark Connect: no partition count to inspect
-        return df
-    slots = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots, key or df.columns[0])
-    return df
+    n = spark.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(n), df.columns[0]) if n else df

@@ -11,9 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _sum_ints(arr: Column) -> Column:
-    return F.aggregate(arr, F.lit(0), lambda a, x: a + x)
+from ..functions.arrays import bind, prefix_sums
 
 
 def paginate(
@@ -23,63 +21,72 @@ def paginate(
     text_col: str = "text",
     id_prefix: str = "doc-",
     blob_path: Column | None = None,
-    blank_first_page: Column | None = None,
+    cover: Column | None = None,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """S14. Documents -> E2 ``(document_id, blob_path, content, pages)``.
 
     Page ``p`` (0-based) holds lines ``[p*L, (p+1)*L)`` of ``split(text, '\\n')`` and one
-    span ``(offset, length)`` covering them without the separating newline.
-    ``blank_first_page`` marks documents whose first page is image-only: that page
-    gets no spans and no lines, so extraction yields ''."""
+    span ``(offset, length)`` covering them without the separating newline. ``cover``
+    marks documents that have an image-only page before these: it has no spans and no
+    lines, so extraction yields ''. All text stays on the other pages.
+
+    The text is split once per row and offsets come from two-level sums, so the work
+    follows the number of lines."""
     if lines_per_page < 1:
         raise ValueError("lines_per_page must be >= 1")
     L = lines_per_page
     doc_id = F.concat(F.lit(id_prefix), F.col(id_col).cast("string"))
     path = blob_path if blob_path is not None else F.concat(F.lit("raw-pdfs/"), doc_id, F.lit(".pdf"))
-    blank = blank_first_page if blank_first_page is not None else F.lit(False)
-
-    lines = F.split(F.col(text_col), "\n", -1)
-    line_len = F.transform(lines, lambda x: F.length(x))
-    n_pages = F.floor((F.size(lines) + (L - 1)) / L).cast("int")
-
-    def page(p: Column) -> Column:
-        start = p * L
-        page_lines = F.slice(lines, start + 1, L)
-        offset = _sum_ints(F.slice(line_len, 1, start)) + start
-        length = _sum_ints(F.slice(line_len, start + 1, L)) + F.size(page_lines) - 1
-        span = F.struct(offset.cast("int").alias("offset"), length.cast("int").alias("length"))
-        line_structs = F.transform(page_lines, lambda x: F.struct(x.alias("content")))
-        is_blank = blank & (p == 0)
-        empty_spans = F.array().cast("array<struct<offset:int,length:int>>")
-        empty_lines = F.array().cast("array<struct<content:string>>")
-        return F.struct(
-            F.when(is_blank, empty_spans).otherwise(F.array(span)).alias("spans"),
-            F.when(is_blank, empty_lines).otherwise(line_structs).alias("lines"),
-        )
-
-    pages = F.when(n_pages > 0, F.transform(F.sequence(F.lit(0), n_pages - 1), page))
+
+    def cut(lines: Column) -> Column:
+        last = F.floor((F.size(lines) - 1) / L).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda p: F.slice(lines, p * L + 1, L))
+
+    def laid_out(page_lines: Column) -> Column:
+        sizes = F.transform(page_lines, lambda ls: F.aggregate(ls, F.lit(0), lambda n, x: n + F.length(x) + 1))
+        return bind(sizes, lambda size: bind(prefix_sums(size), lambda offset: F.transform(
+            page_lines, lambda ls, p: F.struct(
+                F.array(F.struct(F.get(offset, p).alias("offset"), (F.get(size, p) - 1).alias("length"))).alias("spans"),
+                F.transform(ls, lambda x: F.struct(x.alias("content"))).alias("lines")))))
+
+    text = F.col(text_col)
+    pages = F.when(text.isNotNull(), bind(F.split(text, "\n", -1), lambda lines: bind(cut(lines), laid_out)))
+    if cover is not None:
+        blank = F.array(F.struct(F.array().cast("array<struct<offset:int,length:int>>").alias("spans"),
+                                 F.array().cast("array<struct<content:string>>").alias("lines")))
+        pages = F.when(F.coalesce(cover, F.lit(False)), F.concat(blank, pages)).otherwise(pages)
     return documents.select(
         doc_id.alias("document_id"),
         path.alias("blob_path"),
-        F.col(text_col).alias("content"),
+        text.alias("content"),
         pages.alias("pages"),
         *keep,
     )
 
 
+def has_cover() -> Column:
+    """The documented derivation of blank pages: every seventh document of the driver's
+    table (``doc_id % 7 = 0``) has an image-only cover before its text (FIXTURES.md)."""
+    return F.col("doc_id") % 7 == 0
+
+
+def document_path() -> Column:
+    return F.concat(F.lit("raw-pdfs/"), F.col("source"), F.lit("/doc-"), F.col("doc_id").cast("string"), F.lit(".pdf"))
+
+
 def documents_corpus(documents: DataFrame, lines_per_page: int = 10, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The driver's ``documents`` table as analysis results, with the documented
-    derivation that the first page of every seventh document (``doc_id % 7 = 0``) is
-    image-only, so skipped pages exist in the data (FIXTURES.md §3)."""
-    path = F.concat(F.lit("raw-pdfs/"), F.col("source"), F.lit("/doc-"), F.col("doc_id").cast("string"), F.lit(".pdf"))
-    return paginate(
-        documents,
-        lines_per_page=lines_per_page,
-        blob_path=path,
-        blank_first_page=(F.col("doc_id") % 7 == 0),
-        keep=keep,
-    )
+    """The driver's ``documents`` table as analysis results, covers included."""
+    return paginate(documents, lines_per_page=lines_per_page, blob_path=document_path(), cover=has_cover(), keep=keep)
+
+
+def documents_totals(documents: DataFrame, lines_per_page: int = 10, keep: tuple[str, ...] = ()) -> DataFrame:
+    """P1 of :func:`documents_corpus` from the number of line ends, without any page:
+    ``(document_id, total_pages)``."""
+    ends = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    n = F.floor(ends / lines_per_page) + 1 + F.coalesce(has_cover(), F.lit(False)).cast("int")
+    doc_id = F.concat(F.lit("doc-"), F.col("doc_id").cast("string"))
+    return documents.select(doc_id.alias("document_id"), F.coalesce(n, F.lit(0)).cast("int").alias("total_pages"), *keep)
 
 
 def conversation_pages(conversations: DataFrame) -> DataFrame:

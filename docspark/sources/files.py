@@ -3,11 +3,13 @@ schemas, Parquet inside, hash-bucketed partitions (never one directory per docum
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import truthy_text
+from ..session import materialize
 
 # Reference JSON field names (camelCase) of a parsed page.
 PAGE_JSON_SCHEMA = T.StructType(
@@ -49,11 +51,35 @@ def bucket_of(document_id: str, buckets: int):
     return F.pmod(F.xxhash64(F.col(document_id)), F.lit(buckets)).cast("int")
 
 
-def write_pages(df: DataFrame, path: str, buckets: int = 64, fmt: str = "parquet") -> None:
-    """Overwrite only the buckets present in ``df`` (dynamic partition overwrite)."""
+def stored_rows(spark: SparkSession, path: str, fmt: str, schema: T.StructType) -> DataFrame | None:
+    """What is stored at ``path``; None when nothing is."""
+    try:
+        return spark.read.schema(schema).format(fmt).load(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def write_pages(df: DataFrame, path: str, buckets: int = 64, fmt: str = "parquet", keys: tuple[str, ...] | None = None) -> None:
+    """Store rows by key; rows with a key that is stored replace those, all other
+    stored rows stay. The key is (document_id, page_number) where there are pages, else
+    document_id. Only the hash buckets that ``df`` touches are read and written: the
+    stored rows of other keys are merged in, the merged buckets are written aside as a
+    table of their own and then take their places in one commit, so repeating a failed
+    write gives the same result."""
+    spark = df.sparkSession
+    keys = keys or (("document_id", "page_number") if "page_number" in df.columns else ("document_id",))
+    new = materialize(df.withColumn("bucket", bucket_of("document_id", buckets)))
+    old = stored_rows(spark, path, fmt, new.schema)
+    merged = new
+    if old is not None:
+        touched = new.select("bucket").distinct()  # one row per bucket at most
+        same = [old[k].eqNullSafe(new[k]) for k in ("bucket", *keys)]
+        kept = old.join(touched, "bucket", "left_semi").join(new, on=same, how="left_anti")
+        merged = materialize(new.unionByName(kept))
     (
-        df.withColumn("bucket", bucket_of("document_id", buckets))
-        .write.mode("overwrite")
+        merged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("bucket")
         .format(fmt)

@@ -36,9 +36,9 @@ def test_similar_sections_equals_brute_force(spark):
     for did, text in sorted(DOCS):
         groups.setdefault(frozenset(_terms(text)), []).append(did)
     reps = {min(ids): (s, len(ids)) for s, ids in groups.items()}
-    dup = {(r.representative, r.copies) for r in Q.duplicate_groups(df).collect()}
-    assert dup == {(rep, n) for rep, (_, n) in reps.items() if n > 1} == {("a", 2)}
-    for t in (0.5, 0.8, 1.0):
+    dup = {(r.member, r.representative, r.copies) for r in Q.duplicate_groups(df).collect()}
+    assert dup == {("a", "a", 2), ("b", "a", 2)}
+    for t in (0.5, 0.55, 0.8, 1.0):
         got = {(r.id_a, r.id_b, r.copies_a, r.copies_b) for r in Q.similar_sections(df, t).collect()}
         want = set()
         for (ia, (sa, na)), (ib, (sb, nb)) in itertools.combinations(sorted(reps.items()), 2):
@@ -47,6 +47,29 @@ def test_similar_sections_equals_brute_force(spark):
         assert got == want, t
 
 
+def test_mentions_over_pages_and_blocks(spark):
+    pages = ["a b c d", "", "e f a b", "c d e"]
+    docs = spark.createDataFrame([("x", pages), ("y", [" ".join(["z"] * 3000 + ["a", "b", "c"])]), ("n", None)],
+                                 "document_id string, texts array<string>")
+    phrases = spark.createDataFrame([(1, "d e"), (2, "a b c"), (3, "c"), (4, "f a b c d")], "pid long, text string")
+    for block in (2, 3, 512):
+        got = sorted((r.pid, r.document_id, r.term_position, r.page_number, r.context)
+                     for r in Q.mentions(phrases, docs, window=1, block=block).collect())
+        assert got == [(1, "x", 3, 1, "c d e f"), (1, "x", 9, 4, "c d e"), (2, "x", 0, 1, "a b c d"), (2, "x", 6, 3, "f a b c d"),
+                       (2, "y", 3000, 1, "z a b c"), (3, "x", 2, 1, "b c d"), (3, "x", 8, 4, "b c d"), (3, "y", 3002, 1, "b c"),
+                       (4, "x", 5, 3, "e f a b c d e")]
+
+
+def test_amounts_are_grouped_and_never_fail(spark):
+    pages = spark.createDataFrame([("d", 1, "$1,234.56 and 1,000,000 or 12345,678 " + "9" * 40)],
+                                  "document_id string, page_number int, content string")
+    got = {r.mention: r.amount for r in Q.extract_amounts(pages).collect()}
+    assert {k: None if v is None else float(v) for k, v in got.items()} == {
+        "1,234.56": 1234.56, "1,000,000": 1000000.0, "12345": 12345.0, "678": 678.0, "9" * 40: None}
+    total = Q.amounts_by_document(pages).first()
+    assert (total.n_amounts, total.n_unparsed, float(total.total)) == (5, 1, 1234.56 + 1000000 + 12345 + 678)
+
+
 def test_hot_group_of_copies_is_one_row(spark):
     copies = [(f"x{i:04d}", "one two three four five") for i in range(300)] + [("y", "one two three four six")]
     df = spark.createDataFrame(copies, "document_id string, text string")
@@ -55,7 +78,7 @@ def test_hot_group_of_copies_is_one_row(spark):
 
 
 def test_mentions_equals_brute_force(spark):
-    docs = spark.createDataFrame(DOCS, "document_id string, text string")
+    docs = spark.createDataFrame([(d, [t]) for d, t in DOCS], "document_id string, texts array<string>")
     phrases = [(1, "quick brown fox"), (2, "the lazy"), (3, "fox"), (4, "absent phrase")]
     got = {(r.pid, r.document_id, r.term_position) for r in Q.mentions(spark.createDataFrame(phrases, "pid long, text string"), docs).collect()}
     want = set()

@@ -126,17 +126,8 @@ def test_dense_search_brute_force_and_zero_vector(spark):
     vecs = [("a", [1.0, 0.0]), ("b", [0.0, 1.0]), ("c", [1.0, 1.0]), ("z", [0.0, 0.0]), ("a2", [2.0, 0.0])]
     v = spark.createDataFrame(vecs, "id string, embedding array<float>")
     q = spark.createDataFrame([(1, [1.0, 0.0])], "qid long, embedding array<float>")
-    got = [(r.id, round(r.score, 6)) for r in S.search_dense(q, v, top=4, dim_hint=2).orderBy("rank").collect()]
+    got = [(r.id, round(r.score, 6)) for r in S.search_dense(q, v, top=4).orderBy("rank").collect()]
     assert got == [("a", 1.0), ("a2", 1.0), ("c", round(1 / math.sqrt(2), 6)), ("b", 0.0)]
-    batched = S.search_dense(q, v, top=4, broadcast_limit_bytes=1, dim_hint=2)
-    assert sorted(r.id for r in batched.collect()) == ["a", "a2", "b", "c"]
-
-
-def test_bounded_search_equals_full_search(spark):
-    recs = RECS + [(f"x{i}_page_1", "page", f"x{i}", 1, None, "the cats the dogs the " + "w%d " % i * (i % 3 + 1)) for i in range(30)]
-    idx = S.sparse_index(spark.createDataFrame(recs, RSCHEMA), 1 << 12)
-    qs = spark.createDataFrame([(1, "cats purr"), (2, "the the dogs"), (3, "w7 w7 bonds"), (4, "zebra")], "qid long, text string")
-    key = lambda df: sorted((r.qid, r.rank, r.id, round(r.score, 12)) for r in df.collect())
-    for common in (0, 1, 3, 256):
-        pruned = S.search_top_k(qs, idx, "page", 3, common_buckets=common)
-        assert key(pruned) == key(S.search(qs, idx, "page", 3)), common
+    one = S.search_dense(q, v.withColumn("level", F.lit("page")), top=2, level="page", where=F.col("id") != "a", shards=1)
+    assert [r.id for r in one.orderBy("rank").collect()] == ["a2", "c"]
+    assert S.search_dense(q, v.withColumn("level", F.lit("page")), level="document").count() == 0

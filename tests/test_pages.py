@@ -1,5 +1,7 @@
 """Page extraction rules M1-M3, P1-P9 on hand-built analysis results."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,11 +98,13 @@ def test_legacy_accessors(spark):
 def test_page_range(spark, text, expected):
     r = spark.createDataFrame([(text,)], "r string").select(P.parse_page_range(F.col("r")).alias("p")).first().p
     assert (r.start, r.end, r.error) == expected
+    pages = spark.range(1, 80).select(F.col("id").cast("int").alias("page_number"))
     if expected[2] is None:
-        assert P.check_page_range(text) == expected[:2]
+        got = [x.page_number for x in P.select_page_range(pages, F.lit(text)).collect()]
+        assert sorted(got) == list(range(expected[0], expected[1] + 1))
     else:
-        with pytest.raises(ValueError):
-            P.check_page_range(text)
+        with pytest.raises(Exception, match=re.escape(expected[2])):
+            P.select_page_range(pages, F.lit(text)).collect()
 
 
 def test_truncate(spark):

@@ -17,8 +17,46 @@ def test_paginate_spans_equal_line_slices(spark):
     lines = text.split("\n")
     want = {i // 3 + 1: "\n".join(lines[i:i + 3]) for i in range(0, len(lines), 3)}
     assert got == want
-    blank = corpus.paginate(df, 3, blank_first_page=F.lit(True))
-    assert {r.page_number: r.content for r in P.split_pages(blank).collect()}[1] == ""
+    covered = {r.page_number: r.content for r in P.split_pages(corpus.paginate(df, 3, cover=F.lit(True))).collect()}
+    assert covered == {1: "", **{n + 1: t for n, t in want.items()}}
+
+
+def test_pages_keep_every_character(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    pages = P.split_pages(corpus.documents_corpus(docs))
+    per = pages.groupBy("document_id").agg(F.sum("length").alias("chars"), F.count("*").alias("pages"),
+                                           F.min(F.when(F.col("page_number") == 1, F.col("length"))).alias("first"))
+    totals = corpus.documents_totals(docs).join(per, "document_id")
+    rows = totals.join(docs.withColumn("document_id", F.concat(F.lit("doc-"), "doc_id")), "document_id").collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        cover = r.doc_id % 7 == 0
+        assert r.pages == r.total_pages and (not cover or r["first"] == 0)
+        assert r.chars + r.pages - 1 - cover == r.n_chars
+
+
+def test_pages_of_marks_and_wide_characters(spark):
+    text = "\ufeffa\U0001F600\n\ufeff\né"
+    df = spark.createDataFrame([(1, text, "s"), (2, "", "s"), (3, None, "s")], "doc_id long, text string, source string")
+    got = {(r.document_id, r.page_number): r.content for r in P.split_pages(corpus.paginate(df, 1)).collect()}
+    assert got == {("doc-1", 1): "\ufeffa\U0001F600", ("doc-1", 2): "\ufeff", ("doc-1", 3): "é", ("doc-2", 1): ""}
+
+
+def test_pagination_is_linear_in_lines(spark):
+    import time
+
+    def seconds(n):
+        rows = [(1, "\n".join(f"line {i} of the text" for i in range(n)), "s")]
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        best = 1e9
+        for _ in range(3):
+            t = time.perf_counter()
+            assert P.split_pages(corpus.paginate(df)).agg(F.sum("length")).first()[0] > 0
+            best = min(best, time.perf_counter() - t)
+        return best
+
+    seconds(8_000)
+    assert seconds(64_000) < 8 * seconds(8_000) + 1.0
 
 
 def test_page_files_round_trip_and_enumeration(spark):
@@ -43,7 +81,34 @@ def test_page_files_round_trip_and_enumeration(spark):
     out = f"{root}/out"
     files.write_pages(pages.drop("file_path"), out, buckets=4)
     files.write_pages(pages.drop("file_path").filter("page_number = 1"), out, buckets=4)  # same bucket rewritten
-    assert spark.read.parquet(out).count() == 1  # dynamic overwrite replaced only that bucket
+    assert spark.read.parquet(out).count() == 2  # the other page stays
+
+
+def test_rewriting_one_document_keeps_all_others(spark):
+    out = tempfile.mkdtemp(prefix="docspark-files-") + "/out"
+    rows = spark.range(200).select(F.concat(F.lit("doc-"), F.col("id").cast("string")).alias("document_id"), F.lit("old").alias("markdown"))
+    files.write_markdown(rows, out, buckets=8)
+    again = rows.where("document_id = 'doc-7'").withColumn("markdown", F.lit("new"))
+    for _ in range(2):
+        files.write_markdown(again, out, buckets=8)
+        got = {r.document_id: r.markdown for r in spark.read.parquet(out).collect()}
+        assert len(got) == spark.read.parquet(out).count() == 200
+        assert got["doc-7"] == "new" and sum(v == "old" for v in got.values()) == 199
+    files.write_json(again, out + "-json", buckets=2)
+    files.write_json(rows, out + "-json", buckets=2)
+    assert spark.read.json(out + "-json").where("markdown = 'old'").count() == 200
+
+
+def test_index_version_written_twice_counts_once(spark):
+    from docspark.operators import index
+
+    root = tempfile.mkdtemp(prefix="docspark-files-") + "/index"
+    one = spark.range(200).select(F.col("id").cast("string").alias("id"))
+    for _ in range(2):
+        index.append_version(one, root, 1)
+    assert index.read_current(spark, root).count() == 200
+    index.append_version(one.limit(50), root, 2)
+    assert index.read_current(spark, root).count() == 50
 
 
 def test_pending_pages(spark):

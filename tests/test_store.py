@@ -1,37 +1,27 @@
-"""The stored index is built once, reused, and rebuilt when its input changes."""
-
-import os
-import tempfile
-import time
+"""Index builds are explicit, apart from each other, and shared only within a session."""
 
 from pyspark.sql import functions as F
 
-from docspark.plans.store import stored_index
+from docspark.plans.store import build_index_tables, read_index_tables, session_index
+
+SCHEMA = ("id string, level string, document_id string, page_number int, paragraph_number int, text string, "
+          "has_tables boolean, contains_numbers boolean, start_offset int, end_offset int")
 
 
-def test_stored_index_reuse_and_invalidation(spark):
-    src = tempfile.mkdtemp(prefix="docspark-store-")
-    path = f"{src}/records.parquet"
-    spark.createDataFrame(
-        [("d_doc", "document", "d", None, None, "alpha beta")],
-        "id string, level string, document_id string, page_number int, paragraph_number int, text string",
-    ).write.parquet(path)
+def test_builds_have_their_own_folders_and_sessions_reuse_theirs(spark):
+    records = spark.createDataFrame([("d_doc", "document", "d", None, None, "alpha beta", None, False, None, None)], SCHEMA)
+    topics = spark.createDataFrame([("d", ["alpha"])], "document_id string, topics array<string>")
+    first, second = build_index_tables(records, topics, 64), build_index_tables(records, topics, 64)
+    assert first != second
+    index = read_index_tables(spark, first, 64)
+    assert index.vectors.filter(F.col("level") == "document").count() == 2
+    assert index.norms.first()["n2"] == 2 and index.about("alpha").count() == 1 and index.about("x").count() == 0
     builds = []
 
     def build():
         builds.append(1)
-        return spark.read.parquet(path)
+        return records, topics
 
-    first = stored_index(spark, [path], "p", build, 64)
-    again = stored_index(spark, [path], "p", build, 64)
-    assert len(builds) == 1
-    assert sorted(map(tuple, first.vectors.select("id", "bucket", "tf").collect())) == sorted(
-        map(tuple, again.vectors.select("id", "bucket", "tf").collect())
-    )
-    assert again.vectors.filter(F.col("level") == "document").count() == 2
-    time.sleep(1.1)
-    os.utime(path, None)  # the input changed: a new index is built
-    stored_index(spark, [path], "p", build, 64)
+    for key in ("one", "one", "two"):
+        session_index(spark, f"test-{key}", build, 64)
     assert len(builds) == 2
-    stored_index(spark, [path], "other params", build, 64)
-    assert len(builds) == 3
