@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -13,55 +14,117 @@ from pyspark.sql import functions as F
 from .common import stored
 from .unigram import MARK, Pieces, mix, powers, vocabulary
 
-def marginals(words: list[bytes], pieces: Pieces, stop: float) -> np.ndarray:
-    """Natural log of the summed probability of all segmentations of each word.
-
-    A word is pieces drawn one by one; after each it ends with probability ``stop``,
-    so the marginals of all words add up to one at most. Forward recursion in log
-    space, vectorised over words of equal length: position ``end`` adds, for every
-    piece length, the score of the piece that ends there to the forward score where
-    it starts. Long words take the same path in smaller batches."""
-    out = np.empty(len(words))
+def equal_lengths(words: list[bytes], cells: int = 2_000_000) -> Iterator[tuple[np.ndarray, int]]:
+    """Batches of words (their numbers) of one length with the mark; long words come in
+    smaller batches."""
     size = np.array([len(w) for w in words], dtype=np.int64) + len(MARK)
     by_size = np.argsort(size, kind="stable")
-    score = pieces.scores + np.log1p(-stop)
     for same in np.split(by_size, np.flatnonzero(np.diff(size[by_size])) + 1):
-        if not len(same):
-            continue
-        m = int(size[same[0]])
-        up, down = powers(m)
-        step = max(1, 2_000_000 // m)
+        step = max(1, cells // int(size[same[0]])) if len(same) else 1
         for at in range(0, len(same), step):
-            part = same[at:at + step]
-            raw = np.frombuffer(b"".join(MARK + words[i] for i in part), dtype=np.uint8).reshape(len(part), m).T
-            prefix = np.zeros((m + 1, len(part)), dtype=np.uint64)
-            np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:m, None], axis=0, out=prefix[1:])
-            forward = np.full((m + 1, len(part)), -np.inf)
-            forward[0] = 0.0
-            for end in range(1, m + 1):
-                for length in pieces.lengths:
-                    if length > end:
-                        break
-                    start = end - length
-                    hit, piece = pieces.find(mix((prefix[end] - prefix[start]) * down[start], length))
-                    if len(hit):
-                        forward[end, hit] = np.logaddexp(forward[end, hit], score[piece] + forward[start, hit])
-            out[part] = forward[m] + np.log(stop)
-    return out
+            yield same[at:at + step], int(size[same[0]])
+
+
+def lattice(words: list[bytes], m: int, pieces: Pieces, arcs: list | None = None) -> np.ndarray:
+    """Forward scores (m + 1, words) of words that have ``m`` bytes with the mark: at each
+    position the log of the summed probability of all segmentations up to it. ``arcs``
+    collects (start, end, words, pieces) of everything that matches."""
+    raw = np.frombuffer(b"".join(MARK + w for w in words), dtype=np.uint8).reshape(len(words), m).T
+    up, down = powers(m)
+    prefix = np.zeros((m + 1, len(words)), dtype=np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:m, None], axis=0, out=prefix[1:])
+    forward = np.full((m + 1, len(words)), -np.inf)
+    forward[0] = 0.0
+    for end in range(1, m + 1):
+        for length in pieces.lengths:
+            if length > end:
+                break
+            start = end - length
+            hit, piece = pieces.find(mix((prefix[end] - prefix[start]) * down[start], length))
+            if len(hit):
+                forward[end, hit] = np.logaddexp(forward[end, hit], pieces.scores[piece] + forward[start, hit])
+                if arcs is not None:
+                    arcs.append((start, end, hit, piece))
+    return forward
+
+
+def marginals(words: list[bytes], pieces: Pieces, stop: float) -> np.ndarray:
+    """Natural log of the summed probability of all segmentations of each word.
+
+    A word is pieces drawn one by one (``pieces`` share 1 - ``stop``); after each it
+    ends with probability ``stop``, so the marginals of all words add up to one at
+    most."""
+    out = np.empty(len(words))
+    for part, m in equal_lengths(words):
+        out[part] = lattice([words[i] for i in part], m, pieces)[m]
+    return out + np.log(stop)
+
+
+def expected_pieces(words: list[bytes], pieces: Pieces) -> np.ndarray:
+    """How often each piece occurs in a segmentation of the words, drawn by its
+    probability: forward and backward scores over the same lattice."""
+    total = np.zeros(len(pieces.scores))
+    for part, m in equal_lengths(words, 200_000):
+        arcs: list = []
+        forward = lattice([words[i] for i in part], m, pieces, arcs)
+        backward = np.full_like(forward, -np.inf)
+        backward[m] = 0.0
+        for start, end, hit, piece in sorted(arcs, key=lambda a: -a[0]):
+            # all arcs that start further on are done, so backward[end] is complete
+            through = pieces.scores[piece] + backward[end, hit]
+            share = np.exp(forward[start, hit] + through - forward[m, hit])
+            total += np.bincount(piece, share, len(total))
+            backward[start, hit] = np.logaddexp(backward[start, hit], through)
+    return total
+
+
+def learn(lexicon: DataFrame, scores: dict[bytes, float], stop: float, rounds: int) -> tuple[dict[bytes, float], float]:
+    """The vocabulary's scores and ``stop`` after ``rounds`` of expectation
+    maximisation over the distinct training words, each counting once (they stand in for
+    words that training never saw). Tasks add up expected counts per piece, so at most
+    one row per piece and task is shuffled and one per piece comes to the driver. Pieces
+    that never occur keep a hundredth of an occurrence."""
+    order = list(scores)
+    for _ in range(rounds):
+        now, logs = stop, list(scores.values())
+
+        def expect(batches: Iterator[pd.DataFrame], logs=logs, now=now) -> Iterator[pd.DataFrame]:
+            pieces = Pieces(dict(zip(order, logs)))
+            pieces.scores = pieces.scores + np.log1p(-now)
+            total, n = np.zeros(len(order) + 1), 0
+            for pdf in batches:
+                total[:-1] += expected_pieces(pdf["word"].tolist(), pieces)
+                n += len(pdf)
+            total[-1] = n
+            used = np.flatnonzero(total)
+            yield pd.DataFrame({"piece": used, "n": total[used]})
+
+        rows = lexicon.where("c > 0").select("word").mapInPandas(expect, "piece long, n double")
+        found = {r["piece"]: r["n"] for r in rows.groupBy("piece").agg(F.sum("n").alias("n")).collect()}
+        n_words = found.pop(len(order), 0.0)
+        if not n_words:
+            break
+        n = np.full(len(order), 0.01)
+        n[list(found)] += list(found.values())
+        stop = float(n_words / (n_words + n.sum()))
+        scores = dict(zip(order, np.log(n / n.sum()).tolist()))
+    return scores, stop
 
 
 def score(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held: int = 2,
-          stop: float = 0.3, block_chars: int = 8_000_000) -> DataFrame:
+          stop: float = 0.3, rounds: int = 2, urn: float = 1000.0, block_chars: int = 8_000_000) -> DataFrame:
     """log10 probability of every whole text under a model learned from the training
     documents (crc32 of the id as text modulo ``folds`` is not ``held``).
 
-    Tokens are the words of the text, A to Z lowered, and one end. A token's
-    probability is its marginal over a lattice: all segmentations into pieces of the
-    existing vocabulary, weighted by its scores, and the arc of the whole word as
-    learned, P = (c + V * lattice) / (N + V), with c the token's training count, N all
-    training tokens and V the distinct ones. The end's lattice is one arc,
-    ``stop`` times the mean; words share the rest. The word counts are complete
-    and exact and grow with the corpus.
+    Tokens are the words of the text, A to Z lowered, and one end. Each token is the end
+    with its training share; otherwise a word. A word's probability is its marginal over
+    a lattice: the arc of the whole word, if training saw it, with its count less a
+    discount, and what the discounts leave for all segmentations into pieces of the
+    existing vocabulary, forward recursion in log space over the vocabulary's scores,
+    re-estimated in ``rounds`` of expectation maximisation (0 keeps them as they are).
+    Within a document words are drawn from an urn of ``urn`` such draws that grows by
+    each word drawn, so words that a text repeats get likelier. All of it is a proper
+    distribution over texts; counts are exact, over all training text, and grow with it.
 
     Plan: documents are dealt to blocks of about ``block_chars`` by a hash of id and
     text, so a source or length cannot make a block hot. A block's distinct words with
@@ -73,16 +136,16 @@ def score(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "
     Returns ``id_col``, held_out, n_tokens, n_known (tokens with c > 0), train_tokens
     (N), base_score (add-one unigram) and score. A null text is empty: its end only.
     A null id is training data (its crc32 is null). Repeated rows repeat and count as
-    often. Without training documents every token has c = 0."""
+    often. Without training words the lattice alone decides; without training documents
+    the end has share 1/2."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     fold = F.pmod(F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")), F.lit(folds))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("t"),
                        F.coalesce(fold == held, F.lit(False)).alias("held_out"))
-    chars = rows.agg(F.sum(F.length("t"))).first()[0] or 0
-    blocks = max(1, -(-chars // block_chars))
+    size = rows.agg(F.sum(F.length("t")), F.count_if(~F.col("held_out"))).first()
+    blocks, ends = int(max(1, -(-(size[0] or 0) // block_chars))), int(size[1])
     rows = rows.select("id", F.col("t").cast("binary").alias("text"), "held_out",
                        F.pmod(F.xxhash64("id", "t"), F.lit(blocks)).cast("int").alias("block"))
-    rows = rows.repartition(int(max(blocks, docs.sparkSession.sparkContext.defaultParallelism)), "block")
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         train, other = Counter(), set()
@@ -96,51 +159,48 @@ def score(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "
                              "n": [*train.values(), *([0] * len(other))]})
 
     words = stored(rows.groupBy("block").applyInPandas(gather, "block int, word binary, n long"))
-    counts = words.groupBy("word").agg(F.sum("n").alias("c"))
-    scores = vocabulary(model)
-
-    def lattice(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    lexicon = stored(words.groupBy("word").agg(F.sum("n").alias("c")))
+    seen = lexicon.agg(F.sum("c"), F.count_if(F.col("c") > 0), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
+    n_words, distinct, once, twice = (int(x or 0) for x in seen)
+    n_train, v_train = n_words + ends, distinct + (ends > 0)
+    discount = once / (once + 2 * twice) if once and twice else 0.5
+    known = np.log(discount * distinct / n_words) if n_words else 0.0  # log of the share left to the pieces
+    scores, stop = learn(lexicon, vocabulary(model), stop, rounds)
+
+    def price(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = Pieces(scores)
+        pieces.scores = pieces.scores + np.log1p(-stop)
         for pdf in batches:
-            yield pdf.assign(lattice=marginals(pdf["word"].tolist(), pieces, stop))
-
-    lexicon = stored(counts.mapInPandas(lattice, "word binary, c long, lattice double"))
-    known = lexicon.agg(F.sum("c"), F.sum(F.when(F.col("c") > 0, 1))).first()
-    ends = rows.where(~F.col("held_out")).count()
-    n_train = int(known[0] or 0) + ends
-    distinct = int(known[1] or 0) + (ends > 0)
-    end_share = 0.01  # of the lattice, for the end
-
-    def log_probability(c, log_lattice):
-        return F.log10((c + distinct * F.exp(log_lattice)) / F.lit(float(n_train + distinct)))
-
-    if distinct:
-        p = log_probability(F.col("c"), F.col("lattice") + float(np.log1p(-end_share)))
-        end_p = float(np.log10((ends + distinct * end_share) / (n_train + distinct)))
-    else:  # nothing learned: the lattice alone
-        p = (F.col("lattice") + float(np.log1p(-end_share))) / float(np.log(10))
-        end_p = float(np.log10(end_share))
-    # a lattice too small for a double still has a finite log
-    p = F.when((F.col("c") == 0) & (F.lit(distinct) > 0),
-               (F.col("lattice") + float(np.log1p(-end_share)) + float(np.log(max(distinct, 1) / (n_train + max(distinct, 1)))))
-               / float(np.log(10))).otherwise(p)
-    base = F.log10((F.col("c") + 1) / F.lit(float(n_train + distinct + 1)))
-    end_base = float(np.log10((ends + 1) / (n_train + distinct + 1)))
-    priced = lexicon.select("word", p.alias("p"), base.alias("base"), (F.col("c") > 0).alias("known"))
-    priced = words.select("block", "word").join(priced, "word")
+            c = pdf["c"].to_numpy(dtype=np.float64)
+            log_p = marginals(pdf["word"].tolist(), pieces, stop) + known
+            arc = np.full(len(c), -np.inf)
+            arc[c > 0] = np.log((c[c > 0] - discount) / max(1, n_words))
+            yield pd.DataFrame({"word": pdf["word"], "log_p": np.logaddexp(log_p, arc), "c": pdf["c"]})
+
+    priced = words.select("block", "word").join(lexicon.mapInPandas(price, "word binary, log_p double, c long"), "word")
+    end_share = ends / n_train if n_train else 0.5
+    end_log, word_log = np.log(end_share or 0.5), np.log1p(-end_share) if end_share < 1 else np.log(0.5)
+    end_base = np.log10((ends + 1) / (n_train + v_train + 1))
+    scale = np.log10(n_train + v_train + 1)
 
     def total(docs_pdf: pd.DataFrame, prices: pd.DataFrame) -> pd.DataFrame:
-        price = dict(zip(prices["word"], zip(prices["p"], prices["base"], prices["known"])))
-        out = []
+        c = prices["c"].to_numpy()
+        table = dict(zip(prices["word"], zip((prices["log_p"].to_numpy() + np.log(urn)).tolist(),
+                                             (np.log10(c + 1) - scale).tolist(), (c > 0).tolist())))
+        lgamma, out = math.lgamma, []
         for i, raw, held_out in zip(docs_pdf["id"], docs_pdf["text"], docs_pdf["held_out"]):
             bag = Counter(raw.lower().split())
-            s, b, k = end_p, end_base, int(ends > 0)
+            size = bag.total()
+            s, b, k = lgamma(urn) - lgamma(urn + size), end_base, int(ends > 0)
             for w, n in bag.items():
-                pw, bw, kw = price[w]
-                s += n * pw
-                b += n * bw
-                k += n * kw
-            out.append((i, held_out, bag.total() + 1, k, n_train, b, s))
+                log_a, base, is_known = table[w]
+                s += log_a
+                if n > 1:
+                    a = math.exp(log_a)
+                    s += lgamma(n + a) - lgamma(1 + a)
+                b += n * base
+                k += n * is_known
+            out.append((i, held_out, size + 1, k, n_train, b, (s + size * word_log + end_log) / math.log(10)))
         frame = pd.DataFrame(out, columns=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
         return frame.assign(id=frame["id"].astype("Int64"))
 

@@ -87,21 +87,30 @@ def test_scores_of_documents(documents, no_documents, listed, scores):
             count.update([*split(text), None])
     n, v = sum(count.values()), len(count)
     got = defaultdict(list)
-    for r in lm.score(documents, MODEL, block_chars=20_000).collect():
+    for r in lm.score(documents, MODEL, rounds=0, block_chars=20_000).collect():
         got[r["doc_id"]].append(tuple(r)[1:])
     memo: dict = {}
+    n_words, kinds = n - count[None], v - 1
+    once, twice = (sum(c == k for w, c in count.items() if w) for k in (1, 2))
+    cut = once / (once + 2 * twice)
 
     def p(w):
         if w not in memo:
-            lattice = 0.01 if w is None else 0.99 * forward(w, scores, 0.3)
-            memo[w] = math.log10((count[w] + v * lattice) / (n + v))
+            memo[w] = max(count[w] - cut, 0) / n_words + cut * kinds / n_words * forward(w, scores, 0.3)
         return memo[w]
 
+    def log_score(words):
+        total, bag, end = 0.0, Counter(), count[None] / n
+        for at, w in enumerate(words):  # the urn, draw by draw
+            total += math.log10((1 - end) * (bag[w] + 1000 * p(w)) / (at + 1000))
+            bag[w] += 1
+        return total + math.log10(end)
+
     want = defaultdict(list)
     for i, text, _ in listed:
         tokens = [*split(text), None]
         want[i].append((held(i), len(tokens), sum(count[t] > 0 for t in tokens), n,
-                        sum(math.log10((count[t] + 1) / (n + v + 1)) for t in tokens), sum(map(p, tokens))))
+                        sum(math.log10((count[t] + 1) / (n + v + 1)) for t in tokens), log_score(tokens[:-1])))
     assert set(got) == set(want)
     for i in want:
         for a, b in zip(sorted(got[i]), sorted(want[i])):
@@ -109,6 +118,29 @@ def test_scores_of_documents(documents, no_documents, listed, scores):
     assert lm.score(no_documents, MODEL).count() == 0
 
 
+def test_expected_pieces_match_all_segmentations(scores):
+    words = [w.encode() for w in "the thing thnt élan antihe th then".split()]
+    pieces = unigram.Pieces(scores)
+    pieces.scores = pieces.scores + math.log(0.7)
+    want = Counter()
+    for word in words:
+        every = [(math.exp(sum(scores[p] for p in s)) * 0.7 ** len(s), s) for s in segmentations(unigram.MARK + word, scores)]
+        total = math.fsum(x for x, _ in every)
+        for x, s in every:
+            for piece in s:
+                want[piece] += x / total
+    got = dict(zip(scores, lm.expected_pieces(words, pieces)))
+    assert all(got[x] == pytest.approx(want[x], abs=1e-9) for x in scores)
+
+
+def test_learning_raises_the_likelihood_of_unseen_words(documents):
+    def held_score(rounds):
+        out = lm.score(documents, MODEL, rounds=rounds).where("held_out").agg({"score": "sum"}).first()
+        return out[0]
+
+    assert held_score(2) > held_score(0)
+
+
 def test_scores_without_training_rows(spark):
     held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
     out = lm.score(spark.createDataFrame([(i, "some words") for i in held], "doc_id long, text string"), MODEL).collect()
