@@ -146,6 +146,21 @@ def describe(docs: DataFrame, size: int, hashes: int, seed: int, sets: bool = Fa
     return docs.mapInArrow(run, "id long, text_key long, n_shingles long, cls binary, " + ("shingles" if sets else "sig") + " binary")
 
 
+def unshared(texts: DataFrame, size: int) -> DataFrame:
+    """Per id, how many of its shingles no other id has (ids without any are missing)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, rows = batch.column("id").to_numpy(), [t.as_py() for t in batch.column("text")]
+            for x, y in in_parts(rows):
+                values, starts = shingle_sets(rows[x:y], size)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(ids[x:y], np.diff(starts))), pa.array(values.view(np.int64))], names=["id", "shingle"])
+
+    rows = texts.select("id", "text").mapInArrow(run, "id long, shingle long")
+    alone = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1")
+    return alone.groupBy("id").agg(F.count("*").alias("own"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of undirected links (a, b): node, component (its smallest
     node), for every node that has a link, by alternating large-star and small-star.
@@ -217,7 +232,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, share: tuple[int, int], size:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, share: tuple[int, int] = (80, 100),
-                    n_bands: int = 40, rows: int = 5, slack: float = 0.18, whole: int = 32, depth: int = 3,
+                    n_bands: int = 40, rows: int = 5, slack: float = 0.18, few: int = 8, block: int = 256,
                     seed: int = 1, keys: bool = False) -> DataFrame:
     """Near-duplicate classes: documents linked when share[1] * |intersection| >=
     share[0] * |union| of their sets of ``size``-word shingles, and what links reach.
@@ -229,11 +244,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the threshold 0.8 shares none with probability 1.2e-7. In a bucket every node is
     compared with the smallest node (a star, never all pairs). Signatures discard
     hopeless pairs (``slack`` is six standard deviations), full sets confirm the
-    others, components follow by large-star and small-star. What a star leaves is
-    only buckets whose nodes are still in several components: small ones (up to
-    ``whole`` nodes) are compared across components, larger ones are split by a second
-    band (then a third, ``depth``), where pairs that are really similar meet again,
-    and treated alike; the last level compares across components whatever the size.
+    others, components follow by large-star and small-star. What a star leaves is only
+    buckets whose nodes are still in several components. Where that is at most ``few``
+    pairs per node, the nodes are compared across components pair by pair. In the other
+    buckets a node that holds more shingles found in no other such node than the
+    threshold allows has no link and goes (texts that merely share a passage); the rest
+    meets in blocks of ``block`` nodes, a task compares two blocks and returns only
+    links. So no pair within a component is compared after the star, and no step makes
+    all pairs of a group.
 
     Returns one row per input row: ``id_col``, n_shingles, component_id (smallest id of
     the component, its own for an unlinked row), kept (its id is the component's).
@@ -250,38 +268,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     near = nodes.select("node", "n_shingles", "sig")
 
     def crowded(buckets: DataFrame) -> DataFrame:
-        """Buckets of two or more nodes, with their pivot and number of nodes."""
-        n = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).where("n > 1")
+        """Buckets of two or more nodes, with their pivot."""
+        n = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).where("n > 1").drop("n")
         return stored(buckets.join(n, "bucket"))
 
-    members = crowded(near.select("node", F.explode(bands(F.col("sig"), n_bands, rows)).alias("bucket")))
+    members = crowded(near.select("node", F.posexplode(bands(F.col("sig"), n_bands, rows)).alias("band", "bucket")))
     met = members.select("node").distinct().join(nodes.select("node", "text_key", "cls"), "node")
     # one full pass over the texts; a key that two texts share is settled by the set's identity
     found = base.join(met.select("text_key").distinct(), "text_key", "left_semi").dropDuplicates(["text_key"])
     texts = stored(found.join(met.select("node", "text_key"), "text_key").select(F.col("node").alias("id"), "text"))
-    links, component = None, None
-    for level in range(depth + 1):
-        star = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-        if level:  # nodes that are together already need no comparison
-            star = apart(star, component)
-        links, component = joined(links, star, near, texts, share, slack, size)
-        of = component.select("node", "component")
-        members = members.join(of, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        open_ = members.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
-        members = stored(members.join(open_.select("bucket"), "bucket", "left_semi"))
-        if members.isEmpty():
-            break
-        few = members if level == depth else members.where(F.col("n") <= whole)
-        x = few.where("node <> pivot").select("bucket", F.col("node").alias("a"), F.col("component").alias("c_a"))
-        y = few.where("node <> pivot").select("bucket", F.col("node").alias("b"), F.col("component").alias("c_b"))
-        across = x.join(y, "bucket").where("c_a < c_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links, component = joined(links, across, near, texts, share, slack, size)
-        many = members.where(F.col("n") > whole)
-        if level == depth or many.isEmpty():
-            break
-        other = F.explode(bands(F.col("sig"), n_bands, rows))
-        members = crowded(many.select("bucket", "node").join(near, "node").select("bucket", "node", other.alias("band"))
-                          .select("node", F.xxhash64("bucket", "band").alias("bucket")).distinct())
+    star = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    links = confirmed(stored(likely(star, near, share, slack)), texts, share, size)
+    component = stored(components(links))
+    members = members.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    parts = members.groupBy("bucket", "component").agg(F.count("*").alias("k"))
+    parts = parts.groupBy("bucket").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("inside"), F.count("*").alias("c"))
+    sparse = F.col("n") * F.col("n") - F.col("inside") <= 2 * few * F.col("n")
+    members = stored(members.join(parts.where("c > 1").select("bucket", sparse.alias("sparse")), "bucket"))
+    x = members.where("sparse and node <> pivot")
+    y = x.select("bucket", F.col("node").alias("b"), F.col("component").alias("c_b"))
+    across = x.select("bucket", F.col("node").alias("a"), F.col("component").alias("c_a")).join(y, "bucket").where("c_a < c_b")
+    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = links.unionByName(confirmed(stored(likely(across, near, share, slack)), texts, share, size))
+    dense = members.where("not sparse").select("bucket", "band", "node", "component")
+    if not dense.isEmpty():
+        links = links.unionByName(stored(block_links(dense, near, texts, share, slack, size, rows, block)))
+    component = stored(components(links))
     group = nodes.select("cls", "least", "node").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     first = group.groupBy("component").agg(F.min("least").alias("component_id"))
     group = group.select("cls", "component").join(first, "component").select("cls", "component_id")
@@ -295,21 +307,63 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of ``docs`` that stay, with all their columns: one document per class."""
     gone = near_duplicates(docs, id_col, text_col, keys=True, **options).where("not kept")
     gone = gone.select(F.col(id_col).alias("gone_id"), F.col("text_key").alias("gone_key"))
-    same = (docs[id_col] == gone["gone_id"]) & F.xxhash64(docs[text_col]).eqNullSafe(gone["gone_key"])
+    same = docs[id_col].eqNullSafe(gone["gone_id"]) & F.xxhash64(docs[text_col]).eqNullSafe(gone["gone_key"])
     return docs.join(gone, same, "left_anti")
 
 
-def apart(pairs: DataFrame, component: DataFrame) -> DataFrame:
-    """The pairs whose nodes are not in one component."""
-    of_a = component.select(F.col("node").alias("a"), F.col("component").alias("c_a"))
-    of_b = component.select(F.col("node").alias("b"), F.col("component").alias("c_b"))
-    both = pairs.join(of_a, "a", "left").join(of_b, "b", "left")
-    return both.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
+def block_links(members: DataFrame, near: DataFrame, texts: DataFrame, share: tuple[int, int], slack: float,
+                size: int, rows: int, block: int) -> DataFrame:
+    """Links (a, b) between nodes of a bucket that are in different components, enough to
+    connect what links connect: every pair is tested in the first bucket that both are
+    in, on signatures and then full sets, unless links of the same task join it already.
+
+    A bucket's nodes are dealt to blocks of about ``block``; the task of two blocks holds
+    the sets of their nodes only."""
+    open_ = members.select(F.col("node").alias("id")).distinct()
+    open_texts = texts.join(open_, "id", "left_semi")
+    own = unshared(open_texts, size).withColumnRenamed("id", "node")
+    # `own` shingles are in no other open node: a pair shares at most the rest
+    able = near.join(open_.withColumnRenamed("id", "node"), "node", "left_semi").join(own, "node", "left")
+    able = able.where((F.col("n_shingles") - F.coalesce("own", F.lit(0))) * share[1] >= F.col("n_shingles") * share[0]).drop("own")
+    sets = describe(open_texts.select("id", F.lit(0).cast("long").alias("text_key"), "text"), size, 0, 0, sets=True)
+    able = stored(able.join(sets.select(F.col("id").alias("node"), "shingles"), "node"))
+    left = members.join(able.select("node"), "node", "left_semi")
+    blocks = left.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = left.join(blocks, "bucket").withColumn("mine", mine).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("bucket", "band", "node", "component", "mine", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("node").reset_index(drop=True)
+        band, lo, hi = int(pdf["band"].iloc[0]), int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0])
+        sig = np.stack([np.frombuffer(x, np.uint16) for x in pdf["sig"]])
+        sets = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
+        node, comp, mine, n = (pdf[c].to_numpy() for c in ("node", "component", "mine", "n_shingles"))
+        root = {c: c for c in comp.tolist()}
+
+        def top(c):
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
 
-
-def joined(links: DataFrame | None, pairs: DataFrame, near: DataFrame, texts: DataFrame, share: tuple[int, int],
-           slack: float, size: int) -> tuple[DataFrame, DataFrame]:
-    """All links known once ``pairs`` are tested, and their components."""
-    more = confirmed(stored(likely(pairs, near, share, slack)), texts, share, size)
-    links = more if links is None else links.unionByName(more)
-    return links, stored(components(links))
+        out = []
+        for i in range(len(node) - 1):
+            later = np.arange(i + 1, len(node))
+            fits = (comp[later] != comp[i]) & (np.minimum(n[later], n[i]) * share[1] >= np.maximum(n[later], n[i]) * share[0])
+            fits &= (mine[later] != mine[i]) if lo != hi else True
+            later = later[fits]
+            same = sig[later] == sig[i]
+            first = same[:, :band * rows].reshape(len(later), band, rows).all(axis=2).any(axis=1)  # met in an earlier band
+            later = later[~first & (same.mean(axis=1) >= share[0] / share[1] - slack)]
+            for j in later.tolist():
+                p, q = top(comp[i]), top(comp[j])
+                if p != q:
+                    both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if share[1] * both >= share[0] * (n[i] + n[j] - both):
+                        root[p] = q
+                        out.append((node[i], node[j]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return dealt.join(able, "node").groupBy("bucket", "lo", "hi").applyInPandas(compare, "a long, b long")

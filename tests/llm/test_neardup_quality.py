@@ -78,11 +78,11 @@ def chained(n, seed):
     return rows
 
 
-@pytest.mark.parametrize("whole,depth", [(32, 3), (4, 2), (2, 0)])
-def test_chains_hot_groups_and_passages(spark, whole, depth):
+@pytest.mark.parametrize("few,block", [(8, 256), (0, 256), (0, 10)])
+def test_chains_hot_groups_and_passages(spark, few, block):
     rows = chained(40, 2)
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    assert found(frame, size=4, whole=whole, depth=depth) == classes(rows, 4)
+    assert found(frame, size=4, few=few, block=block) == classes(rows, 4)
 
 
 def test_representatives_keep_columns_and_one_of_each(documents, no_documents, listed):
