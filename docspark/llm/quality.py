@@ -25,40 +25,40 @@ class Network:
     out_bias: float
 
 
-def laid_out(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+def laid_out(texts: list[bytes], width: int) -> tuple[list[np.ndarray], np.ndarray]:
     """The texts one after the other, each filled with zeros to whole segments (an
-    empty text to one), and the number of segments of each."""
+    empty text to one): per place in a filter the byte that it meets at every position,
+    zero beyond the text's own end; and the number of segments of each."""
     segments = np.array([max(1, -(-len(t) // SEGMENT)) for t in texts])
-    out = np.zeros(int(segments.sum()) * SEGMENT + width, dtype=np.uint8)
-    at = 0
-    for t, n in zip(texts, segments):
-        out[at:at + len(t)] = np.frombuffer(t, dtype=np.uint8)
-        at += n * SEGMENT
-    return out, segments
-
-
-def responses(net: Network, data: np.ndarray, f: int) -> np.ndarray:
-    """Filter f at every position, by segment (rows)."""
-    n = len(data) - len(net.filters)
-    total = net.filters[0, f][data[:n]]
-    for j in range(1, len(net.filters)):
-        total += net.filters[j, f][data[j:n + j]]
-    return total.reshape(-1, SEGMENT)
-
-
-def maxima(net: Network, data: np.ndarray, places: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+    ends = np.cumsum(segments) * SEGMENT
+    out = np.zeros(int(ends[-1]) + width, dtype=np.uint8)
+    for t, start in zip(texts, (ends - segments * SEGMENT).tolist()):
+        out[start:start + len(t)] = np.frombuffer(t, dtype=np.uint8)
+    met = []
+    for j in range(width):
+        shifted = out[j:int(ends[-1]) + j].copy()
+        for k in range(1, j + 1):
+            shifted[ends - k] = 0
+        met.append(shifted)
+    return met, segments
+
+
+def maxima(net: Network, met: list[np.ndarray], places: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
     """Max-pooled filters per segment (segments, filters) and where the maxima are.
     Works through long data in parts that fit the cache."""
-    n_filters, width = net.filters.shape[1], len(net.filters)
-    n = (len(data) - width) // SEGMENT
+    n_filters = net.filters.shape[1]
+    n = len(met[0]) // SEGMENT
     best = np.empty((n, n_filters), dtype=np.float32)
     at = np.empty((n, n_filters), dtype=np.int64) if places else None
     part = 512
     for a in range(0, n, part):
         b = min(n, a + part)
-        piece = data[a * SEGMENT:b * SEGMENT + width]
+        pieces = [m[a * SEGMENT:b * SEGMENT] for m in met]
         for f in range(n_filters):
-            r = responses(net, piece, f)
+            total = net.filters[0, f][pieces[0]]
+            for j in range(1, len(pieces)):
+                total += net.filters[j, f][pieces[j]]
+            r = total.reshape(-1, SEGMENT)
             if places:
                 p = r.argmax(axis=1)
                 at[a:b, f] = (np.arange(a, b) * SEGMENT) + p
@@ -98,16 +98,16 @@ def predict(net: Network, texts: list[bytes]) -> np.ndarray:
         while end < len(texts) and (end == at or total < 1 << 20):
             total += len(texts[end])
             end += 1
-        data, segments = laid_out(texts[at:end], len(net.filters))
-        out.append(probability(net, pooled(maxima(net, data)[0], segments, texts[at:end])[0]))
+        met, segments = laid_out(texts[at:end], len(net.filters))
+        out.append(probability(net, pooled(maxima(net, met)[0], segments, texts[at:end])[0]))
         at = end
     return np.concatenate(out) if out else np.zeros(0)
 
 
 def train(texts: list[bytes], labels: np.ndarray, n_filters: int = 16, width: int = 5, n_hidden: int = 16,
-          epochs: int = 12, batch: int = 48, rate: float = 0.01, clean: float = 0.7, seed: int = 3) -> Network:
-    """Fit the network by Adam on the log loss; label 1 weighs ``clean`` of the total,
-    label 0 the rest. The gradient of a maximum goes to the place that made it."""
+          steps: int = 600, batch: int = 48, rate: float = 0.01, clean: float = 0.7, seed: int = 3) -> Network:
+    """Fit the network by ``steps`` of Adam on the log loss of ``batch`` texts each; label 1
+    weighs ``clean`` of the total, label 0 the rest. The gradient of a maximum goes to the place that made it."""
     rng = np.random.default_rng(seed)
     net = Network(rng.normal(0, 0.5, (width, n_filters, 256)).astype(np.float32), np.zeros(n_filters, dtype=np.float32),
                   rng.normal(0, 0.2, (3 * n_filters + 1, n_hidden)), np.zeros(n_hidden), rng.normal(0, 0.3, n_hidden), 0.0)
@@ -116,42 +116,41 @@ def train(texts: list[bytes], labels: np.ndarray, n_filters: int = 16, width: in
     names = ("filters", "bias", "hidden", "hidden_bias", "out", "out_bias")
     first = {k: np.zeros_like(np.asarray(getattr(net, k), dtype=np.float64)) for k in names}
     second = {k: np.zeros_like(v) for k, v in first.items()}
-    step = 0
-    for epoch in range(epochs):
-        order = rng.permutation(len(texts))
-        for at in range(0, len(order), batch):
-            rows = order[at:at + batch]
-            drawn = [texts[i] for i in rows]
-            data, segments = laid_out(drawn, width)
-            best, place = maxima(net, data, places=True)
-            features, (starts, owner, nxt, chunk, real, low, high, n) = pooled(best, segments, drawn)
-            hidden = np.tanh(features @ net.hidden + net.hidden_bias)
-            p = 1 / (1 + np.exp(-np.clip(hidden @ net.out + net.out_bias, -30, 30)))
-            d_out = (p - labels[rows]) * weight[rows] / len(rows)
-            d_hidden = d_out[:, None] * net.out * (1 - hidden**2)
-            d_features = d_hidden @ net.hidden.T
-            d_max, d_min, d_mean = np.split(d_features[:, :-1], 3, axis=1)
-            maxed, minned = features[owner, :n_filters], features[owner, n_filters:2 * n_filters]
-            d_chunk = np.where(real[:, None], d_mean[owner] / n[owner], 0)
-            d_chunk += np.where(high == maxed, d_max[owner], 0) + np.where(low == minned, d_min[owner], 0)
-            own = best >= best[nxt]
-            d_best = np.where(own, d_chunk, 0)
-            np.add.at(d_best, nxt, np.where(own, 0, d_chunk))
-            d_filters = np.zeros(net.filters.shape)
-            filter_of = np.broadcast_to(np.arange(n_filters), place.shape)
-            for j in range(width):
-                np.add.at(d_filters[j], (filter_of, data[place + j]), d_best)
-            d_filters[:, :, 0] = 0
-            grads = {"filters": d_filters, "bias": d_best.sum(axis=0), "hidden": features.T @ d_hidden,
-                     "hidden_bias": d_hidden.sum(axis=0), "out": hidden.T @ d_out, "out_bias": d_out.sum()}
-            step += 1
-            pace = rate * (1 - epoch / epochs)
-            for k in names:
-                first[k] = 0.9 * first[k] + 0.1 * grads[k]
-                second[k] = 0.999 * second[k] + 0.001 * grads[k] ** 2
-                move = pace * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
-                value = getattr(net, k) - move
-                setattr(net, k, value.astype(np.float32) if k in ("filters", "bias") else value)
+    order: list[int] = []
+    for step in range(1, steps + 1):
+        while len(order) < batch:
+            order = rng.permutation(len(texts)).tolist() + order
+        rows, order = np.array(order[-batch:]), order[:-batch]
+        drawn = [texts[i] for i in rows]
+        met, segments = laid_out(drawn, width)
+        best, place = maxima(net, met, places=True)
+        features, (starts, owner, nxt, chunk, real, low, high, n) = pooled(best, segments, drawn)
+        hidden = np.tanh(features @ net.hidden + net.hidden_bias)
+        p = 1 / (1 + np.exp(-np.clip(hidden @ net.out + net.out_bias, -30, 30)))
+        d_out = (p - labels[rows]) * weight[rows] / len(rows)
+        d_hidden = d_out[:, None] * net.out * (1 - hidden**2)
+        d_features = d_hidden @ net.hidden.T
+        d_max, d_min, d_mean = np.split(d_features[:, :-1], 3, axis=1)
+        maxed, minned = features[owner, :n_filters], features[owner, n_filters:2 * n_filters]
+        d_chunk = np.where(real[:, None], d_mean[owner] / n[owner], 0)
+        d_chunk += np.where(high == maxed, d_max[owner], 0) + np.where(low == minned, d_min[owner], 0)
+        own = best >= best[nxt]
+        d_best = np.where(own, d_chunk, 0)
+        np.add.at(d_best, nxt, np.where(own, 0, d_chunk))
+        d_filters = np.zeros(net.filters.shape)
+        filter_of = np.broadcast_to(np.arange(n_filters), place.shape)
+        for j in range(width):
+            np.add.at(d_filters[j], (filter_of, met[j][place]), d_best)
+        d_filters[:, :, 0] = 0
+        grads = {"filters": d_filters, "bias": d_best.sum(axis=0), "hidden": features.T @ d_hidden,
+                 "hidden_bias": d_hidden.sum(axis=0), "out": hidden.T @ d_out, "out_bias": d_out.sum()}
+        pace = rate * (1 - step / (steps + 1))
+        for k in names:
+            first[k] = 0.9 * first[k] + 0.1 * grads[k]
+            second[k] = 0.999 * second[k] + 0.001 * grads[k] ** 2
+            move = pace * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+            value = getattr(net, k) - move
+            setattr(net, k, value.astype(np.float32) if k in ("filters", "bias") else value)
     return net
 
 

@@ -129,7 +129,7 @@ def brute_score(net, text):
 def test_scores_match_brute_force():
     rng = random.Random(1)
     texts = [bytes(rng.choices(b"abc XYZ!", k=n)) for n in (0, 1, 4, 127, 128, 129, 300, 1000, 70_000)]
-    net = quality.train(texts, np.array([0, 1, 0, 1, 0, 1, 0, 1, 1.0]), n_filters=3, width=3, n_hidden=2, epochs=2, batch=4)
+    net = quality.train(texts, np.array([0, 1, 0, 1, 0, 1, 0, 1, 1.0]), n_filters=3, width=3, n_hidden=2, steps=6, batch=4)
     assert quality.predict(net, texts).tolist() == pytest.approx([brute_score(net, t) for t in texts], abs=1e-4)
 
 
@@ -147,17 +147,17 @@ def test_held_out_accuracy(spark):
     rows = labelled(spark)
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
     labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
-    out = {r["doc_id"]: r for r in quality.classify(docs, labels, epochs=6).collect()}
+    out = {r["doc_id"]: r for r in quality.classify(docs, labels, steps=120).collect()}
     right = [out[i]["predicted"] == y for i, _, y in rows if out[i]["held_out"]]
     assert len(out) == len(rows) and sum(right) >= 0.95 * len(right)
     assert all(out[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i in out)
-    again = {r["doc_id"]: r["score"] for r in quality.classify(docs, labels, epochs=6).collect()}
+    again = {r["doc_id"]: r["score"] for r in quality.classify(docs, labels, steps=120).collect()}
     assert all(abs(again[i] - out[i]["score"]) < 1e-6 for i in out)
 
 
 def test_awkward_rows_get_scores(spark, documents, no_documents, listed):
     labels = spark.createDataFrame([(i, i % 2) for i in range(100)] + [(None, 1), (3, None), (4, 7), (5, 0)], "doc_id long, quality int")
-    out = quality.classify(documents, labels, epochs=1).collect()
+    out = quality.classify(documents, labels, steps=3).collect()
     assert len(out) == len(listed) and all(0 <= r["score"] <= 1 for r in out)
     assert quality.classify(no_documents, labels).count() == 0
     one = quality.classify(documents, labels.where("quality = 1")).collect()
