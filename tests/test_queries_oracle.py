@@ -37,7 +37,8 @@ def duck():
 
 def test_every_query_has_an_oracle_or_a_reason():
     rows_only = {"cluster_topics"}  # iterative ML (k-means): rows-only by design
-    assert set(E.queries()) - set(E.oracle_sql()) == rows_only
+    own = {name for name in E.queries() if not name.startswith("op") and name != "pipeline"}
+    assert own - set(E.oracle_sql()) == rows_only
 
 
 def test_entry_runs(spark):
@@ -45,7 +46,7 @@ def test_entry_runs(spark):
     assert df.count() > 0 and "status" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(x for x in E.oracle_sql() if not x.startswith("op")))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     cur = duck.execute(E.oracle_sql()[name])
