@@ -61,7 +61,3 @@ def word_tokens(c: Column | str) -> Column:
 def terms(c: Column | str) -> Column:
     """Lower-cased letter/digit runs."""
     return F.regexp_extract_all(F.lower(col_(c)), F.lit(TERM_PATTERN), 0)
-
-
-def ends_sentence(c: Column | str) -> Column:
-    return col_(c).rlike(r"[.!?]$")

@@ -247,10 +247,9 @@ def section_of_page(pages: DataFrame, heading_col: str = "heading", key: str = "
         F.max_by(heading_col, order).alias("_blk_last")
     )
     w_b = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_block.withColumn("_carry", F.last("_blk_last", ignorenulls=True).over(w_b))
     # blocks without any heading still need the carry from earlier blocks
     blocks = b.select(key, "_blk").distinct()
-    carry_all = blocks.join(carry.select(key, "_blk", "_blk_last"), [key, "_blk"], "left").withColumn(
+    carry_all = blocks.join(per_block, [key, "_blk"], "left").withColumn(
         "_carry", F.last("_blk_last", ignorenulls=True).over(w_b)
     )
     return (
