@@ -33,24 +33,25 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts are one group. An empty table gives an empty result."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     norm = F.translate(text, SPACES, "")
+    # the text travels once: within the carried row, or as what no pass has seen yet
+    held = ["doc"] if carry else ["rest"]
+    content = F.translate(F.coalesce(F.col("doc").getField(text_col), F.lit("")), SPACES, "") if carry else F.col("rest")
     rows = docs.select(
         F.monotonically_increasing_id().alias("rid"), F.col(f"`{id_col}`").alias("id"),
         F.length(text).alias("cp"), F.sha2(norm.cast("binary"), 256).alias("sha"),
-        F.lit(-1).cast("long").alias("cls"), norm.alias("rest"),
-        *([carried(docs).alias("doc")] if carry else []))
-    closed = []
+        F.lit(-1).cast("long").alias("cls"), carried(docs).alias("doc") if carry else norm.alias("rest"))
+    closed, seen = [], 0
     for width in (*widths, None):
-        digit = F.col("rest") if width is None else F.substring("rest", 1, width)
+        digit = F.substring(content, F.lit(seen + 1 if carry else 1), F.lit(width or 2**31 - 1))
         rows = rows.withColumn("digit", digit)
         order = F.struct((-F.col("cp")).alias("neg"), F.col("id").isNull().alias("none"), "id", "rid")
         groups = (rows.groupBy("cls", "digit")
                   .agg(F.count("*").alias("n"), F.min(order).alias("best")))
         ended = F.lit(True) if width is None else F.length("digit") < width
         done = (F.col("n") == 1) | ended
+        left = F.col("doc") if carry else F.when(~done, F.substring("rest", F.lit((width or 0) + 1), F.lit(2**31 - 1)))
         passed = rows.join(groups, ["cls", "digit"]).select(
-            "rid", "id", "cp", "sha", F.col("best.rid").alias("cls"),
-            F.when(~done, F.lit("") if width is None else F.expr(f"substring(rest, {width + 1})")).alias("rest"),
-            *(["doc"] if carry else []),
+            "rid", "id", "cp", "sha", F.col("best.rid").alias("cls"), left.alias(held[0]),
             F.col("best.id").alias("keep_id"), F.col("n").alias("group_size"),
             (F.col("rid") == F.col("best.rid")).alias("kept"), done.alias("done"))
         passed = stored(passed, "done")
@@ -59,7 +60,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             *(["doc"] if carry else [])))
         if width is None:
             break
-        rows = passed.where("not done").select("rid", "id", "cp", "sha", "cls", "rest", *(["doc"] if carry else []))
+        seen += width
+        rows = passed.where("not done").select("rid", "id", "cp", "sha", "cls", *held)
         if rows.isEmpty():
             break
     return reduce(DataFrame.unionByName, closed)
