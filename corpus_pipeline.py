@@ -26,7 +26,7 @@ THRESHOLD = 0.3  # documents with a lower score are rejected
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
     network = quality.fit(docs, read(spark, sf_dir, "labels"))
-    return quality.scored(docs, network, "text", "_score").where(F.col("_score") >= THRESHOLD).drop("_score")
+    return docs.where(quality.probability_of(network) >= THRESHOLD)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -184,16 +184,16 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, id_col: str =
     return train([bytes(r["text"]) for r in sample], y, **training)
 
 
-def scored(docs: DataFrame, net: Network | float, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``docs`` with the probability that its whole text has label 1. Null and empty
-    texts get the network's answer to an empty text."""
+def probability_of(net: Network | float, text_col: str = "text") -> Column:
+    """The probability that a row's whole text has label 1. Null and empty texts get the
+    network's answer to an empty text."""
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
         if isinstance(net, float):
             return pd.Series([net] * len(text))
         return pd.Series(predict(net, [t or b"" for t in text]))
 
-    return docs.withColumn(score_col, score(F.col(f"`{text_col}`").cast("binary")))
+    return score(F.col(f"`{text_col}`").cast("binary"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text",
@@ -201,7 +201,6 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col:
     """``id_col``, held_out, score and predicted (1 if score >= ``threshold``) of every
     row, from a network learned on the rows that are not held out."""
     net = fit(docs, labels, per_class, id_col, text_col, **training)
-    rows = docs.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text_col}`").alias("text"))
-    out = scored(rows, net, "text", "score")
+    out = docs.select(F.col(f"`{id_col}`").alias(id_col), probability_of(net, text_col).alias("score"))
     return out.select(id_col, held_out(id_col).alias("held_out"), "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"))
