@@ -25,16 +25,13 @@ def equal_lengths(words: list[bytes], cells: int = 2_000_000) -> Iterator[tuple[
             yield same[at:at + step], int(size[same[0]])
 
 
-def lattice(words: list[bytes], m: int, pieces: Pieces, arcs: list | None = None) -> np.ndarray:
-    """Forward scores (m + 1, words) of words that have ``m`` bytes with the mark: at each
-    position the log of the summed probability of all segmentations up to it. ``arcs``
-    collects (start, end, words, pieces) of everything that matches."""
+def arcs(words: list[bytes], m: int, pieces: Pieces) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Everything that matches in words that have ``m`` bytes with the mark, by end: the
+    words (their numbers) that have a piece from ``start`` to ``end``, and which."""
     raw = np.frombuffer(b"".join(MARK + w for w in words), dtype=np.uint8).reshape(len(words), m).T
     up, down = powers(m)
     prefix = np.zeros((m + 1, len(words)), dtype=np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:m, None], axis=0, out=prefix[1:])
-    forward = np.full((m + 1, len(words)), -np.inf)
-    forward[0] = 0.0
     for end in range(1, m + 1):
         for length in pieces.lengths:
             if length > end:
@@ -42,10 +39,17 @@ def lattice(words: list[bytes], m: int, pieces: Pieces, arcs: list | None = None
             start = end - length
             hit, piece = pieces.find(mix((prefix[end] - prefix[start]) * down[start], length))
             if len(hit):
-                forward[end, hit] = np.logaddexp(forward[end, hit], pieces.scores[piece] + forward[start, hit])
-                if arcs is not None:
-                    arcs.append((start, end, hit, piece))
-    return forward
+                yield start, end, hit, piece
+
+
+def lattice(words: list[bytes], m: int, pieces: Pieces) -> np.ndarray:
+    """Log of the summed probability of all segmentations of each word, by forward
+    recursion in log space."""
+    forward = np.full((m + 1, len(words)), -np.inf)
+    forward[0] = 0.0
+    for start, end, hit, piece in arcs(words, m, pieces):
+        forward[end, hit] = np.logaddexp(forward[end, hit], pieces.scores[piece] + forward[start, hit])
+    return forward[m]
 
 
 def marginals(words: list[bytes], pieces: Pieces, stop: float) -> np.ndarray:
@@ -56,25 +60,37 @@ def marginals(words: list[bytes], pieces: Pieces, stop: float) -> np.ndarray:
     most."""
     out = np.empty(len(words))
     for part, m in equal_lengths(words):
-        out[part] = lattice([words[i] for i in part], m, pieces)[m]
+        out[part] = lattice([words[i] for i in part], m, pieces)
     return out + np.log(stop)
 
 
 def expected_pieces(words: list[bytes], pieces: Pieces) -> np.ndarray:
     """How often each piece occurs in a segmentation of the words, drawn by its
-    probability: forward and backward scores over the same lattice."""
+    probability: forward and backward sums over the same lattice. Every position is
+    scaled by a constant power of its depth, so long words neither vanish nor overflow."""
     total = np.zeros(len(pieces.scores))
+    per_byte = 1e-2  # about what a byte of a word costs; cancels in every share
+    weight = np.exp(pieces.scores)
     for part, m in equal_lengths(words, 200_000):
-        arcs: list = []
-        forward = lattice([words[i] for i in part], m, pieces, arcs)
-        backward = np.full_like(forward, -np.inf)
-        backward[m] = 0.0
-        for start, end, hit, piece in sorted(arcs, key=lambda a: -a[0]):
+        found = list(arcs([words[i] for i in part], m, pieces))
+        forward, backward = np.zeros((2, m + 1, len(part)))
+        forward[0] = backward[m] = 1.0
+        scaled = [weight[piece] / per_byte ** (end - start) for start, end, _, piece in found]
+        with np.errstate(over="ignore", invalid="ignore"):
+            for (start, end, hit, _), w in zip(found, scaled):
+                forward[end, hit] += w * forward[start, hit]
+        whole = forward[m]
+        fine = np.isfinite(whole) & (whole > 1e-200)
+        for (start, end, hit, piece), w in sorted(zip(found, scaled), key=lambda a: -a[0][0]):
             # all arcs that start further on are done, so backward[end] is complete
-            through = pieces.scores[piece] + backward[end, hit]
-            share = np.exp(forward[start, hit] + through - forward[m, hit])
+            with np.errstate(over="ignore", invalid="ignore"):
+                through = w * backward[end, hit]
+            share = np.divide(forward[start, hit] * through, whole[hit], out=np.zeros(len(hit)), where=fine[hit])
             total += np.bincount(piece, share, len(total))
-            backward[start, hit] = np.logaddexp(backward[start, hit], through)
+            backward[start, hit] += through
+        if not fine.all():  # beyond the range of doubles: halve the word at any byte
+            halves = [words[i] for i in part[~fine]]
+            total += expected_pieces([h for w in halves for h in (w[:len(w) // 2], w[len(w) // 2:])], pieces)
     return total
 
 

@@ -41,43 +41,32 @@ WRAP = (1 << 64) - 1
 class Pieces:
     """A vocabulary as arrays: finds whole batches of substrings by rolling hash.
 
-    Piece hashes are distinct (checked); an index of three small tables leads to
-    them, so a lookup is a few array reads. A substring of a word that is no piece but
-    has a piece's 64-bit hash would be taken for it; no draw of 10**9 substrings is
-    likely to hold one."""
+    Piece hashes are distinct (checked); one bit table turns nearly all other substrings
+    away, the rest is looked up in the sorted hashes. A substring of a word that is no
+    piece but has a piece's 64-bit hash would be taken for it; no draw of 10**9
+    substrings is likely to hold one."""
+
+    BITS = 20
 
     def __init__(self, scores: dict[bytes, float]) -> None:
-        self.scores = np.array(list(scores.values()))
         self.lengths = sorted({len(p) for p in scores})
         power = powers(max(self.lengths))[0]
         keys = [sum((b + 1) * int(power[i]) for i, b in enumerate(p)) for p in scores]
-        self.keys = mix(np.array([k & WRAP for k in keys], dtype=np.uint64), np.array([len(p) for p in scores]))
-        assert len(np.unique(self.keys)) == len(self.keys)
-        self.tables, rest, bits = [], np.arange(len(self.keys)), 18
-        while len(rest):
-            table = np.zeros(1 << bits, dtype=np.int32)
-            slot = self.slot(rest, len(self.tables), bits)
-            table[slot[::-1]] = rest[::-1]
-            self.tables.append((bits, table))
-            rest = rest[table[slot] != rest]
-
-    def slot(self, rows: np.ndarray, level: int, bits: int, keys: np.ndarray | None = None) -> np.ndarray:
-        keys = self.keys[rows] if keys is None else keys
-        return ((keys >> np.uint64(46 - 15 * min(level, 3))) & np.uint64((1 << bits) - 1)).astype(np.int64)
+        keys = mix(np.array([k & WRAP for k in keys], dtype=np.uint64), np.array([len(p) for p in scores]))
+        self.order = np.argsort(keys)  # numbers of the pieces by hash
+        self.keys = keys[self.order]
+        assert (self.keys[1:] > self.keys[:-1]).all()
+        self.scores = np.array(list(scores.values()))
+        self.seen = np.zeros(1 << self.BITS, dtype=bool)
+        self.seen[keys >> np.uint64(64 - self.BITS)] = True
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The hashes that are pieces: their places, and the pieces' numbers."""
-        at, what = [], []
-        for level, (bits, table) in enumerate(self.tables):
-            piece = table[self.slot(None, level, bits, hashes)]
-            hit = np.flatnonzero(self.keys[piece] == hashes)
-            at.append(hit)
-            what.append(piece[hit])
-        if len(self.tables) == 1:
-            return at[0], what[0]
-        at, what = np.concatenate(at), np.concatenate(what)
-        at, first = np.unique(at, return_index=True)
-        return at, what[first]
+        at = np.flatnonzero(self.seen[hashes >> np.uint64(64 - self.BITS)])
+        some = hashes[at]
+        row = np.minimum(np.searchsorted(self.keys, some), len(self.keys) - 1)
+        hit = self.keys[row] == some
+        return at[hit], self.order[row[hit]]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
