@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import bisect
+import json
+import os
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -158,13 +161,13 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
            text_col: str = "text", keep_ids: bool = False) -> DataFrame:
     """Token ids of every document, then ``end_id``, cut to pieces of ``capacity`` ids
     where longer; only the first piece may be shorter. ``tokenizer`` is the path of a
-    rank file of the vocabulary (see README), present on every machine. Returns
-    ``id_col``, piece, start, length, ids_crc32 (over little-endian 32-bit ids) and, with
+    rank file of the vocabulary (see README), with the JSON file of the same name beside
+    it, both present on every machine. Returns ``id_col``, piece, start, length, ids_crc32 (over little-endian 32-bit ids) and, with
     ``keep_ids``, the ids. A null text counts as empty: one piece, the end id."""
     schema = "id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if keep_ids else "")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer)
+        encode = full_encoder(tokenizer)
         for pdf in batches:
             out = []
             for i, text in zip(pdf["id"].tolist(), pdf["text"].tolist()):
@@ -186,8 +189,13 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
     return out.withColumnRenamed("id", id_col)
 
 
-def encoder(tokenizer: str):
-    """The byte-level BPE of a rank file, as a function from text to ids."""
+#: The white space of the vocabulary's pattern.
+PATTERN_SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
+def encoder(tokenizer: str, pattern: str | None = None) -> Callable[[str], list[int]]:
+    """The byte-level BPE of a rank file, as a function from text to ids. It knows no
+    added tokens and fails on about a million white-space characters in a row."""
     import base64
 
     import public_tokenizers
@@ -195,10 +203,50 @@ def encoder(tokenizer: str):
 
     with open(tokenizer, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+    return tiktoken.Encoding("packing", pat_str=pattern or public_tokenizers.PATTERN, mergeable_ranks=ranks,
                              special_tokens={}).encode_ordinary
 
 
+def full_encoder(tokenizer: str, long_run: int = 100_000) -> Callable[[str], list[int]]:
+    """The ids that the JSON file of the vocabulary gives, for any text.
+
+    An added token's literal gets its id, and the texts between are encoded each by
+    itself (the file's added tokens take no white space or word boundary with them).
+    ``long_run`` or more white-space characters in a row are cut out as the pattern
+    does: all but the last before a word, all at the text's end, as one piece."""
+    with open(os.path.splitext(tokenizer)[0] + ".json", encoding="utf-8") as f:
+        added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+    literals = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+    runs = re.compile(f"(?<!{PATTERN_SPACE}){PATTERN_SPACE}{{{long_run},}}")
+    plain = encoder(tokenizer)
+    piece = None
+
+    def between(text: str) -> list[int]:
+        nonlocal piece
+        ids: list[int] = []
+        at = 0
+        for run in runs.finditer(text) if len(text) >= long_run else ():
+            piece = piece or encoder(tokenizer, r"\s+")  # without lookahead: no stack
+            end = run.end() - (run.end() < len(text))
+            ids += plain(text[at:run.start()]) + piece(text[run.start():end])
+            at = end
+        return ids + plain(text[at:]) if at else plain(text)
+
+    def encode(text: str) -> list[int]:
+        parts = literals.split(text) if literals else [text]
+        if len(parts) == 1:
+            return between(text)
+        ids: list[int] = []
+        for n, part in enumerate(parts):  # every second part is a literal
+            if n % 2:
+                ids.append(added[part])
+            else:
+                ids += between(part)
+        return ids
+
+    return encode
+
+
 def pack(parts: DataFrame, capacity: int = 2048, groups: int = 2048, buckets: int = 64, id_col: str = "doc_id") -> DataFrame:
     """Sequence and offset of every piece (columns ``id_col``, piece, length, others
     are kept): as few sequences of at most ``capacity`` tokens as ``plan`` finds.

@@ -208,3 +208,32 @@ def test_tokens_equal_the_json_vocabulary():
     for text in ("", "a", " \n\n x", "don't DON'T 123 １２ ½", "é́ ß 漢字 \U0001f600", "\x00\x1c\x85\xa0", "<|endoftext|>", "a" * 5000):
         assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids, text
     assert re.match("ok", "ok")
+
+
+def test_ids_are_those_of_the_json_file_for_any_text():
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    encode, short = packing.full_encoder(RANKS), packing.full_encoder(RANKS, long_run=3)
+    assert encode(f"a {end} b") == [64, 220, 50256, 275]
+    for gap in (" ", "\n", "\u3000"):  # the fast encoder fails on these
+        text = "x" + gap * 1_100_000 + "y"
+        assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
+    rng = np.random.default_rng(3)
+    parts = [end, "<|endoftext", " ", "  ", "\n", "\r\n", "\t", "\x85", "\xa0", "\u3000", "\x1c", "a", "B's", "12", "!?", "é漢"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts, rng.integers(0, 14)))
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert encode(text) == want and short(text) == want, text
+
+
+def test_packed_documents_with_added_tokens_and_long_runs(spark):
+    texts = ["a <|endoftext|> b", "<|endoftext|>" * 3, "x" + " " * 1_100_000 + "y"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = set()
+    for i, text in enumerate(texts):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        cuts = [0, *range((len(ids) - 1) % 2048 + 1, len(ids) + 1, 2048)]
+        want |= {(i, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))}
+    rows = packing.pack(packing.pieces(frame, RANKS)).collect()
+    assert {(r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows} == want and len(rows) == len(want)
