@@ -57,6 +57,26 @@ def apportion(votes: np.ndarray, seats: int) -> np.ndarray:
     return got
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with column copy: 0, 1, ... among those equal in source_no, ord and id.
+    The high bits of ``row`` are the partition that held the row; copies are numbered in
+    each by itself and the partitions' counts give where each begins, so that no task
+    sees a whole group."""
+    key = ["source_no", "ord", "id"]
+    rows = rows.withColumn("part", F.shiftright("row", 33))
+    counts = rows.groupBy(*key, "part").agg(F.count("*").alias("n"))
+    group = W.partitionBy(*key)
+    running = group.orderBy("part").rowsBetween(W.unboundedPreceding, W.currentRow)
+    repeated = counts.select(*[F.col(c).alias(f"its_{c}") for c in [*key, "part"]],
+                             (F.sum("n").over(running) - F.col("n")).alias("first"),
+                             F.sum("n").over(group).alias("copies")).where("copies > 1")
+    same = [F.col(c).eqNullSafe(F.col(f"its_{c}")) for c in [*key, "part"]]
+    place = F.row_number().over(W.partitionBy(*key, "part").orderBy("row")) - 1
+    return (rows.join(repeated, same, "left")
+            .withColumn("copy", F.when(F.col("first").isNull(), 0).otherwise(F.col("first") + place).cast("long"))
+            .select(*[c for c in rows.columns if c != "part"], "copy"))
+
+
 def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text",
         weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, block_words: int = 16,
         shard_words: int = 250_000, seed: int = 7, carry: bool = False, spans: bool = False) -> DataFrame:
@@ -76,13 +96,14 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", tex
     counted), with ``spans`` the taken ranges (pass, from, to) of the row's words,
     and with ``carry`` the input row as struct ``doc``. A null text has no words and
     takes none; null is a source of its own, the last. Repeated rows are rows like
-    others. Reruns agree: order comes from hashes of id and text."""
+    others: each has its own place on a tape of its own draw. Reruns agree: order comes
+    from hashes of id, text and the number among equal rows."""
     spark = docs.sparkSession
     text = F.col(f"`{text_col}`")
     base = docs.select(
         F.col(f"`{source_col}`").cast("string").alias("source"), F.col(f"`{id_col}`").alias("id"),
         words(text).alias("size"), F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), text).alias("ord"),
-        *([carried(docs).alias("doc")] if carry else []))
+        F.monotonically_increasing_id().alias("row"), *([carried(docs).alias("doc")] if carry else []))
     base = stored(base)
     rows = base.groupBy("source").agg(F.sum("size").alias("size")).collect()
     rows.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-32-be")))
@@ -95,7 +116,9 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", tex
         [(i, r["source"], int(r["size"]), float(target[i]), int(quota[i])) for i, r in enumerate(rows)],
         "source_no int, source string, source_size long, target double, quota long")
 
-    dealt = base.join(F.broadcast(catalogue), base["source"].eqNullSafe(catalogue["source"])).drop("source")
+    dealt = base.drop("doc").join(F.broadcast(catalogue), base["source"].eqNullSafe(catalogue["source"])).drop("source")
+    dealt = stored(numbered(dealt))
+    dealt = dealt.withColumn("ord", F.when(F.col("copy") == 0, F.col("ord")).otherwise(F.xxhash64("ord", "copy")))
     dealt = dealt.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), "ord"), F.lit(shards)).cast("int"))
     tapes = dealt.groupBy("source_no", "shard", "quota").agg(F.sum("size").alias("tape"))
 
@@ -106,7 +129,7 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", tex
         return pd.DataFrame({"source_no": pdf["source_no"], "shard": pdf["shard"], "tape": pdf["tape"], "take": n})
 
     tapes = tapes.groupBy("source_no").applyInPandas(quotas, "source_no int, shard int, tape long, take long")
-    along = W.partitionBy("source_no", "shard").orderBy("ord", "id")
+    along = W.partitionBy("source_no", "shard").orderBy("ord", "id", "copy").rowsBetween(W.unboundedPreceding, W.currentRow)
     # The ring: a tape of `tape` words read from a seeded block on; a row's words lie
     # at [at, at + size) of it, modulo its length. The first pass takes
     # min(take, tape) words from there, the later ones what is left.
@@ -131,6 +154,8 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", tex
             ranges.append(F.struct(F.lit(k).alias("pass"), lo.cast("long").alias("from"), hi.cast("long").alias("to")))
     ranges = F.filter(F.array(*ranges), lambda s: s["to"] > s["from"])
     out = placed.withColumn("spans", ranges)
+    if carry:
+        out = out.join(base.select("row", "doc"), "row")
     return out.select(
         F.col("id").alias(id_col), "size", "source_size", "target",
         F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"]).alias("taken"),

@@ -85,6 +85,23 @@ def test_mixed_rows_hold_the_taken_words(documents, no_documents):
     assert mixture.mix(no_documents).count() == 0 and mixture.mixed_rows(no_documents).count() == 0
 
 
+def test_repeated_rows_have_places_of_their_own(spark):
+    rows = [(i, f"w{i} " * (1 + i % 9), "a") for i in range(600)]
+    rows += [(None, "same words here " * 5, "a")] * 150 + [(7, "copy of one " * 4, "a")] * 150
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    got = mixture.mix(docs, shard_words=600, spans=True).collect()
+    total = sum(r["size"] for r in got)
+    assert len(got) == len(rows) and abs(sum(r["taken"] for r in got) - 1.5 * total) <= 16
+    for copies in ([r for r in got if r["doc_id"] is None], [r for r in got if r["doc_id"] == 7 and r["size"] == 12]):
+        size = copies[0]["size"]
+        assert len(copies) == 150 and {r["taken"] // size for r in copies} == {1, 2}
+        assert abs(sum(r["taken"] for r in copies) / size - 225) <= 45
+    again = mixture.mix(docs.repartition(2), shard_words=600, spans=True).collect()
+    assert Counter(map(str, got)) == Counter(map(str, again))
+    mixed = mixture.mixed_rows(docs, shard_words=600)
+    assert sum(len(r["text"].split()) for r in mixed.collect()) == sum(r["taken"] for r in got)
+
+
 @pytest.mark.parametrize("shards", [1, 4, 40, 500])
 def test_shards_have_near_equal_bytes(documents, listed, shards):
     rows = sharding.shard(documents, shards=shards, bins=4).select("doc.doc_id", "doc.text", "size", "shard", "slot").collect()
