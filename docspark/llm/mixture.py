@@ -57,6 +57,23 @@ def apportion(votes: np.ndarray, seats: int) -> np.ndarray:
     return got
 
 
+def shares(votes: np.ndarray, limit: np.ndarray, total: int, block: int) -> np.ndarray:
+    """``total`` words by ``votes`` in whole blocks, none above its ``limit``; what limits
+    cut off goes to the room of the others, in blocks and at last in words, so nothing
+    is lost while there is room."""
+    got = np.minimum(apportion(votes, total // block) * block, limit)
+    left = int(min(total, limit.sum()) - got.sum())
+    while left >= block:
+        room = limit - got
+        more = np.minimum(apportion(room.astype(np.float64), left // block) * block, room)
+        got += more
+        left -= int(more.sum())
+    room = limit - got
+    order = np.argsort(-room, kind="stable")
+    got[order] += np.clip(left - (np.cumsum(room[order]) - room[order]), 0, room[order])
+    return got
+
+
 def numbered(rows: DataFrame) -> DataFrame:
     """``rows`` with column copy: 0, 1, ... among those equal in source_no, ord and id.
     The high bits of ``row`` are the partition that held the row; copies are numbered in
@@ -85,12 +102,13 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", tex
     Each (source, shard) is a tape: its documents in seeded order. The mix has
     ``share`` times all words, in blocks of ``block_words``; Sainte-Lague gives each
     source its blocks by its target, and again each of its shards by the words there.
-    A shard then takes its quota as consecutive blocks of the ring that its tape
+    What the cap cuts off goes to others with room, in words where less than a block is
+    left. A shard then takes its quota as consecutive words of the ring that its tape
     makes, from a seeded block on, so at most two documents are cut and none is taken
     more than ``cap`` times (rounded up) or beyond ``cap`` times its words.
-    The number of shards follows the number of words, so no tape outgrows a task; a
-    hot source has as many tapes as any shard count. Only one row per source comes to
-    the driver.
+    A source has a tape per ``shard_words`` of its own words, or rows where those are
+    more, so no tape outgrows a task and the other sources do not matter. Only one row
+    per source comes to the driver.
 
     Returns per row: ``id_col``, size, source_size, target, taken (words, repeats
     counted), with ``spans`` the taken ranges (pass, from, to) of the row's words,
@@ -105,27 +123,27 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", tex
         words(text).alias("size"), F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), text).alias("ord"),
         F.monotonically_increasing_id().alias("row"), *([carried(docs).alias("doc")] if carry else []))
     base = stored(base)
-    rows = base.groupBy("source").agg(F.sum("size").alias("size")).collect()
+    rows = base.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
     rows.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-32-be")))
     sizes = np.array([r["size"] for r in rows], dtype=np.float64)
     weight = np.array([weights[i % len(weights)] for i in range(len(rows))], dtype=np.float64)
     target = capped_targets(sizes, weight, share * sizes.sum(), cap)
-    quota = apportion(target, int(round(target.sum() / block_words)))
-    shards = int(max(1, -(-sizes.sum() // shard_words)))
+    quota = shares(target, np.floor(cap * sizes).astype(np.int64), int(round(target.sum())), block_words)
+    shards = [-(-max(r["size"], r["n"]) // shard_words) for r in rows]
     catalogue = spark.createDataFrame(
-        [(i, r["source"], int(r["size"]), float(target[i]), int(quota[i])) for i, r in enumerate(rows)],
-        "source_no int, source string, source_size long, target double, quota long")
+        [(i, r["source"], int(r["size"]), float(target[i]), int(quota[i]), shards[i]) for i, r in enumerate(rows)],
+        "source_no int, source string, source_size long, target double, quota long, shards int")
 
     dealt = base.drop("doc").join(F.broadcast(catalogue), base["source"].eqNullSafe(catalogue["source"])).drop("source")
     dealt = stored(numbered(dealt))
     dealt = dealt.withColumn("ord", F.when(F.col("copy") == 0, F.col("ord")).otherwise(F.xxhash64("ord", "copy")))
-    dealt = dealt.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), "ord"), F.lit(shards)).cast("int"))
+    dealt = dealt.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), "ord"), F.col("shards")).cast("int"))
     tapes = dealt.groupBy("source_no", "shard", "quota").agg(F.sum("size").alias("tape"))
 
     def quotas(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("shard")
-        blocks = apportion(pdf["tape"].to_numpy(dtype=np.float64), int(pdf["quota"].iloc[0]))
-        n = np.minimum(blocks * block_words, np.floor(cap * pdf["tape"].to_numpy()).astype(np.int64))
+        tape = pdf["tape"].to_numpy(dtype=np.float64)
+        n = shares(tape, np.floor(cap * tape).astype(np.int64), int(pdf["quota"].iloc[0]), block_words)
         return pd.DataFrame({"source_no": pdf["source_no"], "shard": pdf["shard"], "tape": pdf["tape"], "take": n})
 
     tapes = tapes.groupBy("source_no").applyInPandas(quotas, "source_no int, shard int, tape long, take long")

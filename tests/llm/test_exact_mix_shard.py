@@ -102,6 +102,31 @@ def test_repeated_rows_have_places_of_their_own(spark):
     assert sum(len(r["text"].split()) for r in mixed.collect()) == sum(r["taken"] for r in got)
 
 
+def test_shares_lose_nothing_to_limits():
+    rng = np.random.default_rng(1)
+    for n, limit in ((1, 5), (50, 9), (3000, 3), (400, 300)):
+        words = rng.integers(0, limit + 1, n)
+        for times in (0, 0.3, 1, 1.5, 1.97, 2, 3):
+            total = int(times * words.sum())
+            got = mixture.shares(words.astype(float), 2 * words, total, 16)
+            assert got.sum() == min(total, 2 * words.sum()) and (got >= 0).all() and (got <= 2 * words).all()
+    even = mixture.shares(np.array([320.0, 160.0]), np.array([640, 320]), 480, 16)
+    assert even.tolist() == [320, 160]
+
+
+@pytest.mark.parametrize("others", [2000, 20_000])
+def test_small_sources_reach_their_targets_in_large_mixes(spark, others):
+    rows = [(i, "w " * 10, "a") for i in range(others)]
+    rows += [(-1 - i, "w " * (1 + i % 11), "b") for i in range(300)] + [(-1000 - i, "one", "c") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken, target = Counter(), {}
+    for r in mixture.mix(docs, shard_words=100).collect():
+        assert r["taken"] <= 2 * r["size"]
+        taken[r["source_size"]] += r["taken"]
+        target[r["source_size"]] = r["target"]
+    assert len(target) == 3 and all(abs(taken[s] - t) <= 16 for s, t in target.items())
+
+
 @pytest.mark.parametrize("shards", [1, 4, 40, 500])
 def test_shards_have_near_equal_bytes(documents, listed, shards):
     rows = sharding.shard(documents, shards=shards, bins=4).select("doc.doc_id", "doc.text", "size", "shard", "slot").collect()
