@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, knn, lm, mixture, neardup, packing, quality, radix, sharding, unigram
+from . import chat, knn, lm, mixture, neardup, packing, prefixes, quality, radix, sharding, suffixes, unigram
 from .common import read, stored
 
 
@@ -73,6 +73,19 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return prefixes.trie(prefixes.rebuilt(rows))
+
+
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = suffixes.remove_repeats(docs)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["length"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 LLM_QUERIES = {
     "op1_mix": op1_mix,
     "op2_quality": op2_quality,
@@ -84,6 +97,8 @@ LLM_QUERIES = {
     "op8_topk": op8_topk,
     "op9_exact": op9_exact,
     "op10_lm": op10_lm,
+    "op12_trie": op12_trie,
+    "op13_repeats": op13_repeats,
 }
 
 LLM_ORACLE = {
@@ -125,4 +140,45 @@ LLM_ORACLE = {
                  first_value(doc_id) OVER (PARTITION BY norm ORDER BY cp DESC, doc_id) AS keep_id
           FROM n)
         SELECT doc_id, keep_id, group_size, rn = 1 AS kept, sha256(norm) AS text_sha256 FROM g""",
+    "op12_trie": r"""
+        WITH t AS (
+          SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                 row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place
+          FROM conversations WHERE conv_id IS NOT NULL),
+        bits AS (
+          SELECT b.range AS start, list_reduce(list_concat([b.range], range(8)),
+                   lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS word
+          FROM range(256) b),
+        word AS (SELECT list(word ORDER BY start) AS w FROM bits),
+        c AS (
+          SELECT conv_id, conv_id - conv_id % 5 AS base,
+                 xor(list_reduce(list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                   lambda c, x: xor(c >> 8, w[(xor(c, x) & 255) + 1])), 4294967295) % 9 AS h
+          FROM (SELECT DISTINCT conv_id FROM t), word),
+        r AS (
+          SELECT c.conv_id, 0 AS part, t.place, t.role, t.text FROM c JOIN t ON t.conv_id = c.base AND t.place < c.h
+          UNION ALL SELECT c.conv_id, 1, t.place, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id AND t.place >= c.h),
+        n AS (
+          SELECT conv_id, strlen(text) AS n_bytes, length(role) || ':' || role || text AS turn,
+                 row_number() OVER (PARTITION BY conv_id ORDER BY part, place) AS depth FROM r),
+        p AS (
+          SELECT conv_id, 0 AS depth, '' AS key, 0 AS n_bytes FROM c
+          UNION ALL SELECT conv_id, depth, sha256(string_agg(sha256(turn), ',') OVER (PARTITION BY conv_id ORDER BY depth)), n_bytes FROM n),
+        e AS (
+          SELECT key, string_agg(conv_id, ',' ORDER BY conv_id) AS ids
+          FROM (SELECT conv_id, arg_max(key, depth) AS key FROM p GROUP BY conv_id) GROUP BY key),
+        nodes AS (
+          SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(n_bytes) AS own FROM p GROUP BY key, depth),
+        up AS (
+          SELECT x.key AS below, x.own, a.key AS key, a.depth, x.depth AS depth_below
+          FROM nodes x JOIN p a ON a.conv_id = x.conv_id AND a.depth <= x.depth),
+        kids AS (SELECT key, count(*) AS n_children FROM up WHERE depth_below = depth + 1 GROUP BY key),
+        sums AS (
+          SELECT up.key, sum(own)::BIGINT AS saved_tokens, count(*) FILTER (kids.key IS NULL) AS n_leaves
+          FROM up LEFT JOIN kids ON kids.key = up.below GROUP BY up.key)
+        SELECT x.conv_id, x.depth, y.conv_id AS parent_conv_id, x.n_convs, coalesce(n_children, 0) AS n_children,
+               n_leaves, saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+        FROM nodes x
+        LEFT JOIN up ON up.below = x.key AND up.depth = x.depth - 1 LEFT JOIN nodes y ON y.key = up.key
+        LEFT JOIN kids ON kids.key = x.key LEFT JOIN sums ON sums.key = x.key LEFT JOIN e ON e.key = x.key""",
 }
