@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, knn, lm, mixture, neardup, packing, prefixes, quality, radix, sharding, suffixes, unigram
+from . import chat, knn, lm, mixture, neardup, packing, phrases, prefixes, quality, radix, sharding, suffixes, unigram
 from .common import read, stored
 
 
@@ -73,6 +73,10 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return prefixes.trie(prefixes.rebuilt(rows))
@@ -97,6 +101,7 @@ LLM_QUERIES = {
     "op8_topk": op8_topk,
     "op9_exact": op9_exact,
     "op10_lm": op10_lm,
+    "op11_phrases": op11_phrases,
     "op12_trie": op12_trie,
     "op13_repeats": op13_repeats,
 }
@@ -140,6 +145,35 @@ LLM_ORACLE = {
                  first_value(doc_id) OVER (PARTITION BY norm ORDER BY cp DESC, doc_id) AS keep_id
           FROM n)
         SELECT doc_id, keep_id, group_size, rn = 1 AS kept, sha256(norm) AS text_sha256 FROM g""",
+    "op11_phrases": r"""
+        WITH w AS (
+          SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+          FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+                FROM documents)),
+        g AS (
+          SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda i: array_to_string(ws[i:i + m - 1], ' '))) AS phrase
+          FROM w, (SELECT unnest([1, 2, 3]) AS m) WHERE len(ws) >= m),
+        f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 10),
+        n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+        c AS (
+          SELECT lang, m, phrase, f AS a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS head,
+                 array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS tail
+          FROM f, (SELECT unnest([1, 2]) AS k) WHERE k < m),
+        s AS (
+          SELECT c.lang, c.m, c.phrase, a, k, x.f AS l, y.f AS r,
+                 (1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f))::BIGINT AS score
+          FROM c JOIN f x ON x.lang = c.lang AND x.phrase = c.head JOIN f y ON y.lang = c.lang AND y.phrase = c.tail),
+        b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        i AS (
+          SELECT lang, inner_phrase, max(a) AS longer FROM (
+            SELECT lang, a, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '),
+                                    array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS inner_phrase FROM b WHERE m = 3)
+          GROUP BY ALL)
+        SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM b JOIN n ON n.lang = b.lang LEFT JOIN i ON i.lang = b.lang AND inner_phrase = phrase
+        WHERE longer IS NULL OR 100 * longer < 50 * a
+        QUALIFY rank <= 2000""",
     "op12_trie": r"""
         WITH t AS (
           SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
