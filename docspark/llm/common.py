@@ -28,6 +28,16 @@ def stored(df: DataFrame, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, key: str) -> DataFrame:
+    """Like :func:`stored`, in as many buckets of ``key`` as a shuffle has partitions: a
+    join on it moves only the other side."""
+    spark = df.sparkSession
+    name, n = "b" + uuid.uuid4().hex, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}"
+    df.repartition(n, key).write.bucketBy(n, key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def words(text: Column) -> Column:
     """Number of words of a text; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -8,10 +8,10 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, stored_by
 from .neardup import in_parts, power_table, spread_bits
 from .ranks import ranked
 
@@ -55,15 +55,21 @@ def digest(text: memoryview) -> tuple[int, int]:
     return high - (high >> 63 << 64), low - (low >> 63 << 64)
 
 
-def anchors(texts: list[bytes], length: int, k: int, w: int) -> dict[str, np.ndarray]:
-    """The chosen places of some texts (each of ``length`` bytes or more) in order: of
-    every window its least k-byte string, and both ends of a text.
+def log2_of(n: np.ndarray) -> np.ndarray:
+    """The whole part of the binary logarithm; 0 for 0."""
+    return np.frexp(np.maximum(n, 1))[1].astype(np.int64) - 1
+
 
-    A place stands for the starts whose window chose it (``first``, ``n``): a repeated
-    string chooses the same place everywhere. ``hi``, ``lo`` name the bytes from the
-    place to the end of the next one's k bytes. ``back`` and ``fwd`` are how many places
-    before and after it cover all strings that it stands for, ``core`` how many places
-    after it lie in each of them."""
+def anchors(texts: list[bytes], length: int, k: int, w: int, inner: int) -> dict[str, np.ndarray]:
+    """The chosen places of some texts (each of ``length`` bytes or more) in order: of
+    every window its least k-byte string, and both ends of a text (the last one is left out).
+
+    A place stands for the starts whose window chose it (``first``, ``n``; ``lead`` is how
+    far the place lies behind the first): a repeated string chooses the same place
+    everywhere. ``hi``, ``lo`` name the bytes from the place to the end of the next one's
+    k bytes. ``back`` and ``fwd`` are how many places before and after it cover all strings
+    that it stands for, ``core`` how many places after it lie in each of them. ``reach`` is
+    the level up to which anyone asks for its ranks."""
     joined = b"".join(texts)
     size = np.array([len(t) for t in texts], dtype=np.int64)
     end = np.cumsum(size)
@@ -80,62 +86,147 @@ def anchors(texts: list[bytes], length: int, k: int, w: int) -> dict[str, np.nda
     own = np.searchsorted(places, place)
     n = np.maximum(0, np.minimum(past - 1, end[doc] - length) - first + 1)
     stands = n > 0
-    out = {c: np.zeros(len(places), dtype=np.int64) for c in ("first", "n", "back", "fwd", "core")}
+    out = {c: np.zeros(len(places), dtype=np.int64) for c in ("first", "n", "lead", "back", "fwd", "core", "hi", "lo")}
     out["n"][own] = n
     at, lo, hi = own[stands], first[stands], first[stands] + n[stands] - 1
     out["first"][at] = lo - begin[doc[stands]]
+    out["lead"][at] = places[at] - lo
     out["back"][at] = at - (np.searchsorted(places, lo, side="right") - 1)
     out["fwd"][at] = np.searchsorted(places, hi + length - k, side="left") - at
     out["core"][at] = own[np.searchsorted(first, lo + length - (w + k - 1), side="right") - 1] - at
+    top = log2_of(out["back"] + out["fwd"])[at]
+    reach = np.full(len(places), -1, dtype=np.int64)
+    for where, level in ((at, np.maximum(log2_of(out["core"][at]), inner)), (at - out["back"][at], top),
+                         (at + out["fwd"][at] - (1 << top), top)):
+        np.maximum.at(reach, where, level)
+    for level in range(int(reach.max()), 0, -1):  # a rank is made of two of half the span
+        after = np.flatnonzero(reach >= level) + (1 << (level - 1))
+        reach[after] = np.maximum(reach[after], level - 1)
     view = memoryview(joined)
     more = np.append(owner[1:] == owner[:-1], False)
     names = [digest(view[a:b]) for a, b in zip(places[more].tolist(), (places[1:][more[:-1]] + k).tolist(), strict=True)]
     for j, name in enumerate(("hi", "lo")):
-        out[name] = np.zeros(len(places), dtype=np.int64)
         out[name][more] = [x[j] for x in names]
     starts = np.searchsorted(owner, np.arange(len(texts)))
-    return out | {"doc": owner, "idx": np.arange(len(places)) - starts[owner], "more": more}
+    out |= {"doc": owner, "idx": np.arange(len(places)) - starts[owner], "reach": reach}
+    return {c: x[more & (reach >= 0)] for c, x in out.items()}
 
 
-ANCHOR = "rid long, idx int, more boolean, hi long, lo long, first int, n int, back int, fwd int, core int"
+ANCHOR = "rid long, idx int, hi long, lo long, first int, n int, lead int, back int, fwd int, core int, reach int"
+STANDING = "rid long, idx int, first int, n int, lead int, back int, inner long, top int, from_rank long, to_rank long"
+CHUNK = 16  # starts that are asked together before they are asked one by one, at most
 
 
-def find_anchors(length: int, k: int, w: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    kinds = {"idx": np.int32, "first": np.int32, "n": np.int32, "back": np.int32, "fwd": np.int32, "core": np.int32}
+def table(schema: str, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """A batch with the columns of a schema of whole numbers; masked ones become null."""
+    kinds = {"int": pa.int32(), "long": pa.int64()}
+    out = {}
+    for name, kind in (c.split() for c in schema.split(", ")):
+        x = columns[name]
+        hidden = np.ma.getmaskarray(x) if np.ma.isMaskedArray(x) else None
+        out[name] = pa.array(np.ma.getdata(x).astype(np.int64), mask=hidden).cast(kinds[kind])
+    return pa.RecordBatch.from_pydict(out)
 
+
+def find_anchors(length: int, k: int, w: int, inner: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rid, texts = np.asarray(batch.column(0)), batch.column(1).to_pylist()
             for a, b in in_parts(texts):
-                found = anchors(texts[a:b], length, k, w)
-                found["rid"] = rid[a:b][found.pop("doc")]
-                yield pa.RecordBatch.from_pydict({
-                    c.split()[0]: pa.array(found[c.split()[0]].astype(kinds.get(c.split()[0], found[c.split()[0]].dtype)))
-                    for c in ANCHOR.split(", ")})
+                found = anchors(texts[a:b], length, k, w, inner)
+                yield table(ANCHOR, found | {"rid": rid[a:b][found["doc"]]})
+
+    return run
+
+
+def find_spans(inner: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For texts with the ranks of their places at all levels: per place that stands for
+    starts, and whose inner span repeats, two overlapping ranks that span all strings it
+    stands for (null where that span is alone)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            flat = lists.flatten()
+            x = {f.name: np.asarray(flat.field(f.name).fill_null(0)) for f in flat.type}
+            doc = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
+            code = doc * 2**32 + x["idx"]
+            levels = []
+            for level in range(int(x["level"].max()) + 1):
+                some = np.flatnonzero(x["level"] == level)
+                some = some[np.argsort(code[some])]
+                levels.append((code[some], x["rank"][some]))
+
+            def look(level: np.ndarray, at: np.ndarray) -> np.ma.MaskedArray:
+                out = np.ma.masked_all(len(at), dtype=np.int64)
+                for j, (codes, ranks) in enumerate(levels):
+                    mine = np.flatnonzero(level == j)
+                    if len(codes) and len(mine):
+                        where = np.minimum(np.searchsorted(codes, at[mine]), len(codes) - 1)
+                        hit = codes[where] == at[mine]
+                        out[mine[hit]] = ranks[where[hit]]
+                return out
+
+            here = np.flatnonzero((x["level"] == 0) & (x["n"] > 0))
+            here = here[~np.ma.getmaskarray(look(np.maximum(log2_of(x["core"][here]), inner), code[here]))]
+            place = {c: x[c][here] for c in ("idx", "first", "n", "lead", "back")}
+            top = log2_of(x["back"][here] + x["fwd"][here])
+            yield table(STANDING, place | {
+                "rid": np.asarray(batch.column(0))[doc[here]], "inner": look(np.full(len(here), inner), code[here]), "top": top,
+                "from_rank": look(top, code[here] - x["back"][here]),
+                "to_rank": look(top, code[here] + x["fwd"][here] - (1 << top))})
+
+    return run
+
+
+CHUNKS = "rid long, first int, n int, core_hi long, core_lo long, hi long, lo long"
+
+
+def name_chunks(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For rows of (rid, text, places asked): their starts in chunks that are the same for
+    all equal strings, as they are cut by the distance to the place. ``core`` names the
+    bytes that all strings of a chunk share, ``hi``, ``lo`` those that hold them all (null
+    where the place does not stand for the whole chunk)."""
+    size = min(CHUNK, length // 4)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for rid, text, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                view = memoryview(text)
+                for p in places:
+                    first, last, place = p["first"], p["first"] + p["n"] - 1, p["first"] + p["lead"]
+                    for c in range((place - last) // size, (place - first) // size + 1):
+                        hi = place - c * size
+                        lo = hi - size + 1
+                        core = digest(view[hi:lo + length])
+                        cover = digest(view[lo:hi + length]) if lo >= first and hi <= last else (None, None)
+                        out.append((rid, max(lo, first), min(hi, last) - max(lo, first) + 1, *core, *cover))
+            if out:
+                kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.int64()] * 4]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)],
+                                                 names=[c.split()[0] for c in CHUNKS.split(", ")])
 
     return run
 
 
 def name_starts(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For rows of (rid, text, first starts, their numbers): one row per start with the
-    name of the string of ``length`` bytes that begins there."""
+    """For rows of (rid, text, runs of starts asked): one row per start with the name of the
+    string of ``length`` bytes that begins there."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rid, text, firsts, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for rid, text, asked in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 view = memoryview(text)
-                starts = np.unique(np.concatenate([np.arange(a, a + m) for a, m in zip(firsts, counts, strict=True)]))
-                for at in range(0, len(starts), 65_536):
-                    part = starts[at:at + 65_536]
-                    names = np.array([digest(view[p:p + length]) for p in part.tolist()], dtype=np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(part), rid)), pa.array(part.astype(np.int32)),
-                         pa.array(names[:, 0]), pa.array(names[:, 1])], names=["rid", "at", "hi", "lo"])
+                starts = np.concatenate([np.arange(x["first"], x["first"] + x["n"]) for x in asked])
+                names = np.array([digest(view[p:p + length]) for p in starts.tolist()], dtype=np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(starts), rid)), pa.array(starts.astype(np.int32)),
+                     pa.array(names[:, 0]), pa.array(names[:, 1])], names=["rid", "first", "hi", "lo"])
 
     return run
 
 
 def cut(length: int, kept_too: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For rows of (rid, text, repeated starts as runs): the removed spans, and what is left."""
+    """For rows of (id, size, text, repeated starts as runs): the removed spans, and what is left."""
     def spans(firsts: list[int], counts: list[int]) -> list[tuple[int, int]]:
         out: list[list[int]] = []
         for a, m in sorted(zip(firsts, counts, strict=True)):
@@ -147,67 +238,69 @@ def cut(length: int, kept_too: bool) -> Callable[[Iterator[pa.RecordBatch]], Ite
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rids, removed, left = [], [], []
-            for rid, text, firsts, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            removed, left = [], []
+            for text, firsts, counts in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True):
                 gone = spans(firsts or [], counts or [])
                 edges = [0, *[x for a, m in gone for x in (a, a + m)], len(text)]
-                rids.append(rid)
                 removed.append([{"start": a, "length": m} for a, m in gone])
                 left.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
             kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())]))
-            out = [pa.array(rids, pa.int64()), pa.array(removed, kind)] + ([pa.array(left, pa.binary())] if kept_too else [])
-            yield pa.RecordBatch.from_arrays(out, names=["rid", "spans", "kept"][:len(out)])
+            out = [*batch.columns[:2], pa.array(removed, kind)] + ([pa.array(left, pa.binary())] if kept_too else [])
+            yield pa.RecordBatch.from_arrays(out, names=["id", "n_bytes", "spans", "kept"][:len(out)])
 
     return run
 
 
-def log2(n: Column) -> Column:
-    """The whole part of the binary logarithm of a positive number."""
-    return (F.length(F.bin(n)) - 1).cast("int")
+def per_text(rows: DataFrame, texts: DataFrame, columns: list[str]) -> DataFrame:
+    """(rid, text, a list of ``columns``) of the texts that have rows; only the lists move."""
+    lists = rows.groupBy("rid").agg(F.collect_list(F.struct(*columns)).alias("asked"))
+    return texts.join(lists.hint("shuffle_hash"), "rid").select("rid", "text", "asked")
+
+
+def still_open(rows: DataFrame, settled: DataFrame, ids: list[str], span: str, columns: list[str]) -> DataFrame:
+    """``rows`` that are not settled; and, as the same strings may lie in settled ones, one
+    row of each settled class whose shared bytes (rank ``span``) are those of an open row."""
+    open_ = rows.join(settled.select(*ids), ids, "left_anti").select(*columns, span)
+    one = settled.groupBy("rank").agg(F.min(F.struct(*columns, span)).alias("r")).select("r.*")
+    one = one.join(open_.select(span).distinct(), span, "left_semi")
+    return open_.unionByName(one)
 
 
 def repeated_starts(texts: DataFrame, length: int) -> DataFrame:
     """Runs of starts (rid, first, n) of strings of ``length`` bytes that start anywhere
-    else too, from rows (rid, text as bytes) with stable rids."""
-    k, w = max(1, length // 12), max(1, length // 6)
-    inner = log2(F.lit(-(-(length - (w + k - 1) + 1) // w) - 1))  # so many places follow in every string at least
-    placed = stored(texts.where(F.length("text") >= length).mapInArrow(find_anchors(length, k, w), ANCHOR))
-    need = placed.agg(F.max(F.col("back") + F.col("fwd"))).first()[0]
+    else too, from a stored table (rid, text as bytes) in buckets of rid."""
+    k, w = max(1, length // 16), max(1, length * 9 // 20)
+    inner = int(log2_of(np.array([-(-(length - (w + k - 1) + 1) // w) - 1]))[0])  # so many places lie in any string
     at = ["rid", "idx"]
-    level = stored(ranked(placed.where("more"), ["hi", "lo"], at))
+    placed = texts.where(F.length("text") >= length).select("rid", "text").mapInArrow(find_anchors(length, k, w, inner), ANCHOR)
+    level = stored(ranked(placed, ["hi", "lo"], at, ("first", "n", "lead", "back", "fwd", "core", "reach")))
+    blank = [F.lit(None).cast("int").alias(c) for c in ("first", "n", "lead", "back", "fwd", "core")]
     levels, offset = [level], 1
-    while need and 2 * offset <= need and not level.isEmpty():
-        then = level.select("rid", (F.col("idx") - offset).cast("int").alias("idx"), F.col("rank").alias("rank_then"))
-        level = stored(ranked(level.join(then, at), ["rank", "rank_then"], at))
+    most = level.agg(F.max("reach")).first()[0] or 0
+    for _ in range(most):
+        ahead = Window.partitionBy("rid").orderBy("idx").rangeBetween(offset, offset)
+        pairs = level.withColumn("rank_then", F.max("rank").over(ahead))
+        pairs = pairs.where((F.col("reach") >= len(levels)) & F.col("rank_then").isNotNull())
+        level = stored(ranked(pairs, ["rank", "rank_then"], at, ("reach",)))
         levels.append(level)
         offset *= 2
-    tagged = [x.select(*at, F.struct(F.lit(j).alias("level"), "rank").alias("r")) for j, x in enumerate(levels)]
-    by_place = stored(reduce(DataFrame.unionByName, tagged).groupBy(*at).agg(
-        F.sort_array(F.collect_list("r"))["rank"].alias("ranks")))
-
-    standing = placed.where("n > 0").join(by_place, at).where(F.size("ranks") > F.greatest(log2(F.col("core")), inner))
-    top = log2(F.col("back") + F.col("fwd"))
-    standing = standing.select(*at, "first", "n", "back", F.get("ranks", inner).alias("inner"), top.alias("top"),
-                               (F.col("idx") - F.col("back")).alias("from_idx"),
-                               (F.col("idx") + F.col("fwd") - F.pow(F.lit(2), top)).cast("int").alias("to_idx"))
-    for end in ("from", "to"):
-        there = by_place.select("rid", F.col("idx").alias(f"{end}_idx"), F.col("ranks").alias(f"{end}_ranks"))
-        standing = standing.join(there, ["rid", f"{end}_idx"], "left").withColumn(
-            f"{end}_rank", F.get(f"{end}_ranks", F.col("top"))).drop(f"{end}_idx", f"{end}_ranks")
-    standing = stored(standing)
+    names = ["idx", "rank", "first", "n", "lead", "back", "fwd", "core"]
+    ranks = reduce(DataFrame.unionByName, [
+        x.select("rid", F.lit(j).alias("level"), *(names if j == 0 else [*names[:2], *blank])) for j, x in enumerate(levels)])
+    standing = stored(ranks.groupBy("rid").agg(F.collect_list(F.struct("level", *names)).alias("s"))
+                      .mapInArrow(find_spans(inner), STANDING))
+    spans = ["rid", "idx", "first", "n", "lead"]
     covered = stored(ranked(standing.where("from_rank IS NOT NULL AND to_rank IS NOT NULL"),
-                            ["top", "from_rank", "to_rank", "back"], at))
-    settled = standing.join(covered, at).select("rid", "first", "n")
-    open_ = standing.join(covered, at, "left_anti")
-    # an open place's strings may begin at a settled one: one place of each such class is asked too
-    asked = (standing.join(covered, at).groupBy("rank").agg(F.min(F.struct("rid", "idx", "first", "n", "inner")).alias("r"))
-             .select("r.*").join(open_.select("inner").distinct(), "inner", "left_semi"))
-    asked = open_.select("rid", "first", "n").unionByName(asked.select("rid", "first", "n"))
-    lists = asked.groupBy("rid").agg(F.collect_list(F.struct("first", "n")).alias("s"))
-    starts = stored(lists.join(texts, "rid").select("rid", "text", "s.first", "s.n").mapInArrow(
-        name_starts(length), "rid long, at int, hi long, lo long"))
-    single = ranked(starts, ["hi", "lo"], ["rid", "at"])
-    return settled.unionByName(single.select("rid", F.col("at").alias("first"), F.lit(1).alias("n")))
+                            ["top", "from_rank", "to_rank", "back"], at, ("first", "n", "lead", "inner")))
+    asked = still_open(standing, covered, at, "inner", spans)
+    chunks = per_text(asked, texts, ["first", "n", "lead"]).mapInArrow(name_chunks(length), CHUNKS)
+    at = ["rid", "first"]
+    chunks = stored(ranked(stored(chunks), ["core_hi", "core_lo"], at, ("n", "hi", "lo")).withColumnRenamed("rank", "core"))
+    whole = stored(ranked(chunks.where("hi IS NOT NULL"), ["hi", "lo"], at, ("n", "core")))
+    asked = still_open(chunks, whole, at, "core", ["rid", "first", "n"])
+    starts = per_text(asked, texts, ["first", "n"]).mapInArrow(name_starts(length), "rid long, first int, hi long, lo long")
+    single = ranked(stored(starts), ["hi", "lo"], at).withColumn("n", F.lit(1))
+    return reduce(DataFrame.unionByName, [x.select("rid", "first", "n") for x in (covered, whole, single)])
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400,
@@ -222,7 +315,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     when the ranks span the threshold. Two overlapping ranks give any longer span, so a
     last sort of such pairs tells for which places all strings repeat (on both sides of
     the place) and, where the inner span is alone, that none does. Only near the ends of
-    repeats the strings themselves are compared, start by start, by one more sort.
+    repeats the strings themselves are sorted, first by chunks of starts, then one by one.
     Strings are compared by 128-bit names, ranks by whole numbers. Keys that very many
     rows share are dealt to many tasks (see :func:`ranks.ranked`).
 
@@ -234,13 +327,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     gives an empty result. There are no ties to break. ``length`` is at least 12."""
     if length < 12:
         raise ValueError("length must be at least 12")
-    texts = stored(docs.select(
+    texts = stored_by(docs.select(
         F.monotonically_increasing_id().alias("rid"), F.col(f"`{id_col}`").alias("id"),
-        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("text")))
-    runs = repeated_starts(texts.select("rid", "text"), length)
-    runs = runs.groupBy("rid").agg(F.collect_list(F.struct("first", "n")).alias("s"))
-    schema = "rid long, spans array<struct<start:int,length:int>>" + (", kept binary" if kept else "")
-    hit = texts.select("rid", "text").join(runs, "rid", "left").select("rid", "text", "s.first", "s.n")
-    cuts = hit.mapInArrow(cut(length, kept), schema)
-    ids = texts.select("rid", "id", F.length("text").cast("long").alias("n_bytes"))
-    return ids.join(cuts, "rid").select(F.col("id").alias(id_col), "n_bytes", "spans", *(["kept"] if kept else []))
+        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("text")), "rid")
+    runs = repeated_starts(texts, length).groupBy("rid").agg(F.collect_list(F.struct("first", "n")).alias("s"))
+    schema = "spans array<struct<start:int,length:int>>" + (", kept binary" if kept else "")
+    hit = texts.join(runs.hint("shuffle_hash"), "rid", "left").select(
+        "id", F.length("text").cast("long").alias("n_bytes"), "text", "s.first", "s.n")
+    kind = dict(texts.dtypes)["id"]
+    return hit.mapInArrow(cut(length, kept), f"id {kind}, n_bytes long, " + schema).withColumnRenamed("id", id_col)
