@@ -8,6 +8,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,16 +40,38 @@ def slices(texts: list[bytes], words: int, most: int) -> Iterator[list[tuple[int
                     if j == words - 1:
                         break
                     end = word.end()
+            if batch and size + end - at > most:
+                yield batch
+                batch, size = [], 0
             batch.append((i, at, stop, end))
             size += end - at
             at = stop
-            if size >= most:
-                yield batch
-                batch, size = [], 0
     if batch:
         yield batch
 
 
+SLICE = "slice long, text binary, ends array<int>, owned array<int>, langs array<string>"
+
+
+def cut_slices(words: int, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(lang, text) -> slices: parts of texts with a line end behind each, where they end,
+    up to where the phrases that begin in them are theirs, and their languages."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for cuts in slices(texts, words, most):
+                ends = np.cumsum([b - a + 1 for _, a, _, b in cuts])
+                owned = ends - np.array([b - s + 1 for _, _, s, b in cuts])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number]), pa.array([b"".join(texts[i][a:b] + b"\n" for i, a, _, b in cuts)], pa.binary()),
+                     pa.array([ends.astype(np.int32)]), pa.array([owned.astype(np.int32)]), pa.array([[langs[i] for i, *_ in cuts]])],
+                    names=["slice", "text", "ends", "owned", "langs"])
+                number += 1
+
+    return run
+
+
 def equal_bytes(text: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Whether the ``size`` bytes at a and at b are equal, eight at a time; ``text`` has
     eight bytes more than are asked for."""
@@ -65,106 +88,181 @@ def equal_bytes(text: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray
     return same
 
 
-def grams(texts: list[bytes], langs: list[str], cuts: list[tuple[int, int, int, int]], words: int,
-          bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For every n up to ``words``, the different phrases of n words in some slices: n,
-    fingerprint, count, and where one of them stands: slice, first byte, byte past it.
+def word_places(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of every word and the byte past it; the last byte parts pieces."""
+    inside = KIND[raw] == 0
+    return (np.flatnonzero(inside & np.concatenate(([True], ~inside[:-1]))),
+            np.flatnonzero(~inside & np.concatenate(([False], inside[:-1]))))
+
+
+def grams(text: bytes, ends: np.ndarray, owned: np.ndarray, langs: list[str], words: int,
+          bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different phrases of a slice: fingerprint, count and a pointer to the first
+    occurrence (number of its first word * ``words`` + its words - 1).
 
     Words are hashed with one blank between them by differences of one prefix polynomial,
     modulo 2**64. Occurrences of one fingerprint are compared with the first by their
     bytes; those that differ are a phrase of their own."""
-    joined = b"\n".join(texts[i][a:b] for i, a, _, b in cuts) + b"\n"
-    raw = np.frombuffer(joined, dtype=np.uint8)
-    begin = np.cumsum([0, *[b - a + 1 for _, a, _, b in cuts]])
-    kind = KIND[raw]
-    inside = kind == 0
-    first = np.flatnonzero(inside & np.concatenate(([True], ~inside[:-1])))
-    past = np.flatnonzero(~inside & np.concatenate(([False], inside[:-1])))
-    if not len(first):
-        return
-    piece = np.cumsum(kind == 2, dtype=np.int32)[first]
-    owner = np.searchsorted(begin, first, side="right") - 1
-    owned = first - begin[owner] < np.array([s - a for _, a, s, _ in cuts])[owner]
-    keep = inside.copy()
+    raw = np.frombuffer(text, dtype=np.uint8)
+    first, past = word_places(raw)
+    piece = np.cumsum(KIND[raw] == 2, dtype=np.int32)[first]
+    owner = np.searchsorted(ends, first, side="right")
+    mine = first < owned[owner]
+    keep = KIND[raw] == 0
+    plain = np.where(keep, LOWER[raw], np.uint8(32))
     keep[past] = True  # one blank behind every word
-    plain = np.where(inside, LOWER[raw], np.uint8(32))[keep]
+    plain = plain[keep]
     place = np.cumsum(keep, dtype=np.int64) - 1
     lo, hi = place[first], place[past]
     up, down = power_table(len(plain))
     total = np.zeros(len(plain) + 1, dtype=np.uint64)
     np.cumsum((plain.astype(np.uint64) + np.uint64(1)) * up[:len(plain)], out=total[1:])
     numbers: dict[str, int] = {}
-    tongue = np.array([numbers.setdefault(langs[i], len(numbers)) for i, *_ in cuts])[owner]
+    tongue = np.array([numbers.setdefault(x, len(numbers)) for x in langs])[owner]
     salts = np.array([int.from_bytes(x.encode()[:8].ljust(8, b"\0"), "little") for x in numbers], dtype=np.uint64)
     plain = np.concatenate((plain, np.zeros(8, dtype=np.uint8)))
-    for n in range(1, words + 1):
-        here = np.flatnonzero(owned[:len(first) - n + 1] & (piece[:len(first) - n + 1] == piece[n - 1:])) if len(first) >= n else []
-        if not len(here):
-            continue
+    short = np.uint64((2**64 - 1) >> bits ^ (2**64 - 1))
+    out = []
+    for n in range(1, min(words, len(first)) + 1):
+        here = np.flatnonzero(mine[:len(first) - n + 1] & (piece[:len(first) - n + 1] == piece[n - 1:]))
         a, b = lo[here], hi[here + n - 1]
-        mark = spread_bits((total[b] - total[a]) * down[a] + spread_bits(salts[tongue[here]] + np.uint64(n))) >> np.uint64(64 - bits)
+        mark = spread_bits((total[b] - total[a]) * down[a] + spread_bits(salts[tongue[here]] + np.uint64(n))) & short
         while len(here):
             order = np.argsort(mark, kind="stable")
-            new = np.concatenate(([True], mark[order[1:]] != mark[order[:-1]]))
-            head = order[np.flatnonzero(new)]
+            new = np.flatnonzero(np.concatenate(([True], mark[order[1:]] != mark[order[:-1]])))
+            head = order[new]
             lead = np.empty(len(order), dtype=np.int64)
-            lead[order] = np.repeat(head, np.diff(np.append(np.flatnonzero(new), len(order))))
+            lead[order] = np.repeat(head, np.diff(np.append(new, len(order))))
             twin = np.flatnonzero(lead != np.arange(len(lead)))
             same = ((b - a)[twin] == (b - a)[lead[twin]]) & (tongue[here[twin]] == tongue[here[lead[twin]]])
             same[same] = equal_bytes(plain, a[twin[same]], a[lead[twin[same]]], (b - a)[twin[same]])
-            count = np.ones(len(here), dtype=np.int64)
-            count -= np.bincount(twin, minlength=len(here))
-            count += np.bincount(lead[twin[same]], minlength=len(here))
-            head = np.sort(head)
-            yield n, mark[head], count[head], owner[here[head]], first[here[head]] - begin[owner[here[head]]], \
-                past[here[head] + n - 1] - begin[owner[here[head]]]
+            count = 1 + np.bincount(lead[twin[same]], minlength=len(here))
+            out.append((mark[head], count[head], here[head] * words + n - 1))
             other = twin[~same]  # a collision: round again among themselves
             here, a, b, mark = here[other], a[other], b[other], mark[other]
+    if not out:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def packed(numbers: np.ndarray, width: int) -> np.ndarray:
+    """The low bytes of whole numbers, as rows of bytes."""
+    return np.ascontiguousarray(numbers.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width]
+
+
+def unpacked(data: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), dtype=np.uint8)
+    out[:, :width] = np.frombuffer(data, dtype=np.uint8).reshape(-1, width)
+    return out.view("<u8").ravel()
 
 
-def count_grams(words: int, bits: int, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(rid, lang, text) -> partial counts: fingerprint, n, count and one occurrence."""
+PARTIAL = "bucket int, slice long, once binary, more binary"
+
+
+def count_grams(words: int, bits: int, spread: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Slices -> per bucket of fingerprints (their first ``spread`` bits) the slice's
+    partial counts: 32 further bits and the pointer, and the count where it is not one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rids, langs, texts = np.asarray(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            for cuts in slices(texts, words, most):
-                base = np.array([a for _, a, _, _ in cuts])
-                row = rids[[i for i, *_ in cuts]]
-                for n, mark, count, at, lo, hi in grams(texts, langs, cuts, words, bits):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(mark.view(np.int64)), pa.array(count.astype(np.int32)), pa.array(row[at]),
-                         pa.array((lo + base[at]).astype(np.int32)), pa.array((hi - lo).astype(np.int32))],
-                        names=["mark", "c", "rid", "at", "size"])
+            for i in range(batch.num_rows):
+                number, text, ends, owned, langs = (batch.column(j)[i].as_py() for j in range(5))
+                mark, count, pointer = grams(text, np.array(ends), np.array(owned), langs, words, bits)
+                bucket = (mark >> np.uint64(64 - spread)).astype(np.int32)
+                rest = (mark >> np.uint64(32 - spread)) & np.uint64(2**32 - 1)
+                cols = []
+                for some, parts in ((count == 1, ((rest, 4), (pointer, 3))), (count > 1, ((rest, 4), (pointer, 3), (count, 4)))):
+                    some = np.flatnonzero(some)
+                    some = some[np.argsort(bucket[some], kind="stable")]
+                    rows = np.concatenate([packed(x[some], n) for x, n in parts], axis=1)
+                    cuts = np.searchsorted(bucket[some], np.arange(2**spread + 1)) * rows.shape[1]
+                    data = rows.tobytes()
+                    cols.append([data[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)])
+                full = [j for j in range(2**spread) if cols[0][j] or cols[1][j]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(full, pa.int32()), pa.array([number] * len(full), pa.int64()),
+                     *[pa.array([c[j] for j in full], pa.binary()) for c in cols]], names=["bucket", "slice", "once", "more"])
+
+    return run
+
+
+OFTEN = "slice long, pointers array<int>, counts array<int>"
+
+
+def frequent(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Partial counts sorted by bucket -> the pointers, per slice, whose fingerprint has
+    ``least`` occurrences or more in all slices together."""
+    def total(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
+        once = np.frombuffer(b"".join(r[1] for r in rows), dtype=np.uint8).reshape(-1, 7)
+        more = np.frombuffer(b"".join(r[2] for r in rows), dtype=np.uint8).reshape(-1, 11)
+        mark = np.concatenate([unpacked(x[:, :4].tobytes(), 4) for x in (once, more)])
+        pointer = np.concatenate([unpacked(x[:, 4:7].tobytes(), 3) for x in (once, more)]).astype(np.int32)
+        count = np.concatenate((np.ones(len(once), dtype=np.int64), unpacked(more[:, 7:].tobytes(), 4).astype(np.int64)))
+        owner = np.concatenate([np.repeat(np.arange(len(rows)), [len(r[j]) // n for r in rows]) for j, n in ((1, 7), (2, 11))])
+        order = np.argsort(mark, kind="stable")
+        new = np.flatnonzero(np.concatenate(([True], mark[order[1:]] != mark[order[:-1]])))
+        often = np.add.reduceat(count[order], new) >= least
+        keep = order[np.repeat(often, np.diff(np.append(new, len(order))))]
+        keep = keep[np.argsort(owner[keep], kind="stable")]
+        at = np.searchsorted(owner[keep], np.arange(len(rows) + 1)).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(at, pa.array(x[keep].astype(np.int32))) for x in (pointer, count)]
+        full = pa.array(np.diff(at) > 0)
+        batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *lists], names=["slice", "pointers", "counts"])
+        return batch.filter(full)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, bucket = [], None
+        for batch in batches:
+            for b, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if b != bucket and held:
+                    yield total(held)
+                    held = []
+                bucket = b
+                held.append(row)
+        if held:
+            yield total(held)
 
     return run
 
 
-def read_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, text, occurrences) -> (lang, phrase, count), the phrase from the text itself."""
-    for batch in batches:
-        lang, phrase, count = [], [], []
-        for tongue, text, where, sizes, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            for at, size, c in zip(where, sizes, counts, strict=True):
-                lang.append(tongue)
-                phrase.append(b" ".join(WORD.findall(text[at:at + size].translate(FLAT))))
-                count.append(c)
-        yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(count, pa.int64())],
-                                         names=["lang", "phrase", "c"])
+def read_phrases(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Slices with pointers -> (lang, phrase, count), the phrases from the text itself."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                text, ends, langs, pointers, counts = (batch.column(j)[i].as_py() for j in range(5))
+                first, past = word_places(np.frombuffer(text, dtype=np.uint8))
+                pointers = np.array([p for part in pointers for p in part], dtype=np.int64)
+                at = pointers // words
+                lo, hi = first[at], past[at + pointers % words]
+                tongue = np.searchsorted(ends, lo, side="right")
+                flat = text.translate(FLAT)
+                phrase = [b" ".join(WORD.findall(flat[a:b])) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([langs[x] for x in tongue.tolist()], pa.string()), pa.array(phrase, pa.binary()).cast(pa.string()),
+                     pa.array([c for part in counts for c in part], pa.int64())], names=["lang", "phrase", "c"])
+
+    return run
 
 
-def phrase_counts(docs: DataFrame, words: int, least: int, bits: int = 64, most: int = 4 << 20) -> tuple[DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, words: int, least: int, bits: int = 64, most: int = 2 << 20,
+                  bucket_bytes: int = 2 << 20) -> tuple[DataFrame, DataFrame]:
     """Exact counts per lang of all phrases of up to ``words`` words that occur ``least``
     times or more (lang, phrase, f), and all word occurrences per lang (lang, n); ``docs``
-    has lang and text (bytes)."""
-    texts = stored(docs.select(F.monotonically_increasing_id().alias("rid"), "lang", "text"))
-    partial = texts.mapInArrow(count_grams(words, bits, most), "mark long, c int, rid long, at int, size int")
-    often = partial.withColumn("total", F.sum("c").over(Window.partitionBy("mark"))).where(F.col("total") >= least)
-    per_text = often.groupBy("rid").agg(F.collect_list(F.struct("at", "size", "c")).alias("o"))
-    found = per_text.join(texts, "rid").select("lang", "text", "o.at", "o.size", "o.c").mapInArrow(
-        read_phrases, "lang string, phrase string, c long")
-    counts = found.groupBy("lang", "phrase").agg(F.sum("c").alias("f")).where(F.col("f") >= least)
+    has lang and text (bytes). A bucket of fingerprints is that of about ``bucket_bytes``
+    of text, so a task's share does not grow with the input."""
+    most = min(most, 2**25 // words - 64)  # pointers of three bytes
+    parts = stored(docs.mapInArrow(cut_slices(words, most), SLICE))
     n_words = F.regexp_count(F.col("text").cast("string"), F.lit(r"[^\x20\x09.,;:!?\x0A-\x0D]+")).cast("long")
-    return stored(counts), stored(texts.groupBy("lang").agg(F.sum(n_words).alias("n")))
+    totals = stored(docs.groupBy("lang").agg(F.sum(n_words).alias("n")))
+    size = parts.agg(F.sum(F.length("text"))).first()[0] or 0
+    spread = max(4, min(24, int(np.ceil(np.log2(max(1, size) / bucket_bytes + 1)))))
+    partial = parts.mapInArrow(count_grams(words, bits, spread), PARTIAL)
+    often = partial.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(frequent(least), OFTEN)
+    often = often.groupBy("slice").agg(F.collect_list("pointers").alias("pointers"), F.collect_list("counts").alias("counts"))
+    found = often.join(parts, "slice").select("text", "ends", "langs", "pointers", "counts").mapInArrow(
+        read_phrases(words), "lang string, phrase string, c long")
+    counts = found.groupBy("lang", "phrase").agg(F.sum("c").alias("f")).where(F.col("f") >= least)
+    return stored(counts), totals
 
 
 def part(words: Column, start: int | Column, size: int | Column) -> Column:
@@ -176,13 +274,14 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     """The best phrases of 2 to ``words`` words of every language.
 
     Method, Rabin-Karp: numpy prefix polynomials give the fingerprint of every phrase
-    occurrence; tasks count their own and pass on (fingerprint, count, pointer to one
-    occurrence); the shuffle adds the counts up. Only where a fingerprint has ``least``
+    occurrence; a slice of some MB of text counts its own and passes on fingerprint, count
+    and pointer to one occurrence, packed by bucket of fingerprints; the shuffle brings a
+    bucket's together, where they are added up. Only where a fingerprint has ``least``
     occurrences the pointers are followed into the texts, and counts are added anew by
-    the phrase's own words, so collisions part; within a task occurrences of a
+    the phrase's own words, so collisions part; within a slice occurrences of a
     fingerprint are compared byte by byte. ``bits`` narrows fingerprints (for tests); the
-    result does not depend on it. A very frequent phrase is one row per slice of some
-    MB of text from the start.
+    result does not depend on it. A very frequent phrase is one entry per slice from the
+    start, so no bucket is hot.
 
     Words and pieces, f, l, r, n, score: see the query's contract; all arithmetic is on
     whole numbers of up to 38 digits. Returns lang, rank, phrase, a, l, r, n, score: the
