@@ -59,10 +59,16 @@ def apportion(votes: np.ndarray, seats: int) -> np.ndarray:
 
 def shares(votes: np.ndarray, limit: np.ndarray, total: int, block: int) -> np.ndarray:
     """``total`` words by ``votes`` in whole blocks, none above its ``limit``; what limits
-    cut off goes to the room of the others, in blocks and at last in words, so nothing
-    is lost while there is room."""
+    cut off goes in words to those furthest below their part, then to the room of the
+    others, in blocks and at last in words, so nothing is lost while there is room."""
     got = np.minimum(apportion(votes, total // block) * block, limit)
     left = int(min(total, limit.sum()) - got.sum())
+    if votes.sum() > 0:  # first to those furthest below their part of the total
+        short = np.minimum(np.maximum(np.floor(votes / votes.sum() * total) - got, 0), limit - got).astype(np.int64)
+        order = np.argsort(-short, kind="stable")
+        short[order] = np.clip(left - (np.cumsum(short[order]) - short[order]), 0, short[order])
+        got += short
+        left -= int(short.sum())
     while left >= block:
         room = limit - got
         more = np.minimum(apportion(room.astype(np.float64), left // block) * block, room)

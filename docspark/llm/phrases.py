@@ -244,7 +244,7 @@ def read_phrases(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
     return run
 
 
-def phrase_counts(docs: DataFrame, words: int, least: int, bits: int = 64, most: int = 2 << 20,
+def phrase_counts(docs: DataFrame, words: int, least: int, bits: int = 64, most: int = 1 << 20,
                   bucket_bytes: int = 2 << 20) -> tuple[DataFrame, DataFrame]:
     """Exact counts per lang of all phrases of up to ``words`` words that occur ``least``
     times or more (lang, phrase, f), and all word occurrences per lang (lang, n); ``docs``

@@ -119,11 +119,12 @@ def trie_block(words: list[bytes], pieces: Pieces) -> np.ndarray:
     up, down = powers(m)
     prefix = np.zeros((m + 1, n), dtype=np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:m, None], axis=0, out=prefix[1:])
-    fresh = np.ones(n, dtype=bool)  # rows whose prefix of this depth is new
+    fresh = np.arange(n) == 0  # rows whose prefix of this depth is new
     best = np.zeros((m + 1, n))
     used = np.zeros((m + 1, n), dtype=np.int32)
     for depth in range(1, m + 1):
-        fresh[1:] |= raw[depth - 1, 1:] != raw[depth - 1, :-1]
+        # a shorter word's padding is no prefix, whatever bytes the next word has there
+        fresh[1:] |= (raw[depth - 1, 1:] != raw[depth - 1, :-1]) | (size[:-1] < depth)
         alive = size >= depth
         rows = np.flatnonzero(fresh & alive)
         top, few = np.full(len(rows), -np.inf), np.zeros(len(rows), dtype=np.int32)
