@@ -42,14 +42,15 @@ def chunk_text(
     def windows(tokens):
         n = F.size(tokens)
         starts = F.when(n > 0, F.sequence(F.lit(0), F.greatest(F.lit(0), n - overlap - 1), F.lit(step)))
-        sums = prefix_sums(F.transform(tokens, lambda t: F.length(t) + 1))  # offsets in the space-joined tokens
-        return bind(sums, lambda offset: F.transform(starts, lambda s, i: F.struct(
+        # offsets in the space-joined tokens: running sums over the windows' steps only
+        steps = F.transform(starts, lambda s: F.length(F.array_join(F.slice(tokens, s + 1, F.lit(step)), " ")) + 1)
+        return bind(starts, lambda starts: bind(prefix_sums(steps), lambda offset: F.transform(starts, lambda s, i: F.struct(
             i.alias("chunk_number"),
             F.array_join(F.slice(tokens, s + 1, F.lit(max_tokens)), " ").alias("text"),
             F.least(F.lit(max_tokens), n - s).cast("int").alias("token_count"),
             s.cast("int").alias("start_token"),
             F.least(s + max_tokens, n).cast("int").alias("end_token"),
-            F.get(offset, s).cast("int").alias("start_offset"))))
+            F.get(offset, i).cast("int").alias("start_offset")))))
 
     # the windows are cut inside the row: no window row carries the page's tokens
     return df.select(*keys, F.inline(bind(word_tokens(text_col), windows)))

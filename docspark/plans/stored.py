@@ -124,7 +124,7 @@ def _legacy(spark, sf_dir):
     page = (F.col("turn") + 1).cast("int")
     by_bot = F.col("role") == "assistant"
     item = F.struct(page.alias("pageNumber"), F.when(by_bot, F.concat(F.lit("# "), "text")).alias("markdown"), F.col("text").alias("text"))
-    figure = F.struct(page.alias("pageNumber"), F.substring("text", 1, 40).alias("description"))
+    figure = F.struct(page.alias("pageNumber"), F.col("text").alias("description"))
     return rows.groupBy("document_id").agg(
         F.array_sort(F.collect_list(item)).alias("contents"), F.collect_list(F.when(by_bot, figure)).alias("figures"),
         F.min(F.when(F.col("role") == "system", F.col("text"))).alias("summary"),
@@ -268,9 +268,9 @@ FROM n""",
     "document_abstract": f"""WITH {_CONV}
 SELECT document_id, coalesce(nullif(min(text) FILTER (role = 'system'), ''), nullif(min(text) FILTER (turn = 0), '')) AS abstract
 FROM c GROUP BY 1""",
-    "figures": f"WITH {_CONV} SELECT document_id, page_number, substr(text, 1, 40) AS description FROM c WHERE role = 'assistant'",
+    "figures": f"WITH {_CONV} SELECT document_id, page_number, text AS description FROM c WHERE role = 'assistant'",
     "page_figures": f"""WITH {_CONV}
-SELECT document_id, page_number, substr(text, 1, 40) AS description FROM c WHERE role = 'assistant' AND page_number = 2""",
+SELECT document_id, page_number, text AS description FROM c WHERE role = 'assistant' AND page_number = 2""",
     "truncate_page": f"WITH {PAGES} SELECT document_id, page_number, substr(content, 1, 500) AS excerpt FROM pages_t",
     "page_range_parts": """
 SELECT doc_id, CASE WHEN error IS NULL THEN s END AS "start", CASE WHEN error IS NULL THEN e END AS "end", error FROM (
