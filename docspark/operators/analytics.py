@@ -75,6 +75,34 @@ def amounts_by_document(pages: DataFrame, text_col: str = "content") -> DataFram
     )
 
 
+# Fixed value: a number mention that is a year.
+YEAR_PATTERN = r"^(?:19|20)[0-9]{2}$"
+
+
+def amounts_by_year(pages: DataFrame, text_col: str = "content") -> DataFrame:
+    """Q14 per year: an amount belongs to the nearest year mention before it in its
+    document (null: none), a positional as-of join. Returns (document_id, year,
+    n_amounts, n_unparsed, total).
+
+    Mentions are matched within their page; a page hands only its last year on to the
+    next ones, so a document's window holds one row per page, not its mentions."""
+    at = pages.select("document_id", "page_number", F.posexplode(
+        F.regexp_extract_all(F.col(text_col), F.lit(NUMBER_PATTERN), 0)).alias("pos", "mention"))
+    year = F.when(F.col("mention").rlike(YEAR_PATTERN), F.col("mention").cast("int"))
+    page = Window.partitionBy("document_id", "page_number").orderBy("pos")
+    at = at.withColumn("own", year).withColumn("year", F.last("own", ignorenulls=True).over(
+        page.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = at.groupBy("document_id", "page_number").agg(F.max_by("own", F.when(F.col("own").isNotNull(), F.col("pos"))).alias("last_year"))
+    earlier = Window.partitionBy("document_id").orderBy("page_number").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("document_id", "page_number", F.last("last_year", ignorenulls=True).over(earlier).alias("carried"))
+    amount = F.replace(F.col("mention"), F.lit(","), F.lit("")).try_cast("decimal(38,4)")
+    return (at.filter(F.col("own").isNull()).join(carried, ["document_id", "page_number"])
+            .select("document_id", F.coalesce("year", "carried").alias("year"), amount.alias("amount"))
+            .groupBy("document_id", "year").agg(
+                F.count(F.lit(1)).alias("n_amounts"), F.count_if(F.col("amount").isNull()).alias("n_unparsed"),
+                F.sum("amount").cast("decimal(38,4)").alias("total")))
+
+
 def term_sets(records: DataFrame, id_col: str = "document_id", text_col: str = "text") -> DataFrame:
     """Distinct terms of each record with a key of the set (md5 of the sorted terms)."""
     s = records.select(F.col(id_col).alias("rid"), F.array_distinct(terms(text_col)).alias("s")).filter(F.size("s") > 0)

@@ -491,6 +491,37 @@ FROM ra FULL OUTER JOIN rb ON ra.qid = rb.qid AND ra.rank = rb.rank"""
 
 DOC_TERMS = f"d AS (SELECT 'doc-' || doc_id AS document_id, text FROM documents)"
 
+PASSAGES = f"""{pages_cte()},
+pt AS (
+  SELECT document_id, page_number, unnest(ts) AS term, generate_subscripts(ts, 1) AS k
+  FROM (SELECT document_id, page_number, regexp_extract_all(lower(content), {TERM}, 0) AS ts FROM pages_t)),
+tt AS (SELECT document_id, page_number, term, row_number() OVER (PARTITION BY document_id ORDER BY page_number, k) - 1 AS pos FROM pt),
+gr AS (
+  SELECT document_id, pos, page_number, seed, max(pos) OVER (PARTITION BY document_id) AS last FROM (
+    SELECT document_id, pos, page_number, substr(md5(string_agg(term, ' ') OVER f), 1, 16) AS seed, count(*) OVER f AS n
+    FROM tt WINDOW f AS (PARTITION BY document_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING)) WHERE n = 12),
+wi AS (
+  SELECT document_id, pos, last, min({{'seed': seed, 'pos': pos}}) OVER (
+    PARTITION BY document_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 8 FOLLOWING) AS least FROM gr),
+ch AS (SELECT DISTINCT document_id, least.pos AS pos FROM wi WHERE pos <= greatest(0, last - 8)),
+fo AS (
+  SELECT document_id, pos, page_number, seed, lag(seed) OVER d AS before, pos - lag(pos) OVER d AS gap_before,
+         lead(seed) OVER d AS after, lead(pos) OVER d - pos AS gap_after
+  FROM ch JOIN gr USING (document_id, pos) WINDOW d AS (PARTITION BY document_id ORDER BY pos)),
+cl AS (
+  SELECT seed, count(*) AS n_members, min({{'d': document_id, 'p': pos}}) AS first,
+         CASE WHEN count(before) = count(*) AND min(before) = max(before) AND min(gap_before) = max(gap_before) THEN min(before) END AS before,
+         CASE WHEN count(after) = count(*) AND min(after) = max(after) AND min(gap_after) = max(gap_after) THEN min(after) END AS after
+  FROM fo GROUP BY seed HAVING count(*) > 1),
+pa AS (
+  SELECT *, coalesce(lag(seed) OVER l = before AND lag(after) OVER l = seed, FALSE) AS goes_on
+  FROM cl WINDOW l AS (PARTITION BY first.d ORDER BY first.p)),
+cn AS (SELECT *, count(*) FILTER (NOT goes_on) OVER (PARTITION BY first.d ORDER BY first.p) AS chain FROM pa),
+passages AS (
+  SELECT first.d || '@' || min(first.p) AS passage_id, max(n_members) AS n_members,
+         CAST(max(first.p) - min(first.p) + 12 AS INTEGER) AS n_terms, arg_min(seed, first.p) AS seed
+  FROM cn GROUP BY first.d, chain)"""
+
 SIMILAR = f"""
 {DOC_TERMS},
 keyed AS (
@@ -514,6 +545,20 @@ sim AS (
   WHERE i.shared / (len(sa.s) + len(sb.s) - i.shared) >= 0.8
 )"""
 
+#: The same pairs by length and prefix bounds first, so few term sets are compared.
+SIMILAR_BY_PREFIX = SIMILAR[:SIMILAR.index("flat AS")] + """flat AS (SELECT document_id, unnest(s) AS term, len(s) AS n FROM sets),
+freq AS (SELECT term, count(*) AS f FROM flat GROUP BY 1),
+pre AS MATERIALIZED (
+  SELECT document_id, term, n FROM flat JOIN freq USING (term)
+  QUALIFY row_number() OVER (PARTITION BY document_id ORDER BY f, term) <= n - ceil(0.8 * n - 1e-9) + 1),
+cand AS MATERIALIZED (
+  SELECT DISTINCT a.document_id AS id_a, b.document_id AS id_b FROM pre a JOIN pre b ON a.term = b.term AND a.document_id < b.document_id
+  WHERE least(a.n, b.n) >= 0.8 * greatest(a.n, b.n) - 1e-9),
+inter AS (
+  SELECT id_a, id_b, len(list_intersect(x.s, y.s)) AS shared FROM cand JOIN sets x ON x.document_id = id_a JOIN sets y ON y.document_id = id_b),
+""" + SIMILAR[SIMILAR.index("sim AS ("):].replace("sim AS (", "sim AS MATERIALIZED (")
+
+
 TOPICS = f"""
 tpt AS (SELECT document_id, unnest(regexp_extract_all(lower(content), {TERM}, 0)) AS term FROM pages_t),
 tptf AS (SELECT document_id, term, count(*) AS tf FROM tpt GROUP BY 1, 2),
@@ -624,7 +669,51 @@ SELECT id_a, id_b, shared, union_size, round(jaccard, 6) AS jaccard, copies_a, c
         "duplicate_groups": f"""WITH {SIMILAR.strip()}
 SELECT k.document_id AS member, g.rep AS representative, g.copies
 FROM keyed k JOIN grp g ON k.set_key = g.set_key WHERE g.copies > 1""",
-        "version_diff": f"""WITH {pages_cte()}, {SIMILAR.strip().replace("sim AS (", "sim AS MATERIALIZED (").replace("inter AS (", "inter AS MATERIALIZED (")},
+        "shared_passages": f"""WITH {PASSAGES} SELECT passage_id, n_members, n_terms FROM passages""",
+        "passage_members": f"""WITH {PASSAGES}
+SELECT passage_id, document_id, CAST(pos AS INTEGER) AS start_term, page_number FROM fo JOIN passages USING (seed)""",
+        "amounts_by_year": rf"""WITH {pages_cte()},
+m AS (
+  SELECT document_id, page_number, unnest(ms) AS mention, generate_subscripts(ms, 1) AS k
+  FROM (SELECT document_id, page_number, regexp_extract_all(content, '[0-9]{{1,3}}(?:,[0-9]{{3}})+(?:\.[0-9]+)?|[0-9]+(?:\.[0-9]+)?', 0) AS ms FROM pages_t)),
+y AS (
+  SELECT *, regexp_full_match(mention, '(?:19|20)[0-9]{{2}}') AS is_year FROM m),
+z AS (
+  SELECT document_id, is_year, TRY_CAST(replace(mention, ',', '') AS DECIMAL(38,4)) AS amount,
+         last_value(CASE WHEN is_year THEN CAST(mention AS INTEGER) END IGNORE NULLS) OVER (
+           PARTITION BY document_id ORDER BY page_number, k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS year FROM y)
+SELECT document_id, year, count(*) AS n_amounts, count(*) FILTER (WHERE amount IS NULL) AS n_unparsed,
+       CAST(CAST(sum(amount) AS DECIMAL(38,4)) AS VARCHAR) AS total
+FROM z WHERE NOT is_year GROUP BY 1, 2""",
+        "version_lines": f"""WITH RECURSIVE {SIMILAR_BY_PREFIX.strip()},
+sides AS (SELECT id_a AS v1, id_b AS v2, 1 AS side, id_a AS document_id FROM sim UNION ALL SELECT id_a, id_b, 2, id_b FROM sim),
+ln AS (SELECT document_id, unnest(ls) AS content, CAST(generate_subscripts(ls, 1) AS INTEGER) AS line
+       FROM (SELECT document_id, string_split(text, {NL}) AS ls FROM d)),
+r AS MATERIALIZED (SELECT v1, v2, side, line, md5(content) AS h FROM sides JOIN ln USING (document_id)),
+an AS MATERIALIZED (
+  SELECT v1, v2, max(line) FILTER (side = 1) AS line1, max(line) FILTER (side = 2) AS line2
+  FROM r GROUP BY v1, v2, h HAVING count(*) FILTER (side = 1) = 1 AND count(*) FILTER (side = 2) = 1),
+lv AS (
+  SELECT v1, v2, line1, line2, 1 AS k FROM an
+  UNION SELECT b.v1, b.v2, b.line1, b.line2, a.k + 1 FROM lv a JOIN an b ON a.v1 = b.v1 AND a.v2 = b.v2 AND b.line1 > a.line1 AND b.line2 > a.line2),
+pile AS MATERIALIZED (SELECT v1, v2, line1, line2, max(k) AS k FROM lv GROUP BY ALL),
+pred AS MATERIALIZED (
+  SELECT b.v1, b.v2, b.line1, max(a.line1) AS before FROM pile b
+  JOIN pile a ON a.v1 = b.v1 AND a.v2 = b.v2 AND a.k = b.k - 1 AND a.line1 < b.line1 GROUP BY 1, 2, 3),
+spine AS (
+  SELECT v1, v2, max(line1) AS line1 FROM pile WHERE (v1, v2, k) IN (SELECT (v1, v2, max(k)) FROM pile GROUP BY v1, v2) GROUP BY 1, 2
+  UNION ALL SELECT s.v1, s.v2, p.before FROM spine s JOIN pred p ON p.v1 = s.v1 AND p.v2 = s.v2 AND p.line1 = s.line1),
+marked AS (SELECT an.*, spine.line1 IS NOT NULL AS in_order FROM an LEFT JOIN spine USING (v1, v2, line1)),
+placed AS (
+  SELECT r.*, m.in_order, count(*) FILTER (coalesce(m.in_order, FALSE)) OVER (PARTITION BY r.v1, r.v2, side ORDER BY line) AS gap
+  FROM r LEFT JOIN marked m ON m.v1 = r.v1 AND m.v2 = r.v2 AND line = CASE WHEN side = 1 THEN m.line1 ELSE m.line2 END),
+rest AS (SELECT *, row_number() OVER (PARTITION BY v1, v2, side, gap ORDER BY line) AS k FROM placed WHERE in_order IS NULL),
+x AS (SELECT v1, v2, gap, k, line AS line1, h AS h1 FROM rest WHERE side = 1),
+y AS (SELECT v1, v2, gap, k, line AS line2, h AS h2 FROM rest WHERE side = 2)
+SELECT v1, v2, CASE WHEN h1 IS NULL THEN 'inserted' WHEN h2 IS NULL THEN 'deleted' ELSE 'changed' END AS change, line1, line2
+FROM x FULL JOIN y USING (v1, v2, gap, k) WHERE h1 IS DISTINCT FROM h2
+UNION ALL SELECT v1, v2, 'moved', line1, line2 FROM marked WHERE NOT in_order""",
+        "version_diff": f"""WITH {pages_cte()}, {SIMILAR_BY_PREFIX.strip()},
 l AS (SELECT s.id_a AS v1, s.id_b AS v2, g.page_number, md5(g.content) AS h1 FROM sim s JOIN pages_t g ON g.document_id = s.id_a),
 r AS (SELECT s.id_a AS v1, s.id_b AS v2, g.page_number, md5(g.content) AS h2 FROM sim s JOIN pages_t g ON g.document_id = s.id_b)
 SELECT coalesce(l.v1, r.v1) AS v1, coalesce(l.v2, r.v2) AS v2, coalesce(l.page_number, r.page_number) AS page_number,

@@ -16,6 +16,8 @@ from ..operators import render as R
 from ..operators import report as A
 from ..operators import search as S
 from ..operators import summarize as Z
+from ..operators.passages import shared_passages
+from ..operators.versions import aligned_lines
 from ..session import materialize, table
 from ..sources import corpus, intake
 from . import stored
@@ -436,12 +438,33 @@ def q_mentions(spark, sf_dir):
     return Q.mentions(ph, results.select("document_id", texts.alias("texts")), window=5)
 
 
+def _page_texts(spark, sf_dir):
+    texts = F.transform("pages", lambda p: F.array_join(F.transform(p["lines"], lambda x: x["content"]), "\n"))
+    return _results(spark, sf_dir).select("document_id", texts.alias("texts"))
+
+
+def q_shared_passages(spark, sf_dir):
+    """Q15: classes of passages of 20 terms or more that occur more than once."""
+    return shared_passages(_page_texts(spark, sf_dir))[0]
+
+
+def q_passage_members(spark, sf_dir):
+    """Q15: where the shared passages stand."""
+    return shared_passages(_page_texts(spark, sf_dir))[1]
+
+
 def q_amounts(spark, sf_dir):
     """Q14: number mentions per document (count, exact sum, largest)."""
     a = Q.amounts_by_document(P.split_pages(_results(spark, sf_dir)))
     return a.select("document_id", "n_amounts", "n_unparsed", F.col("total").cast("string").alias("total"), F.col("largest").cast("string").alias("largest"))
 
 
+def q_amounts_by_year(spark, sf_dir):
+    """Q14: sums per document and the year that the text named last."""
+    a = Q.amounts_by_year(P.split_pages(_results(spark, sf_dir)))
+    return a.withColumn("total", F.col("total").cast("string"))
+
+
 def q_similar_sections(spark, sf_dir):
     """Q15: pairs of distinct documents' term sets with Jaccard >= 0.8 (exact copies
     collapsed to their representative, with copy counts)."""
@@ -466,6 +489,13 @@ def q_version_diff(spark, sf_dir):
     return Q.diff_versions(pairs, P.split_pages(_results(spark, sf_dir)))
 
 
+def q_version_lines(spark, sf_dir):
+    """Q17: changed, inserted, deleted and moved lines of every near-duplicate pair."""
+    docs = _doc_text(spark, sf_dir)
+    pairs = Q.similar_sections(docs, 0.8).select(F.col("id_a").alias("v1"), F.col("id_b").alias("v2"))
+    return aligned_lines(pairs, docs)
+
+
 def q_topics(spark, sf_dir):
     """Five TF-IDF topic terms per document."""
     t = X.topics(_doc_text(spark, sf_dir), "document_id", "text", k=5)
@@ -520,10 +550,14 @@ QUERIES.update(
         "answer_context": q_answer_context,
         "mentions": q_mentions,
         "amounts": q_amounts,
+        "amounts_by_year": q_amounts_by_year,
+        "shared_passages": q_shared_passages,
+        "passage_members": q_passage_members,
         "similar_sections": q_similar_sections,
         "duplicate_groups": q_duplicate_groups,
         "cluster_topics": q_cluster_topics,
         "version_diff": q_version_diff,
+        "version_lines": q_version_lines,
         "topics": q_topics,
         "section_of_page": q_section_of_page,
         "audit_trail": q_audit_trail,
