@@ -237,3 +237,27 @@ def test_packed_documents_with_added_tokens_and_long_runs(spark):
         want |= {(i, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))}
     rows = packing.pack(packing.pieces(frame, RANKS)).collect()
     assert {(r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows} == want and len(rows) == len(want)
+
+
+def test_trie_scores_a_shared_prefix_once():
+    """Nodes are scored once: 20 words that share 8 bytes have 9 shared nodes (with the
+    word mark) and 20 of their own; a word's end is no prefix of its NUL-padded twin."""
+    import public_tokenizers
+
+    from docspark.llm import unigram
+
+    pieces = unigram.Pieces(unigram.vocabulary(public_tokenizers.path("piece_bpe_32k.model")))
+    words = [b"sharedxx" + bytes([c]) for c in range(97, 117)] + [b"ab", b"ab\0", b"ab\0\0c"]
+    alone = {w: unigram.trie_counts([w], pieces)[w] for w in words}
+    asked, find = [], pieces.find
+
+    def counted(hashes):
+        asked.append(len(hashes))
+        return find(hashes)
+
+    pieces.find = counted
+    assert unigram.trie_counts(words, pieces) == alone
+    shared, asked[:] = sum(asked), []
+    for w in words:
+        unigram.trie_counts([w], pieces)
+    assert shared < sum(asked) / 3
