@@ -764,6 +764,11 @@ ORACLE.update(
         "stream_upsert": ORACLE["doc_index"],
         "stream_progress": f"""WITH {pages_cte()}
 SELECT document_id, count(*) AS completed_pages, count(*) AS total_pages FROM pages_t GROUP BY 1""",
+        "page_progress": f"""WITH {pages_cte()},
+w AS (SELECT document_id, unnest([0, 1, 2]) AS wave, page_number FROM pages_t)
+SELECT document_id, wave, count(*) FILTER (page_number % 3 <= wave) AS completed_pages, count(*) AS total_pages,
+       CASE WHEN count(*) FILTER (page_number % 3 <= wave) = count(*) THEN 'complete' ELSE 'running' END AS status
+FROM w GROUP BY 1, 2""",
         "stream_dedupe": "SELECT DISTINCT 'doc-' || doc_id AS document_id, CAST(length(text) AS INTEGER) AS n_chars FROM documents",
         "summarize_with_retry": rf"""WITH {pages_cte()},
 c AS (SELECT document_id, page_number AS page, content, NOT regexp_matches(content, '[^ \t\n\r\f\v]') AS blank,

@@ -23,6 +23,7 @@ from ..sources import corpus, intake
 from . import stored
 from .process import process_corpus
 from ..streaming import intake as T
+from ..streaming import progress as TP
 from .regenerate import regenerate
 
 # Fixed parameters of the registered queries.
@@ -597,6 +598,22 @@ def q_stream_progress(spark, sf_dir):
     return T.read_progress(spark, sink).select("document_id", "completed_pages", "total_pages")
 
 
+def q_page_progress(spark, sf_dir):
+    """Progress as seen after each of three waves of finished pages, the stream
+    stopped and taken up again between them."""
+    root = T.scratch_root(spark, "page-progress")
+    pages = P.split_pages(_results(spark, sf_dir)).select("document_id", F.col("page_number").alias("page"))
+    at = F.lit(RUN_TIME_1).cast("timestamp").alias("ts")
+    totals = corpus.documents_totals(table(spark, sf_dir, "documents"), LINES_PER_PAGE)
+    totals.select("document_id", F.col("total_pages").cast("int").alias("total_pages"), at).write.parquet(f"{root}/requests")
+    seen = []
+    for wave in range(3):
+        pages.filter(F.col("page") % 3 == wave).select("document_id", "page", at).write.mode("append").parquet(f"{root}/pages")
+        T.run_to_completion(TP.stream_page_progress(spark, f"{root}/requests", f"{root}/pages", f"{root}/sink"))
+        seen.append(materialize(TP.read_page_progress(spark, f"{root}/sink").withColumn("wave", F.lit(wave))))
+    return seen[0].unionByName(seen[1]).unionByName(seen[2])
+
+
 def q_stream_dedupe(spark, sf_dir):
     """T4: the documents file submitted twice; each document id is kept once."""
     sink = T.scratch_root(spark, "dedupe")
@@ -618,6 +635,7 @@ QUERIES.update(
         "stream_intake": q_stream_intake,
         "stream_upsert": q_stream_upsert,
         "stream_progress": q_stream_progress,
+        "page_progress": q_page_progress,
         "stream_dedupe": q_stream_dedupe,
         "summarize_with_retry": q_summarize_with_retry,
     }
