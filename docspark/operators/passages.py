@@ -10,25 +10,32 @@ from ..functions.text import terms
 from ..session import materialize
 
 
+PLACES = 1 << 30  # more than an array of terms can hold
+
+
 def seeds(docs: DataFrame, gram: int = 12, window: int = 9) -> DataFrame:
     """Winnowed fingerprints of ``docs(document_id, texts)``, the texts of a document's
-    pages in order: of every ``window`` neighbouring grams of ``gram`` terms the least by
-    hash (the first of several). One row per chosen gram: ``seed``, its first term
-    ``pos``, page, and the chosen grams before and after it with their distances.
+    pages in order: of every ``window`` neighbouring grams of ``gram`` terms the one whose
+    first term has the least hash (the first of several). One row per chosen gram:
+    ``seed`` (60 bits of its md5), its first term ``pos``, page, and the chosen grams
+    before and after it with their distances.
 
-    All of it is made inside the document's row, in time linear in its terms; a document
-    of fewer terms than a gram has no row."""
+    All of it is made inside the document's row, in time linear in its terms; terms are
+    hashed, grams only where chosen. A document of fewer terms than a gram has no row."""
     per_page = F.transform("texts", lambda t: terms(t))
     page_of = F.flatten(F.transform(per_page, lambda t, p: F.transform(t, lambda _: p + 1)))
 
-    def hashed(t):
-        return F.transform(F.sequence(F.lit(0), F.size(t) - gram), lambda i: F.struct(
-            F.substring(F.md5(F.array_join(F.slice(t, i + 1, gram), " ")), 1, 16).alias("seed"), i.alias("pos")))
+    def number(text, digits):
+        return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("long")
 
-    def chosen(grams):
-        last = F.greatest(F.lit(0), F.size(grams) - window)
-        least = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_min(F.slice(grams, i + 1, window)))
-        return bind(least, lambda x: F.filter(x, lambda g, i: (i == 0) | (F.get(x, i - 1)["pos"] != g["pos"])))
+    def chosen(t):
+        hashes = F.transform(F.slice(t, 1, F.size(t) - (gram - 1)), lambda x, i: number(x, 8) * PLACES + i)
+        least = bind(hashes, lambda h: F.transform(
+            F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(h) - window)),
+            lambda i: (F.array_min(F.slice(h, i + 1, window)) % PLACES).cast("int")))
+        places = bind(least, lambda x: F.filter(x, lambda p, i: (i == 0) | (F.get(x, i - 1) != p)))
+        return F.transform(places, lambda p: F.struct(
+            number(F.array_join(F.slice(t, p + 1, gram), " "), 15).alias("seed"), p.alias("pos")))
 
     def linked(found):
         return F.transform(found, lambda g, i: F.struct(
@@ -37,7 +44,7 @@ def seeds(docs: DataFrame, gram: int = 12, window: int = 9) -> DataFrame:
             F.get(found, i + 1)["seed"].alias("after"), (F.get(found, i + 1)["pos"] - g["pos"]).alias("gap_after")))
 
     rows = docs.select("document_id", F.flatten(per_page).alias("t"), page_of.alias("page_of")).filter(F.size("t") >= gram)
-    rows = rows.select("document_id", "page_of", F.inline(bind(bind(hashed(F.col("t")), chosen), linked)))
+    rows = rows.select("document_id", "page_of", F.inline(bind(bind(F.col("t"), chosen), linked)))
     return rows.select("document_id", "seed", "pos", F.get("page_of", "pos").alias("page_number"),
                        F.get("page_of", F.col("pos") + gram - 1).alias("last_page"),
                        "before", "gap_before", "after", "gap_after")

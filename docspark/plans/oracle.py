@@ -497,11 +497,12 @@ pt AS (
   FROM (SELECT document_id, page_number, regexp_extract_all(lower(content), {TERM}, 0) AS ts FROM pages_t)),
 tt AS (SELECT document_id, page_number, term, row_number() OVER (PARTITION BY document_id ORDER BY page_number, k) - 1 AS pos FROM pt),
 gr AS (
-  SELECT document_id, pos, page_number, seed, max(pos) OVER (PARTITION BY document_id) AS last FROM (
-    SELECT document_id, pos, page_number, substr(md5(string_agg(term, ' ') OVER f), 1, 16) AS seed, count(*) OVER f AS n
+  SELECT document_id, pos, page_number, seed, h, max(pos) OVER (PARTITION BY document_id) AS last FROM (
+    SELECT document_id, pos, page_number, ('0x' || substr(md5(string_agg(term, ' ') OVER f), 1, 15))::BIGINT AS seed,
+           ('0x' || substr(md5(term), 1, 8))::BIGINT AS h, count(*) OVER f AS n
     FROM tt WINDOW f AS (PARTITION BY document_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING)) WHERE n = 12),
 wi AS (
-  SELECT document_id, pos, last, min({{'seed': seed, 'pos': pos}}) OVER (
+  SELECT document_id, pos, last, min({{'h': h, 'pos': pos}}) OVER (
     PARTITION BY document_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 8 FOLLOWING) AS least FROM gr),
 ch AS (SELECT DISTINCT document_id, least.pos AS pos FROM wi WHERE pos <= greatest(0, last - 8)),
 fo AS (
