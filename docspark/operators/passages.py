@@ -23,7 +23,6 @@ def seeds(docs: DataFrame, gram: int = 12, window: int = 9) -> DataFrame:
     All of it is made inside the document's row, in time linear in its terms; terms are
     hashed, grams only where chosen. A document of fewer terms than a gram has no row."""
     per_page = F.transform("texts", lambda t: terms(t))
-    page_of = F.flatten(F.transform(per_page, lambda t, p: F.transform(t, lambda _: p + 1)))
 
     def number(text, digits):
         return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("long")
@@ -37,17 +36,18 @@ def seeds(docs: DataFrame, gram: int = 12, window: int = 9) -> DataFrame:
         return F.transform(places, lambda p: F.struct(
             number(F.array_join(F.slice(t, p + 1, gram), " "), 15).alias("seed"), p.alias("pos")))
 
-    def linked(found):
+    def linked(found, page_of):
         return F.transform(found, lambda g, i: F.struct(
-            g["seed"].alias("seed"), g["pos"].alias("pos"),
+            g["seed"].alias("seed"), g["pos"].alias("pos"), F.get(page_of, g["pos"]).alias("page_number"),
             F.get(found, i - 1)["seed"].alias("before"), (g["pos"] - F.get(found, i - 1)["pos"]).alias("gap_before"),
             F.get(found, i + 1)["seed"].alias("after"), (F.get(found, i + 1)["pos"] - g["pos"]).alias("gap_after")))
 
-    rows = docs.select("document_id", F.flatten(per_page).alias("t"), page_of.alias("page_of")).filter(F.size("t") >= gram)
-    rows = rows.select("document_id", "page_of", F.inline(bind(bind(F.col("t"), chosen), linked)))
-    return rows.select("document_id", "seed", "pos", F.get("page_of", "pos").alias("page_number"),
-                       F.get("page_of", F.col("pos") + gram - 1).alias("last_page"),
-                       "before", "gap_before", "after", "gap_after")
+    def of_document(pages):  # a text's terms are found once, however often they are used
+        page_of = F.flatten(F.transform(pages, lambda t, p: F.transform(t, lambda _: p + 1)))
+        return bind(F.flatten(pages), lambda t: F.when(F.size(t) >= gram, bind(
+            page_of, lambda page: bind(chosen(t), lambda found: linked(found, page)))))
+
+    return docs.select("document_id", F.inline(bind(per_page, of_document)))
 
 
 def shared_passages(docs: DataFrame, gram: int = 12, window: int = 9) -> tuple[DataFrame, DataFrame]:
