@@ -98,7 +98,7 @@ def test_run_is_the_stages_and_entry_knows_them(spark, stages):
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert sorted(rows(got, *names)) == sorted(rows(stages[-1][1], *names))
     known = __spark_entry__.queries()
-    assert "pipeline" in known and {x.split("_")[0] for x in known if x.startswith("op")} == {f"op{n}" for n in range(1, 11)}
+    assert "pipeline" in known and {x.split("_")[0] for x in known if x.startswith("op")} == {f"op{n}" for n in range(1, 14)}
 
 
 def test_empty_documents_pass_through(spark, no_documents):
