@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-HIT = "query_id long, vec_id long, score long"
+HIT = "query_row long, query_id long, vec_id long, score long"
 
 
 def exact(vectors: np.ndarray) -> np.ndarray:
@@ -50,7 +50,8 @@ def build(vectors: np.ndarray, leaf: int) -> tuple[np.ndarray, np.ndarray, np.nd
 
 def search(query: np.ndarray, own: int, ids: np.ndarray, vectors: np.ndarray, spans: np.ndarray, children: np.ndarray,
            boxes: np.ndarray, k: int, kth: int | None) -> list[tuple[int, int]]:
-    """The best k of one tree as (score, -id), among scores of at least ``kth``.
+    """The best k of one tree as (score, -id), among scores of at least ``kth``, but for
+    the row at place ``own`` (-1: none).
 
     A box bounds the inner product from above by its better end in every dimension.
     The box with the highest bound is opened next; the search ends at the first one
@@ -72,7 +73,7 @@ def search(query: np.ndarray, own: int, ids: np.ndarray, vectors: np.ndarray, sp
         scores = vectors[a:b] @ query
         good = np.flatnonzero(scores >= floor) if floor is not None else np.arange(b - a)
         for i in good:
-            if ids[a + i] != own:
+            if a + i != own:
                 hit = (int(scores[i]), -int(ids[a + i]))
                 if len(best) < k:
                     heapq.heappush(best, hit)
@@ -94,44 +95,46 @@ def top_k(embeddings: DataFrame, k: int = 10, every: int = 100, scale: int = 102
 
     Returns query_id, rank (from 1), vec_id, score. Vectors that are null or empty or
     hold null or non-finite components, and rows without an id, take no part. Vectors
-    are compared within their dimension. Rows that share an id with the query count
-    as its own; repeated rows of another id each take a place."""
+    are compared within their dimension. Rows are what counts, not ids: each row of a
+    repeated query id is a query with hits of its own, the others among its candidates,
+    and repeated rows each take a place. An empty table gives no rows; further columns
+    are not read."""
     vec = F.col(f"`{vector_col}`").cast("array<double>")
     whole = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = (embeddings.where(F.col(f"`{id_col}`").isNotNull() & (F.size(vec) > 0) & whole)
             .select(F.col(f"`{id_col}`").cast("long").alias("vec_id"),
                     F.transform(vec, lambda x: F.floor(x * scale).cast("long")).alias("v"))
-            .withColumn("dim", F.size("v")))
+            .withColumn("dim", F.size("v")).withColumn("row", F.monotonically_increasing_id()))
     rows = stored(rows)
     shards = max(1, -(-rows.count() // shard_rows))
     blocks = -(-shards // block_shards)
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, raw = pdf["vec_id"].to_numpy(), np.stack(pdf["v"].to_numpy())
+        ids, number, raw = pdf["vec_id"].to_numpy(), pdf["row"].to_numpy(), np.stack(pdf["v"].to_numpy())
         order, spans, children, boxes = build(raw, leaf)
-        ids, raw = ids[order], raw[order]
+        ids, number, raw = ids[order], number[order], raw[order]
         asked = np.flatnonzero(ids % every == 0)
         fit, box = exact(raw), exact(boxes.reshape(len(boxes), -1)).reshape(boxes.shape)
         hits, floors = [], []
         for i in asked:
-            best = search(fit[i], ids[i], ids, fit, spans, children, box, k, None)
-            hits += [{"query_id": int(ids[i]), "vec_id": -v, "score": s} for s, v in best]
+            best = search(fit[i], i, ids, fit, spans, children, box, k, None)
+            hits += [{"query_row": int(number[i]), "query_id": int(ids[i]), "vec_id": -v, "score": s} for s, v in best]
             floors.append(min(best)[0] if len(best) == k else None)
         return pd.DataFrame([{
             "dim": raw.shape[1], "shard": int(pdf["shard"].iloc[0]), "ids": ids.tobytes(), "raw": raw.tobytes(),
             "spans": spans.astype(np.int64).tobytes(), "children": children.astype(np.int64).tobytes(),
-            "boxes": boxes.astype(np.int64).tobytes(), "asked": [int(ids[i]) for i in asked],
+            "boxes": boxes.astype(np.int64).tobytes(), "asked": ids[asked].tolist(), "asked_rows": number[asked].tolist(),
             "asked_raw": raw[asked].tobytes(), "floors": floors, "hits": hits}])
 
     trees = stored(rows.groupBy("dim", "shard").applyInPandas(
         grow, "dim int, shard int, ids binary, raw binary, spans binary, children binary, boxes binary, "
-              f"asked array<long>, asked_raw binary, floors array<long>, hits array<struct<{HIT.replace(' ', ':')}>>"
+              f"asked array<long>, asked_rows array<long>, asked_raw binary, floors array<long>, hits array<struct<{HIT.replace(' ', ':')}>>"
         .replace(",:", ",")))
     home = trees.select(F.inline("hits"))
     block = F.floor(F.col("shard") / block_shards).cast("int")
     asked = (trees.where(F.size("asked") > 0)
-             .select("dim", F.col("shard").alias("home"), block.alias("block"), "asked", "asked_raw", "floors")
+             .select("dim", F.col("shard").alias("home"), block.alias("block"), "asked", "asked_rows", "asked_raw", "floors")
              .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
              .where("home <> shard"))
     grown = (trees.select("dim", "shard", "ids", "raw", "spans", "children", "boxes")
@@ -149,14 +152,14 @@ def top_k(embeddings: DataFrame, k: int = 10, every: int = 100, scale: int = 102
                 both = exact(np.concatenate([boxes.reshape(-1, t.dim), asked_raw]))
                 fit = raw.astype(both.dtype)
                 box, ask = both[:-len(asked_raw)].reshape(boxes.shape), both[-len(asked_raw):]
-                for own, vector, floor in zip(q.asked, ask, q.floors):
+                for asked_id, asked_row, vector, floor in zip(q.asked, q.asked_rows, ask, q.floors):
                     floor = None if floor is None or floor != floor else int(floor)
-                    out += [(int(own), -v, s) for s, v in
-                            search(vector, own, ids, fit, spans, children, box, k, floor)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+                    out += [(int(asked_row), int(asked_id), -v, s) for s, v in
+                            search(vector, -1, ids, fit, spans, children, box, k, floor)]
+        return pd.DataFrame(out, columns=["query_row", "query_id", "vec_id", "score"])
 
     away = (grown.groupBy("dim", "shard", "block").cogroup(asked.groupBy("dim", "shard", "block"))
             .applyInPandas(visit, HIT))
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = W.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return (home.unionByName(away).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -123,16 +123,17 @@ LLM_ORACLE = {
         FROM e GROUP BY conv_id""",
     "op8_topk": """
         WITH ok AS (
-          SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+          SELECT vec_id, row_number() OVER () AS rid,
+                 list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
           FROM embeddings
           WHERE embedding IS NOT NULL AND len(embedding) > 0
             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         s AS (
-          SELECT q.vec_id AS query_id, c.vec_id,
+          SELECT q.rid, q.vec_id AS query_id, c.vec_id,
                  list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
-          FROM ok q JOIN ok c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
+          FROM ok q JOIN ok c ON q.vec_id % 100 = 0 AND c.rid <> q.rid AND len(c.v) = len(q.v)),
         r AS (
-          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+          SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10""",
     "op9_exact": r"""
         WITH n AS (

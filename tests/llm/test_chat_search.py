@@ -66,11 +66,11 @@ def brute(rows, k, every, scale):
 
     clean = [(i, [math.floor(x * scale) for x in v]) for i, v in rows
              if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
-    out = set()
+    out = Counter()
     for q, (i, v) in enumerate(clean):
         if i % every == 0:
-            hits = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in clean if j != i and len(w) == len(v))[:k]
-            out |= {(i, r + 1, j, -s) for r, (s, j) in enumerate(hits)}
+            hits = sorted((-sum(a * b for a, b in zip(v, w)), j) for p, (j, w) in enumerate(clean) if p != q and len(w) == len(v))[:k]
+            out.update((i, r + 1, j, -s) for r, (s, j) in enumerate(hits))
     return out
 
 
@@ -82,9 +82,10 @@ def test_top_k_matches_brute_force(spark, options):
     rows += [(400, [0.0] * 6), (401, [1e5, -1e5] * 3), (402, [3.0e9] + [0.0] * 5)]
     rows += [(500, None), (510, []), (520, [1.0, None] * 3), (530, [float("nan")] * 6), (540, [float("inf")] + [0.0] * 5),
              (None, [9.0] * 6), (550, [1.0, 2.0]), (560, [0.5, 0.25]), (570, [0.1])]
+    rows += [rows[0], rows[100], rows[100], (100, rows[7][1]), (5, rows[100][1])]  # repeated queries, one with another vector
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    frame = frame.withColumns({"shard": F.lit("x"), "dim": F.lit(1), "v": F.lit(2)}).repartition(6)
-    got = {tuple(r) for r in knn.top_k(frame, every=10, **options).collect()}
+    frame = frame.withColumns({"row": F.lit(1), "shard": F.lit("x"), "dim": F.lit(1), "v": F.lit(2)}).repartition(6)
+    got = Counter(tuple(r) for r in knn.top_k(frame, every=10, **options).collect())
     assert got == brute(rows, options.get("k", 10), 10, 1024)
 
 
