@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import carried, stored
 from .unigram import powers
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -256,14 +256,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Returns one row per input row: ``id_col``, n_shingles, component_id (smallest id of
     the component, its own for an unlinked row), kept (its id is the component's).
     Null texts count as empty; null ids follow the others, and a component without
-    any id has a null component and keeps its rows; repeated rows repeat. ``keys`` adds
-    text_key, xxhash64 of the text, which tells rows of one id apart."""
+    any id has a null component and keeps its rows; repeated rows repeat. An empty
+    table gives no rows; further columns are not read. ``keys`` adds what tells rows of
+    one id apart: text_key (xxhash64 of the text), chosen (the row has the component's
+    smallest id, nulls last, and of these texts the least key; always without words)
+    and n_rows (rows with an equal set; null without words)."""
     text = F.col(f"`{text_col}`")
     base = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("text_key"),
                        text.cast("binary").alias("text"))
     table = stored(describe(base, size, n_bands * rows, seed))
     nodes = stored(table.where("cls is not null").groupBy("cls").agg(
-        F.min("id").alias("least"), F.min("text_key").alias("text_key"), F.first("n_shingles").alias("n_shingles"),
+        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key")).alias("head"), F.count("*").alias("n_rows"),
+        F.min("text_key").alias("text_key"), F.first("n_shingles").alias("n_shingles"),
         F.first("sig").alias("sig")).withColumn("node", F.monotonically_increasing_id()))
     near = nodes.select("node", "n_shingles", "sig")
 
@@ -274,7 +278,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     members = crowded(near.select("node", F.posexplode(bands(F.col("sig"), n_bands, rows)).alias("band", "bucket")))
     met = members.select("node").distinct().join(nodes.select("node", "text_key", "cls"), "node")
-    # one full pass over the texts; a key that two texts share is settled by the set's identity
+    # one full pass over the texts, any one of those that share a key of 64 bits
     found = base.join(met.select("text_key").distinct(), "text_key", "left_semi").dropDuplicates(["text_key"])
     texts = stored(found.join(met.select("node", "text_key"), "text_key").select(F.col("node").alias("id"), "text"))
     star = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
@@ -294,21 +298,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not dense.isEmpty():
         links = links.unionByName(stored(block_links(dense, near, texts, share, slack, size, rows, block)))
     component = stored(components(links))
-    group = nodes.select("cls", "least", "node").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    first = group.groupBy("component").agg(F.min("least").alias("component_id"))
-    group = group.select("cls", "component").join(first, "component").select("cls", "component_id")
+    group = nodes.select("cls", "head", "n_rows", "node").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    first = group.groupBy("component").agg(F.min("head").alias("head"))
+    group = group.select("cls", "component", "n_rows").join(first, "component").select("cls", "n_rows", "head")
     out = table.select("id", "n_shingles", "cls", "text_key").join(group, "cls", "left")
-    component_id = F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component_id"))
+    component_id = F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("head.id"))
+    chosen = F.col("cls").isNull() | (F.col("id").eqNullSafe(F.col("head.id")) & F.col("text_key").eqNullSafe(F.col("head.text_key")))
+    told_apart = ["text_key", chosen.alias("chosen"), "n_rows"] if keys else []
     return out.select(F.col("id").alias(id_col), "n_shingles", component_id.alias("component_id"),
-                      F.col("id").eqNullSafe(component_id).alias("kept"), *(["text_key"] if keys else []))
+                      F.col("id").eqNullSafe(component_id).alias("kept"), *told_apart)
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one document per class."""
-    gone = near_duplicates(docs, id_col, text_col, keys=True, **options).where("not kept")
-    gone = gone.select(F.col(id_col).alias("gone_id"), F.col("text_key").alias("gone_key"))
-    same = docs[id_col].eqNullSafe(gone["gone_id"]) & F.xxhash64(docs[text_col]).eqNullSafe(gone["gone_key"])
-    return docs.join(gone, same, "left_anti")
+    """The rows of ``docs`` that stay, with all their columns: one document per class, that
+    of its smallest id (null ids last; of one id the text with the least key). Of rows
+    that repeat its id and text the one stays whose columns come first as JSON. Rows
+    without words or text are in no class and stay."""
+    found = near_duplicates(docs, id_col, text_col, keys=True, **options)
+
+    def meet(df: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+        rows = rows.select(F.col(id_col).alias("its_id"), F.col("text_key").alias("its_key"))
+        same = df[id_col].eqNullSafe(rows["its_id"]) & F.xxhash64(df[text_col]).eqNullSafe(rows["its_key"])
+        return df.join(rows, same, how)
+
+    again = found.where("chosen and n_rows > 1").groupBy(id_col, "text_key").agg(F.count("*").alias("n")).where("n > 1")
+    again = stored(again.select(id_col, "text_key"))
+    kept = meet(docs, found.where("not chosen"), "left_anti")
+    if again.isEmpty():
+        return kept
+    doubled = meet(kept, again, "left_semi").select(carried(docs).alias("doc"))
+    one = doubled.groupBy(F.col(f"doc.`{id_col}`"), F.xxhash64(F.col(f"doc.`{text_col}`"))).agg(
+        F.min_by("doc", F.to_json("doc")).alias("doc"))
+    return meet(kept, again, "left_anti").unionByName(one.select("doc.*"))
 
 
 def block_links(members: DataFrame, near: DataFrame, texts: DataFrame, share: tuple[int, int], slack: float,

@@ -88,11 +88,34 @@ def test_chains_hot_groups_and_passages(spark, few, block):
 def test_representatives_keep_columns_and_one_of_each(documents, no_documents, listed):
     kept = neardup.representatives(documents)
     assert kept.columns == documents.columns
-    want = Counter(i for (i, _, c), n in classes([(i, t) for i, t, _ in listed], 5).items() for _ in range(n) if i == c)
+    want, groups = Counter(), defaultdict(list)
+    for (i, n, c), times in classes([(i, t) for i, t, _ in listed], 5).items():
+        if n:
+            groups[c if c is not None else "null"].append(i)
+        else:
+            want[i] += times  # without words: linked with nothing
+    want.update(min(g, key=lambda i: (i is None, i or 0)) for g in groups.values())
     assert Counter(r["doc_id"] for r in kept.select("doc_id").collect()) == want
+    assert neardup.representatives(no_documents).count() == 0
     assert neardup.near_duplicates(no_documents).count() == 0
 
 
+def test_representatives_of_null_and_repeated_ids(spark):
+    text = " ".join(f"w{i}" for i in range(80))
+    near = [text.replace(f"w{i} ", "") for i in (1,)] + [text + " end", "start " + text]
+    rows = [(None, text, "a"), (None, near[0], "a"), (None, near[1], "a"), (None, text, "b"),  # null ids only
+            (7, text.upper() + " one two", "a"),
+            (9, "x " + text.replace("w", "v"), "a"), (9, text.replace("w", "v"), "b"), (9, text.replace("w", "v"), "a"),
+            (20, "", "a"), (20, "", "a"), (None, None, "a"), (None, None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = neardup.representatives(docs).collect()
+    with_words = Counter(r["doc_id"] for r in got if r["text"])
+    assert with_words == {7: 1, 9: 1}
+    assert sum(not r["text"] for r in got) == 4  # none of these is anyone's copy
+    nulls = neardup.representatives(docs.where("doc_id is null")).collect()
+    assert sum(bool(r["text"]) for r in nulls) == 1
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(60)] + [(500, i) for i in range(501, 700)] + [(9, 9)]
     got = {r["node"]: r["component"] for r in
