@@ -14,86 +14,136 @@ from pyspark.sql import functions as F
 from .common import stored
 from .unigram import MARK, Pieces, mix, powers, vocabulary
 
-def equal_lengths(words: list[bytes], cells: int = 2_000_000) -> Iterator[tuple[np.ndarray, int]]:
-    """Batches of words (their numbers) of one length with the mark; long words come in
-    smaller batches."""
-    size = np.array([len(w) for w in words], dtype=np.int64) + len(MARK)
-    by_size = np.argsort(size, kind="stable")
-    for same in np.split(by_size, np.flatnonzero(np.diff(size[by_size])) + 1):
-        step = max(1, cells // int(size[same[0]])) if len(same) else 1
-        for at in range(0, len(same), step):
-            yield same[at:at + step], int(size[same[0]])
-
-
-def arcs(words: list[bytes], m: int, pieces: Pieces) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Everything that matches in words that have ``m`` bytes with the mark, by end: the
-    words (their numbers) that have a piece from ``start`` to ``end``, and which."""
-    raw = np.frombuffer(b"".join(MARK + w for w in words), dtype=np.uint8).reshape(len(words), m).T
-    up, down = powers(m)
-    prefix = np.zeros((m + 1, len(words)), dtype=np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:m, None], axis=0, out=prefix[1:])
-    for end in range(1, m + 1):
+
+class Trie:
+    """Sorted words, each with the mark before it, as a trie: a row stands for a new node
+    at every depth beyond the prefix that it shares with the row before. ``node`` has,
+    by depth and row, the row that stands for the node there."""
+
+    def __init__(self, words: list[bytes]) -> None:
+        marked, n = [MARK + w for w in words], len(words)
+        self.size = np.array([len(w) for w in marked])
+        m = int(self.size.max())
+        raw = np.zeros((n, m), dtype=np.uint8)
+        raw[np.arange(m) < self.size[:, None]] = np.frombuffer(b"".join(marked), dtype=np.uint8)
+        raw = raw.T
+        self.up, self.down = powers(m)
+        self.prefix = np.zeros((m + 1, n), dtype=np.uint64)
+        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * self.up[:m, None], axis=0, out=self.prefix[1:])
+        self.node = np.zeros((m + 1, n), dtype=np.int32)
+        self.new = np.zeros((m + 1, n), dtype=bool)  # rows that stand for a node
+        fresh = np.arange(n) == 0
+        for depth in range(1, m + 1):
+            # a word that has ended shares nothing here, whatever bytes come next
+            fresh[1:] |= (raw[depth - 1, 1:] != raw[depth - 1, :-1]) | (self.size[:-1] < depth)
+            np.logical_and(fresh, self.size >= depth, out=self.new[depth])
+            np.maximum.accumulate(np.where(self.new[depth], np.arange(n), 0), out=self.node[depth])
+        self.ends = (self.size, self.node[self.size, np.arange(n)])
+
+    def arcs(self, pieces: Pieces) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Every piece that ends at a node, looked up once per node, by depth and length:
+        depths of its start and end, the rows of both nodes, and which piece."""
+        n, prefix, node = self.node.shape[1], self.prefix.ravel(), self.node.ravel()
+        places = np.flatnonzero(self.new)  # depth * n + row
+        found = []
         for length in pieces.lengths:
-            if length > end:
+            ends = places[np.searchsorted(places, length * n):]
+            if not len(ends):
                 break
-            start = end - length
-            hit, piece = pieces.find(mix((prefix[end] - prefix[start]) * down[start], length))
-            if len(hit):
-                yield start, end, hit, piece
+            starts = ends - length * n
+            hit, piece = pieces.find(mix((prefix[ends] - prefix[starts]) * self.down[starts // n], length))
+            found.append((ends[hit], node[starts[hit]], piece, np.full(len(hit), length)))
+        end, a, piece, length = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(end // n, kind="stable")
+        end, a, piece, length = end[order], a[order], piece[order], length[order]
+        depth = end // n
+        cuts = np.flatnonzero((np.diff(depth) != 0) | (np.diff(length) != 0)) + 1
+        for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(end)]):
+            d = int(depth[i])
+            yield d - int(length[i]), d, a[i:j], end[i:j] - d * n, piece[i:j]
+
 
+def tries(words: list[bytes], cells: int = 2_000_000) -> Iterator[np.ndarray]:
+    """The words (their numbers) in sorted blocks, each small enough for one trie. Words
+    of very different lengths are kept apart, so a long one does not widen all rows."""
+    order = np.array(sorted(range(len(words)), key=words.__getitem__), dtype=np.int64)
+    size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))[order]
+    width = np.maximum(32, 1 << np.frexp(size)[1].astype(np.int64))  # a power of two above it
+    for wide in np.unique(width).tolist():
+        part, step = order[width == wide], max(1, cells // wide)
+        for at in range(0, len(part), step):
+            yield part[at:at + step]
 
-def lattice(words: list[bytes], m: int, pieces: Pieces) -> np.ndarray:
-    """Log of the summed probability of all segmentations of each word, by forward
-    recursion in log space."""
-    forward = np.full((m + 1, len(words)), -np.inf)
-    forward[0] = 0.0
-    for start, end, hit, piece in arcs(words, m, pieces):
-        forward[end, hit] = np.logaddexp(forward[end, hit], pieces.scores[piece] + forward[start, hit])
-    return forward[m]
+
+def gathered(batches: Iterator[pd.DataFrame], rows: int = 100_000, size: int = 16 << 20) -> Iterator[pd.DataFrame]:
+    """Batches of words put together, since more words share more prefixes, up to a number
+    of words or bytes."""
+    held, n, n_bytes = [], 0, 0
+    for pdf in batches:
+        held.append(pdf)
+        n, n_bytes = n + len(pdf), n_bytes + sum(map(len, pdf["word"]))
+        if n >= rows or n_bytes >= size:
+            yield pd.concat(held, ignore_index=True)
+            held, n, n_bytes = [], 0, 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
 
 
 def marginals(words: list[bytes], pieces: Pieces, stop: float) -> np.ndarray:
-    """Natural log of the summed probability of all segmentations of each word.
+    """Natural log of the summed probability of all segmentations of each word, by
+    forward recursion in log space over a trie: once per shared prefix.
 
     A word is pieces drawn one by one (``pieces`` share 1 - ``stop``); after each it
     ends with probability ``stop``, so the marginals of all words add up to one at
     most."""
     out = np.empty(len(words))
-    for part, m in equal_lengths(words):
-        out[part] = lattice([words[i] for i in part], m, pieces)
+    for part in tries(words):
+        trie = Trie([words[i] for i in part])
+        forward = np.full(trie.node.shape, -np.inf)
+        forward[0] = 0.0
+        for start, end, a, b, piece in trie.arcs(pieces):
+            forward[end, b] = np.logaddexp(forward[end, b], pieces.scores[piece] + forward[start, a])
+        out[part] = forward[trie.ends]
     return out + np.log(stop)
 
 
 def expected_pieces(words: list[bytes], pieces: Pieces) -> np.ndarray:
     """How often each piece occurs in a segmentation of the words, drawn by its
-    probability: forward and backward sums over the same lattice. Every position is
-    scaled by a constant power of its depth, so long words neither vanish nor overflow."""
+    probability. Over a trie, forward sums are made once per node; a node's backward sum
+    adds up, over the words below it, their backward sums there divided by their
+    probabilities. An arc's expected count over all words that share it is then
+    forward * piece * backward. Every position is scaled by a constant power of its
+    depth, so words of usual length neither vanish nor overflow."""
     total = np.zeros(len(pieces.scores))
     per_byte = 1e-2  # about what a byte of a word costs; cancels in every share
     weight = np.exp(pieces.scores)
-    for part, m in equal_lengths(words, 200_000):
-        found = list(arcs([words[i] for i in part], m, pieces))
-        forward, backward = np.zeros((2, m + 1, len(part)))
-        forward[0] = backward[m] = 1.0
-        scaled = [weight[piece] / per_byte ** (end - start) for start, end, _, piece in found]
+    for part in tries(words):
+        trie = Trie([words[i] for i in part])
+        found = list(trie.arcs(pieces))
+        forward, backward = np.zeros((2, *trie.node.shape))
+        forward[0, 0] = 1.0
         with np.errstate(over="ignore", invalid="ignore"):
-            for (start, end, hit, _), w in zip(found, scaled):
-                forward[end, hit] += w * forward[start, hit]
-        whole = forward[m]
+            for start, end, a, b, piece in found:
+                forward[end, b] += weight[piece] / per_byte ** (end - start) * forward[start, a]
+        whole = forward[trie.ends]
         fine = np.isfinite(whole) & (whole > 1e-200)
-        for (start, end, hit, piece), w in sorted(zip(found, scaled), key=lambda a: -a[0][0]):
-            # all arcs that start further on are done, so backward[end] is complete
-            with np.errstate(over="ignore", invalid="ignore"):
-                through = w * backward[end, hit]
-            share = np.divide(forward[start, hit] * through, whole[hit], out=np.zeros(len(hit)), where=fine[hit])
+        np.add.at(backward, tuple(x[fine] for x in trie.ends), 1 / whole[fine])
+        for start, end, a, b, piece in reversed(found):
+            # all arcs that end further on are done, so backward[end] is complete
+            through = weight[piece] / per_byte ** (end - start) * backward[end, b]
+            share = np.multiply(forward[start, a], through, out=np.zeros(len(a)), where=through > 0)
             total += np.bincount(piece, share, len(total))
-            backward[start, hit] += through
+            np.add.at(backward[start], a, through)
         if not fine.all():  # beyond the range of doubles: halve the word at any byte
             halves = [words[i] for i in part[~fine]]
             total += expected_pieces([h for w in halves for h in (w[:len(w) // 2], w[len(w) // 2:])], pieces)
     return total
 
 
+def each_lgamma(x: np.ndarray) -> np.ndarray:
+    return np.array([*map(math.lgamma, x.tolist())], dtype=np.float64)
+
+
 def learn(lexicon: DataFrame, scores: dict[bytes, float], stop: float, rounds: int) -> tuple[dict[bytes, float], float]:
     """The vocabulary's scores and ``stop`` after ``rounds`` of expectation
     maximisation over the distinct training words, each counting once (they stand in for
@@ -108,7 +158,7 @@ def learn(lexicon: DataFrame, scores: dict[bytes, float], stop: float, rounds: i
             pieces = Pieces(dict(zip(order, logs)))
             pieces.scores = pieces.scores + np.log1p(-now)
             total, n = np.zeros(len(order) + 1), 0
-            for pdf in batches:
+            for pdf in gathered(batches):
                 total[:-1] += expected_pieces(pdf["word"].tolist(), pieces)
                 n += len(pdf)
             total[-1] = n
@@ -145,7 +195,8 @@ def score(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "
     Plan: documents are dealt to blocks of about ``block_chars`` by a hash of id and
     text, so a source or length cannot make a block hot. A block's distinct words with
     their training counts (combined there, before any shuffle) are added up by word;
-    each distinct word's lattice is computed once; the scores go back to the blocks
+    each distinct word's lattice is computed once, in tries that compute shared prefixes
+    once; the scores go back to the blocks
     that use the word and meet the texts in a cogroup. A frequent word costs one row
     per block, not one per occurrence.
 
@@ -186,7 +237,7 @@ def score(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "
     def price(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = Pieces(scores)
         pieces.scores = pieces.scores + np.log1p(-stop)
-        for pdf in batches:
+        for pdf in gathered(batches):
             c = pdf["c"].to_numpy(dtype=np.float64)
             log_p = marginals(pdf["word"].tolist(), pieces, stop) + known
             arc = np.full(len(c), -np.inf)
@@ -200,25 +251,29 @@ def score(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "
     scale = np.log10(n_train + v_train + 1)
 
     def total(docs_pdf: pd.DataFrame, prices: pd.DataFrame) -> pd.DataFrame:
+        number = dict(zip(prices["word"], range(len(prices)))).__getitem__
         c = prices["c"].to_numpy()
-        table = dict(zip(prices["word"], zip((prices["log_p"].to_numpy() + np.log(urn)).tolist(),
-                                             (np.log10(c + 1) - scale).tolist(), (c > 0).tolist())))
-        lgamma, out = math.lgamma, []
-        for i, raw, held_out in zip(docs_pdf["id"], docs_pdf["text"], docs_pdf["held_out"]):
+        log_a, base, known_word = prices["log_p"].to_numpy() + np.log(urn), np.log10(c + 1) - scale, c > 0
+        which, times, kinds, size = [], [], [], []  # words of all bags, bag after bag
+        for raw in docs_pdf["text"]:
             bag = Counter(raw.lower().split())
-            size = bag.total()
-            s, b, k = lgamma(urn) - lgamma(urn + size), end_base, int(ends > 0)
-            for w, n in bag.items():
-                log_a, base, is_known = table[w]
-                s += log_a
-                if n > 1:
-                    a = math.exp(log_a)
-                    s += lgamma(n + a) - lgamma(1 + a)
-                b += n * base
-                k += n * is_known
-            out.append((i, held_out, size + 1, k, n_train, b, (s + size * word_log + end_log) / math.log(10)))
-        frame = pd.DataFrame(out, columns=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-        return frame.assign(id=frame["id"].astype("Int64"))
+            which += map(number, bag)
+            times += bag.values()
+            kinds.append(len(bag))
+            size.append(bag.total())
+        which, times, size = np.array(which, dtype=np.int64), np.array(times, dtype=np.int64), np.array(size, dtype=np.int64)
+        drawn = log_a[which]
+        again = np.flatnonzero(times > 1)
+        a = np.exp(drawn[again])
+        drawn[again] += each_lgamma(times[again] + a) - each_lgamma(1 + a)
+        doc = np.repeat(np.arange(len(size)), kinds)
+        add = lambda x: np.bincount(doc, x, len(size))
+        urns = math.lgamma(urn) - each_lgamma(urn + size)
+        return pd.DataFrame({
+            "id": docs_pdf["id"].astype("Int64"), "held_out": docs_pdf["held_out"], "n_tokens": size + 1,
+            "n_known": add(times * known_word[which]).astype(np.int64) + int(ends > 0), "train_tokens": n_train,
+            "base_score": add(times * base[which]) + end_base,
+            "score": (add(drawn) + urns + size * word_log + end_log) / math.log(10)})
 
     schema = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return (rows.groupBy("block").cogroup(priced.groupBy("block")).applyInPandas(total, schema)

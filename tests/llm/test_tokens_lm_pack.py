@@ -135,6 +135,37 @@ def test_expected_pieces_match_all_segmentations(scores):
     assert all(got[x] == pytest.approx(want[x], abs=1e-9) for x in scores)
 
 
+def test_lattice_looks_up_shared_prefixes_once(scores):
+    class Counted(unigram.Pieces):
+        looked = 0
+
+        def find(self, hashes):
+            self.looked += len(hashes)
+            return super().find(hashes)
+
+    words = [b"internat" + bytes([c, d]) for c in b"abcdef" for d in b"xyz"]
+    pieces = Counted(scores)
+    n_nodes = len(unigram.MARK) + 8 + 6 + 18
+    assert sum(len(set(w[:i] for w in words)) for i in range(1, 11)) + len(unigram.MARK) == n_nodes
+    lm.marginals(words, pieces, 0.3)
+    assert pieces.looked <= n_nodes * len([x for x in pieces.lengths if x <= 13])
+    assert pieces.looked == sum(sum(x <= d for x in pieces.lengths) * k
+                                for d, k in [*((i, 1) for i in range(1, 12)), (12, 6), (13, 18)])
+
+
+def test_lattice_of_awkward_words(scores):
+    rng = np.random.default_rng(4)
+    words = [b"the", b"the\0", b"the\0\0", b"the", b"t", b"", b"then", rng.bytes(300), b"y" * 5000, "élan".encode()]
+    pieces = unigram.Pieces(scores)
+    pieces.scores = pieces.scores + math.log(0.7)
+    alone = [lm.marginals([w], pieces, 0.3)[0] for w in words]
+    assert lm.marginals(words, pieces, 0.3).tolist() == alone
+    assert len(lm.marginals([], pieces, 0.3)) == 0
+    together = lm.expected_pieces(words, pieces)
+    assert np.isfinite(together).all() and not lm.expected_pieces([], pieces).any()
+    assert together == pytest.approx(sum(lm.expected_pieces([w], pieces) for w in words), rel=1e-9, abs=1e-12)
+
+
 def test_learning_raises_the_likelihood_of_unseen_words(documents):
     def held_score(rounds):
         out = lm.score(documents, MODEL, rounds=rounds).where("held_out").agg({"score": "sum"}).first()
