@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from ..session import materialize
 from .embed import DEFAULT_DIM, LEVEL_DOCUMENT, LEVEL_PAGE, LEVEL_PARAGRAPH, term_vectors, vector_norms
+from .sections import PAGE, pages_within
 
 RECORD_COLS = ["id", "level", "document_id", "page_number", "paragraph_number", "text",
                "has_tables", "contains_numbers", "start_offset", "end_offset"]
@@ -32,11 +33,25 @@ class SparseIndex:
     norms: DataFrame    # (id, level, n2)
     dim: int
     topics: DataFrame | None = None  # (document_id, topics): the documents' topic terms
+    sections: DataFrame | None = None  # (document_id, section, start_page, end_page)
+    years: DataFrame | None = None  # (document_id, page_number, year)
 
     def about(self, topic: str | Column) -> DataFrame:
         """The documents that have ``topic`` among their topics."""
         return self.topics.where(F.array_contains("topics", topic)).select("document_id")
 
+    def pages_in(self, section: Column | None, years: tuple[int, int] | None) -> DataFrame | None:
+        """The pages that lie in a section for which ``section`` holds and mention a year
+        from the first to the last of ``years``; None: no such condition."""
+        if section is None and years is None:
+            return None
+        pages = self.records.where(F.col("level") == LEVEL_PAGE).select(*PAGE)
+        if section is not None:
+            pages = pages_within(pages, self.sections.where(section))
+        if years is not None:
+            pages = pages.join(self.years.where(F.col("year").between(*years)), PAGE, "left_semi")
+        return pages
+
 
 def sparse_index(records: DataFrame, dim: int = DEFAULT_DIM, persist: bool = False) -> SparseIndex:
     """Q2 index: hashed term vectors of every record, and their squared norms, both
@@ -64,12 +79,14 @@ def score(
     where: Column | None = None,
     candidates: DataFrame | None = None,
     documents: DataFrame | None = None,
+    pages: DataFrame | None = None,
 ) -> DataFrame:
     """Cosine of every (question, record) pair that shares a term: ``(qid, id, score)``.
 
     ``level`` and ``where`` filter records (ANDed); ``candidates(qid, id)`` restricts
     pairs before the term join (hierarchical use); ``documents(document_id)``
-    restricts records to the listed documents. Record columns are not carried: attach
+    restricts records to the listed documents, ``pages(document_id, page_number)`` to
+    records of the listed pages. Record columns are not carried: attach
     them to the winners with :func:`with_record` and :func:`with_text`."""
     recs, dvec, dn = index.records, index.vectors, index.norms
     if level is not None:  # prunes level folders of the stored vectors and norms
@@ -80,8 +97,10 @@ def score(
         recs = recs.filter(where)
     if documents is not None:
         recs = recs.join(documents.select("document_id").distinct(), "document_id", "left_semi")
+    if pages is not None:
+        recs = recs.join(pages, PAGE, "left_semi")
     slim = recs.drop("text")  # column pruning keeps text out of the scan
-    if where is not None or documents is not None:
+    if where is not None or documents is not None or pages is not None:
         dvec = dvec.join(slim.select("id"), "id", "left_semi")
     q = term_vectors(questions, "qid", "text", index.dim).withColumnRenamed("tf", "qtf")
     qn = vector_norms(q.withColumnRenamed("qtf", "tf"), "qid").withColumnRenamed("n2", "qn2")
@@ -204,8 +223,9 @@ def compare(pairs: DataFrame, index: SparseIndex, k_page: int = 10, k: int = 5,
 def compare_documents(questions: DataFrame, index: SparseIndex, documents: DataFrame, level: str = LEVEL_PAGE,
                       top: int = 2) -> DataFrame:
     """Q8: the best ``top`` hits of each question inside each listed document."""
-    s = with_record(score(questions, index, level, documents=documents), index)
-    return top_k(s, top, per=("qid", "document_id"))
+    documents_of = index.records.select("id", "document_id")
+    best = top_k(score(questions, index, level, documents=documents).join(documents_of, "id"), top, per=("qid", "document_id"))
+    return with_record(best.drop("document_id"), index)
 
 
 def rank_documents(questions: DataFrame, index: SparseIndex, top: int = 5, excerpt_chars: int = 200) -> DataFrame:
@@ -215,11 +235,15 @@ def rank_documents(questions: DataFrame, index: SparseIndex, top: int = 5, excer
 
 
 def metadata_search(questions: DataFrame, index: SparseIndex, where: Column | None = None, level: str = LEVEL_PAGE,
-                    top: int = 5, topic: str | None = None) -> DataFrame:
-    """Q12: a predicate on the record columns (tables, numbers, pages, offsets ...) and a
-    topic of the document, ANDed with the level, then top-k."""
+                    top: int = 5, topic: str | None = None, section: Column | None = None,
+                    year_range: tuple[int, int] | None = None) -> DataFrame:
+    """Q12: a predicate on the record columns (tables, numbers, pages, offsets ...), a
+    topic of the document, a predicate on the ``section`` that the page lies in and a
+    range of years (both ends included) that the page mentions one of, ANDed with the
+    level, then top-k. Records of whole documents are in no section and mention no year."""
     documents = index.about(topic) if topic is not None else None
-    return winners(index, score(questions, index, level, where=where, documents=documents), top)
+    pages = index.pages_in(section, year_range)
+    return winners(index, score(questions, index, level, where=where, documents=documents, pages=pages), top)
 
 
 # ---------------------------------------------------------------------- dense (Q1)

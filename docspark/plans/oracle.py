@@ -411,6 +411,15 @@ def ranked(src: str, where: str, k: int, per: str = "qid") -> str:
    FROM {src} WHERE {where}) WHERE rank <= {k})"""
 
 
+SECTIONS = r"""
+heads AS (
+  SELECT document_id, page_number, trim(regexp_extract(content, '^([^\n]*)', 1), ' ') AS section,
+         max(page_number) OVER (PARTITION BY document_id) AS last_page FROM pages_t),
+sections AS (
+  SELECT document_id, section, page_number AS start_page,
+         CAST(coalesce(lead(page_number) OVER (PARTITION BY document_id ORDER BY page_number), last_page + 1) AS INTEGER) AS end_page
+  FROM heads WHERE len(regexp_extract_all(section, '[^ \t\r]+')) BETWEEN 1 AND 6)"""
+
 TARGETS = f"""
 best_doc AS {ranked('sc', "level = 'document'", 1)},
 tg AS (SELECT qid, document_id FROM best_doc)"""
@@ -583,6 +592,15 @@ SELECT document_id, string_agg(term, ',' ORDER BY rank) AS topics FROM tp GROUP
         "metadata_topic": f"""{search_base()}, {TOPICS}
 SELECT qid, rank, id, round(score, 6) AS score
 FROM {ranked('sc', "level = 'page' AND document_id IN (SELECT document_id FROM about)", 5)}""",
+        "metadata_section": f"""{search_base()}, {SECTIONS},
+inside AS (
+  SELECT DISTINCT p.document_id, p.page_number FROM pages_t p
+  JOIN sections s ON p.document_id = s.document_id AND p.page_number >= start_page AND p.page_number < end_page
+  WHERE contains(lower(section), 'the'))
+SELECT qid, rank, id, round(score, 6) AS score
+FROM {ranked('sc', "level = 'page' AND (document_id, page_number) IN (SELECT document_id, page_number FROM inside)", 5)}""",
+        "page_sections": f"""WITH {pages_cte()}, {SECTIONS}
+SELECT document_id, section, start_page, end_page FROM sections""",
         "metadata_tables": rf"""{search_base()},
 tb AS (SELECT document_id, page_number FROM pages_t WHERE regexp_matches(content, '(?m)^[^|\n]*\|[^|\n]*\|[^\n]*$')),
 hit AS {ranked('sc', "level = 'paragraph' AND (document_id, page_number) IN (SELECT document_id, page_number FROM tb)", 5)}

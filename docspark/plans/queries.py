@@ -248,7 +248,7 @@ def _index(spark, sf_dir):
     def build():
         pr = _processed(spark, sf_dir)
         records = X.build_embeddings(pr.doc_summaries, pr.page_summaries, pr.pages, CHUNK_TOKENS, CHUNK_OVERLAP)
-        return records, X.document_topics(pr.pages)
+        return records, X.document_topics(pr.pages), pr.pages
 
     namespace = spark.conf.get("docspark.index.namespace", "")  # set per run by bench.py
     return session_index(spark, f"{sf_dir}|{namespace}", build, SEARCH_DIM)
@@ -391,6 +391,17 @@ def q_metadata_topic(spark, sf_dir):
     return hits.select("qid", "rank", "id", _score())
 
 
+def q_metadata_section(spark, sf_dir):
+    """Q12: page search in the sections whose heading holds ``the``."""
+    hits = S.metadata_search(_questions(spark, sf_dir), _index(spark, sf_dir), section=F.lower("section").contains("the"))
+    return hits.select("qid", "rank", "id", _score())
+
+
+def q_page_sections(spark, sf_dir):
+    """Q12: the sections stored with the index, as page intervals."""
+    return _index(spark, sf_dir).sections
+
+
 def q_compare_topic(spark, sf_dir):
     """Q7 with a topic: :func:`q_compare` in the documents about the most common topic."""
     from ..functions.text import lead_sentences
@@ -545,6 +556,8 @@ QUERIES.update(
         "metadata_search": q_metadata_search,
         "metadata_tables": q_metadata_tables,
         "metadata_topic": q_metadata_topic,
+        "metadata_section": q_metadata_section,
+        "page_sections": q_page_sections,
         "compare_topic": q_compare_topic,
         "document_topics": q_document_topics,
         "choose_detail": q_choose_detail,

@@ -13,17 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.embed import term_vectors, vector_norms
 from ..operators.search import RECORD_COLS, SparseIndex
+from ..operators.sections import page_heading, page_years, sections
 from ..session import ensure_checkpoint_dir
 
 
-def build_index_tables(records: DataFrame, topics: DataFrame, dim: int) -> str:
-    """Write records, topics, term vectors (with their record's norm) and norms; the path
-    of the new build. Vectors are partitioned by level and ordered by bucket, so a level
+def build_index_tables(records: DataFrame, topics: DataFrame, dim: int, pages: DataFrame | None = None) -> str:
+    """Write records, topics, term vectors (with their record's norm), norms, and of
+    ``pages`` (none: no rows) the sections and years; the path of the new build. Vectors are partitioned by level and ordered by bucket, so a level
     filter prunes folders and a file's row groups hold few buckets."""
     spark = records.sparkSession
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/indexes/{uuid.uuid4().hex}"
     records.select(*RECORD_COLS).write.parquet(f"{root}/records")
     topics.write.parquet(f"{root}/topics")
+    if pages is None:
+        pages = spark.createDataFrame([], "document_id string, page_number int, content string")
+    sections(pages, page_heading()).write.parquet(f"{root}/sections")
+    page_years(pages).write.parquet(f"{root}/years")
     recs = spark.read.parquet(f"{root}/records")
     vec = term_vectors(recs, "id", "text", dim, keep=("level",))
     norms = vector_norms(vec, "id", keep=("level",))
@@ -36,17 +41,18 @@ def build_index_tables(records: DataFrame, topics: DataFrame, dim: int) -> str:
 
 def read_index_tables(spark: SparkSession, root: str, dim: int) -> SparseIndex:
     return SparseIndex(*(spark.read.parquet(f"{root}/{name}") for name in ("records", "vectors", "norms")), dim,
-                       spark.read.parquet(f"{root}/topics"))
+                       *(spark.read.parquet(f"{root}/{name}") for name in ("topics", "sections", "years")))
 
 
 _BUILT: dict[tuple[str, str], str] = {}
 
 
-def session_index(spark: SparkSession, key: str, build: Callable[[], tuple[DataFrame, DataFrame]], dim: int) -> SparseIndex:
+def session_index(spark: SparkSession, key: str, build: Callable[[], tuple[DataFrame, ...]], dim: int) -> SparseIndex:
     """The index that this session built for ``key``, built now if there is none.
-    ``build()`` returns records and topics. Another session, or another version of the
+    ``build()`` returns records, topics and, if it has them, pages. Another session, or another version of the
     code, never reads it."""
     mine = (spark.sparkContext.applicationId, key)
     if mine not in _BUILT:
-        _BUILT[mine] = build_index_tables(*build(), dim)
+        records, topics, *pages = build()
+        _BUILT[mine] = build_index_tables(records, topics, dim, *pages)
     return read_index_tables(spark, _BUILT[mine], dim)
