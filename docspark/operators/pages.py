@@ -79,28 +79,36 @@ def legacy_page_count(pages: Column, contents: Column) -> Column:
     return F.when(F.coalesce(F.size(pages), F.lit(0)) > 0, F.size(pages)).otherwise(fallback)
 
 
+def legacy_item_text(item: Column) -> Column:
+    return F.when(item["markdown"].isNotNull(), item["markdown"]).otherwise(F.coalesce(item["text"], F.lit("")))
+
+
 def legacy_page_content(contents: Column, page: Column) -> Column:
     """P5: items on the page, ``markdown`` when present (even if empty) else ``text``,
     empty strings dropped, joined by a blank line."""
     on_page = F.filter(contents, lambda c: F.coalesce(c["pageNumber"], F.lit(0)) == page)
-    texts = F.transform(
-        on_page, lambda c: F.when(c["markdown"].isNotNull(), c["markdown"]).otherwise(F.coalesce(c["text"], F.lit("")))
-    )
+    texts = F.transform(on_page, legacy_item_text)
     kept = F.filter(texts, lambda t: t != "")
     return F.coalesce(F.array_join(kept, "\n\n"), F.lit(""))
 
 
 def legacy_pages(results: DataFrame) -> DataFrame:
-    """P4+P5 as a table: one row per page ``1..legacy_page_count``."""
-    n = legacy_page_count(F.col("pages"), F.col("contents"))
-    exploded = results.select(
-        "document_id", "contents", F.explode(F.sequence(F.lit(1), n)).alias("page_number")
-    )
-    return exploded.select(
-        "document_id",
-        F.col("page_number").cast("int").alias("page_number"),
-        legacy_page_content(F.col("contents"), F.col("page_number")).alias("content"),
-    )
+    """P4+P5 as a table: one row per page ``1..legacy_page_count``.
+
+    Each item is one row of its page, and an empty item stands for each page, so a
+    document costs its items and pages, and one with very many pages is spread by page."""
+    def item(page: Column, pos: Column, text: Column) -> Column:
+        return F.struct(page.cast("int").alias("page"), pos.cast("int").alias("pos"), text.alias("text"))
+
+    pages = F.transform(F.sequence(F.lit(1), F.col("n")), lambda p: item(p, F.lit(-1), F.lit("")))
+    items = F.transform("contents", lambda c, i: item(c["pageNumber"], i, legacy_item_text(c)))
+    rows = results.select("document_id", "contents", legacy_page_count(F.col("pages"), F.col("contents")).alias("n"),
+                          F.monotonically_increasing_id().alias("row"))
+    rows = rows.select("row", "document_id", "n", F.explode(F.concat(pages, F.coalesce(items, F.array()))).alias("item"))
+    on_page = F.array_sort(F.collect_list(F.struct("item.pos", "item.text")))
+    texts = F.filter(F.transform(on_page, lambda t: t["text"]), lambda t: t != "")
+    return rows.where("item.page BETWEEN 1 AND n").groupBy("row", "document_id", F.col("item.page").alias("page_number")).agg(
+        F.array_join(texts, "\n\n").alias("content")).drop("row")
 
 
 def document_abstract(summary: Column, metadata_summary: Column) -> Column:

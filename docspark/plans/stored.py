@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import embed as X
+from ..operators import index
 from ..operators import pages as P
 from ..operators import render as R
 from ..operators import report as A
 from ..operators import summarize as Z
 from ..session import ensure_checkpoint_dir, materialize, table
-from ..sources import corpus, files
+from ..sources import corpus, files, intake
 from . import oracle as O
 from .process import process_corpus, store_processed
 from .regenerate import regenerate_corpus
@@ -70,6 +71,65 @@ def q_page_files(spark, sf_dir):
     return stored.select("document_id", "page_number", "blob_path", "content", "length")
 
 
+def q_read_pages(spark, sf_dir):
+    """Every page as parsed-page JSON, one in three with its text under ``text``, read
+    back with its file."""
+    root, odd = _folder(spark, "parsed-pages"), F.col("page_number") % 3 == 0
+    _pages(spark, sf_dir).select(
+        F.col("document_id").alias("documentId"), F.col("page_number").alias("pageNumber"), F.col("blob_path").alias("blobPath"),
+        F.when(~odd, F.col("content")).alias("content"), F.when(odd, F.col("content")).alias("text"), "length").write.json(root)
+    read = files.read_pages(spark, root)
+    return read.select("document_id", "page_number", "blob_path", "content", "length", F.col("file_path").endswith(".json").alias("from_json"))
+
+
+def q_source_files(spark, sf_dir):
+    """S3: documents stored as text files by language; the bytes of each language as the
+    manifest lists them, no file opened."""
+    root = _folder(spark, "sources")
+    docs = table(spark, sf_dir, "documents").select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
+    docs.write.partitionBy("lang").text(root)
+    found = intake.source_manifest(spark, root).where("document_id LIKE 'part-%'")
+    lang = F.regexp_extract("path", "/lang=([^/]+)/", 1)
+    return found.groupBy(lang.alias("lang")).agg(F.sum("length").alias("n_bytes"), F.min(F.col("modified").isNotNull()).alias("dated"))
+
+
+def q_stored_markdown(spark, sf_dir):
+    """Every document's report stored by key, some first in an older form, read back."""
+    from .queries import q_render_markdown
+
+    root = _folder(spark, "markdown")
+    rendered = materialize(q_render_markdown(spark, sf_dir))
+    old = rendered.where("markdown LIKE '%e%'").select(
+        *[F.lit("old").alias(c) if c == "markdown" else F.col(c) for c in rendered.columns])
+    files.write_markdown(old, root, buckets=8)
+    files.write_markdown(rendered, root, buckets=8)
+    return spark.read.parquet(root).select(*rendered.columns)
+
+
+def q_stored_levels(spark, sf_dir):
+    """The embedding records stored by level; records and characters of each level."""
+    from .queries import _index
+
+    root = _folder(spark, "embeddings")
+    files.write_embeddings(_index(spark, sf_dir).records, root)
+    per = spark.read.parquet(root).groupBy("level").agg(F.count("*").alias("records"), F.sum(F.length("text")).cast("long").alias("chars"))
+    return per
+
+
+def q_index_versions(spark, sf_dir):
+    """S11 stored: the first run's index as version 1, the second run and the
+    conversations merged into what is current as version 2, which is then read."""
+    from . import queries as C
+
+    root = _folder(spark, "index")
+    index.append_version(C._processed(spark, sf_dir).index, root, 1)
+    second = C._processed(spark, sf_dir, lines_per_page=20, run_time=C.RUN_TIME_2).index
+    chats = C.process_corpus_pages(spark, sf_dir, C.RUN_TIME_2).index
+    index.append_version(index.upsert_index(index.read_current(spark, root), second.unionByName(chats), keep_created=True), root, 2)
+    return index.read_current(spark, root).select(
+        "id", "page_count", "failed_page_count", "status", C._ts("created_at"), C._ts("updated_at"))
+
+
 def q_enumerate_pages(spark, sf_dir):
     """Page numbers recovered from the names of page files."""
     name = F.concat(F.lit("parsed-pages/"), "document_id", F.lit("/"), F.col("page_number").cast("string"), F.lit(".json"))
@@ -247,6 +307,14 @@ _CONV = "c AS (SELECT 'conv-' || conv_id AS document_id, CAST(turn + 1 AS INTEGE
 STORED_ORACLE = {
     "page_files": f"""WITH {PAGES}
 SELECT document_id, page_number, blob_path, content, CAST(length(content) AS INTEGER) AS length FROM pages_t""",
+    "read_pages": f"""WITH {PAGES}
+SELECT document_id, page_number, blob_path, content, CAST(length(content) AS INTEGER) AS length, true AS from_json FROM pages_t""",
+    "source_files": """SELECT coalesce(lang, 'und') AS lang, CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS n_bytes, true AS dated
+FROM documents GROUP BY 1""",
+    "stored_markdown": O.ORACLE["render_markdown"],
+    "stored_levels": f"""WITH {O.base(LINES)}, {O.RECORDS}
+SELECT level, count(*) AS records, CAST(sum(length(text)) AS BIGINT) AS chars FROM recs GROUP BY 1""",
+    "index_versions": O.ORACLE["index_upsert"],
     "enumerate_pages": f"WITH {PAGES} SELECT document_id, page_number AS page FROM pages_t",
     "list_documents": "SELECT DISTINCT 'doc-' || doc_id AS document_id FROM documents",
     "fetch_page_summaries": f"""WITH {PAGES}, {O.summaries_cte()}
