@@ -15,6 +15,7 @@ from ..operators import summarize as Z
 from ..session import ensure_checkpoint_dir, materialize, table
 from ..sources import corpus, files, intake
 from . import oracle as O
+from .incremental import update_corpus
 from .process import process_corpus, store_processed
 from .regenerate import regenerate_corpus
 
@@ -71,6 +72,32 @@ def q_page_files(spark, sf_dir):
     return stored.select("document_id", "page_number", "blob_path", "content", "length")
 
 
+def _second_run(spark, sf_dir):
+    """A run over an earlier state of the pages (of a hundred, one differs, one is missing
+    and one document has a page more), then a run over the pages as they are."""
+    root, now = _folder(spark, "incremental"), _pages(spark, sf_dir).select("document_id", "page_number", "content")
+    part = F.conv(F.substring(F.md5(F.concat_ws("-", "document_id", "page_number").cast("binary")), 1, 8), 16, 10).cast("long") % 100
+    before = now.withColumn("part", part)
+    extra = before.where("part = 3").withColumns({"page_number": F.col("page_number") + 100_000, "content": F.lit("A page more.")})
+    before = before.where("part <> 2").withColumn("content", F.when(F.col("part") == 0, F.concat(F.lit("Old. "), "content"))
+                                                  .otherwise(F.col("content"))).unionByName(extra).drop("part")
+    update_corpus(before, root, buckets=8)
+    return update_corpus(now, root, buckets=8)
+
+
+def q_incremental_documents(spark, sf_dir):
+    """Document summaries after a run over changed pages only: those of a full run."""
+    return _second_run(spark, sf_dir).doc_summaries
+
+
+def q_incremental_pages(spark, sf_dir):
+    """All page summaries after that run, and whether it made them."""
+    run = _second_run(spark, sf_dir)
+    made = run.changed.withColumn("made", F.lit(True))
+    return run.page_summaries.join(made, ["document_id", "page"], "left").select(
+        "document_id", "page", "status", "summary", F.coalesce("made", F.lit(False)).alias("made"))
+
+
 def q_read_pages(spark, sf_dir):
     """Every page as parsed-page JSON, one in three with its text under ``text``, read
     back with its file."""
@@ -307,6 +334,10 @@ _CONV = "c AS (SELECT 'conv-' || conv_id AS document_id, CAST(turn + 1 AS INTEGE
 STORED_ORACLE = {
     "page_files": f"""WITH {PAGES}
 SELECT document_id, page_number, blob_path, content, CAST(length(content) AS INTEGER) AS length FROM pages_t""",
+    "incremental_documents": O.ORACLE["doc_summaries"],
+    "incremental_pages": f"""WITH {PAGES}, {O.summaries_cte()}
+SELECT document_id, page, status, summary,
+       ('0x' || substr(md5(document_id || '-' || page), 1, 8))::BIGINT % 100 IN (0, 2) AS made FROM ps_t""",
     "read_pages": f"""WITH {PAGES}
 SELECT document_id, page_number, blob_path, content, CAST(length(content) AS INTEGER) AS length, true AS from_json FROM pages_t""",
     "source_files": """SELECT coalesce(lang, 'und') AS lang, CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS n_bytes, true AS dated
