@@ -50,12 +50,21 @@ def slices(texts: list[bytes], words: int, most: int) -> Iterator[list[tuple[int
         yield batch
 
 
+def squeezed(text: bytes) -> bytes:
+    return pa.Codec("zstd", compression_level=3).compress(text, asbytes=True)
+
+
+def opened(data: bytes, size: int) -> bytes:
+    return pa.decompress(data, size, "zstd", asbytes=True)
+
+
 SLICE = "slice long, text binary, ends array<int>, owned array<int>, langs array<string>"
 
 
 def cut_slices(words: int, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(lang, text) -> slices: parts of texts with a line end behind each, where they end,
-    up to where the phrases that begin in them are theirs, and their languages."""
+    """(lang, text) -> slices: parts of texts with a line end behind each (compressed, as
+    they are stored and shuffled), where they end, up to where the phrases that begin in
+    them are theirs, and their languages."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
@@ -64,7 +73,7 @@ def cut_slices(words: int, most: int) -> Callable[[Iterator[pa.RecordBatch]], It
                 ends = np.cumsum([b - a + 1 for _, a, _, b in cuts])
                 owned = ends - np.array([b - s + 1 for _, _, s, b in cuts])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([number]), pa.array([b"".join(texts[i][a:b] + b"\n" for i, a, _, b in cuts)], pa.binary()),
+                    [pa.array([number]), pa.array([squeezed(b"".join(texts[i][a:b] + b"\n" for i, a, _, b in cuts))], pa.binary()),
                      pa.array([ends.astype(np.int32)]), pa.array([owned.astype(np.int32)]), pa.array([[langs[i] for i, *_ in cuts]])],
                     names=["slice", "text", "ends", "owned", "langs"])
                 number += 1
@@ -161,16 +170,16 @@ PARTIAL = "bucket int, slice long, once binary, more binary"
 
 def count_grams(words: int, bits: int, spread: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Slices -> per bucket of fingerprints (their first ``spread`` bits) the slice's
-    partial counts: 32 further bits and the pointer, and the count where it is not one."""
+    partial counts: 24 further bits and the pointer, and the count where it is not one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 number, text, ends, owned, langs = (batch.column(j)[i].as_py() for j in range(5))
-                mark, count, pointer = grams(text, np.array(ends), np.array(owned), langs, words, bits)
+                mark, count, pointer = grams(opened(text, ends[-1]), np.array(ends), np.array(owned), langs, words, bits)
                 bucket = (mark >> np.uint64(64 - spread)).astype(np.int32)
-                rest = (mark >> np.uint64(32 - spread)) & np.uint64(2**32 - 1)
+                rest = (mark >> np.uint64(40 - spread)) & np.uint64(2**24 - 1)
                 cols = []
-                for some, parts in ((count == 1, ((rest, 4), (pointer, 3))), (count > 1, ((rest, 4), (pointer, 3), (count, 4)))):
+                for some, parts in ((count == 1, ((rest, 3), (pointer, 3))), (count > 1, ((rest, 3), (pointer, 3), (count, 4)))):
                     some = np.flatnonzero(some)
                     some = some[np.argsort(bucket[some], kind="stable")]
                     rows = np.concatenate([packed(x[some], n) for x, n in parts], axis=1)
@@ -192,12 +201,12 @@ def frequent(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     """Partial counts sorted by bucket -> the pointers, per slice, whose fingerprint has
     ``least`` occurrences or more in all slices together."""
     def total(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
-        once = np.frombuffer(b"".join(r[1] for r in rows), dtype=np.uint8).reshape(-1, 7)
-        more = np.frombuffer(b"".join(r[2] for r in rows), dtype=np.uint8).reshape(-1, 11)
-        mark = np.concatenate([unpacked(x[:, :4].tobytes(), 4) for x in (once, more)])
-        pointer = np.concatenate([unpacked(x[:, 4:7].tobytes(), 3) for x in (once, more)]).astype(np.int32)
-        count = np.concatenate((np.ones(len(once), dtype=np.int64), unpacked(more[:, 7:].tobytes(), 4).astype(np.int64)))
-        owner = np.concatenate([np.repeat(np.arange(len(rows)), [len(r[j]) // n for r in rows]) for j, n in ((1, 7), (2, 11))])
+        once = np.frombuffer(b"".join(r[1] for r in rows), dtype=np.uint8).reshape(-1, 6)
+        more = np.frombuffer(b"".join(r[2] for r in rows), dtype=np.uint8).reshape(-1, 10)
+        mark = np.concatenate([unpacked(x[:, :3].tobytes(), 3) for x in (once, more)])
+        pointer = np.concatenate([unpacked(x[:, 3:6].tobytes(), 3) for x in (once, more)]).astype(np.int32)
+        count = np.concatenate((np.ones(len(once), dtype=np.int64), unpacked(more[:, 6:].tobytes(), 4).astype(np.int64)))
+        owner = np.concatenate([np.repeat(np.arange(len(rows)), [len(r[j]) // n for r in rows]) for j, n in ((1, 6), (2, 10))])
         order = np.argsort(mark, kind="stable")
         new = np.flatnonzero(np.concatenate(([True], mark[order[1:]] != mark[order[:-1]])))
         often = np.add.reduceat(count[order], new) >= least
@@ -230,6 +239,7 @@ def read_phrases(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
         for batch in batches:
             for i in range(batch.num_rows):
                 text, ends, langs, pointers, counts = (batch.column(j)[i].as_py() for j in range(5))
+                text = opened(text, ends[-1])
                 first, past = word_places(np.frombuffer(text, dtype=np.uint8))
                 pointers = np.array([p for part in pointers for p in part], dtype=np.int64)
                 at = pointers // words
@@ -254,7 +264,7 @@ def phrase_counts(docs: DataFrame, words: int, least: int, bits: int = 64, most:
     parts = stored(docs.mapInArrow(cut_slices(words, most), SLICE))
     n_words = F.regexp_count(F.col("text").cast("string"), F.lit(r"[^\x20\x09.,;:!?\x0A-\x0D]+")).cast("long")
     totals = stored(docs.groupBy("lang").agg(F.sum(n_words).alias("n")))
-    size = parts.agg(F.sum(F.length("text"))).first()[0] or 0
+    size = parts.agg(F.sum(F.element_at("ends", -1).cast("long"))).first()[0] or 0
     spread = max(4, min(24, int(np.ceil(np.log2(max(1, size) / bucket_bytes + 1)))))
     partial = parts.mapInArrow(count_grams(words, bits, spread), PARTIAL)
     often = partial.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(frequent(least), OFTEN)
