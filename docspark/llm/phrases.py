@@ -194,28 +194,30 @@ def count_grams(words: int, bits: int, spread: int) -> Callable[[Iterator[pa.Rec
     return run
 
 
-OFTEN = "slice long, pointers array<int>, counts array<int>"
+OFTEN = "slice long, once binary, more binary"
 
 
 def frequent(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Partial counts sorted by bucket -> the pointers, per slice, whose fingerprint has
-    ``least`` occurrences or more in all slices together."""
+    """Partial counts sorted by bucket -> those, per slice and without the fingerprint,
+    whose fingerprint has ``least`` occurrences or more in all slices together."""
     def total(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
-        once = np.frombuffer(b"".join(r[1] for r in rows), dtype=np.uint8).reshape(-1, 6)
-        more = np.frombuffer(b"".join(r[2] for r in rows), dtype=np.uint8).reshape(-1, 10)
+        sizes = [np.array([len(r[j]) // n for r in rows]) for j, n in ((1, 6), (2, 10))]
+        once, more = (np.frombuffer(b"".join(r[j] for r in rows), dtype=np.uint8).reshape(-1, n) for j, n in ((1, 6), (2, 10)))
         mark = np.concatenate([unpacked(x[:, :3].tobytes(), 3) for x in (once, more)])
-        pointer = np.concatenate([unpacked(x[:, 3:6].tobytes(), 3) for x in (once, more)]).astype(np.int32)
         count = np.concatenate((np.ones(len(once), dtype=np.int64), unpacked(more[:, 6:].tobytes(), 4).astype(np.int64)))
-        owner = np.concatenate([np.repeat(np.arange(len(rows)), [len(r[j]) // n for r in rows]) for j, n in ((1, 6), (2, 10))])
         order = np.argsort(mark, kind="stable")
         new = np.flatnonzero(np.concatenate(([True], mark[order[1:]] != mark[order[:-1]])))
         often = np.add.reduceat(count[order], new) >= least
-        keep = order[np.repeat(often, np.diff(np.append(new, len(order))))]
-        keep = keep[np.argsort(owner[keep], kind="stable")]
-        at = np.searchsorted(owner[keep], np.arange(len(rows) + 1)).astype(np.int32)
-        lists = [pa.ListArray.from_arrays(at, pa.array(x[keep].astype(np.int32))) for x in (pointer, count)]
-        full = pa.array(np.diff(at) > 0)
-        batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *lists], names=["slice", "pointers", "counts"])
+        keep = np.empty(len(order), dtype=bool)
+        keep[order] = np.repeat(often, np.diff(np.append(new, len(order))))
+        cols = []
+        for x, kept, size in ((once, keep[:len(once)], sizes[0]), (more, keep[len(once):], sizes[1])):
+            at = np.append(0, np.cumsum(kept))[np.append(0, np.cumsum(size))] * (x.shape[1] - 3)
+            data = x[kept, 3:].tobytes()
+            cols.append([data[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)])
+        full = pa.array([bool(a or b) for a, b in zip(*cols, strict=True)], pa.bool_())
+        batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *[pa.array(c, pa.binary()) for c in cols]],
+                                           names=["slice", "once", "more"])
         return batch.filter(full)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,14 +236,16 @@ def frequent(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
 
 
 def read_phrases(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Slices with pointers -> (lang, phrase, count), the phrases from the text itself."""
+    """Slices with their frequent partial counts -> (lang, phrase, count), the phrases from the text itself."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                text, ends, langs, pointers, counts = (batch.column(j)[i].as_py() for j in range(5))
+                text, ends, langs, once, more = (batch.column(j)[i].as_py() for j in range(5))
+                more = np.frombuffer(b"".join(more), dtype=np.uint8).reshape(-1, 7)
+                pointers = np.concatenate((unpacked(b"".join(once), 3), unpacked(more[:, :3].tobytes(), 3))).astype(np.int64)
+                counts = np.concatenate((np.ones(len(pointers) - len(more), dtype=np.int64), unpacked(more[:, 3:].tobytes(), 4).astype(np.int64)))
                 text = opened(text, ends[-1])
                 first, past = word_places(np.frombuffer(text, dtype=np.uint8))
-                pointers = np.array([p for part in pointers for p in part], dtype=np.int64)
                 at = pointers // words
                 lo, hi = first[at], past[at + pointers % words]
                 tongue = np.searchsorted(ends, lo, side="right")
@@ -249,7 +253,7 @@ def read_phrases(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
                 phrase = [b" ".join(WORD.findall(flat[a:b])) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([langs[x] for x in tongue.tolist()], pa.string()), pa.array(phrase, pa.binary()).cast(pa.string()),
-                     pa.array([c for part in counts for c in part], pa.int64())], names=["lang", "phrase", "c"])
+                     pa.array(counts)], names=["lang", "phrase", "c"])
 
     return run
 
@@ -268,8 +272,8 @@ def phrase_counts(docs: DataFrame, words: int, least: int, bits: int = 64, most:
     spread = max(4, min(24, int(np.ceil(np.log2(max(1, size) / bucket_bytes + 1)))))
     partial = parts.mapInArrow(count_grams(words, bits, spread), PARTIAL)
     often = partial.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(frequent(least), OFTEN)
-    often = often.groupBy("slice").agg(F.collect_list("pointers").alias("pointers"), F.collect_list("counts").alias("counts"))
-    found = often.join(parts, "slice").select("text", "ends", "langs", "pointers", "counts").mapInArrow(
+    often = often.groupBy("slice").agg(F.collect_list("once").alias("once"), F.collect_list("more").alias("more"))
+    found = often.join(parts, "slice").select("text", "ends", "langs", "once", "more").mapInArrow(
         read_phrases(words), "lang string, phrase string, c long")
     counts = found.groupBy("lang", "phrase").agg(F.sum("c").alias("f")).where(F.col("f") >= least)
     return stored(counts), totals
