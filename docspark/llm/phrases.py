@@ -51,7 +51,7 @@ def slices(texts: list[bytes], words: int, most: int) -> Iterator[list[tuple[int
 
 
 def squeezed(text: bytes) -> bytes:
-    return pa.Codec("zstd", compression_level=3).compress(text, asbytes=True)
+    return pa.Codec("zstd", compression_level=9).compress(text.lower(), asbytes=True)
 
 
 def opened(data: bytes, size: int) -> bytes:
@@ -62,8 +62,8 @@ SLICE = "slice long, text binary, ends array<int>, owned array<int>, langs array
 
 
 def cut_slices(words: int, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(lang, text) -> slices: parts of texts with a line end behind each (compressed, as
-    they are stored and shuffled), where they end, up to where the phrases that begin in
+    """(lang, text) -> slices: parts of texts with a line end behind each (A-Z lowered
+    and compressed, as they are stored and shuffled), where they end, up to where the phrases that begin in
     them are theirs, and their languages."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -179,7 +179,7 @@ def count_grams(words: int, bits: int, spread: int) -> Callable[[Iterator[pa.Rec
                 bucket = (mark >> np.uint64(64 - spread)).astype(np.int32)
                 rest = (mark >> np.uint64(40 - spread)) & np.uint64(2**24 - 1)
                 cols = []
-                for some, parts in ((count == 1, ((rest, 3), (pointer, 3))), (count > 1, ((rest, 3), (pointer, 3), (count, 4)))):
+                for some, parts in ((count == 1, ((rest, 3), (pointer, 3))), (count > 1, ((rest, 3), (pointer, 3), (count, 3)))):
                     some = np.flatnonzero(some)
                     some = some[np.argsort(bucket[some], kind="stable")]
                     rows = np.concatenate([packed(x[some], n) for x, n in parts], axis=1)
@@ -201,10 +201,10 @@ def frequent(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     """Partial counts sorted by bucket -> those, per slice and without the fingerprint,
     whose fingerprint has ``least`` occurrences or more in all slices together."""
     def total(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
-        sizes = [np.array([len(r[j]) // n for r in rows]) for j, n in ((1, 6), (2, 10))]
-        once, more = (np.frombuffer(b"".join(r[j] for r in rows), dtype=np.uint8).reshape(-1, n) for j, n in ((1, 6), (2, 10)))
+        sizes = [np.array([len(r[j]) // n for r in rows]) for j, n in ((1, 6), (2, 9))]
+        once, more = (np.frombuffer(b"".join(r[j] for r in rows), dtype=np.uint8).reshape(-1, n) for j, n in ((1, 6), (2, 9)))
         mark = np.concatenate([unpacked(x[:, :3].tobytes(), 3) for x in (once, more)])
-        count = np.concatenate((np.ones(len(once), dtype=np.int64), unpacked(more[:, 6:].tobytes(), 4).astype(np.int64)))
+        count = np.concatenate((np.ones(len(once), dtype=np.int64), unpacked(more[:, 6:].tobytes(), 3).astype(np.int64)))
         order = np.argsort(mark, kind="stable")
         new = np.flatnonzero(np.concatenate(([True], mark[order[1:]] != mark[order[:-1]])))
         often = np.add.reduceat(count[order], new) >= least
@@ -241,9 +241,9 @@ def read_phrases(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
         for batch in batches:
             for i in range(batch.num_rows):
                 text, ends, langs, once, more = (batch.column(j)[i].as_py() for j in range(5))
-                more = np.frombuffer(b"".join(more), dtype=np.uint8).reshape(-1, 7)
+                more = np.frombuffer(b"".join(more), dtype=np.uint8).reshape(-1, 6)
                 pointers = np.concatenate((unpacked(b"".join(once), 3), unpacked(more[:, :3].tobytes(), 3))).astype(np.int64)
-                counts = np.concatenate((np.ones(len(pointers) - len(more), dtype=np.int64), unpacked(more[:, 3:].tobytes(), 4).astype(np.int64)))
+                counts = np.concatenate((np.ones(len(pointers) - len(more), dtype=np.int64), unpacked(more[:, 3:].tobytes(), 3).astype(np.int64)))
                 text = opened(text, ends[-1])
                 first, past = word_places(np.frombuffer(text, dtype=np.uint8))
                 at = pointers // words
@@ -264,7 +264,7 @@ def phrase_counts(docs: DataFrame, words: int, least: int, bits: int = 64, most:
     times or more (lang, phrase, f), and all word occurrences per lang (lang, n); ``docs``
     has lang and text (bytes). A bucket of fingerprints is that of about ``bucket_bytes``
     of text, so a task's share does not grow with the input."""
-    most = min(most, 2**25 // words - 64)  # pointers of three bytes
+    most = min(most, 2**25 // words - 64)  # pointers and counts of three bytes
     parts = stored(docs.mapInArrow(cut_slices(words, most), SLICE))
     n_words = F.regexp_count(F.col("text").cast("string"), F.lit(r"[^\x20\x09.,;:!?\x0A-\x0D]+")).cast("long")
     totals = stored(docs.groupBy("lang").agg(F.sum(n_words).alias("n")))
