@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import lead_sentences
 from ..session import materialize
 from .embed import LEVEL_PAGE, LEVEL_PARAGRAPH
-from .search import SparseIndex, _within, score, winners, with_text
+from .search import SparseIndex, search_within, with_text
 
 # Fixed values of the answering protocol.
 HIGH_CONFIDENCE = 0.85
@@ -48,16 +48,11 @@ def answer_context(targets: DataFrame, index: SparseIndex, mode: str = "auto", k
     The page hits feed the decision, the paragraph candidates and the summary items,
     so with ``persist`` they are written once (a small table: questions x k_page)."""
     q = targets.select("qid", "text")
-    pages = with_text(
-        winners(index, score(q, index, LEVEL_PAGE, candidates=_within(targets, index, LEVEL_PAGE, ["document_id"])), k_page), index
-    )
+    pages = with_text(materialize(search_within(q, index, targets, LEVEL_PAGE, ["document_id"], k_page)), index)
     if persist:
         pages = materialize(pages)
     decision = choose_detail(q, pages, mode)
-    paras = with_text(winners(
-        index, score(q, index, LEVEL_PARAGRAPH, candidates=_within(pages, index, LEVEL_PARAGRAPH, ["document_id", "page_number"])),
-        k_para,
-    ), index)
+    paras = with_text(materialize(search_within(q, index, pages, LEVEL_PARAGRAPH, ["document_id", "page_number"], k_para)), index)
     page_no = F.col("page_number").cast("string")
     summ_items = pages.filter(F.col("rank") <= k_summary).select(
         "qid", "rank", "text",
