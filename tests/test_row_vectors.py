@@ -39,6 +39,15 @@ def test_vectors_of_repeated_ids_add_up(spark, small_batches):
     assert all(r.n2 == sum(x * x for x in r.tfs) and r.buckets == sorted(r.buckets) for r in got)
 
 
+def test_terms_of_repeated_ids_add_up(spark, small_batches):
+    rows = texts(60, 2)
+    want = {}
+    for i, t in rows:
+        want.setdefault(i, Counter()).update(_terms(t or ""))
+    got = X.record_terms(spark.createDataFrame(rows, "id string, text string"), "id", "text").collect()
+    assert len(got) == len(want) and {r.id: dict(zip(r.terms, r.tfs)) for r in got} == {i: dict(c) for i, c in want.items()}
+
+
 def test_an_index_holds_a_row_per_record_and_a_search_pairs_nothing(spark):
     """A term of a record was a row, and a pair of a question and a record too."""
     recs = [(f"d{i}_page_1", "page", f"d{i}", 1, None, "the cat and the dog number " + str(i)) for i in range(50)]
@@ -75,3 +84,11 @@ def test_shards_score_like_a_loop(spark, cells, block):
                 bar = sorted((s for s, _ in hits), reverse=True)[:2]
                 want |= {(qid, i): s for s, i in hits if s >= bar[-1]}
         assert got == want
+
+
+def test_topics_of_many_rows_per_record(spark, small_batches):
+    """Terms that one record alone has are in no table of frequencies, and count as one."""
+    rows = [("a", "cat cat dog"), ("b", "dog bird"), ("a", "fish fish fish"), (None, "cat"), ("e", None)]
+    got = {(r.id, r.rank): (r.term, round(r.score, 6)) for r in X.topics(spark.createDataFrame(rows, "id string, text string"), "id", "text", 2).collect()}
+    assert got == {("a", 1): ("fish", 4.158883), ("a", 2): ("cat", 1.386294), ("b", 1): ("bird", 1.386294), ("b", 2): ("dog", 0.693147),
+                   (None, 1): ("cat", 0.693147)}
