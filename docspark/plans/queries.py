@@ -616,7 +616,7 @@ def q_page_progress(spark, sf_dir):
     """Progress as seen after each of three waves of finished pages, the stream
     stopped and taken up again between them."""
     root = T.scratch_root(spark, "page-progress")
-    pages = P.split_pages(_results(spark, sf_dir)).select("document_id", F.col("page_number").alias("page"))
+    pages = materialize(P.split_pages(_results(spark, sf_dir)).select("document_id", F.col("page_number").alias("page")))
     at = F.lit(RUN_TIME_1).cast("timestamp").alias("ts")
     totals = corpus.documents_totals(table(spark, sf_dir, "documents"), LINES_PER_PAGE)
     totals.select("document_id", F.col("total_pages").cast("int").alias("total_pages"), at).write.parquet(f"{root}/requests")
