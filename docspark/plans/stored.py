@@ -192,7 +192,7 @@ def q_stored_corpus(spark, sf_dir):
     index record and document summary of every document."""
     root = _folder(spark, "corpus")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    done = process_corpus(corpus.documents_corpus(docs, LINES), persist=True, totals=corpus.documents_totals(docs, LINES))
+    done = process_corpus(corpus.documents_corpus(docs, LINES), persist_all=True, totals=corpus.documents_totals(docs, LINES))
     for _ in range(2):
         store_processed(done, root)
     index = spark.read.parquet(f"{root}/index").select("document_id", "page_count", "failed_page_count", "status")

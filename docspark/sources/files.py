@@ -65,21 +65,21 @@ def write_pages(df: DataFrame, path: str, buckets: int = 64, fmt: str = "parquet
     """Store rows by key; rows with a key that is stored replace those, all other
     stored rows stay. The key is (document_id, page_number) where there are pages, else
     document_id. Only the hash buckets that ``df`` touches are read and written: the
-    stored rows of other keys are merged in, the merged buckets are written aside as a
-    table of their own and then take their places in one commit, so repeating a failed
-    write gives the same result."""
+    stored rows of other keys are copied aside and merged in, and the merged buckets take
+    their places in one commit, so repeating a failed write gives the same result."""
     spark = df.sparkSession
     keys = keys or (("document_id", "page_number") if "page_number" in df.columns else ("document_id",))
-    new = materialize(df.withColumn("bucket", bucket_of("document_id", buckets)))
-    old = stored_rows(spark, path, fmt, new.schema)
-    merged = new
+    merged = df.withColumn("bucket", bucket_of("document_id", buckets))
+    old = stored_rows(spark, path, fmt, merged.schema)
     if old is not None:
+        new = materialize(merged)
         touched = new.select("bucket").distinct()  # one row per bucket at most
         same = [old[k].eqNullSafe(new[k]) for k in ("bucket", *keys)]
         kept = old.join(touched, "bucket", "left_semi").join(new, on=same, how="left_anti")
-        merged = materialize(new.unionByName(kept))
+        merged = new.unionByName(materialize(kept))
     (
-        merged.write.mode("overwrite")
+        merged.hint("rebalance", "bucket")  # a file or a few per bucket, not one per task and bucket
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("bucket")
         .format(fmt)

@@ -49,3 +49,15 @@ def test_corpus_plan_with_failing_summariser(spark):
     bad_docs = ps.filter("status <> 'success'").select("document_id").distinct().count()
     assert idx.filter("status = 'completed_with_errors'").count() == bad_docs
     assert idx.count() == docs.count()
+
+
+def test_stored_outputs_are_computed_once(spark, capsys):
+    docs = spark.createDataFrame([(1, "One. Two.\nThree.", "web"), (2, None, "web"), (3, "", "books")], "doc_id long, text string, source string")
+    results = corpus.documents_corpus(docs)
+    once, lazy = process_corpus(results, persist_all=True), process_corpus(results)
+    capsys.readouterr()
+    for name in ("doc_summaries", "report", "index"):
+        kept, made = getattr(once, name), getattr(lazy, name)
+        assert sorted(map(str, kept.collect())) == sorted(map(str, made.collect()))
+        kept.explain()
+        assert "Generate" not in capsys.readouterr().out  # neither pages nor sentences are made again

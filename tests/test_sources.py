@@ -99,6 +99,18 @@ def test_rewriting_one_document_keeps_all_others(spark):
     assert spark.read.json(out + "-json").where("markdown = 'old'").count() == 200
 
 
+def test_stored_buckets_are_few_files_however_many_tasks_write(spark):
+    import glob
+
+    out = tempfile.mkdtemp(prefix="docspark-files-") + "/out"
+    rows = spark.range(2000).repartition(32).select(F.concat(F.lit("doc-"), F.col("id").cast("string")).alias("document_id"), F.lit("m").alias("markdown"))
+    for _ in range(2):
+        files.write_markdown(rows, out, buckets=16)
+        assert spark.read.parquet(out).count() == 2000
+        assert len(glob.glob(f"{out}/bucket=*")) == 16
+        assert len(glob.glob(f"{out}/bucket=*/*.parquet")) <= 32  # a file per task and bucket before
+
+
 def test_index_version_written_twice_counts_once(spark):
     from docspark.operators import index
 
