@@ -214,3 +214,35 @@ def test_blocks_choose_the_same_places():
     runs = [suffixes.window_minima(text, 5, 20, block) for block in (1 << 20, 64, 333)]
     for first, place in runs[1:]:
         assert (first == runs[0][0]).all() and (place == runs[0][1]).all()
+
+
+def test_places_are_chosen_once_per_text(spark, tmp_path, monkeypatch):
+    find = suffixes.find_anchors
+
+    def counted(*args):
+        run, to = find(*args), str(tmp_path)
+
+        def counting(batches):
+            import uuid
+
+            def seen():
+                for batch in batches:
+                    with open(f"{to}/{uuid.uuid4().hex}", "w") as f:
+                        f.write(str(batch.num_rows))
+                    yield batch
+
+            yield from run(seen())
+
+        return counting
+
+    monkeypatch.setattr(suffixes, "find_anchors", counted)
+    text = "".join(chr(97 + i * i % 23) + str(i) for i in range(60))
+    df = spark.createDataFrame([(i, text + "x" * i) for i in range(300)], "doc_id long, text string")
+    assert suffixes.remove_repeats(df, length=40, kept=False).where("size(spans) > 0").count() == 300
+    assert sum(int(f.read_text()) for f in tmp_path.iterdir()) == 300  # the range sort read the texts twice before
+
+
+def test_names_are_the_same_numbers_for_equal_bytes():
+    got = suffixes.names_of(memoryview(x) for x in (b"a" * 400, b"b", b"a" * 400))
+    assert got.shape == (3, 2) and (got[0] == got[2]).all() and (got[0] != got[1]).any()
+    assert suffixes.names_of(iter(())).shape == (0, 2)
