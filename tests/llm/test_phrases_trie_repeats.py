@@ -191,6 +191,32 @@ def test_repeats(spark, length):
     assert got == want
 
 
+def spans_of(spark, texts, length):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in suffixes.remove_repeats(df, length=length, kept=False).collect()}
+    want = {i: spans for i, (_, spans) in enumerate(repeats([t.encode() for t in texts], length))}
+    return {i: (want[i], got[i]) for i in want if want[i] != got[i]}
+
+
+def test_repeats_little_longer_than_the_limit(spark):
+    rng = random.Random(3)  # the place before the repeat stands for starts whose strings hold other numbers of places
+    texts = []
+    for i in range(300):
+        shared = "".join(rng.choices("abcdefghijklm nop", k=40 + i % 5))
+        ends = ["", ""] if i % 2 else ["".join(rng.choices("qrstuvwx yz", k=rng.randint(0, 60))) for _ in range(2)]
+        texts += ["".join(rng.choices("qrstuvwx yz", k=rng.randint(0, 90))) + shared + end for end in ends]
+    assert spans_of(spark, texts, 40) == {}
+
+
+def test_repeats_of_periodic_texts(spark):
+    rng = random.Random(4)  # spans of other lengths may begin and end alike
+    texts = []
+    for _ in range(300):
+        texts.append("".join((unit * 60)[:rng.randint(20, 150)] for unit in (
+            "".join(rng.choices("abcdef ", k=rng.randint(1, 30))) for _ in range(rng.randint(1, 3)))))
+    assert spans_of(spark, texts, 40) == {}
+
+
 def test_a_very_common_passage(spark):
     rng = random.Random(1)
     passage = "".join(rng.choices("abcdefgh ", k=500))
