@@ -568,6 +568,9 @@ inter AS (
   SELECT id_a, id_b, len(list_intersect(x.s, y.s)) AS shared FROM cand JOIN sets x ON x.document_id = id_a JOIN sets y ON y.document_id = id_b),
 """ + SIMILAR[SIMILAR.index("sim AS ("):].replace("sim AS (", "sim AS MATERIALIZED (")
 
+#: The same of every record instead of one per term set: identical sets are pairs as well.
+SIMILAR_RECORDS = SIMILAR_BY_PREFIX.replace("JOIN grp g ON k.document_id = g.rep", "JOIN grp g ON k.set_key = g.set_key")
+
 
 TOPICS = f"""
 tpt AS (SELECT document_id, unnest(regexp_extract_all(lower(content), {TERM}, 0)) AS term FROM pages_t),
@@ -732,7 +735,7 @@ y AS (SELECT v1, v2, gap, k, line AS line2, h AS h2 FROM rest WHERE side = 2)
 SELECT v1, v2, CASE WHEN h1 IS NULL THEN 'inserted' WHEN h2 IS NULL THEN 'deleted' ELSE 'changed' END AS change, line1, line2
 FROM x FULL JOIN y USING (v1, v2, gap, k) WHERE h1 IS DISTINCT FROM h2
 UNION ALL SELECT v1, v2, 'moved', line1, line2 FROM marked WHERE NOT in_order""",
-        "version_diff": f"""WITH {pages_cte()}, {SIMILAR_BY_PREFIX.strip()},
+        "version_diff": f"""WITH {pages_cte()}, {SIMILAR_RECORDS.strip()},
 l AS (SELECT s.id_a AS v1, s.id_b AS v2, g.page_number, md5(g.content) AS h1 FROM sim s JOIN pages_t g ON g.document_id = s.id_a),
 r AS (SELECT s.id_a AS v1, s.id_b AS v2, g.page_number, md5(g.content) AS h2 FROM sim s JOIN pages_t g ON g.document_id = s.id_b)
 SELECT coalesce(l.v1, r.v1) AS v1, coalesce(l.v2, r.v2) AS v2, coalesce(l.page_number, r.page_number) AS page_number,

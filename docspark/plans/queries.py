@@ -497,8 +497,8 @@ def q_cluster_topics(spark, sf_dir):
 
 
 def q_version_diff(spark, sf_dir):
-    """Q17: page diff between every near-duplicate document pair (Q15 pairs as versions)."""
-    pairs = Q.similar_sections(_doc_text(spark, sf_dir), 0.8).select(F.col("id_a").alias("v1"), F.col("id_b").alias("v2"))
+    """Q17: page diff between every near-duplicate document pair (Q15), exact copies too."""
+    pairs = Q.similar_records(_doc_text(spark, sf_dir), 0.8).select(F.col("id_a").alias("v1"), F.col("id_b").alias("v2"))
     return Q.diff_versions(pairs, P.split_pages(_results(spark, sf_dir)))
 
 
