@@ -707,7 +707,7 @@ z AS (
 SELECT document_id, year, count(*) AS n_amounts, count(*) FILTER (WHERE amount IS NULL) AS n_unparsed,
        CAST(CAST(sum(amount) AS DECIMAL(38,4)) AS VARCHAR) AS total
 FROM z WHERE NOT is_year GROUP BY 1, 2""",
-        "version_lines": f"""WITH RECURSIVE {SIMILAR_BY_PREFIX.strip()},
+        "version_lines": f"""WITH RECURSIVE {SIMILAR_RECORDS.strip()},
 sides AS (SELECT id_a AS v1, id_b AS v2, 1 AS side, id_a AS document_id FROM sim UNION ALL SELECT id_a, id_b, 2, id_b FROM sim),
 ln AS (SELECT document_id, unnest(ls) AS content, CAST(generate_subscripts(ls, 1) AS INTEGER) AS line
        FROM (SELECT document_id, string_split(text, {NL}) AS ls FROM d)),

@@ -503,9 +503,10 @@ def q_version_diff(spark, sf_dir):
 
 
 def q_version_lines(spark, sf_dir):
-    """Q17: changed, inserted, deleted and moved lines of every near-duplicate pair."""
+    """Q17: changed, inserted, deleted and moved lines of every near-duplicate pair, records
+    of identical term sets too."""
     docs = _doc_text(spark, sf_dir)
-    pairs = Q.similar_sections(docs, 0.8).select(F.col("id_a").alias("v1"), F.col("id_b").alias("v2"))
+    pairs = Q.similar_records(docs, 0.8).select(F.col("id_a").alias("v1"), F.col("id_b").alias("v2"))
     return aligned_lines(pairs, docs)
 
 
