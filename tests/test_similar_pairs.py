@@ -70,6 +70,19 @@ def test_rows_go_to_the_groups_of_their_pairs(spark):
         assert got == [(a, b, a * a + b * b) for a, b in pairs]
 
 
+def test_page_changes_are_those_of_a_full_outer_join(spark):
+    pages = [("a", 1, "x"), ("a", 2, "y"), ("a", None, "z"), ("b", 1, "x"), ("b", 1, "q"), ("b", 3, None), ("c", 2, "y"), ("c", 1, "x")]
+    pairs = [("a", "b"), ("a", "b"), ("c", "a"), ("a", "none"), ("c", "c")]
+    got = Counter(tuple(r) for r in Q.diff_versions(spark.createDataFrame(pairs, "v1 string, v2 string"),
+                                                    spark.createDataFrame(pages, "document_id string, page_number int, content string")).collect())
+    left = [(p, n, t) for p in pairs for d, n, t in pages if d == p[0]]
+    right = [(p, n, t) for p in pairs for d, n, t in pages if d == p[1]]
+    want = Counter((*p, n, "same" if (t or "") == (u or "") else "changed") for p, n, t in left for q, m, u in right if p == q and n == m and n is not None)
+    want += Counter((*p, n, "removed") for p, n, _ in left if n is None or not any(q == p and m == n for q, m, _ in right))
+    want += Counter((*p, n, "added") for p, n, _ in right if n is None or not any(q == p and m == n for q, m, _ in left))
+    assert got == want
+
+
 def tables(spark, path):
     line = [f"line {i} of words{i}" for i in range(25)]
     swapped = [line[1], line[0], *line[2:]]  # the same terms on other lines
