@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections import Counter
+from itertools import zip_longest
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import content_hash
 from ..session import materialize
+from .blocks import meet
 
 
 def longest_increasing(line2: list[int]) -> list[int]:
@@ -33,10 +35,76 @@ def longest_increasing(line2: list[int]) -> list[int]:
     return out[::-1]
 
 
-def mark_in_order(anchors: pd.DataFrame) -> pd.DataFrame:
-    anchors = anchors.sort_values("line1")
-    kept = set(longest_increasing(anchors["line2"].tolist()))
-    return anchors.assign(in_order=[i in kept for i in range(len(anchors))])
+def line_changes(lines1: list[tuple[int, int]], lines2: list[tuple[int, int]]) -> list[tuple[str, int | None, int | None]]:
+    """``(change, line1, line2)`` between two versions' lines ``(number, content)``, in order."""
+    once1, once2 = ({h: n for n, h in lines} for lines in (lines1, lines2))
+    for once, lines in ((once1, lines1), (once2, lines2)):
+        if len(once) < len(lines):
+            for h, n in Counter(h for _, h in lines).items():
+                if n > 1:
+                    del once[h]
+    anchors = sorted((n, once2[h]) for h, n in once1.items() if h in once2)
+    kept = set(longest_increasing([n for _, n in anchors]))
+    out: list = [("moved", *x) for i, x in enumerate(anchors) if i not in kept]
+    rest = []  # of each side, the remaining lines after so many of the spine
+    for side, lines in enumerate((lines1, lines2)):
+        spine = {x[side]: i in kept for i, x in enumerate(anchors)}
+        gaps: list[list[tuple[int, int]]] = [[]]
+        for n, h in lines:
+            at = spine.get(n)
+            if at is None:
+                gaps[-1].append((n, h))
+            elif at:
+                gaps.append([])
+        rest.append(gaps)
+    for gap1, gap2 in zip_longest(*rest, fillvalue=()):
+        for x, y in zip_longest(gap1, gap2):
+            if x is None:
+                out.append(("inserted", None, y[0]))
+            elif y is None:
+                out.append(("deleted", x[0], None))
+            elif x[1] != y[1]:
+                out.append(("changed", x[0], y[0]))
+    return out
+
+
+def changed_lines(rows, pairs):
+    """The step of a group that aligns the lines of its pairs' documents, each pair once."""
+    import numpy as np
+    import pyarrow as pa
+
+    kind = pairs.schema.field(0).type
+    lists = rows.to_batches()[0].column("lines") if rows.num_rows else pa.array([], pa.list_(pa.struct({"line": pa.int32(), "h": pa.binary()})))
+    flat = lists.flatten()
+    numbers, codes = flat.field("line").to_pylist(), flat.field("h").dictionary_encode().indices.to_pylist()
+    ends = np.cumsum([0, *lists.value_lengths().to_pylist()]).tolist()
+    texts = {d: list(zip(numbers[i:j], codes[i:j])) for d, i, j in zip(rows["ref"].to_pylist(), ends, ends[1:])}
+    out: list = [[], [], [], [], []]
+
+    def batch():
+        b = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (kind, kind, pa.string(), pa.int32(), pa.int32()))],
+                                       names=["v1", "v2", "change", "line1", "line2"])
+        for column in out:
+            column.clear()
+        return b
+
+    last = None
+    for pair in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()):
+        if pair == last:
+            continue
+        last = pair
+        lines1, lines2 = texts.get(pair[0], []), texts.get(pair[1], [])
+        if lines1 == lines2:
+            continue
+        found = line_changes(lines1, lines2)
+        out[0] += [pair[0]] * len(found)
+        out[1] += [pair[1]] * len(found)
+        for i in range(3):
+            out[i + 2] += [x[i] for x in found]
+        if len(out[0]) >= 50_000:
+            yield batch()
+    if out[0]:
+        yield batch()
 
 
 def aligned_lines(pairs: DataFrame, documents: DataFrame, id_col: str = "document_id", text_col: str = "text") -> DataFrame:
@@ -49,34 +117,12 @@ def aligned_lines(pairs: DataFrame, documents: DataFrame, id_col: str = "documen
     off it have moved. Between two neighbours on the spine the remaining lines stand
     against each other in order: equal ones are the same, others have changed, and
     what has no counterpart was inserted or deleted. Empty lines and repeated lines are
-    lines like others; a null text has no lines. A window spans the lines of one version,
-    as (number, hash) rows."""
-    lines = documents.select(F.col(id_col).alias("document_id"), F.posexplode(F.split(text_col, "\n", -1)).alias("at", "content"))
-    lines = lines.select("document_id", (F.col("at") + 1).alias("line"), content_hash("content").alias("h"))
-    key = ["v1", "v2"]
-    pairs = pairs.select(*key).distinct()
-    sides = pairs.select(*key, F.explode(F.array(F.struct(F.lit(1).alias("side"), F.col("v1").alias("document_id")),
-                                                 F.struct(F.lit(2).alias("side"), F.col("v2").alias("document_id")))).alias("s"))
-    rows = materialize(sides.select(*key, "s.side", "s.document_id").join(lines, "document_id").select(*key, "side", "line", "h"))
-    single = rows.groupBy(*key, "h").agg(
-        F.count_if(F.col("side") == 1).alias("n1"), F.count_if(F.col("side") == 2).alias("n2"),
-        F.max(F.when(F.col("side") == 1, F.col("line"))).alias("line1"),
-        F.max(F.when(F.col("side") == 2, F.col("line"))).alias("line2")).filter("n1 = 1 AND n2 = 1")
-    kinds = dict(pairs.dtypes)
-    anchors = materialize(single.select(*key, "line1", "line2").groupBy(*key).applyInPandas(
-        mark_in_order, f"v1 {kinds['v1']}, v2 {kinds['v2']}, line1 int, line2 int, in_order boolean"))
-    places = anchors.select(*key, "in_order", F.explode(F.array(
-        F.struct(F.lit(1).alias("side"), F.col("line1").alias("line")),
-        F.struct(F.lit(2).alias("side"), F.col("line2").alias("line")))).alias("p")).select(*key, "in_order", "p.*")
-    rows = rows.join(places, [*key, "side", "line"], "left")
-    version = Window.partitionBy(*key, "side").orderBy("line")
-    rows = rows.withColumn("gap", F.count_if(F.coalesce("in_order", F.lit(False))).over(
-        version.rowsBetween(Window.unboundedPreceding, 0)))
-    rest = rows.filter(F.col("in_order").isNull()).withColumn(
-        "k", F.row_number().over(Window.partitionBy(*key, "side", "gap").orderBy("line")))
-    a = rest.filter("side = 1").select(*key, "gap", "k", F.col("line").alias("line1"), F.col("h").alias("h1"))
-    b = rest.filter("side = 2").select(*key, "gap", "k", F.col("line").alias("line2"), F.col("h").alias("h2"))
-    both = a.join(b, [*key, "gap", "k"], "full_outer").filter(~F.col("h1").eqNullSafe(F.col("h2")))
-    change = F.when(F.col("h1").isNull(), "inserted").when(F.col("h2").isNull(), "deleted").otherwise("changed")
-    moved = anchors.filter("NOT in_order").select(*key, F.lit("moved").alias("change"), "line1", "line2")
-    return both.select(*key, change.alias("change"), "line1", "line2").unionByName(moved)
+    lines like others; a null text has no lines. A document's line hashes are one row, which
+    goes to the groups of its pairs (:func:`..blocks.meet`)."""
+    lines = documents.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("ref"), F.transform(
+        F.split(text_col, "\n", -1), lambda x, i: F.struct((i + 1).alias("line"), F.unhex(content_hash(x)).alias("h"))).alias("lines"))
+    # rows that repeat an id are one document
+    of = lines.groupBy("ref").agg(F.array_sort(F.flatten(F.collect_list("lines"))).alias("lines"))
+    stored = materialize(pairs.select(F.col("v1").alias("a"), F.col("v2").alias("b")))
+    kind = dict(pairs.dtypes)["v1"]
+    return meet(stored, of, changed_lines, f"v1 {kind}, v2 {kind}, change string, line1 int, line2 int")

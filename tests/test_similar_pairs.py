@@ -6,6 +6,7 @@ from collections import Counter
 
 from docspark.operators import analytics as Q
 from docspark.operators.blocks import meet
+from docspark.operators.versions import aligned_lines
 from docspark.plans import queries
 from docspark.session import materialize
 
@@ -83,6 +84,16 @@ def test_page_changes_are_those_of_a_full_outer_join(spark):
     assert got == want
 
 
+def test_version_steps_send_no_line_or_page_per_pair(spark):
+    """Each pair's lines and pages were rows of their own that met in joins and windows."""
+    pairs = spark.createDataFrame([("a", "b")], "v1 string, v2 string")
+    plans = [aligned_lines(pairs, spark.createDataFrame([("a", "x\ny")], SCHEMA)),
+             Q.diff_versions(pairs, spark.createDataFrame([("a", 1, "x")], "document_id string, page_number int, content string"))]
+    for df in plans:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and "FullOuter" not in plan and "MapInArrow" in plan
+
+
 def tables(spark, path):
     line = [f"line {i} of words{i}" for i in range(25)]
     swapped = [line[1], line[0], *line[2:]]  # the same terms on other lines
